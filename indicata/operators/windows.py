@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from indicata.functions.numeric import DIGITS_VALUE, round_exact
 
 
-def series_window(keys: Sequence[str], order: Sequence[str] = ("ano", "data")) -> WindowSpec:
+def series_window(keys: Sequence[str], order: Sequence[str] = ("data",)) -> WindowSpec:
+    """Series order; silver passes ``("ano", "data")`` to share one sort with year-to-date."""
     return Window.partitionBy(*keys).orderBy(*order)
 
 

@@ -228,3 +228,187 @@ QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DE
     "gold_wide_monthly": f"WITH {GOLD} SELECT * FROM gold",
     "gold_by_series": f"WITH {GOLD_BY_SERIES} SELECT * FROM gold",
 }
+
+
+# ---------------------------------------------------------------- single operators
+_WS = "WINDOW w AS (PARTITION BY serie ORDER BY data)"
+_W30 = "(PARTITION BY serie ORDER BY data ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"
+_W12 = "(PARTITION BY serie ORDER BY data ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)"
+_WY = "(PARTITION BY serie, year(data) ORDER BY data ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_ANO = "CAST(year(data) AS INTEGER) AS ano"
+_RATE_LABEL = (f"CASE WHEN valor < {_RATE_T[0]!r}::DOUBLE THEN 'baixo' "
+               f"WHEN valor < {_RATE_T[1]!r}::DOUBLE THEN 'moderado' "
+               f"WHEN valor < {_RATE_T[2]!r}::DOUBLE THEN 'alto' ELSE 'muito_alto' END")
+_CHANGE_ABS = f"""SELECT serie, data, valor, {R("valor - lag(valor) OVER w", 4)} AS variacao_abs
+FROM fx_valid {_WS}"""
+
+METRICS = ("selic_media_mes", "selic_max_mes", "selic_min_mes", "selic_anualizada_mes",
+           "ipca_acumulado_mes", "ipca_12m", "dollar_medio_mes", "dollar_max_mes",
+           "pib_valor_mes", "inadimplencia_media_mes", "juros_real_estimado")
+_PRESENT = "(valor IS NOT NULL AND NOT isnan(valor))"
+
+
+def _long(keys: str) -> str:
+    k = f"{keys}, " if keys else ""
+    parts = [f"SELECT {k}mes_ref, '{m}' AS metric, {m} AS valor FROM gold" for m in METRICS]
+    return "long AS (" + "\n  UNION ALL ".join(parts) + ")"
+
+
+def _latest_change(keys: str) -> str:
+    k = f"{keys}, " if keys else ""
+    part = f"PARTITION BY {k}metric"
+    return f"""ranked AS (
+  SELECT {k}metric, valor, mes_ref, {_PRESENT} AS present,
+    row_number() OVER ({part} ORDER BY (valor IS NULL OR isnan(valor)), mes_ref DESC) AS rk
+  FROM long),
+lc AS (
+  SELECT {k}metric,
+    max(CASE WHEN rk = 1 AND present THEN valor END) AS valor,
+    CASE WHEN count(CASE WHEN rk <= 2 AND present THEN 1 END) = 2
+         THEN max(CASE WHEN rk = 1 THEN valor END) - max(CASE WHEN rk = 2 THEN valor END) END AS variacao,
+    max(CASE WHEN rk = 1 AND present THEN mes_ref END) AS mes_ref
+  FROM ranked GROUP BY {k}metric)"""
+
+
+def _ref(c: str) -> str:
+    return f"COALESCE(strftime({c}, '%m/%Y'), 'Sem referência')"
+
+
+def _d2(c: str) -> str:
+    return f"CAST(CAST({R(c, 2)} AS DECIMAL(18,2)) AS VARCHAR)"
+
+
+_CARDS = """cards(metric, lbl, pre, suf, dsuf) AS (VALUES
+  ('selic_anualizada_mes', 'Selic anualizada', '', '%', ' p.p.'),
+  ('ipca_12m', 'IPCA 12 meses', '', '%', ' p.p.'),
+  ('juros_real_estimado', 'Juro real estimado', '', '%', ' p.p.'),
+  ('dollar_medio_mes', 'Dólar médio', 'R$ ', '', ''),
+  ('pib_valor_mes', 'PIB mensal', 'R$ ', ' mi', ' mi'),
+  ('inadimplencia_media_mes', 'Inadimplência', '', '%', ' p.p.'))"""
+
+_INSIGHTS = f"""SELECT regra, texto FROM (
+  SELECT metric AS regra, CASE
+    WHEN metric = 'ipca_12m' AND variacao IS NOT NULL THEN 'O IPCA em 12 meses '
+      || CASE WHEN variacao > 0 THEN 'acelerou' ELSE 'desacelerou' END || ' '
+      || {_d2('abs(variacao)')} || ' p.p. na última observação.'
+    WHEN metric = 'juros_real_estimado' AND valor IS NOT NULL THEN 'O juro real anual estimado está '
+      || CASE WHEN valor > 0 THEN 'positivo' ELSE 'negativo' END || ', em ' || {_d2('valor')} || '%.'
+    WHEN metric = 'dollar_medio_mes' AND variacao IS NOT NULL THEN 'O dólar médio '
+      || CASE WHEN variacao > 0 THEN 'subiu' ELSE 'recuou' END || ' R$ '
+      || {_d2('abs(variacao)')} || ' frente ao mês anterior.'
+  END AS texto FROM lc) WHERE texto IS NOT NULL"""
+
+_MISSING_COUNTS = ", ".join(f"count_if({c} IS NULL) AS {c}" for c in ("mes_ref",) + METRICS)
+
+
+def _count(name: str, layer: str, rel: str) -> str:
+    return f"SELECT '{name}' AS tabela, '{layer}' AS camada, count(*) AS linhas FROM {rel}"
+
+
+ORACLE.update({
+    "filter_valid_observations": f"WITH {RATE_SILVER} SELECT serie, data, valor FROM rate_valid",
+    "change_abs": f"WITH {FX_SILVER} {_CHANGE_ABS}",
+    "change_pct": f"""WITH {FX_SILVER} SELECT serie, data, valor,
+  {R("CASE WHEN lag(valor) OVER w = 0 THEN NULL ELSE (valor - lag(valor) OVER w) / lag(valor) OVER w END * 100.0::DOUBLE", 4)} AS variacao_pct
+FROM fx_valid {_WS}""",
+    "moving_avg_30": f"WITH {RATE_SILVER} SELECT serie, data, valor, "
+                     f"{R('avg(valor) OVER ' + _W30, 4)} AS media_movel_30d FROM rate_valid",
+    "volatility_30": f"WITH {RATE_SILVER} SELECT serie, data, valor, "
+                     f"{R('stddev_samp(valor) OVER ' + _W30, 6)} AS volatilidade_30d FROM rate_valid",
+    "moving_extremes_30": f"WITH {FX_SILVER} SELECT serie, data, valor, "
+                          f"{R('max(valor) OVER ' + _W30, 4)} AS max_30d, "
+                          f"{R('min(valor) OVER ' + _W30, 4)} AS min_30d FROM fx_valid",
+    "rolling_sum_12": f"WITH {INFLATION_SILVER} SELECT serie, data, valor, "
+                      f"{R('sum(valor) OVER ' + _W12, 4)} AS acumulado_12m FROM infl_valid",
+    "ytd_sum": f"WITH {INFLATION_SILVER} SELECT serie, data, valor, {_ANO}, "
+               f"{R('sum(valor) OVER ' + _WY, 4)} AS acumulado_ano FROM infl_valid",
+    "ytd_avg": f"WITH {RATE_SILVER} SELECT serie, data, valor, {_ANO}, "
+               f"{R('avg(valor) OVER ' + _WY, 4)} AS acumulado_ano FROM rate_valid",
+    "annualize_rate": f"""WITH {RATE_SILVER} SELECT serie, data, valor,
+  {R("pow(1.0::DOUBLE + valor / 100.0::DOUBLE, 252.0::DOUBLE) - 1.0::DOUBLE", 6)} AS taxa_anualizada
+FROM rate_valid""",
+    "classify_rate_level": f"WITH {RATE_SILVER} SELECT serie, data, valor, {_RATE_LABEL} AS nivel_taxa "
+                           "FROM rate_valid",
+    "classify_pressure": f"""WITH {INFLATION_SILVER} SELECT serie, data, valor,
+  CASE WHEN valor < 0.0::DOUBLE THEN 'deflacao' WHEN valor < 0.3::DOUBLE THEN 'controlada'
+       WHEN valor < 0.6::DOUBLE THEN 'moderada' ELSE 'elevada' END AS pressao
+FROM infl_valid""",
+    "classify_trend": f"""WITH {FX_SILVER}, ca AS ({_CHANGE_ABS})
+SELECT *, CASE WHEN variacao_abs > 0.05::DOUBLE THEN 'alta'
+               WHEN variacao_abs < -0.05::DOUBLE THEN 'queda' ELSE 'estavel' END AS tendencia
+FROM ca""",
+    "calendar_parts": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS data,
+  CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
+  CAST(quarter(o_orderdate) AS INTEGER) AS trimestre,
+  CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS dia_semana
+FROM orders""",
+    "real_rate_fisher": f"WITH {GOLD_BY_SERIES} SELECT serie, mes_ref, selic_anualizada_mes, ipca_12m, "
+                        "juros_real_estimado FROM gold",
+    "gold_left_join_two": f"""WITH {RATE_SILVER}, {INFLATION_SILVER}, {_monthly_rate()}, {_monthly_inflation()}
+SELECT s.*, i.ipca_acumulado_mes, i.ipca_12m FROM rate_m s LEFT JOIN infl_m i ON s.mes_ref = i.mes_ref""",
+    "gold_point_lookup": f"WITH {GOLD} SELECT * FROM gold WHERE mes_ref = DATE '1996-01-01'",
+    "metric_valid_rows": f"WITH {GOLD_BY_SERIES}, {_long('serie')} "
+                         f"SELECT serie, mes_ref, metric, valor FROM long WHERE {_PRESENT}",
+    "latest_metric": f"""WITH {GOLD_BY_SERIES}, {_long('serie')}
+SELECT serie, metric, arg_max(valor, CASE WHEN {_PRESENT} THEN mes_ref END) AS valor,
+  max(CASE WHEN {_PRESENT} THEN mes_ref END) AS mes_ref,
+  {_ref(f"max(CASE WHEN {_PRESENT} THEN mes_ref END)")} AS referencia
+FROM long GROUP BY serie, metric""",
+    "latest_metric_change": f"WITH {GOLD_BY_SERIES}, {_long('serie')}, {_latest_change('serie')} "
+                            "SELECT * FROM lc",
+    "last_n_months": f"WITH {GOLD_BY_SERIES} SELECT * FROM gold "
+                     "QUALIFY row_number() OVER (PARTITION BY serie ORDER BY mes_ref DESC) <= 12",
+    "newest_n": "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders "
+                "ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 20",
+    "union_batches": """SELECT o_orderkey, o_orderdate, o_totalprice, 1 AS lote FROM orders
+WHERE o_orderdate < TIMESTAMP '1995-01-01'
+UNION ALL
+SELECT o_orderkey, o_orderdate, o_totalprice, 2 AS lote FROM orders
+WHERE o_orderdate >= TIMESTAMP '1995-01-01'""",
+    "missing_by_column": f"""WITH {GOLD}, counts AS (SELECT {_MISSING_COUNTS} FROM gold)
+SELECT coluna, valores_ausentes FROM (UNPIVOT counts ON COLUMNS(*) INTO NAME coluna VALUE valores_ausentes)
+WHERE valores_ausentes > 0""",
+    "latest_reference": f"WITH {GOLD} SELECT max(mes_ref) AS mes_ref, {_ref('max(mes_ref)')} AS referencia "
+                        "FROM gold",
+    "format_reference": f"""WITH {GOLD}, {_long('')}
+SELECT metric, {_ref(f"max(CASE WHEN {_PRESENT} THEN mes_ref END)")} AS referencia
+FROM long GROUP BY metric""",
+    "format_metric_label": f"""WITH {GOLD}, {_long('')}, {_latest_change('')}, {_CARDS}
+SELECT lc.metric, lbl || ' · ' || {_ref('mes_ref')} AS rotulo,
+  COALESCE(pre || {_d2('valor')} || suf, 'Sem dados') AS valor_texto,
+  (CASE WHEN variacao >= 0 THEN '+' ELSE '' END) || {_d2('variacao')} || dsuf AS variacao_texto
+FROM lc JOIN cards ON lc.metric = cards.metric""",
+    "insight_sentences": f"WITH {GOLD}, {_long('')}, {_latest_change('')} {_INSIGHTS}",
+    "profile_rate": f"""WITH {RATE_SILVER}
+SELECT serie, min(data) AS data_inicio, max(data) AS data_fim, count(*) AS total_linhas,
+  {R("avg(valor)", 2)} AS selic_media, count(DISTINCT nivel_taxa) AS niveis_distintos
+FROM rate_silver GROUP BY serie""",
+    "profile_inflation": f"""WITH {INFLATION_SILVER}
+SELECT serie, min(data) AS data_inicio, max(data) AS data_fim, count(*) AS total_linhas,
+  {R("avg(acumulado_12m)", 2)} AS inflacao_12m_media
+FROM infl_silver GROUP BY serie""",
+    "profile_fx": f"""WITH {FX_SILVER}
+SELECT serie, min(data) AS data_inicio, max(data) AS data_fim, count(*) AS total_linhas,
+  {R("avg(valor)", 2)} AS dolar_medio, {R("max(valor)", 2)} AS dolar_max
+FROM fx_silver GROUP BY serie""",
+    "profile_bronze": f"""WITH {RATE_BRONZE}
+SELECT serie, count(*) AS total_registros, min(data) AS primeira_data, max(data) AS ultima_data,
+  count_if(valor IS NULL) AS valores_nulos
+FROM rate_bronze GROUP BY serie""",
+    "label_distribution_rate": f"WITH {RATE_SILVER} SELECT nivel_taxa, count(*) AS ocorrencias, "
+                               f"{STABLE('avg(valor)')} AS taxa_media FROM rate_silver GROUP BY 1",
+    "label_distribution_inflation": f"WITH {INFLATION_SILVER} SELECT pressao, count(*) AS ocorrencias, "
+                                    f"{STABLE('avg(valor)')} AS ipca_medio FROM infl_silver GROUP BY 1",
+    "label_distribution_fx": f"WITH {FX_SILVER} SELECT tendencia, count(*) AS ocorrencias, "
+                             f"{STABLE('avg(valor)')} AS dolar_medio FROM fx_silver GROUP BY 1",
+    "distinct_years": "SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS ano FROM orders",
+    "row_counts_by_layer": f"""WITH {GOLD}
+{_count('bronze.rate', 'bronze', 'rate_bronze')}
+UNION ALL {_count('bronze.fx', 'bronze', 'fx_bronze')}
+UNION ALL {_count('bronze.inflation', 'bronze', 'infl_bronze')}
+UNION ALL {_count('silver.rate', 'silver', 'rate_silver')}
+UNION ALL {_count('silver.fx', 'silver', 'fx_silver')}
+UNION ALL {_count('silver.inflation', 'silver', 'infl_silver')}
+UNION ALL SELECT 'silver.plain', 'silver', (SELECT count(*) FROM level_silver) + (SELECT count(*) FROM ratio_silver)
+UNION ALL {_count('gold.wide', 'gold', 'gold')}""",
+})

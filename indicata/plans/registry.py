@@ -12,10 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.functions.labels import RATE_LEVEL_BANDS, scaled_bands
+from indicata.functions import calendar as C
+from indicata.functions.formatting import format_reference
+from indicata.functions.labels import RATE_LEVEL_BANDS, fx_trend, inflation_pressure, rate_level, scaled_bands
+from indicata.functions.numeric import annualize
+from indicata.operators import dashboard as D
 from indicata.operators import gold as G
+from indicata.operators import metrics as MT
 from indicata.operators import monthly as M
+from indicata.operators import profiles as PR
+from indicata.operators import windows as W
 from indicata.operators.dedup import latest_per_key
+from indicata.schemas import GOLD_COLUMNS
 from indicata.plans import silver as S
 from indicata.sources import testdata as td
 
@@ -90,6 +98,221 @@ def dedup_latest(spark, sf):
     return latest_per_key(td.event_bronze(spark, sf), ("serie", "data"), ("_ingested_at",), ("_seq",))
 
 
+# ---------------------------------------------------------------- single operators
+def _valid(kind: str, spark, sf):
+    bronze = {"rate": td.rate_bronze, "fx": td.fx_bronze, "inflation": td.inflation_bronze}[kind]
+    check = {"rate": S.valid_rate, "fx": S.valid_fx, "inflation": S.valid_inflation}[kind]
+    return check(S.deduplicate(bronze(spark, sf))).select("serie", "data", "valor")
+
+
+def _w():
+    return W.series_window(("serie",))
+
+
+def filter_valid_observations(spark, sf):
+    return _valid("rate", spark, sf)
+
+
+def change_abs(spark, sf):
+    return _valid("fx", spark, sf).withColumn("variacao_abs", W.change("valor", _w()))
+
+
+def change_pct(spark, sf):
+    return _valid("fx", spark, sf).withColumn("variacao_pct", W.pct_change("valor", _w()))
+
+
+def moving_avg_30(spark, sf):
+    return _valid("rate", spark, sf).withColumn("media_movel_30d", W.moving_avg("valor", _w(), 30))
+
+
+def volatility_30(spark, sf):
+    return _valid("rate", spark, sf).withColumn("volatilidade_30d", W.moving_stddev("valor", _w(), 30))
+
+
+def moving_extremes_30(spark, sf):
+    return _valid("fx", spark, sf).withColumns({
+        "max_30d": W.moving_max("valor", _w(), 30), "min_30d": W.moving_min("valor", _w(), 30)})
+
+
+def rolling_sum_12(spark, sf):
+    return _valid("inflation", spark, sf).withColumn("acumulado_12m", W.rolling_sum("valor", _w(), 12))
+
+
+def ytd_sum(spark, sf):
+    df = _valid("inflation", spark, sf).withColumn("ano", F.year("data"))
+    return df.withColumn("acumulado_ano", W.ytd(F.sum, "valor", ("serie",)))
+
+
+def ytd_avg(spark, sf):
+    df = _valid("rate", spark, sf).withColumn("ano", F.year("data"))
+    return df.withColumn("acumulado_ano", W.ytd(F.avg, "valor", ("serie",)))
+
+
+def annualize_rate(spark, sf):
+    return _valid("rate", spark, sf).withColumn("taxa_anualizada", annualize("valor"))
+
+
+def classify_rate_level(spark, sf):
+    return _valid("rate", spark, sf).withColumn("nivel_taxa", rate_level("valor", RATE_BANDS))
+
+
+def classify_pressure(spark, sf):
+    return _valid("inflation", spark, sf).withColumn("pressao", inflation_pressure("valor"))
+
+
+def classify_trend(spark, sf):
+    df = change_abs(spark, sf)
+    return df.withColumn("tendencia", fx_trend("variacao_abs"))
+
+
+def calendar_parts(spark, sf):
+    o = td.table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("data"))
+    return C.with_calendar_parts(o, weekday=True)
+
+
+def real_rate_fisher(spark, sf):
+    return gold_by_series(spark, sf).select(
+        "serie", "mes_ref", "selic_anualizada_mes", "ipca_12m", "juros_real_estimado")
+
+
+def gold_left_join_two(spark, sf):
+    return G.gold_left_join_two(monthly_rate(spark, sf), monthly_inflation(spark, sf))
+
+
+GOLD_LOOKUP_MONTH = "1996-01-01"
+
+
+def gold_point_lookup(spark, sf):
+    return G.point_lookup(gold_wide_monthly(spark, sf), GOLD_LOOKUP_MONTH)
+
+
+# ---------------------------------------------------------------- metrics
+METRICS = GOLD_COLUMNS[1:]
+
+
+def _gold_long(spark, sf, by_series: bool = True):
+    if by_series:
+        return MT.to_long(gold_by_series(spark, sf), ("serie",), METRICS), ("serie",)
+    return MT.to_long(gold_wide_monthly(spark, sf), (), METRICS), ()
+
+
+def metric_valid_rows(spark, sf):
+    long, _ = _gold_long(spark, sf)
+    return MT.valid_metric_rows(long)
+
+
+def latest_metric(spark, sf):
+    long, keys = _gold_long(spark, sf)
+    out = MT.latest_metric(long, keys)
+    return out.withColumn("referencia", format_reference("mes_ref"))
+
+
+def latest_metric_change(spark, sf):
+    long, keys = _gold_long(spark, sf)
+    return MT.latest_metric_change(long, keys)
+
+
+LAST_MONTHS = 12
+
+
+def last_n_months(spark, sf):
+    return MT.last_n(gold_by_series(spark, sf), LAST_MONTHS, ("serie",))
+
+
+NEWEST_ROWS = 20
+
+
+def newest_n(spark, sf):
+    o = td.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return MT.newest_rows(o, NEWEST_ROWS, ("o_orderdate", "o_orderkey"))
+
+
+UNION_SPLIT = "1995-01-01"
+
+
+def union_batches(spark, sf):
+    o = td.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    split = F.lit(UNION_SPLIT).cast("timestamp_ntz")
+    first = o.filter(F.col("o_orderdate") < split).withColumn("lote", F.lit(1))
+    second = o.filter(F.col("o_orderdate") >= split).withColumn("lote", F.lit(2))
+    return first.unionByName(second)
+
+
+def sample_rows(spark, sf):
+    """Unordered sample of a few rows (not deterministic: rows-only check)."""
+    return td.table(spark, sf, "orders").limit(5)
+
+
+def missing_by_column(spark, sf):
+    return MT.missing_by_column(gold_wide_monthly(spark, sf))
+
+
+def latest_reference(spark, sf):
+    return MT.latest_reference(gold_wide_monthly(spark, sf))
+
+
+def format_reference_query(spark, sf):
+    long, keys = _gold_long(spark, sf, by_series=False)
+    return MT.latest_metric(long, keys).select("metric", format_reference("mes_ref").alias("referencia"))
+
+
+def format_metric_label(spark, sf):
+    long, keys = _gold_long(spark, sf, by_series=False)
+    return D.metric_cards(MT.latest_metric_change(long, keys))
+
+
+def insight_sentences(spark, sf):
+    long, keys = _gold_long(spark, sf, by_series=False)
+    return D.insight_sentences(MT.latest_metric_change(long, keys))
+
+
+# ---------------------------------------------------------------- profiles
+def profile_rate(spark, sf):
+    return PR.profile_rate(silver_rate(spark, sf), ("serie",))
+
+
+def profile_inflation(spark, sf):
+    return PR.profile_inflation(silver_inflation(spark, sf), ("serie",))
+
+
+def profile_fx(spark, sf):
+    return PR.profile_fx(silver_fx(spark, sf), ("serie",))
+
+
+def profile_bronze(spark, sf):
+    return PR.profile_bronze(td.rate_bronze(spark, sf), ("serie",))
+
+
+def label_distribution_rate(spark, sf):
+    return PR.label_distribution(silver_rate(spark, sf), "nivel_taxa", mean_name="taxa_media")
+
+
+def label_distribution_inflation(spark, sf):
+    return PR.label_distribution(silver_inflation(spark, sf), "pressao", mean_name="ipca_medio")
+
+
+def label_distribution_fx(spark, sf):
+    return PR.label_distribution(silver_fx(spark, sf), "tendencia", mean_name="dolar_medio")
+
+
+def distinct_years(spark, sf):
+    o = td.table(spark, sf, "orders")
+    return PR.distinct_values(o, F.year("o_orderdate").alias("ano"))
+
+
+def row_counts_by_layer(spark, sf):
+    return PR.row_counts({
+        "bronze.rate": ("bronze", td.rate_bronze(spark, sf)),
+        "bronze.fx": ("bronze", td.fx_bronze(spark, sf)),
+        "bronze.inflation": ("bronze", td.inflation_bronze(spark, sf)),
+        "silver.rate": ("silver", silver_rate(spark, sf)),
+        "silver.fx": ("silver", silver_fx(spark, sf)),
+        "silver.inflation": ("silver", silver_inflation(spark, sf)),
+        "silver.plain": ("silver", silver_plain_monthly(spark, sf)),
+        "gold.wide": ("gold", gold_wide_monthly(spark, sf)),
+    })
+
+
 QUERIES: dict[str, Query] = {
     "dedup_latest": dedup_latest,
     "silver_rate": silver_rate,
@@ -103,4 +326,42 @@ QUERIES: dict[str, Query] = {
     "monthly_ratio": monthly_ratio,
     "gold_wide_monthly": gold_wide_monthly,
     "gold_by_series": gold_by_series,
+    "filter_valid_observations": filter_valid_observations,
+    "change_abs": change_abs,
+    "change_pct": change_pct,
+    "moving_avg_30": moving_avg_30,
+    "volatility_30": volatility_30,
+    "moving_extremes_30": moving_extremes_30,
+    "rolling_sum_12": rolling_sum_12,
+    "ytd_sum": ytd_sum,
+    "ytd_avg": ytd_avg,
+    "annualize_rate": annualize_rate,
+    "classify_rate_level": classify_rate_level,
+    "classify_pressure": classify_pressure,
+    "classify_trend": classify_trend,
+    "calendar_parts": calendar_parts,
+    "real_rate_fisher": real_rate_fisher,
+    "gold_left_join_two": gold_left_join_two,
+    "gold_point_lookup": gold_point_lookup,
+    "metric_valid_rows": metric_valid_rows,
+    "latest_metric": latest_metric,
+    "latest_metric_change": latest_metric_change,
+    "last_n_months": last_n_months,
+    "newest_n": newest_n,
+    "union_batches": union_batches,
+    "sample_rows": sample_rows,
+    "missing_by_column": missing_by_column,
+    "latest_reference": latest_reference,
+    "format_reference": format_reference_query,
+    "format_metric_label": format_metric_label,
+    "insight_sentences": insight_sentences,
+    "profile_rate": profile_rate,
+    "profile_inflation": profile_inflation,
+    "profile_fx": profile_fx,
+    "profile_bronze": profile_bronze,
+    "label_distribution_rate": label_distribution_rate,
+    "label_distribution_inflation": label_distribution_inflation,
+    "label_distribution_fx": label_distribution_fx,
+    "distinct_years": distinct_years,
+    "row_counts_by_layer": row_counts_by_layer,
 }

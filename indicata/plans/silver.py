@@ -48,6 +48,23 @@ def _prepare(bronze: DataFrame, keys: Sequence[str], dedup: bool, tie_break: Seq
     return df
 
 
+def valid_rate(df: DataFrame, upper_bound: float = 100.0) -> DataFrame:
+    """Not NULL, not NaN, strictly between 0 and ``upper_bound``."""
+    v = F.col("valor")
+    return df.filter(is_valid_number(v) & (v > 0) & (v < upper_bound))
+
+
+def valid_fx(df: DataFrame) -> DataFrame:
+    """Not NULL, not NaN, positive."""
+    v = F.col("valor")
+    return df.filter(is_valid_number(v) & (v > 0))
+
+
+def valid_inflation(df: DataFrame) -> DataFrame:
+    """Not NULL, not NaN (negative months are deflation, kept)."""
+    return df.filter(is_valid_number("valor"))
+
+
 def _project(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     return df.select(*keys, *columns)
 
@@ -60,9 +77,8 @@ def silver_rate(bronze: DataFrame, keys: Sequence[str] = ("serie",), *, dedup: b
     average, level label and calendar parts (with weekday)."""
     df = _prepare(bronze, keys, dedup, tie_break)
     v = F.col("valor")
-    df = df.filter(is_valid_number(v) & (v > 0) & (v < upper_bound))
-    df = with_calendar_parts(df, weekday=True)
-    w = W.series_window(keys)
+    df = with_calendar_parts(valid_rate(df, upper_bound), weekday=True)
+    w = W.series_window(keys, ("ano", "data"))
     df = df.withColumns({
         "variacao_pp": W.change(v, w),
         "taxa_anualizada": annualize(v),
@@ -81,9 +97,8 @@ def silver_fx(bronze: DataFrame, keys: Sequence[str] = ("serie",), *, dedup: boo
     30-row moving average / max / min, trend label from the rounded change."""
     df = _prepare(bronze, keys, dedup, tie_break)
     v = F.col("valor")
-    df = df.filter(is_valid_number(v) & (v > 0))
-    df = with_calendar_parts(df)
-    w = W.series_window(keys)
+    df = with_calendar_parts(valid_fx(df))
+    w = W.series_window(keys, ("ano", "data"))
     df = df.withColumns({
         "variacao_abs": W.change(v, w),
         "variacao_pct": W.pct_change(v, w),
@@ -102,9 +117,8 @@ def silver_inflation(bronze: DataFrame, keys: Sequence[str] = ("serie",), *, ded
     (plain sum, not compounded), year-to-date sum and pressure label."""
     df = _prepare(bronze, keys, dedup, tie_break)
     v = F.col("valor")
-    df = df.filter(is_valid_number(v))
-    df = with_calendar_parts(df)
-    w = W.series_window(keys)
+    df = with_calendar_parts(valid_inflation(df))
+    w = W.series_window(keys, ("ano", "data"))
     df = df.withColumns({
         "variacao_pp": W.change(v, w),
         "acumulado_12m": W.rolling_sum(v, w, 12),
