@@ -412,3 +412,89 @@ UNION ALL {_count('silver.inflation', 'silver', 'infl_silver')}
 UNION ALL SELECT 'silver.plain', 'silver', (SELECT count(*) FROM level_silver) + (SELECT count(*) FROM ratio_silver)
 UNION ALL {_count('gold.wide', 'gold', 'gold')}""",
 })
+
+
+# ---------------------------------------------------------------- ingestion, sinks, quality
+_BRONZE_FULL = ("SELECT 'rate' AS kind, serie, data, valor, _ingested_at, _source, "
+                "CAST(year(data) AS INTEGER) AS ano FROM rate_bronze")
+_SILVER_INFL_COLS = "serie, data, valor, variacao_pp, acumulado_12m, acumulado_ano, pressao, ano, mes, trimestre"
+_GOLD_REQUIRED = ("selic_media_mes", "ipca_acumulado_mes", "dollar_medio_mes", "pib_valor_mes",
+                  "inadimplencia_media_mes", "juros_real_estimado")
+_ANY_REQUIRED_NULL = " OR ".join(f"{c} IS NULL" for c in _GOLD_REQUIRED)
+
+
+def _unique(table: str, keys: str, rel: str) -> str:
+    present = " AND ".join(f"{k.strip()} IS NOT NULL" for k in keys.split(","))
+    return f"""SELECT '{table}' AS tabela, '{keys}' AS chave, count(*) AS duplicadas, count(*) = 0 AS aprovado
+FROM (SELECT {keys} FROM {rel} WHERE {present} GROUP BY {keys} HAVING count(*) > 1)"""
+
+
+def _status(kind: str, bronze: str, silver: str) -> str:
+    return f"""SELECT '{kind}' AS kind, b.serie, b.bronze_linhas, COALESCE(s.silver_linhas, 0) AS silver_linhas,
+  CASE WHEN COALESCE(s.silver_linhas, 0) > 0 THEN 'ok' ELSE 'no_data' END AS status
+FROM (SELECT serie, count(*) AS bronze_linhas FROM {bronze} GROUP BY serie) b
+LEFT JOIN (SELECT serie, count(*) AS silver_linhas FROM {silver} GROUP BY serie) s ON b.serie = s.serie"""
+
+
+_EV_W30 = "(ORDER BY ts, event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"
+
+ORACLE.update({
+    "ingest_json_payload": """SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS data,
+  CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE l_quantity END AS valor
+FROM lineitem""",
+    "ingest_parse_coerce": """SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS data,
+  CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE l_quantity END AS valor,
+  l_orderkey % 97 <> 0 AS valido
+FROM lineitem""",
+    "ingest_lookback_window": """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE CAST(o_orderdate AS DATE) BETWEEN (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) - 365
+                                   AND (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)""",
+    "bronze_append_audit": f"WITH {RATE_BRONZE} {_BRONZE_FULL}",
+    "schema_conform": f"WITH {RATE_BRONZE} {_BRONZE_FULL}",
+    "silver_partition_overwrite": f"""WITH {INFLATION_SILVER}
+SELECT serie, data, CASE WHEN ano = 1996 THEN {R("valor * 2.0::DOUBLE", 4)} ELSE valor END AS valor,
+  variacao_pp, acumulado_12m, acumulado_ano, pressao, ano, mes, trimestre
+FROM infl_silver""",
+    "silver_full_overwrite": f"WITH {LEVEL_SILVER}, {RATIO_SILVER} "
+                             "SELECT * FROM level_silver UNION ALL SELECT * FROM ratio_silver",
+    "gold_materialize": f"WITH {GOLD} SELECT * FROM gold",
+    "control_log_summary": """SELECT event_type AS table_name, 'ingest' AS process_name, 'events' AS source,
+  'bronze' AS layer, count(*) AS row_count, min(ts) AS started_at, max(ts) AS finished_at,
+  (epoch_us(max(ts)) - epoch_us(min(ts)))::DOUBLE / 1000000.0::DOUBLE AS duration_seconds,
+  'success' AS status, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS dia
+FROM events GROUP BY event_type, CAST(ts AS DATE)""",
+    "quality_not_null": f"""WITH {GOLD}, c AS (
+  SELECT count_if(mes_ref IS NULL) AS mes_ref, count_if(selic_media_mes IS NULL) AS selic_media_mes,
+         count_if(selic_anualizada_mes IS NULL) AS selic_anualizada_mes FROM gold)
+SELECT coluna, nulos, nulos = 0 AS aprovado
+FROM (UNPIVOT c ON mes_ref, selic_media_mes, selic_anualizada_mes INTO NAME coluna VALUE nulos)""",
+    "quality_unique": f"""WITH {GOLD}
+{_unique('gold.wide', 'mes_ref', 'gold')}
+UNION ALL {_unique('silver.rate', 'serie,data', 'rate_silver')}
+UNION ALL {_unique('silver.fx', 'serie,data', 'fx_silver')}
+UNION ALL {_unique('silver.inflation', 'serie,data', 'infl_silver')}""",
+    "quality_reconcile_counts": f"""WITH {RATE_BRONZE}, {INFLATION_SILVER}
+SELECT 'bronze.rate' AS checagem, (SELECT count(*) FROM rate_bronze) AS esperado,
+  (SELECT count(*) FROM rate_bronze) AS obtido, true AS aprovado
+UNION ALL
+SELECT 'silver.inflation', (SELECT count(*) FROM infl_silver), (SELECT count(*) FROM infl_silver), true""",
+    "quality_report": f"""WITH {GOLD}, c AS (
+  SELECT count(*) AS linhas, count_if(mes_ref = DATE '1996-01-01') AS linhas_do_mes,
+         count_if(mes_ref = DATE '1996-01-01' AND ({_ANY_REQUIRED_NULL})) AS nulos_obrigatorios
+  FROM gold)
+SELECT checagem, valor,
+  CASE checagem WHEN 'linhas' THEN valor >= 2 WHEN 'linhas_do_mes' THEN valor = 1 ELSE valor = 0 END AS aprovado
+FROM (UNPIVOT c ON linhas, linhas_do_mes, nulos_obrigatorios INTO NAME checagem VALUE valor)""",
+    "pipeline_run_status": f"""WITH {RATE_SILVER}, {FX_SILVER}, {INFLATION_SILVER}
+{_status('rate', 'rate_bronze', 'rate_silver')}
+UNION ALL {_status('fx', 'fx_bronze', 'fx_silver')}
+UNION ALL {_status('inflation', 'infl_bronze', 'infl_silver')}""",
+    "chunked_window_single_series": f"""SELECT event_id, ts, value,
+  {R("value - lag(value) OVER (ORDER BY ts, event_id)", 4)} AS variacao,
+  {R("avg(value) OVER " + _EV_W30, 4)} AS media_movel_30d,
+  {R("max(value) OVER " + _EV_W30, 4)} AS max_30d,
+  {R("min(value) OVER " + _EV_W30, 4)} AS min_30d,
+  {R("stddev_samp(value) OVER " + _EV_W30, 6)} AS volatilidade_30d
+FROM events""",
+})

@@ -23,7 +23,16 @@ from indicata.operators import monthly as M
 from indicata.operators import profiles as PR
 from indicata.operators import windows as W
 from indicata.operators.dedup import latest_per_key
-from indicata.schemas import GOLD_COLUMNS
+from indicata.functions.numeric import round_exact
+from indicata.operators import quality as Q
+from indicata.operators.chunked import chunked_window
+from indicata.plans import pipeline as PL
+from indicata.schemas import (BRONZE, GOLD_COLUMNS, SILVER_INFLATION, SILVER_PLAIN,
+                              with_key_type)
+from indicata.session import scratch_path
+from indicata.sources import payload as PAY
+from indicata.sources import store
+from pyspark.sql import types as T
 from indicata.plans import silver as S
 from indicata.sources import testdata as td
 
@@ -313,6 +322,183 @@ def row_counts_by_layer(spark, sf):
     })
 
 
+# ---------------------------------------------------------------- ingestion and sinks
+BAD_VALUE_EVERY = 50   # line items whose order key is a multiple: value text 'N/D'
+BAD_DATE_EVERY = 97    # line items whose order key is a multiple: impossible date 31/02
+LOOKBACK_DAYS = 365
+_LONG_KEY = T.LongType()
+BRONZE_T = with_key_type(BRONZE, _LONG_KEY)
+SILVER_INFLATION_T = with_key_type(SILVER_INFLATION, _LONG_KEY)
+
+
+def _payload_lines(spark, sf):
+    li = td.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
+    bad_value = (F.col("l_orderkey") % BAD_VALUE_EVERY) == 0
+    value_text = F.when(bad_value, F.lit("N/D")).otherwise(F.col("l_quantity").cast("string"))
+    return li, value_text
+
+
+def ingest_json_payload(spark, sf):
+    li, value_text = _payload_lines(spark, sf)
+    item = F.struct(F.date_format("l_shipdate", PAY.DATE_PATTERN).alias("data"), value_text.alias("valor"))
+    texts = li.select("l_orderkey", "l_linenumber", F.to_json(F.array(item)).alias("payload"))
+    return PAY.parse_observations(PAY.explode_payload(texts), strict=True)
+
+
+def ingest_parse_coerce(spark, sf):
+    li, value_text = _payload_lines(spark, sf)
+    bad_date = (F.col("l_orderkey") % BAD_DATE_EVERY) == 0
+    date_text = F.when(bad_date, F.concat(F.lit("31/02/"), F.year("l_shipdate").cast("string"))) \
+                 .otherwise(F.date_format("l_shipdate", PAY.DATE_PATTERN))
+    texts = li.select("l_orderkey", "l_linenumber", date_text.alias("data_texto"),
+                      value_text.alias("valor_texto"))
+    parsed = PAY.parse_observations(texts, strict=False)
+    return parsed.withColumn("valido", F.col("data").isNotNull())
+
+
+def ingest_lookback_window(spark, sf):
+    o = td.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return PAY.lookback(o, "o_orderdate", LOOKBACK_DAYS)
+
+
+def _rate_bronze_rows(spark, sf):
+    return td.rate_bronze(spark, sf).withColumns({"kind": F.lit("rate"), "ano": F.year("data")})
+
+
+def bronze_append_audit(spark, sf):
+    """Two appends (first batch, then the revision batch), read back."""
+    path = scratch_path(spark, "bronze")
+    rows = _rate_bronze_rows(spark, sf)
+    for batch in (td.FIRST_BATCH, td.REVISION_BATCH):
+        at = F.lit(batch).cast("timestamp_ntz")
+        store.append_bronze(rows.filter(F.col("_ingested_at") == at), path, BRONZE_T)
+    return store.read_table(spark, path, BRONZE_T)
+
+
+def schema_conform(spark, sf):
+    """Columns in another order and ``ano`` as BIGINT, reconciled to the bronze contract."""
+    rows = _rate_bronze_rows(spark, sf)
+    drifted = rows.select("ano", "valor", "_source", "data", "serie", "_ingested_at", "kind") \
+                  .withColumn("ano", F.col("ano").cast("bigint"))
+    return store.conform(drifted, BRONZE_T)
+
+
+REWRITE_YEAR = 1996
+
+
+def silver_partition_overwrite(spark, sf):
+    """Write silver inflation, then rewrite only the partitions of one year."""
+    path = scratch_path(spark, "silver-inflation")
+    silver = silver_inflation(spark, sf)
+    store.overwrite_partitions(silver, path, SILVER_INFLATION_T)
+    revised = (store.read_table(spark, path, SILVER_INFLATION_T)
+               .filter(F.col("ano") == REWRITE_YEAR)
+               .withColumn("valor", round_exact(F.col("valor") * F.lit(2.0), 4)))
+    staged = scratch_path(spark, "silver-inflation-staged")
+    store.overwrite_all(revised, staged, SILVER_INFLATION_T)
+    store.overwrite_partitions(store.read_table(spark, staged, SILVER_INFLATION_T), path,
+                               SILVER_INFLATION_T)
+    return store.read_table(spark, path, SILVER_INFLATION_T)
+
+
+def silver_full_overwrite(spark, sf):
+    """Two full overwrites of the plain monthly table; the second one wins."""
+    path = scratch_path(spark, "silver-plain")
+    store.overwrite_all(silver_level(spark, sf), path, SILVER_PLAIN)
+    store.overwrite_all(silver_plain_monthly(spark, sf), path, SILVER_PLAIN)
+    return store.read_table(spark, path, SILVER_PLAIN)
+
+
+def gold_materialize(spark, sf):
+    path = scratch_path(spark, "gold")
+    store.overwrite_all(gold_wide_monthly(spark, sf), path)
+    return store.read_table(spark, path)
+
+
+def control_log_summary(spark, sf):
+    """One run record per (event type, day) of the events table, appended as JSON."""
+    ev = td.table(spark, sf, "events")
+    runs = (ev.groupBy(F.col("event_type").alias("table_name"), F.to_date("ts").alias("dia"))
+              .agg(F.count(F.lit(1)).alias("row_count"), F.min("ts").alias("started_at"),
+                   F.max("ts").alias("finished_at"))
+              .withColumns({
+                  "process_name": F.lit("ingest"), "source": F.lit("events"), "layer": F.lit("bronze"),
+                  "status": F.when(F.col("row_count") > 0, "success").otherwise("no_data"),
+                  "metadata": F.create_map(F.lit("dia"), F.date_format("dia", "yyyy-MM-dd")),
+              }))
+    path = scratch_path(spark, "control")
+    store.append_control(store.control_records(runs), path)
+    log = store.read_control(spark, path)
+    return log.withColumn("dia", F.col("metadata")["dia"]).drop("metadata")
+
+
+# ---------------------------------------------------------------- quality and pipeline
+QUALITY_MONTH = "1996-01-01"
+
+
+def quality_not_null(spark, sf):
+    return Q.not_null(gold_wide_monthly(spark, sf), ("mes_ref", "selic_media_mes", "selic_anualizada_mes"))
+
+
+def quality_unique(spark, sf):
+    checks = [
+        Q.unique(gold_wide_monthly(spark, sf), ("mes_ref",), "gold.wide"),
+        Q.unique(silver_rate(spark, sf), ("serie", "data"), "silver.rate"),
+        Q.unique(silver_fx(spark, sf), ("serie", "data"), "silver.fx"),
+        Q.unique(silver_inflation(spark, sf), ("serie", "data"), "silver.inflation"),
+    ]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def quality_reconcile_counts(spark, sf):
+    bronze_path = scratch_path(spark, "bronze-reconcile")
+    rows = _rate_bronze_rows(spark, sf)
+    store.append_bronze(rows, bronze_path, BRONZE_T)
+    silver_path = scratch_path(spark, "silver-reconcile")
+    silver = silver_inflation(spark, sf)
+    store.overwrite_partitions(silver, silver_path, SILVER_INFLATION_T)
+    return Q.reconcile({
+        "bronze.rate": (rows, store.read_table(spark, bronze_path, BRONZE_T)),
+        "silver.inflation": (silver, store.read_table(spark, silver_path, SILVER_INFLATION_T)),
+    })
+
+
+def quality_report(spark, sf):
+    return Q.gold_report(gold_wide_monthly(spark, sf), QUALITY_MONTH, PL.GOLD_REQUIRED)
+
+
+def pipeline_run_status(spark, sf):
+    kinds = {"rate": (td.rate_bronze, silver_rate), "fx": (td.fx_bronze, silver_fx),
+             "inflation": (td.inflation_bronze, silver_inflation)}
+    bronze = None
+    silver = {}
+    for kind, (b, s) in kinds.items():
+        part = b(spark, sf).withColumn("kind", F.lit(kind))
+        bronze = part if bronze is None else bronze.unionByName(part)
+        silver[kind] = s(spark, sf)
+    return PL.series_status(bronze, silver)
+
+
+CHUNK_ROWS = 2048
+HALO = 29
+
+
+def chunked_window_single_series(spark, sf):
+    """The events table as one series ordered by (ts, event_id), 30-row frames."""
+    ev = td.table(spark, sf, "events").select("event_id", "ts", "value")
+
+    def compute(w):
+        v = F.col("value")
+        return {"variacao": W.change(v, w), "media_movel_30d": W.moving_avg(v, w, 30),
+                "max_30d": W.moving_max(v, w, 30), "min_30d": W.moving_min(v, w, 30),
+                "volatilidade_30d": W.moving_stddev(v, w, 30)}
+
+    return chunked_window(ev, ("ts", "event_id"), compute, halo=HALO, chunk_rows=CHUNK_ROWS)
+
+
 QUERIES: dict[str, Query] = {
     "dedup_latest": dedup_latest,
     "silver_rate": silver_rate,
@@ -364,4 +550,19 @@ QUERIES: dict[str, Query] = {
     "label_distribution_fx": label_distribution_fx,
     "distinct_years": distinct_years,
     "row_counts_by_layer": row_counts_by_layer,
+    "ingest_json_payload": ingest_json_payload,
+    "ingest_parse_coerce": ingest_parse_coerce,
+    "ingest_lookback_window": ingest_lookback_window,
+    "bronze_append_audit": bronze_append_audit,
+    "schema_conform": schema_conform,
+    "silver_partition_overwrite": silver_partition_overwrite,
+    "silver_full_overwrite": silver_full_overwrite,
+    "gold_materialize": gold_materialize,
+    "control_log_summary": control_log_summary,
+    "quality_not_null": quality_not_null,
+    "quality_unique": quality_unique,
+    "quality_reconcile_counts": quality_reconcile_counts,
+    "quality_report": quality_report,
+    "pipeline_run_status": pipeline_run_status,
+    "chunked_window_single_series": chunked_window_single_series,
 }
