@@ -58,7 +58,8 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     The series name is the parent folder of each file
     (``<path>/<serie>/<batch>.json``).
     """
-    df = (spark.read.schema(PAYLOAD_ITEM).option("multiLine", True).json(path)
+    df = (spark.read.schema(PAYLOAD_ITEM).option("multiLine", True)
+               .option("recursiveFileLookup", True).json(path)
                .withColumn("_file", F.col("_metadata.file_path")))
     serie = F.element_at(F.split(F.col("_file"), "/"), -2)
     return df.select(serie.alias("serie"), F.col("data").alias("data_texto"),

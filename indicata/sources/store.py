@@ -17,8 +17,19 @@ from pyspark.sql import types as T
 from indicata.schemas import CONTROL_RECORD
 
 
+class SchemaMismatch(ValueError):
+    """A DataFrame lacks columns that the target contract requires."""
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Reorder by name, drop extra columns, up-cast; a missing column raises."""
+    """Reorder by name, drop extra columns, cast; a missing column raises.
+
+    ``DataFrame.to`` alone would fill a missing nullable column with NULL,
+    which would hide an upstream drift, so missing names are checked first.
+    """
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise SchemaMismatch(f"missing columns: {missing}")
     return df.to(schema)
 
 

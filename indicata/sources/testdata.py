@@ -68,21 +68,22 @@ def _plant(raw: F.Column, code: F.Column, codes) -> F.Column:
 
 
 def to_bronze(obs: DataFrame, kind: str, revise: bool = True) -> DataFrame:
-    """Observations ``(serie, data, raw)`` -> bronze with planted defects and a revision batch."""
-    coded = obs.withColumn("_h", _hash_code())
-    first = coded.select(
-        "serie", "data",
-        _plant(F.col("raw"), F.col("_h"), PLANTED[kind]).alias("valor"),
-        F.lit(FIRST_BATCH).cast("timestamp_ntz").alias("_ingested_at"),
-    )
-    if not revise:
-        return first.withColumn("_source", F.lit(SOURCE))
-    revision = coded.filter(F.col("_h").isin(*REVISED_CODES)).select(
-        "serie", "data",
-        (F.col("raw") * F.lit(REVISION_FACTOR)).alias("valor"),
-        F.lit(REVISION_BATCH).cast("timestamp_ntz").alias("_ingested_at"),
-    )
-    return first.unionByName(revision).withColumn("_source", F.lit(SOURCE))
+    """Observations ``(serie, data, raw)`` -> bronze with planted defects and a revision batch.
+
+    One pass: rows chosen for revision are emitted twice with ``explode``
+    (first batch, then revision), so the source is scanned and aggregated
+    once.
+    """
+    code = _hash_code()
+    revised = code.isin(*REVISED_CODES) if revise else F.lit(False)
+    batches = F.when(revised, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = obs.withColumn("_h", code).withColumn("_batch", F.explode(batches))
+    first = F.col("_batch") == 0
+    valor = F.when(first, _plant(F.col("raw"), F.col("_h"), PLANTED[kind])) \
+             .otherwise(F.col("raw") * F.lit(REVISION_FACTOR))
+    ingested = F.when(first, F.lit(FIRST_BATCH)).otherwise(F.lit(REVISION_BATCH)).cast("timestamp_ntz")
+    return rows.select("serie", "data", valor.alias("valor"), ingested.alias("_ingested_at"),
+                       F.lit(SOURCE).alias("_source"))
 
 
 def rate_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
