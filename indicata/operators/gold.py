@@ -2,9 +2,15 @@
 
 The policy-rate months drive the table (left side): a month present only
 in another series is absent, a month missing in another series gives
-NULLs. Every monthly view is grouped by the join key, so the joins are
-co-partitioned (no extra exchange) and AQE turns them into broadcast
-joins when the measured size of a side is small.
+NULLs.
+
+Join strategy: a side keyed by the month alone has at most one row per
+calendar month of the data (a few hundred rows for decades of history), a
+bound that does not grow with the input volume, so it is broadcast
+explicitly. Sides keyed by (series, month) grow with the number of
+series; they are grouped by exactly the join keys, so the join is
+co-partitioned (no extra exchange) and AQE may still switch it to a
+broadcast from the measured size at run time.
 """
 
 from __future__ import annotations
@@ -19,10 +25,14 @@ from indicata.schemas import GOLD_COLUMNS
 
 
 def left_join_all(base: DataFrame, others: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Chain of left equi-joins, each on its own key list."""
+    """Chain of left equi-joins, each on its own key list.
+
+    A side joined on ``mes_ref`` only is month-bounded and broadcast.
+    """
     out = base
     for other, on in others:
-        out = out.join(other, list(on), "left")
+        side = F.broadcast(other) if list(on) == ["mes_ref"] else other
+        out = out.join(side, list(on), "left")
     return out
 
 

@@ -370,7 +370,7 @@ def bronze_append_audit(spark, sf):
     path = scratch_path(spark, "bronze")
     rows = _rate_bronze_rows(spark, sf)
     for batch in (td.FIRST_BATCH, td.REVISION_BATCH):
-        at = F.lit(batch).cast("timestamp_ntz")
+        at = C.ntz_literal(batch)
         store.append_bronze(rows.filter(F.col("_ingested_at") == at), path, BRONZE_T)
     return store.read_table(spark, path, BRONZE_T)
 

@@ -9,9 +9,12 @@ for the date, ``try_cast`` for the number (an unparseable number such as
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indicata.functions.calendar import ntz_literal
 from indicata.schemas import PAYLOAD, PAYLOAD_ITEM
 
 # Fixed values (must equal the reference for right results).
@@ -66,13 +69,26 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
                      F.col("valor").alias("valor_texto"))
 
 
-def lookback(df: DataFrame, date_col: str, days: int, end: Column | None = None) -> DataFrame:
-    """Rows whose date is within ``days`` before ``end`` (inclusive).
+def lookback(df: DataFrame, date_col: str, days: int, end: dt.date | None = None) -> DataFrame:
+    """Rows whose day is within ``days`` before ``end`` (inclusive).
 
-    ``end`` defaults to the newest date in ``df`` (a scalar subquery, so the
-    bound is computed by Spark, not on the driver).
+    ``end`` is the run date; when omitted it is the newest day in ``df``,
+    fetched once as a single scalar. The bounds are then literals compared
+    with the raw column, so Parquet row-group statistics (and partition
+    pruning on date-partitioned tables) skip data outside the window; a
+    scalar-subquery bound would only filter after reading.
     """
-    d = F.to_date(F.col(date_col))
+    c = F.col(date_col)
     if end is None:
-        end = df.select(F.max(d)).scalar()
-    return df.filter(d.between(F.date_sub(end, days), end))
+        end = df.select(F.max(F.to_date(c)).alias("end")).first()["end"]
+    if end is None:  # empty input
+        return df.limit(0)
+    start = dt.datetime.combine(end - dt.timedelta(days=days), dt.time())
+    stop = dt.datetime.combine(end + dt.timedelta(days=1), dt.time())
+    col_type = dict(df.dtypes)[date_col]
+    if col_type == "date":
+        return df.filter((c >= F.lit(start.date())) & (c < F.lit(stop.date())))
+    lo, hi = ntz_literal(start), ntz_literal(stop)
+    if col_type != "timestamp_ntz":
+        lo, hi = lo.cast(col_type), hi.cast(col_type)
+    return df.filter((c >= lo) & (c < hi))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from indicata.functions.calendar import ntz_literal
 from indicata.schemas import CONTROL_RECORD
 
 
@@ -36,7 +37,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def add_audit_columns(df: DataFrame, run_ts: dt.datetime, source: str, kind: str | None = None) -> DataFrame:
     """Ingestion time (a run parameter, so reruns repeat), source, kind and year."""
     cols = {
-        "_ingested_at": F.lit(run_ts).cast("timestamp_ntz"),
+        "_ingested_at": ntz_literal(run_ts),
         "_source": F.lit(source),
         "ano": F.year("data"),
     }

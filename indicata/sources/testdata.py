@@ -26,7 +26,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.functions.calendar import month_start
+from indicata.functions.calendar import month_start, ntz_literal
 
 # Fixed parameters of the analogs (shared with the SQL oracle).
 EPOCH = "1992-01-01"
@@ -81,7 +81,7 @@ def to_bronze(obs: DataFrame, kind: str, revise: bool = True) -> DataFrame:
     first = F.col("_batch") == 0
     valor = F.when(first, _plant(F.col("raw"), F.col("_h"), PLANTED[kind])) \
              .otherwise(F.col("raw") * F.lit(REVISION_FACTOR))
-    ingested = F.when(first, F.lit(FIRST_BATCH)).otherwise(F.lit(REVISION_BATCH)).cast("timestamp_ntz")
+    ingested = F.when(first, ntz_literal(FIRST_BATCH)).otherwise(ntz_literal(REVISION_BATCH))
     return rows.select("serie", "data", valor.alias("valor"), ingested.alias("_ingested_at"),
                        F.lit(SOURCE).alias("_source"))
 
@@ -123,7 +123,7 @@ def ratio_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plain_bronze(obs: DataFrame) -> DataFrame:
     return obs.withColumns({
-        "_ingested_at": F.lit(FIRST_BATCH).cast("timestamp_ntz"),
+        "_ingested_at": ntz_literal(FIRST_BATCH),
         "_source": F.lit(SOURCE),
     })
 
