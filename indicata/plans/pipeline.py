@@ -46,10 +46,13 @@ def ingest_kind(spark: SparkSession, landing: str, bronze_path: str, kind: str,
                 run_ts: dt.datetime, strict: bool = False) -> tuple[int, int]:
     """Parse and append one kind; returns (rows written, rows quarantined).
 
-    The counts come from ``Observation`` metrics collected by the write
-    itself, so the plan is evaluated once.
+    An empty batch is not written (status ``no_data``). The counts come from
+    ``Observation`` metrics collected by the write itself, so the plan is
+    evaluated once.
     """
     parsed = P.parse_observations(P.read_landed(spark, _p(landing, kind)), strict=strict)
+    if parsed.isEmpty():
+        return 0, 0
     obs = Observation(f"bronze_{kind}")
     counted = parsed.observe(obs, F.count(F.lit(1)).alias("rows"),
                              F.count_if(F.col("data").isNull()).alias("quarantined"))
@@ -60,11 +63,23 @@ def ingest_kind(spark: SparkSession, landing: str, bronze_path: str, kind: str,
     return int(m["rows"]) - int(m["quarantined"]), int(m["quarantined"])
 
 
-def build_silver(spark: SparkSession, bronze_path: str, silver_root: str) -> dict[str, int]:
-    """Rebuild silver for every kind from all of bronze (newest ingestion wins)."""
+def _isolated(fn, *args):
+    """Run one kind's step; a failure becomes a status instead of aborting the run."""
+    try:
+        return fn(*args), None
+    except Exception as exc:  # noqa: BLE001 - reported in the run log
+        return None, f"{type(exc).__name__}: {str(exc)[:300]}"
+
+
+def build_silver(spark: SparkSession, bronze_path: str, silver_root: str,
+                 kinds=KINDS) -> dict[str, tuple[int | None, str | None]]:
+    """Rebuild silver for each kind from all of bronze (newest ingestion wins).
+
+    Returns ``{kind: (rows, error)}``; one failing kind does not stop the others.
+    """
     bronze = store.read_table(spark, bronze_path, BRONZE)
-    written = {}
-    for kind in KINDS:
+
+    def one(kind):
         src = bronze.filter(F.col("kind") == kind)  # partition pruning on `kind`
         silver = S.SILVER_BUILDERS[kind](src)
         obs = Observation(f"silver_{kind}")
@@ -74,8 +89,9 @@ def build_silver(spark: SparkSession, bronze_path: str, silver_root: str) -> dic
             store.overwrite_all(silver, path, SILVER_SCHEMAS[kind])
         else:
             store.overwrite_partitions(silver, path, SILVER_SCHEMAS[kind])
-        written[kind] = int(obs.get["rows"])
-    return written
+        return int(obs.get["rows"])
+
+    return {kind: _isolated(one, kind) for kind in kinds}
 
 
 def build_gold(spark: SparkSession, silver_root: str) -> DataFrame:
@@ -103,30 +119,51 @@ def series_status(bronze: DataFrame, silver_by_kind: dict[str, DataFrame]) -> Da
 
 
 def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetime,
-                 check_month: str | None = None) -> dict[str, DataFrame]:
-    """Full run; returns ``status``, ``quality`` and ``gold`` DataFrames (read back)."""
+                 check_month: str | None = None, strict: bool = False) -> dict[str, DataFrame]:
+    """Full run; returns ``status``, ``quality``, ``report``, ``gold`` and ``control``.
+
+    Each kind is ingested and rebuilt on its own: a failure (for example a
+    bad date in strict mode) is written to the run log with status
+    ``error`` and the other kinds go on. Gold is rebuilt only when every
+    kind has a silver table.
+    """
     bronze_path, silver_root, gold_path = _p(out, "bronze"), _p(out, "silver"), _p(out, "gold")
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    ingested = {k: ingest_kind(spark, landing, bronze_path, k, run_ts) for k in KINDS
-                if os.path.isdir(_p(landing, k)) or "://" in landing}
+    present = [k for k in KINDS if "://" in landing or os.path.isdir(_p(landing, k))]
+    ingested = {k: _isolated(ingest_kind, spark, landing, bronze_path, k, run_ts, strict) for k in present}
     silver_rows = build_silver(spark, bronze_path, silver_root)
-    store.overwrite_all(build_gold(spark, silver_root), gold_path)
-    gold = store.read_table(spark, gold_path)
+    gold_ready = all(err is None for _, err in silver_rows.values())
+    if gold_ready:
+        store.overwrite_all(build_gold(spark, silver_root), gold_path)
     finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
-    records = [(f"bronze.{k}", "ingest", SOURCE, "bronze", rows, started, finished,
-                "success" if rows else "no_data", {"quarantined": str(bad)})
-               for k, (rows, bad) in ingested.items()]
-    records += [(f"silver.{k}", "silver", "bronze", "silver", rows, started, finished,
-                 "success" if rows else "no_data", {}) for k, rows in silver_rows.items()]
+    def status(rows, err):
+        return "error" if err else ("success" if rows else "no_data")
+
+    records = []
+    for k, (res, err) in ingested.items():
+        rows, bad = res if res else (0, 0)
+        meta = {"quarantined": str(bad)} | ({"error": err} if err else {})
+        records.append((f"bronze.{k}", "ingest", SOURCE, "bronze", rows, started, finished,
+                        status(rows, err), meta))
+    for k, (rows, err) in silver_rows.items():
+        records.append((f"silver.{k}", "silver", "bronze", "silver", rows or 0, started, finished,
+                        status(rows, err), {"error": err} if err else {}))
     runs = spark.createDataFrame(records, "table_name string, process_name string, source string, "
                                  "layer string, row_count long, started_at timestamp_ntz, "
                                  "finished_at timestamp_ntz, status string, metadata map<string,string>")
     store.append_control(store.control_records(runs), _p(out, "control"))
 
     bronze = store.read_table(spark, bronze_path, BRONZE)
-    silver = {k: store.read_table(spark, _p(silver_root, k), SILVER_SCHEMAS[k]) for k in KINDS}
-    quality = Q.not_null(gold, ("mes_ref", "selic_media_mes", "selic_anualizada_mes"))
-    report = Q.gold_report(gold, check_month, GOLD_REQUIRED) if check_month else None
-    return {"status": series_status(bronze, silver), "quality": quality, "report": report,
-            "gold": gold, "control": store.read_control(spark, _p(out, "control"))}
+    ok_kinds = [k for k, (_, err) in silver_rows.items() if err is None]
+    silver = {k: store.read_table(spark, _p(silver_root, k), SILVER_SCHEMAS[k]) for k in ok_kinds}
+    result = {"status": series_status(bronze, silver) if silver else None,
+              "control": store.read_control(spark, _p(out, "control")),
+              "gold": None, "quality": None, "report": None}
+    if gold_ready:
+        gold = store.read_table(spark, gold_path)
+        result["gold"] = gold
+        result["quality"] = Q.not_null(gold, ("mes_ref", "selic_media_mes", "selic_anualizada_mes"))
+        if check_month:
+            result["report"] = Q.gold_report(gold, check_month, GOLD_REQUIRED)
+    return result

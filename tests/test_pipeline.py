@@ -66,3 +66,21 @@ def test_streaming_ingest_processes_each_file_once(spark, tmp_path):
     q.awaitTermination(120)
     assert store.read_table(spark, bronze, BRONZE).count() == 4
     assert spark.read.json(quarantine).count() == 1
+
+
+def test_failures_are_isolated_and_empty_batches_are_no_data(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing)
+    bad = landing / "fx" / "dollar" / "b2.json"
+    bad.write_text(json.dumps([{"data": "31/02/2025", "valor": "6.0"}]))
+    res = run_pipeline(spark, str(landing), str(out), dt.datetime(2025, 3, 1), strict=True)
+    log = {r.table_name: r.status for r in res["control"].collect()}
+    assert log["bronze.fx"] == "error"
+    assert log["bronze.rate"] == "success" and log["bronze.inflation"] == "success"
+    # a second run where one kind only has an empty batch
+    landing2 = tmp_path / "landing2"
+    (landing2 / "rate" / "selic").mkdir(parents=True)
+    (landing2 / "rate" / "selic" / "empty.json").write_text("[]")
+    res2 = run_pipeline(spark, str(landing2), str(out), dt.datetime(2025, 3, 2))
+    runs = res2["control"].filter(F.col("process_name") == "ingest").collect()
+    assert any(r.table_name == "bronze.rate" and r.status == "no_data" for r in runs)
