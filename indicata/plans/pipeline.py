@@ -72,9 +72,12 @@ def _isolated(fn, *args):
 
 
 def build_silver(spark: SparkSession, bronze_path: str, silver_root: str,
-                 kinds=KINDS) -> dict[str, tuple[int | None, str | None]]:
+                 kinds=KINDS, rebuild: bool = False) -> dict[str, tuple[int | None, str | None]]:
     """Rebuild silver for each kind from all of bronze (newest ingestion wins).
 
+    By default only the (year, month) partitions present in the new result
+    are replaced; ``rebuild=True`` replaces the whole table, which also
+    clears partitions whose rows have all disappeared.
     Returns ``{kind: (rows, error)}``; one failing kind does not stop the others.
     """
     bronze = store.read_table(spark, bronze_path, BRONZE)
@@ -87,6 +90,8 @@ def build_silver(spark: SparkSession, bronze_path: str, silver_root: str,
         path = _p(silver_root, kind)
         if kind == "plain":
             store.overwrite_all(silver, path, SILVER_SCHEMAS[kind])
+        elif rebuild:
+            store.overwrite_all(silver, path, SILVER_SCHEMAS[kind], partition_by=("ano", "mes"))
         else:
             store.overwrite_partitions(silver, path, SILVER_SCHEMAS[kind])
         return int(obs.get["rows"])
@@ -119,7 +124,8 @@ def series_status(bronze: DataFrame, silver_by_kind: dict[str, DataFrame]) -> Da
 
 
 def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetime,
-                 check_month: str | None = None, strict: bool = False) -> dict[str, DataFrame]:
+                 check_month: str | None = None, strict: bool = False,
+                 rebuild: bool = False) -> dict[str, DataFrame]:
     """Full run; returns ``status``, ``quality``, ``report``, ``gold`` and ``control``.
 
     Each kind is ingested and rebuilt on its own: a failure (for example a
@@ -131,7 +137,7 @@ def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetim
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     present = [k for k in KINDS if "://" in landing or os.path.isdir(_p(landing, k))]
     ingested = {k: _isolated(ingest_kind, spark, landing, bronze_path, k, run_ts, strict) for k in present}
-    silver_rows = build_silver(spark, bronze_path, silver_root)
+    silver_rows = build_silver(spark, bronze_path, silver_root, rebuild=rebuild)
     gold_ready = all(err is None for _, err in silver_rows.values())
     if gold_ready:
         store.overwrite_all(build_gold(spark, silver_root), gold_path)

@@ -69,7 +69,8 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
                      F.col("valor").alias("valor_texto"))
 
 
-def lookback(df: DataFrame, date_col: str, days: int, end: dt.date | None = None) -> DataFrame:
+def lookback(df: DataFrame, date_col: str, days: int, end: dt.date | None = None,
+             year_col: str | None = "ano") -> DataFrame:
     """Rows whose day is within ``days`` before ``end`` (inclusive).
 
     ``end`` is the run date; when omitted it is the newest day in ``df``,
@@ -87,8 +88,13 @@ def lookback(df: DataFrame, date_col: str, days: int, end: dt.date | None = None
     stop = dt.datetime.combine(end + dt.timedelta(days=1), dt.time())
     col_type = dict(df.dtypes)[date_col]
     if col_type == "date":
-        return df.filter((c >= F.lit(start.date())) & (c < F.lit(stop.date())))
-    lo, hi = ntz_literal(start), ntz_literal(stop)
-    if col_type != "timestamp_ntz":
-        lo, hi = lo.cast(col_type), hi.cast(col_type)
-    return df.filter((c >= lo) & (c < hi))
+        cond = (c >= F.lit(start.date())) & (c < F.lit(stop.date()))
+    else:
+        lo, hi = ntz_literal(start), ntz_literal(stop)
+        if col_type != "timestamp_ntz":
+            lo, hi = lo.cast(col_type), hi.cast(col_type)
+        cond = (c >= lo) & (c < hi)
+    if year_col and year_col in df.columns:
+        # tables partitioned by year: the implied bounds prune directories
+        cond = cond & F.col(year_col).between(start.year, end.year)
+    return df.filter(cond)

@@ -99,3 +99,15 @@ def test_control_record_duration_and_roundtrip(spark, tmp_path):
     r = back.first()
     assert r.duration_seconds == 90.25 and r.metadata == {"k": "v"}
     assert r.started_at == dt.datetime(2024, 1, 1, 0, 0, 0, 250000)
+
+
+def test_lookback_adds_year_bounds_for_partition_pruning(spark, tmp_path):
+    path = str(tmp_path / "by_year")
+    df = spark.createDataFrame([(D(2020, 5, 1), 2020), (D(2024, 12, 31), 2024), (D(2025, 1, 1), 2025)],
+                               "data date, ano int")
+    df.write.partitionBy("ano").parquet(path)
+    back = spark.read.parquet(path)
+    out = P.lookback(back, "data", 365)
+    assert sorted(r.data for r in out.collect()) == [D(2024, 12, 31), D(2025, 1, 1)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano" in plan

@@ -84,3 +84,20 @@ def test_failures_are_isolated_and_empty_batches_are_no_data(spark, tmp_path):
     res2 = run_pipeline(spark, str(landing2), str(out), dt.datetime(2025, 3, 2))
     runs = res2["control"].filter(F.col("process_name") == "ingest").collect()
     assert any(r.table_name == "bronze.rate" and r.status == "no_data" for r in runs)
+
+
+def test_full_rebuild_clears_vanished_partitions(spark, tmp_path):
+    from indicata.plans.pipeline import build_silver
+    from indicata.schemas import SILVER_RATE
+    out = tmp_path / "out"
+    landing = tmp_path / "landing"
+    land(landing, {"rate": FIXTURE["rate"]})
+    run_pipeline(spark, str(landing), str(out), dt.datetime(2025, 3, 1))
+    # February's only value is revised to an invalid one: silver has no February row
+    landing2 = tmp_path / "landing2"
+    land(landing2, {"rate": ("selic", [("2025-02-03", -1.0)])})
+    run_pipeline(spark, str(landing2), str(out), dt.datetime(2025, 3, 2))
+    silver = lambda: store.read_table(spark, str(out / "silver" / "rate"), SILVER_RATE)
+    assert silver().filter(F.col("mes") == 2).count() == 1  # dynamic overwrite keeps it
+    build_silver(spark, str(out / "bronze"), str(out / "silver"), kinds=("rate",), rebuild=True)
+    assert silver().filter(F.col("mes") == 2).count() == 0
