@@ -20,6 +20,11 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Window stages are compute-heavy for their shuffle size (a few MB of
+    # observations fan out into many indicator columns); a smaller floor for
+    # coalesced partitions keeps such stages parallel. Large stages are sized
+    # by the advisory partition size and are unaffected.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "static",
