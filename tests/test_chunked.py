@@ -36,3 +36,25 @@ def test_row_numbers_are_dense_and_ordered(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
     rn = global_row_number(df, ("k",), partitions=7)
     assert rn.filter(F.col("_rn") != F.col("k")).count() == 0
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(n=st.integers(1, 120), chunk=st.integers(4, 40), halo_frac=st.floats(0.0, 0.9),
+       parts=st.integers(1, 6), series=st.integers(1, 3))
+def test_chunked_property(spark, n, chunk, halo_frac, parts, series):
+    halo = min(chunk - 1, int(chunk * halo_frac))
+    rows = [(i % series, i, float((i * 37) % 11)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k int, t int, value double")
+
+    def comp(w):
+        v = F.col("value")
+        return {"chg": W.change(v, w), "avg": W.moving_avg(v, w, halo + 1), "mn": W.moving_min(v, w, halo + 1)}
+
+    got = chunked_window(df, ("t",), comp, halo=halo, chunk_rows=chunk, keys=("k",), partitions=parts)
+    ref = df.withColumns(comp(Window.partitionBy("k").orderBy("t")))
+    assert got.count() == n
+    assert got.exceptAll(ref.select(*got.columns)).count() == 0

@@ -101,3 +101,16 @@ def test_full_rebuild_clears_vanished_partitions(spark, tmp_path):
     assert silver().filter(F.col("mes") == 2).count() == 1  # dynamic overwrite keeps it
     build_silver(spark, str(out / "bronze"), str(out / "silver"), kinds=("rate",), rebuild=True)
     assert silver().filter(F.col("mes") == 2).count() == 0
+
+
+def test_identical_rerun_leaves_silver_and_gold_unchanged(spark, tmp_path):
+    from indicata.schemas import SILVER_FX
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing)
+    first = run_pipeline(spark, str(landing), str(out), dt.datetime(2025, 3, 1))["gold"].collect()
+    fx1 = store.read_table(spark, str(out / "silver" / "fx"), SILVER_FX).collect()
+    second = run_pipeline(spark, str(landing), str(out), dt.datetime(2025, 3, 2))["gold"].collect()
+    fx2 = store.read_table(spark, str(out / "silver" / "fx"), SILVER_FX).collect()
+    assert sorted(first) == sorted(second)
+    assert sorted(fx1) == sorted(fx2)
+    assert store.read_table(spark, str(out / "bronze"), BRONZE).count() == 2 * 12  # both batches kept
