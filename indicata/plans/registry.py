@@ -11,29 +11,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from indicata.functions import calendar as C
 from indicata.functions.formatting import format_reference
-from indicata.functions.labels import RATE_LEVEL_BANDS, fx_trend, inflation_pressure, rate_level, scaled_bands
-from indicata.functions.numeric import annualize
+from indicata.functions.labels import (RATE_LEVEL_BANDS, fx_trend, inflation_pressure, rate_level,
+                                       scaled_bands)
+from indicata.functions.numeric import annualize, round_exact
 from indicata.operators import dashboard as D
 from indicata.operators import gold as G
 from indicata.operators import metrics as MT
 from indicata.operators import monthly as M
 from indicata.operators import profiles as PR
-from indicata.operators import windows as W
-from indicata.operators.dedup import latest_per_key
-from indicata.functions.numeric import round_exact
 from indicata.operators import quality as Q
+from indicata.operators import windows as W
 from indicata.operators.chunked import chunked_window
+from indicata.operators.dedup import latest_per_key
 from indicata.plans import pipeline as PL
-from indicata.schemas import (BRONZE, GOLD_COLUMNS, SILVER_INFLATION, SILVER_PLAIN,
-                              with_key_type)
+from indicata.plans import silver as S
+from indicata.schemas import BRONZE, GOLD_COLUMNS, SILVER_INFLATION, SILVER_PLAIN, with_key_type
 from indicata.session import scratch_path
 from indicata.sources import payload as PAY
 from indicata.sources import store
-from pyspark.sql import types as T
-from indicata.plans import silver as S
 from indicata.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
