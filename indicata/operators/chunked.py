@@ -21,8 +21,9 @@ Steps, all DataFrame operations:
    (``explode``), once as halo of the next chunk;
 5. window partitioned by (keys, chunk), then halo copies are removed.
 
-The order key must be unique (add a tie-break column), and ``halo`` must be
-smaller than ``chunk_rows``.
+The order key must be unique (add a tie-break column); ``halo`` must be at
+least the deepest look-back of the window functions (1 for ``lag``, 29 for
+a 30-row frame) and smaller than ``chunk_rows``.
 """
 
 from __future__ import annotations

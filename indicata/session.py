@@ -51,15 +51,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value
     always wins. Local runs and tests get a fresh folder under the system
-    temp directory.
+    temp directory. Works with a classic session (SparkContext) and with a
+    Spark Connect session (conf only).
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="indicata-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

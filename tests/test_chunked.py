@@ -46,7 +46,8 @@ from hypothesis import strategies as st
 @given(n=st.integers(1, 120), chunk=st.integers(4, 40), halo_frac=st.floats(0.0, 0.9),
        parts=st.integers(1, 6), series=st.integers(1, 3))
 def test_chunked_property(spark, n, chunk, halo_frac, parts, series):
-    halo = min(chunk - 1, int(chunk * halo_frac))
+    # contract: halo >= the deepest look-back of the window functions (lag needs 1)
+    halo = max(1, min(chunk - 1, int(chunk * halo_frac)))
     rows = [(i % series, i, float((i * 37) % 11)) for i in range(n)]
     df = spark.createDataFrame(rows, "k int, t int, value double")
 
