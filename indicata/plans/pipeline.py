@@ -23,7 +23,8 @@ from indicata.operators import gold as G
 from indicata.operators import monthly as M
 from indicata.operators import quality as Q
 from indicata.plans import silver as S
-from indicata.schemas import BRONZE, SILVER_FX, SILVER_INFLATION, SILVER_PLAIN, SILVER_RATE
+from indicata.schemas import BRONZE_SEQ as BRONZE
+from indicata.schemas import SILVER_FX, SILVER_INFLATION, SILVER_PLAIN, SILVER_RATE
 from indicata.sources import payload as P
 from indicata.sources import store
 
@@ -56,7 +57,9 @@ def ingest_kind(spark: SparkSession, landing: str, bronze_path: str, kind: str,
     obs = Observation(f"bronze_{kind}")
     counted = parsed.observe(obs, F.count(F.lit(1)).alias("rows"),
                              F.count_if(F.col("data").isNull()).alias("quarantined"))
-    good = counted.filter(F.col("data").isNotNull())
+    # position in the batch, fixed when the batch is written (file splits are
+    # deterministic, so a re-run task assigns the same numbers)
+    good = counted.withColumn("_seq", F.monotonically_increasing_id()).filter(F.col("data").isNotNull())
     bronze = store.add_audit_columns(good, run_ts, SOURCE, kind)
     store.append_bronze(bronze, bronze_path, BRONZE)
     m = obs.get
@@ -134,9 +137,13 @@ def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetim
     kind has a silver table.
     """
     bronze_path, silver_root, gold_path = _p(out, "bronze"), _p(out, "silver"), _p(out, "gold")
+    if "://" not in landing and not os.path.isdir(landing):
+        raise FileNotFoundError(f"landing path does not exist: {landing}")
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     present = [k for k in KINDS if "://" in landing or os.path.isdir(_p(landing, k))]
     ingested = {k: _isolated(ingest_kind, spark, landing, bronze_path, k, run_ts, strict) for k in present}
+    # a kind with nothing landed this run is recorded as "no data"
+    ingested.update({k: ((0, 0), None) for k in KINDS if k not in present})
     silver_rows = build_silver(spark, bronze_path, silver_root, rebuild=rebuild)
     gold_ready = all(err is None for _, err in silver_rows.values())
     if gold_ready:

@@ -45,6 +45,10 @@ _CAL = [
     T.StructField("trimestre", T.IntegerType()),
 ]
 
+# Bronze as written by the pipeline: plus ``_seq``, the row's position in its
+# batch, so duplicates of one date inside one batch have a fixed winner.
+BRONZE_SEQ = T.StructType(BRONZE.fields + [T.StructField("_seq", T.LongType())])
+
 SILVER_RATE = T.StructType(_SILVER_BASE + [
     T.StructField("variacao_pp", T.DoubleType()),
     T.StructField("taxa_anualizada", T.DoubleType()),

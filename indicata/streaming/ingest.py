@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from indicata.schemas import BRONZE, PAYLOAD_ITEM
+from indicata.schemas import BRONZE_SEQ, PAYLOAD_ITEM
 from indicata.sources import payload as P
 from indicata.sources import store
 
@@ -40,8 +40,8 @@ def start_ingest(spark: SparkSession, landing_kind_dir: str, kind: str, bronze_p
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        good, bad = P.split_quarantine(batch)
-        store.append_bronze(store.add_audit_columns(good, run_ts, source, kind), bronze_path, BRONZE)
+        good, bad = P.split_quarantine(batch.withColumn("_seq", F.monotonically_increasing_id()))
+        store.append_bronze(store.add_audit_columns(good, run_ts, source, kind), bronze_path, BRONZE_SEQ)
         bad.withColumn("_batch", F.lit(batch_id)).write.mode("append").json(quarantine_path)
 
     w = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from indicata.plans.pipeline import run_pipeline
-from indicata.schemas import BRONZE
+from indicata.schemas import BRONZE_SEQ as BRONZE
 from indicata.sources import store
 from indicata.streaming.ingest import start_ingest
 from tests.e2e_fixture import FIXTURE, GOLD
@@ -114,3 +114,16 @@ def test_identical_rerun_leaves_silver_and_gold_unchanged(spark, tmp_path):
     assert sorted(first) == sorted(second)
     assert sorted(fx1) == sorted(fx2)
     assert store.read_table(spark, str(out / "bronze"), BRONZE).count() == 2 * 12  # both batches kept
+
+
+def test_duplicate_date_in_one_batch_has_a_fixed_winner(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    dup = dict(FIXTURE)
+    dup["rate"] = ("selic", [("2025-01-02", 0.0400), ("2025-01-02", 0.0450), ("2025-01-03", 0.0410),
+                             ("2025-02-03", 0.0420)])
+    land(landing, dup)
+    res = run_pipeline(spark, str(landing), str(out), dt.datetime(2025, 3, 1))
+    jan = res["gold"].filter(F.col("mes_ref") == F.lit("2025-01-01").cast("date")).first()
+    assert jan.selic_max_mes == pytest.approx(0.045)  # the later row of the batch wins
+    with pytest.raises(FileNotFoundError):
+        run_pipeline(spark, str(tmp_path / "missing"), str(out), dt.datetime(2025, 3, 1))
