@@ -44,14 +44,19 @@ def _p(base: str, *parts: str) -> str:
 
 
 def ingest_kind(spark: SparkSession, landing: str, bronze_path: str, kind: str,
-                run_ts: dt.datetime, strict: bool = False) -> tuple[int, int]:
+                run_ts: dt.datetime, strict: bool = False, days: int | None = None) -> tuple[int, int]:
     """Parse and append one kind; returns (rows written, rows quarantined).
 
-    An empty batch is not written (status ``no_data``). The counts come from
-    ``Observation`` metrics collected by the write itself, so the plan is
-    evaluated once.
+    ``days`` keeps only observations of the last ``days`` days before the
+    run date. An empty batch is not written (status ``no_data``). The
+    counts come from ``Observation`` metrics collected by the write itself,
+    so the plan is evaluated once.
     """
     parsed = P.parse_observations(P.read_landed(spark, _p(landing, kind)), strict=strict)
+    if days is not None:
+        undated = F.col("data").isNull()  # kept so that they are counted as quarantined
+        window = P.lookback(parsed.filter(~undated), "data", days, end=run_ts.date())
+        parsed = window.unionByName(parsed.filter(undated))
     if parsed.isEmpty():
         return 0, 0
     obs = Observation(f"bronze_{kind}")
@@ -128,7 +133,7 @@ def series_status(bronze: DataFrame, silver_by_kind: dict[str, DataFrame]) -> Da
 
 def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetime,
                  check_month: str | None = None, strict: bool = False,
-                 rebuild: bool = False) -> dict[str, DataFrame]:
+                 rebuild: bool = False, days: int | None = None) -> dict[str, DataFrame]:
     """Full run; returns ``status``, ``quality``, ``report``, ``gold`` and ``control``.
 
     Each kind is ingested and rebuilt on its own: a failure (for example a
@@ -141,7 +146,8 @@ def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetim
         raise FileNotFoundError(f"landing path does not exist: {landing}")
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     present = [k for k in KINDS if "://" in landing or os.path.isdir(_p(landing, k))]
-    ingested = {k: _isolated(ingest_kind, spark, landing, bronze_path, k, run_ts, strict) for k in present}
+    ingested = {k: _isolated(ingest_kind, spark, landing, bronze_path, k, run_ts, strict, days)
+                for k in present}
     # a kind with nothing landed this run is recorded as "no data"
     ingested.update({k: ((0, 0), None) for k in KINDS if k not in present})
     silver_rows = build_silver(spark, bronze_path, silver_root, rebuild=rebuild)

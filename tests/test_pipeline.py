@@ -127,3 +127,17 @@ def test_duplicate_date_in_one_batch_has_a_fixed_winner(spark, tmp_path):
     assert jan.selic_max_mes == pytest.approx(0.045)  # the later row of the batch wins
     with pytest.raises(FileNotFoundError):
         run_pipeline(spark, str(tmp_path / "missing"), str(out), dt.datetime(2025, 3, 1))
+
+
+def test_cli_steps_and_lookback_days(spark, tmp_path, capsys):
+    from indicata import cli
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing)
+    assert cli.main(["ingest", "--landing", str(landing), "--out", str(out), "--kind", "rate",
+                     "--days", "36500"]) == 0
+    assert cli.main(["ingest", "--landing", str(landing), "--out", str(out), "--kind", "fx",
+                     "--days", "1"]) == 0  # everything older than yesterday is left out
+    printed = capsys.readouterr().out
+    assert "bronze.rate: 3 rows" in printed and "bronze.fx: 0 rows" in printed
+    assert cli.main(["silver", "--out", str(out), "--kind", "rate"]) == 0
+    assert "silver.rate: 3 rows" in capsys.readouterr().out
