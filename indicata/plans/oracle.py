@@ -347,6 +347,7 @@ FROM orders""",
     "gold_left_join_two": f"""WITH {RATE_SILVER}, {INFLATION_SILVER}, {_monthly_rate()}, {_monthly_inflation()}
 SELECT s.*, i.ipca_acumulado_mes, i.ipca_12m FROM rate_m s LEFT JOIN infl_m i ON s.mes_ref = i.mes_ref""",
     "gold_point_lookup": f"WITH {GOLD} SELECT * FROM gold WHERE mes_ref = DATE '1996-01-01'",
+    "gold_table_lookup": f"WITH {GOLD} SELECT * FROM gold WHERE mes_ref = DATE '1996-01-01'",
     "metric_valid_rows": f"WITH {GOLD_BY_SERIES}, {_long('serie')} "
                          f"SELECT serie, mes_ref, metric, valor FROM long WHERE {_PRESENT}",
     "latest_metric": f"""WITH {GOLD_BY_SERIES}, {_long('serie')}

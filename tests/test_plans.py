@@ -49,3 +49,8 @@ def test_chunked_window_has_no_global_window(spark):
     windows = [line for line in plan.split("\n") if "Window [" in line]
     # the only unpartitioned window is the prefix sum over per-partition counts
     assert any("_chunk" in w for w in windows)
+
+
+def test_table_lookup_pushes_the_month(spark):
+    plan = plan_of(spark, "gold_table_lookup")
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(mes_ref", plan)
