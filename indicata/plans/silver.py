@@ -23,8 +23,6 @@ from indicata.functions.numeric import annualize, is_valid_number
 from indicata.operators import windows as W
 from indicata.operators.dedup import latest_per_key
 
-AUDIT_COLUMNS = ("_ingested_at", "_source", "_serie", "_seq", "kind")
-
 RATE_COLUMNS = ("data", "valor", "variacao_pp", "taxa_anualizada", "media_movel_30d",
                 "volatilidade_30d", "acumulado_ano", "nivel_taxa", "ano", "mes", "trimestre",
                 "dia_semana")
@@ -44,8 +42,7 @@ def deduplicate(bronze: DataFrame, keys: Sequence[str] = ("serie",),
 
 
 def _prepare(bronze: DataFrame, keys: Sequence[str], dedup: bool, tie_break: Sequence[str]) -> DataFrame:
-    df = deduplicate(bronze, keys, tie_break) if dedup else bronze
-    return df
+    return deduplicate(bronze, keys, tie_break) if dedup else bronze
 
 
 def valid_rate(df: DataFrame, upper_bound: float = 100.0) -> DataFrame:
