@@ -26,14 +26,12 @@ from indicata.plans import silver as S
 from indicata.schemas import BRONZE_SEQ as BRONZE
 from indicata.schemas import SILVER_FX, SILVER_INFLATION, SILVER_PLAIN, SILVER_RATE
 from indicata.sources import payload as P
+from indicata.sources.catalog import series_for_role
 from indicata.sources import store
 
 KINDS = ("rate", "fx", "inflation", "plain")
 SILVER_SCHEMAS = {"rate": SILVER_RATE, "fx": SILVER_FX, "inflation": SILVER_INFLATION,
                   "plain": SILVER_PLAIN}
-# Which plain series feeds which gold column (reference names).
-LEVEL_SERIE = "pib"
-RATIO_SERIE = "inadimplencia"
 GOLD_REQUIRED = ("selic_media_mes", "ipca_acumulado_mes", "dollar_medio_mes", "pib_valor_mes",
                  "inadimplencia_media_mes", "juros_real_estimado")
 SOURCE = "landing"
@@ -113,12 +111,14 @@ def build_gold(spark: SparkSession, silver_root: str) -> DataFrame:
     plain = read("plain")
     return G.gold_wide(
         M.monthly_rate(read("rate")), M.monthly_inflation(read("inflation")), M.monthly_fx(read("fx")),
-        M.monthly_level(plain.filter(F.col("serie") == LEVEL_SERIE)),
-        M.monthly_ratio(plain.filter(F.col("serie") == RATIO_SERIE)))
+        M.monthly_level(plain.filter(F.col("serie").isin(*series_for_role("level")))),
+        M.monthly_ratio(plain.filter(F.col("serie").isin(*series_for_role("ratio")))))
 
 
 def series_status(bronze: DataFrame, silver_by_kind: dict[str, DataFrame]) -> DataFrame:
-    """Per (kind, serie): bronze and silver rows and a status (ok / no_data)."""
+    """Per (kind, serie): bronze and silver rows and a status (ok / no_data).
+
+    Join ``indicata.sources.catalog.with_catalog`` to add source codes."""
     parts = []
     b = bronze.groupBy("kind", "serie").agg(F.count(F.lit(1)).alias("bronze_linhas"))
     for kind, silver in silver_by_kind.items():

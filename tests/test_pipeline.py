@@ -141,3 +141,11 @@ def test_cli_steps_and_lookback_days(spark, tmp_path, capsys):
     assert "bronze.rate: 3 rows" in printed and "bronze.fx: 0 rows" in printed
     assert cli.main(["silver", "--out", str(out), "--kind", "rate"]) == 0
     assert "silver.rate: 3 rows" in capsys.readouterr().out
+
+
+def test_catalog_roles_and_codes(spark):
+    from indicata.sources.catalog import series_catalog, series_for_role, with_catalog
+    assert series_for_role("level") == ["pib"] and series_for_role("ratio") == ["inadimplencia"]
+    df = spark.createDataFrame([("selic", 1), ("unknown", 2)], "serie string, n int")
+    got = {r.serie: (r.code, r.kind) for r in with_catalog(df, series_catalog(spark)).collect()}
+    assert got == {"selic": (11, "rate"), "unknown": (None, None)}
