@@ -431,9 +431,11 @@ FROM (SELECT {keys} FROM {rel} WHERE {present} GROUP BY {keys} HAVING count(*) >
 
 
 def _status(kind: str, bronze: str, silver: str) -> str:
-    return f"""SELECT '{kind}' AS kind, b.serie, b.bronze_linhas, COALESCE(s.silver_linhas, 0) AS silver_linhas,
+    return f"""SELECT '{kind}' AS kind, b.serie, b.bronze_linhas, b.bronze_nulos,
+  COALESCE(s.silver_linhas, 0) AS silver_linhas,
   CASE WHEN COALESCE(s.silver_linhas, 0) > 0 THEN 'ok' ELSE 'no_data' END AS status
-FROM (SELECT serie, count(*) AS bronze_linhas FROM {bronze} GROUP BY serie) b
+FROM (SELECT serie, count(*) AS bronze_linhas, count_if(valor IS NULL) AS bronze_nulos
+      FROM {bronze} GROUP BY serie) b
 LEFT JOIN (SELECT serie, count(*) AS silver_linhas FROM {silver} GROUP BY serie) s ON b.serie = s.serie"""
 
 

@@ -116,18 +116,31 @@ def build_gold(spark: SparkSession, silver_root: str) -> DataFrame:
 
 
 def series_status(bronze: DataFrame, silver_by_kind: dict[str, DataFrame]) -> DataFrame:
-    """Per (kind, serie): bronze and silver rows and a status (ok / no_data).
-
-    Join ``indicata.sources.catalog.with_catalog`` to add source codes."""
-    parts = []
-    b = bronze.groupBy("kind", "serie").agg(F.count(F.lit(1)).alias("bronze_linhas"))
+    """Per (kind, serie): bronze rows, bronze NULL values, silver rows and a
+    status (ok / no_data).
+
+    Built as one union of per-layer counts folded with conditional sums, not
+    a join: a join would add an inferred NOT NULL filter to one side, making
+    the two scans of the same bronze different, so Spark could not reuse
+    one shuffle for both. Join ``indicata.sources.catalog.with_catalog`` to
+    add source codes.
+    """
+    kinds = list(silver_by_kind)
+    b = (bronze.filter(F.col("kind").isin(*kinds))
+               .select("kind", "serie", F.lit(1).alias("_b"),
+                       F.col("valor").isNull().cast("int").alias("_bn"), F.lit(0).alias("_s")))
+    parts = [b]
     for kind, silver in silver_by_kind.items():
-        s = silver.groupBy("serie").agg(F.count(F.lit(1)).alias("silver_linhas"))
-        parts.append(b.filter(F.col("kind") == kind).join(s, "serie", "left"))
-    out = parts[0]
+        parts.append(silver.select(F.lit(kind).alias("kind"), "serie", F.lit(0).alias("_b"),
+                                   F.lit(0).alias("_bn"), F.lit(1).alias("_s")))
+    u = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    out = out.withColumn("silver_linhas", F.coalesce("silver_linhas", F.lit(0)))
+        u = u.unionByName(p)
+    out = u.groupBy("kind", "serie").agg(
+        F.sum("_b").cast("long").alias("bronze_linhas"),
+        F.sum("_bn").cast("long").alias("bronze_nulos"),
+        F.sum("_s").cast("long").alias("silver_linhas"))
+    out = out.filter(F.col("bronze_linhas") > 0)
     return out.withColumn("status", F.when(F.col("silver_linhas") > 0, "ok").otherwise("no_data"))
 
 
