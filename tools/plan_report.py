@@ -33,7 +33,7 @@ def summarize(plan: str) -> dict:
         "group_limits_partial": count(r"WindowGroupLimit.*Partial"),
         "windows": count(r"^\s*[:+\- ]*Window \["),
         "top_k": count(r"TakeOrderedAndProject"),
-        "scans": len(schemas),
+        "scans": plan.count("FileScan "),
         "max_columns_read": max((s.count(":") for s in schemas), default=0),
         "pushed": sorted({p for p in pushed if p and p != "IsNotNull"}),
     }
