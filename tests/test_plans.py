@@ -9,9 +9,13 @@ Q = entry.queries()
 
 
 def plan_of(spark, key):
+    """The final (AQE) plan of the query's own execution."""
     df = Q[key](spark, SF_SMALL)
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    text = plan.toString()
+    assert "isFinalPlan=true" in text or "AdaptiveSparkPlan" not in text
+    return text.split("== Initial Plan ==")[0]  # the text also lists the initial plan
 
 
 def test_lookback_range_reaches_parquet(spark):
