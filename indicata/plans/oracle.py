@@ -392,6 +392,18 @@ FROM infl_silver GROUP BY serie""",
 SELECT serie, min(data) AS data_inicio, max(data) AS data_fim, count(*) AS total_linhas,
   {R("avg(valor)", 2)} AS dolar_medio, {R("max(valor)", 2)} AS dolar_max
 FROM fx_silver GROUP BY serie""",
+    "profile_rate_global": f"""WITH {RATE_SILVER}
+SELECT min(data) AS data_inicio, max(data) AS data_fim, count(*) AS total_linhas,
+  {R("avg(valor)", 2)} AS selic_media, count(DISTINCT nivel_taxa) AS niveis_distintos
+FROM rate_silver""",
+    "profile_inflation_global": f"""WITH {INFLATION_SILVER}
+SELECT min(data) AS data_inicio, max(data) AS data_fim, count(*) AS total_linhas,
+  {R("avg(acumulado_12m)", 2)} AS inflacao_12m_media
+FROM infl_silver""",
+    "profile_fx_global": f"""WITH {FX_SILVER}
+SELECT min(data) AS data_inicio, max(data) AS data_fim, count(*) AS total_linhas,
+  {R("avg(valor)", 2)} AS dolar_medio, {R("max(valor)", 2)} AS dolar_max
+FROM fx_silver""",
     "profile_bronze": f"""WITH {RATE_BRONZE}
 SELECT serie, count(*) AS total_registros, min(data) AS primeira_data, max(data) AS ultima_data,
   count_if(valor IS NULL) AS valores_nulos

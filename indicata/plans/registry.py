@@ -296,6 +296,19 @@ def profile_fx(spark, sf):
     return PR.profile_fx(silver_fx(spark, sf), ("serie",))
 
 
+def profile_rate_global(spark, sf):
+    """One-row profile over every series, as the original manual check."""
+    return PR.profile_rate(silver_rate(spark, sf))
+
+
+def profile_inflation_global(spark, sf):
+    return PR.profile_inflation(silver_inflation(spark, sf))
+
+
+def profile_fx_global(spark, sf):
+    return PR.profile_fx(silver_fx(spark, sf))
+
+
 def profile_bronze(spark, sf):
     return PR.profile_bronze(td.rate_bronze(spark, sf), ("serie",))
 
@@ -554,6 +567,9 @@ QUERIES: dict[str, Query] = {
     "profile_inflation": profile_inflation,
     "profile_fx": profile_fx,
     "profile_bronze": profile_bronze,
+    "profile_rate_global": profile_rate_global,
+    "profile_inflation_global": profile_inflation_global,
+    "profile_fx_global": profile_fx_global,
     "label_distribution_rate": label_distribution_rate,
     "label_distribution_inflation": label_distribution_inflation,
     "label_distribution_fx": label_distribution_fx,
