@@ -149,3 +149,17 @@ def test_catalog_roles_and_codes(spark):
     df = spark.createDataFrame([("selic", 1), ("unknown", 2)], "serie string, n int")
     got = {r.serie: (r.code, r.kind) for r in with_catalog(df, series_catalog(spark)).collect()}
     assert got == {"selic": (11, "rate"), "unknown": (None, None)}
+
+
+def test_cli_run_as_a_module(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing)
+    repo = Path(__file__).resolve().parents[1]
+    proc = subprocess.run([sys.executable, "-m", "indicata.cli", "run", "--landing", str(landing),
+                           "--out", str(out), "--check-month", "2025-01-01"],
+                          cwd=repo, capture_output=True, text=True, timeout=600)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    assert (out / "gold").is_dir() and (out / "control").is_dir()
