@@ -29,14 +29,24 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Beyond this magnitude (and for NaN / infinity) the value is returned as is:
+# decimal(38,10) holds 28 integer digits, and a cast that does not fit would
+# fail under ANSI mode (e.g. a 30 % daily rate compounded over 252 days).
+_EXACT_LIMIT = 1e27
+
+
 def round_exact(c: Column | str, digits: int) -> Column:
     """Round half-up through a decimal, then back to double.
 
     Rounding a double directly can flip on values within one ulp of a tie
     depending on the engine; going through ``decimal(38,10)`` first gives the
     same answer as the SQL oracle's ``round(x::decimal(38,10), n)::double``.
+    Values that are not finite or not below ``1e27`` in magnitude are
+    returned unrounded instead of failing the cast.
     """
-    return F.round(_col(c).cast("decimal(38,10)"), digits).cast("double")
+    x = _col(c)
+    exact = F.round(x.cast("decimal(38,10)"), digits).cast("double")
+    return F.when(F.abs(x) < F.lit(_EXACT_LIMIT), exact).otherwise(x)
 
 
 def stable(c: Column | str) -> Column:

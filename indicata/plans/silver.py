@@ -130,9 +130,11 @@ def silver_plain(bronze: DataFrame, keys: Sequence[str] = ("serie",), *, dedup:
     """Monthly series without indicators: keys, date and value only.
 
     No value filter: a NULL value survives to silver and is ignored later
-    by ``avg`` (as in the reference)."""
+    by ``avg`` (as in the reference). A NaN is stored as NULL, so it is
+    treated like any other missing value instead of turning averages into NaN."""
     df = _prepare(bronze, keys, dedup, tie_break)
-    return df.select(*keys, "data", "valor")
+    v = F.col("valor")
+    return df.select(*keys, "data", F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v).alias("valor"))
 
 
 SILVER_BUILDERS = {

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,3 +60,9 @@ def test_formatting(spark):
     assert (out[0].r, out[0].t, out[0].d) == ("05/2026", "R$ 4.20 mi", "-0.30 p.p.")
     assert (out[1].r, out[1].t, out[1].d) == ("Sem referência", "Sem dados", None)
     assert (out[2].t, out[2].d) == ("R$ 0.13 mi", "+0.00 p.p.")
+
+
+def test_round_exact_passes_through_huge_and_non_finite(spark):
+    assert one(spark, annualize, 30.0) > 1e28  # (1.3)^252, no cast failure under ANSI
+    assert math.isnan(one(spark, lambda c: round_exact(c, 4), float("nan")))
+    assert one(spark, lambda c: round_exact(c, 4), float("inf")) == float("inf")
