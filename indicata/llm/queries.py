@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from indicata.llm import chunk_recipes, mixing, url_filters
+from indicata.llm import chunk_recipes, mixing, pii, url_filters
 from indicata.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(pii.detect(table(spark, sf_dir, "documents")))
+
+
 def op4_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.dedup(table(spark, sf_dir, "documents"))
 
@@ -24,7 +28,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mix, op4_chunk_recipes, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op2_source_mix, op3_pii_spans, op4_chunk_recipes, op10_url_filters)}
 
 _OP4 = r"""
 WITH norm AS (
