@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from indicata.llm import chunk_recipes, mixing, pii, url_filters
+from indicata.llm import chunk_recipes, mixing, packing, pii, url_filters
 from indicata.llm.common import table
 
 
@@ -21,6 +22,11 @@ def op4_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [*(url_filters.site_rule(*r) for r in url_filters.SITE_RULES),
              *(url_filters.word_rule(w) for w in url_filters.BLOCK_WORDS)]
@@ -28,7 +34,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mix, op3_pii_spans, op4_chunk_recipes, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op2_source_mix, op3_pii_spans, op4_chunk_recipes,
+                                  op6_pack_sequences, op10_url_filters)}
 
 _OP4 = r"""
 WITH norm AS (
