@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from indicata.llm import chunk_recipes, mixing, packing, pii, url_filters
+from indicata.llm import ann_graph, chunk_recipes, importance, mixing, packing, pii, url_filters
 from indicata.llm.common import table
 
 
@@ -22,11 +22,20 @@ def op4_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scores = importance.weigh(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.select("doc_id", F.round("log_weight", 6).alias("log_weight"), "kept")
+
+
 def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"),
                         public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_graph.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [*(url_filters.site_rule(*r) for r in url_filters.SITE_RULES),
              *(url_filters.word_rule(w) for w in url_filters.BLOCK_WORDS)]
@@ -35,7 +44,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op2_source_mix, op3_pii_spans, op4_chunk_recipes,
-                                  op6_pack_sequences, op10_url_filters)}
+                                  op5_importance_resampling, op6_pack_sequences,
+                                  op8_graph_neighbours, op10_url_filters)}
 
 _OP4 = r"""
 WITH norm AS (
