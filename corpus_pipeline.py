@@ -1,4 +1,52 @@
-"""The corpus pipeline: stages over documents, each written and read again."""
+"""The corpus pipeline: stages over documents, each written and read again.
 
-STAGES = []
+Every stage works on all rows that its predecessor kept and returns the
+columns of documents; the last returns the packed pieces.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from indicata.llm import chunk_recipes, importance, jaccard_join, mixing, packing
+from indicata.llm.common import materialize, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose importance for the target text is high enough."""
+    return importance.resample(docs, table(spark, sf_dir, "labels"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    return chunk_recipes.keep_first(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return jaccard_join.keep_first(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of bounded length."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality", quality), ("exact", exact), ("near", near), ("mix", mix), ("pack", pack)]
+
+#: No SQL: models, sampling and packing have none; tested by brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each one's rows written to the shared folder."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"corpus-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -134,7 +134,8 @@ def _level(last: bool):
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text",
         weights=WEIGHTS, share: float = SHARE, most: float = MOST, group: int = GROUP) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, copies, taken.
+    """One row per document: id, source, text_hash, size, source_size, target,
+    copies, taken.
 
     ``copies`` is how often the document is taken; ``taken`` = copies * size.
     """
@@ -143,7 +144,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
         F.coalesce(F.col(id_col), F.lit("0").cast(id_type)).alias("_id"),
         F.col(id_col).isNull().alias("_no_id"), F.col(source).alias("source"),
         F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("_key"),
-        word_count(F.col(text)).alias("size")), "mix-sizes")
+        F.xxhash64(text).alias("text_hash"), word_count(F.col(text)).alias("size")), "mix-sizes")
     sums = targets(units.groupBy("source", "_key").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("n")), weights, share, most)
     sums = materialize(sums.withColumn("ratio", F.when(
@@ -173,8 +174,30 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
             "groups", F.ceil(F.col("groups") * 2 / group).cast("long"))
         groups, level = -(-groups * 2 // group), level + 1
     copies = (F.col("sure") + F.round("p")).cast("long")
-    return done.select(F.when(~F.col("_no_id"), F.col("_id")).alias(id_col), "source", "size", "source_size", "target",
+    return done.select(F.when(~F.col("_no_id"), F.col("_id")).alias(id_col), "source", "text_hash", "size", "source_size", "target",
                        copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text",
+          **how) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken.
+
+    Rows of the same id, source and text share out what they are taken
+    together, the first of them one more where it does not come out even.
+    """
+    plan = mix(docs, id_col, source, text, **how)
+    total = materialize(plan.groupBy(
+        F.col(id_col).alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"))
+        .agg(F.sum("copies").cast("long").alias("_copies"), F.count("*").alias("_n"))
+        .filter("_copies > 0"), "mix-copies")
+    rows = docs.withColumn("_of", F.xxhash64(text)).join(
+        total, F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source"))
+        & (F.col("_of") == F.col("_hash")))
+    turn = F.row_number().over(Window.partitionBy("_id", "_source", "_hash").orderBy(F.lit(0)))
+    times = F.floor(F.col("_copies") / F.col("_n")) + (F.col("_turn") <= F.col("_copies") % F.col("_n")).cast("long")
+    return rows.withColumn("_turn", turn).withColumn("_times", times).filter("_times > 0") \
+        .withColumn("_each", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))) \
+        .select(*docs.columns)
+
+
 ship(__name__)

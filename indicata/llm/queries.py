@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from indicata.llm import ann_graph, chunk_recipes, importance, mixing, packing, pii, url_filters
+from indicata.llm import ann_graph, chunk_recipes, importance, jaccard_join, mixing, packing, pii, url_filters
 from indicata.llm.common import table
 
 
@@ -36,6 +37,10 @@ def op8_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_graph.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op9_jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [*(url_filters.site_rule(*r) for r in url_filters.SITE_RULES),
              *(url_filters.word_rule(w) for w in url_filters.BLOCK_WORDS)]
@@ -45,7 +50,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op2_source_mix, op3_pii_spans, op4_chunk_recipes,
                                   op5_importance_resampling, op6_pack_sequences,
-                                  op8_graph_neighbours, op10_url_filters)}
+                                  op8_graph_neighbours, op9_jaccard_classes, op10_url_filters)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
 _OP4 = r"""
 WITH norm AS (
