@@ -6,7 +6,8 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from indicata.llm import ann_graph, chunk_recipes, importance, jaccard_join, mixing, packing, pii, url_filters
+from indicata.llm import (ann_graph, chunk_recipes, importance, jaccard_join, mixing, packing, pii,
+                          suffix_dedup, url_filters)
 from indicata.llm.common import table
 
 
@@ -33,6 +34,10 @@ def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.clean(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_graph.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -50,7 +55,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op2_source_mix, op3_pii_spans, op4_chunk_recipes,
                                   op5_importance_resampling, op6_pack_sequences,
-                                  op8_graph_neighbours, op9_jaccard_classes, op10_url_filters)}
+                                  op7_suffix_dedup, op8_graph_neighbours, op9_jaccard_classes,
+                                  op10_url_filters)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 _OP4 = r"""
