@@ -20,7 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from indicata.llm.common import WS, attach, materialize
+from indicata.llm.common import attach, materialize
 
 #: A chunk ends after one of these word ends (set by content, about one in
 #: forty characters of prose) once it has LEAST characters, or else at MOST.
@@ -30,13 +30,16 @@ LEAST, MOST = 1000, 4000
 
 def normalised(text: Column) -> Column:
     """The text with every run of space, tab .. return as one space."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), f"[\\t-\\r][{WS}]*| [{WS}]+", " ")
+    one = F.coalesce(text, F.lit(""))
+    for ch in "\t\n\x0b\x0c\r":
+        one = F.replace(one, F.lit(ch), F.lit(" "))
+    return F.when(F.contains(one, F.lit("  ")), F.regexp_replace(one, "  +", " ")).otherwise(one)
 
 
 def chunks_of(norm: Column, least: int = LEAST, most: int = MOST) -> Column:
     """Chunks of a normalised text, in order; they concatenate to it."""
     return F.regexp_extract_all(
-        norm, F.lit(f"[\\s\\S]{{{least},{most}}}?(?:{BOUNDARY})|[\\s\\S]{{1,{most}}}"), 0)
+        norm, F.lit(f"(?s).{{{least}}}.{{0,{most - least}}}?(?:{BOUNDARY})|.{{1,{most}}}"), 0)
 
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
@@ -92,10 +95,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text an earlier id has already."""
-    gone = dedup(docs, id_col, text).filter("not kept").select(
-        F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    sha = F.sha2(normalised(F.col(text)).cast("binary"), 256)
-    return docs.withColumn("_of", sha).join(
-        gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_sha")),
-        "left_anti").drop("_of")
+    """One row of ``docs`` for each text: the smallest id's (any of its rows,
+    where it is repeated; of a text with null ids only, one of those)."""
+    judged = dedup(docs, id_col, text)
+    gone = materialize(judged.filter("not kept").select(
+        F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct(), "recipes-gone")
+    again = judged.filter("kept").groupBy(id_col, "text_sha256").count().filter("count > 1")
+    left = docs.withColumn("_of", F.sha2(normalised(F.col(text)).cast("binary"), 256)).join(
+        gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_sha")), "left_anti")
+    if not again.isEmpty():
+        left = left.dropDuplicates([id_col, "_of"])
+    return left.drop("_of")
