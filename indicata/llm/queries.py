@@ -6,11 +6,15 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from indicata.llm import (ann_graph, chunk_recipes, importance, jaccard_join, mixing, packing, pii,
-                          suffix_dedup, url_filters)
+from indicata.llm import (ann_graph, chaining, chunk_recipes, importance, jaccard_join, mixing, packing,
+                          pii, suffix_dedup, url_filters)
 from indicata.llm.common import table
 
 
+def op1_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents"))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -53,7 +57,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mix, op3_pii_spans, op4_chunk_recipes,
+QUERIES = {f.__name__: f for f in (op1_chained_passages, op2_source_mix, op3_pii_spans, op4_chunk_recipes,
                                   op5_importance_resampling, op6_pack_sequences,
                                   op7_suffix_dedup, op8_graph_neighbours, op9_jaccard_classes,
                                   op10_url_filters)}
