@@ -18,10 +18,13 @@ columns other than id and text are not read.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -30,63 +33,57 @@ from indicata.llm.common import materialize, ship
 LENGTH, GRID = 2048, 4
 #: Id that ends every document.
 END = 1
-#: Pieces of text whose ids a worker remembers, twice at most.
-MEMO = 200_000
+#: Fixed value: how a byte-level vocabulary splits text before its merges.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters whose class is the same in every version of the tables; texts
+#: with others go to the tokenizer's own library.
+SETTLED = re.compile("[\\x00-\u024f\u0370-\u03ff\u0400-\u04ff\u2000-\u206f\u20a0-\u20bf\u4e00-\u9fff]*")
+
+
+def byte_ranks(vocabulary: str) -> dict[bytes, int] | None:
+    """Tokens as bytes with their ids, if merges apply in the order of ids.
+
+    That holds for byte-level vocabularies whose pre-tokenizer is the plain
+    split above; for any other file there are no ranks.
+    """
+    with open(vocabulary, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, split = spec["model"], spec["pre_tokenizer"] or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) \
+        and not split.get("add_prefix_space") and not spec["normalizer"] and model["type"] == "BPE"
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model.get("merges", [])]
+    if not plain or any(model["vocab"].get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)):
+        return None
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in shown}
+    byte |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in byte.values())}
+    return {bytes(byte[ch] for ch in t): i for t, i in model["vocab"].items() if i < 256 + len(pairs)}
 
 
 class Encoder:
-    """Ids of a text as little-endian unsigned 32-bit integers.
+    """Ids of a text, as the vocabulary's tokenizer gives them, as
+    little-endian unsigned 32-bit integers; special strings are plain text.
 
-    A token never spans the border before a space that a non-space follows.
-    So texts are split there, and ids of the pieces seen before are looked
-    up; new pieces of a batch are encoded in one call. Texts with other runs
-    of whitespace are encoded whole.
+    Byte-level vocabularies are merged by rank, which gives the same ids in a
+    fraction of the time; everything else goes to the tokenizer itself.
     """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(vocabulary)
         self.model.encode_special_tokens = True
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.end = np.array([END], "<u4").tobytes()
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, pieces: set[str]) -> None:
-        """Ids of each piece with a space before it."""
-        if len(self.new) > MEMO:
-            self.old, self.new = self.new, {}
-        unknown = []
-        for p in pieces:
-            if p not in self.new:
-                if (ids := self.old.get(p)) is None:
-                    unknown.append(p)
-                else:
-                    self.new[p] = ids
-        for i in range(0, len(unknown), 20_000):
-            part = unknown[i:i + 20_000]
-            got = self.model.encode(" " + " ".join(part), add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            start = np.fromiter((o[0] for o in got.offsets), np.int64, len(ids))
-            edge = np.cumsum([0] + [len(p) + 1 for p in part])
-            cut = np.searchsorted(start, edge)
-            for j, p in enumerate(part):
-                self.new[p] = ids[cut[j]:cut[j + 1]].tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").split(" ") for t in texts]
-        plain = [all(p and not p[0].isspace() for p in s[1:]) for s in split]
-        for a in range(0, len(split), 500):
-            self.learn({p for s, ok in zip(split[a:a + 500], plain[a:a + 500], strict=True) if ok
-                        for p in s[1:]})
-            get = self.new.__getitem__
-            for j in range(a, min(a + 500, len(split))):
-                s = split[j]
-                split[j] = b"".join([self.whole(s[0]) if s[0] else b"", *map(get, s[1:]), self.end]) \
-                    if plain[j] else self.whole(texts[j]) + self.end
-        return split
+        ranks = byte_ranks(vocabulary)
+        self.fast = ranks and tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks,
+                                                special_tokens={})
+
+    def ids(self, text: str | None) -> bytes:
+        if not text:
+            out = []
+        elif self.fast and SETTLED.fullmatch(text):
+            out = self.fast.encode_ordinary(text)
+        else:
+            out = self.model.encode(text, add_special_tokens=False).ids
+        return np.array([*out, END], "<u4").tobytes()
 
 
 def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text",
@@ -98,7 +95,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str =
         part, encoder, seen = TaskContext.get().partitionId(), Encoder(vocabulary), {}
         for b in batches:
             rows = {k: [] for k in ("i", "start", "length", "crc", "total", "class", "rank")}
-            for i, ids in enumerate(encoder.encode(b.column(1).to_pylist())):
+            for i, ids in enumerate(map(encoder.ids, b.column(1).to_pylist())):
                 total, view = len(ids) // 4, memoryview(ids)
                 for start in range(0, total, length):
                     n = min(length, total - start)
