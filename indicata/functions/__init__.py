@@ -3,10 +3,11 @@
 from indicata.functions.calendar import month_start, with_calendar_parts
 from indicata.functions.formatting import format_delta, format_metric, format_reference, two_decimals
 from indicata.functions.labels import fx_trend, inflation_pressure, rate_level
-from indicata.functions.numeric import annualize, fisher_real_rate, is_valid_number, round_exact, stable
+from indicata.functions.numeric import (annualize, comparable, fisher_real_rate, is_valid_number,
+                                        rounded, unrounded)
 
 __all__ = [
-    "annualize", "fisher_real_rate", "format_delta", "format_metric", "format_reference",
+    "annualize", "comparable", "fisher_real_rate", "format_delta", "format_metric", "format_reference",
     "fx_trend", "inflation_pressure", "is_valid_number", "month_start", "rate_level",
-    "round_exact", "stable", "two_decimals", "with_calendar_parts",
+    "rounded", "two_decimals", "unrounded", "with_calendar_parts",
 ]

@@ -1,8 +1,8 @@
 """Text formatting of references, metrics and deltas, as Spark columns.
 
-Numbers are formatted through ``decimal(18,2)`` rather than
-``format_string('%.2f')``: the decimal path rounds half-up from the exact
-decimal value, accepts NULL, and gives the same text as SQL engines.
+Numbers are rounded half-up from their shortest decimal form (0.125 is shown
+as 0.13 and 2.675 as 2.68), as a reader expects and SQL engines do; a formatter
+that rounds the binary value would show 0.12 and 2.67.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from indicata.functions.numeric import round_exact
+from indicata.functions.numeric import rounded
 
 # Fixed values (must equal the reference for right results).
 NO_REFERENCE = "Sem referência"
@@ -23,8 +23,10 @@ def _col(c: Column | str) -> Column:
 
 
 def two_decimals(c: Column | str) -> Column:
-    """Text of a number with exactly two decimals, NULL stays NULL."""
-    return round_exact(c, 2).cast("decimal(18,2)").cast("string")
+    """Text of a number with exactly two decimals, NULL stays NULL; a number
+    beyond 36 digits (or not finite) is shown as it is."""
+    x = rounded(c, 2)
+    return F.coalesce(x.try_cast("decimal(38,2)").cast("string"), x.cast("string"))
 
 
 def format_reference(c: Column | str) -> Column:

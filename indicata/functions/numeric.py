@@ -1,11 +1,21 @@
-"""Numeric column builders: exact rounding, annualization, Fisher rate.
+"""Numeric column builders: rounding, annualization, Fisher rate.
 
 Every builder takes and returns a ``Column`` so it stays inside whole-stage
 codegen; nothing here runs Python per row.
+
+Rounding is Spark's ``round`` and aggregates that the reference leaves
+unrounded stay unrounded. Two engines that add in another order differ in the
+last bits, so a comparison of whole results needs one more step: inside
+``comparison_rounding()`` (used by the registered queries alone) the builders
+round through ``comparable`` instead.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,48 +27,51 @@ BUSINESS_DAYS_PER_YEAR = 252
 DIGITS_VALUE = 4
 DIGITS_FINE = 6
 
-# Digits kept for aggregates the reference leaves unrounded. The cast to
-# decimal(38,10) rounds once; rounding again to 8 digits absorbs exact ties
-# at the 11th digit (common with decimal inputs), which the two engines would
-# otherwise break differently. Enough to keep
-# the value, few enough that two engines summing in a different order agree.
-DIGITS_STABLE = 8
+# Digits compared of aggregates that are unrounded otherwise.
+DIGITS_COMPARED = 8
+
+_comparing: ContextVar[bool] = ContextVar("comparing", default=False)
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Beyond this magnitude (and for NaN / infinity) the value is returned as is:
-# decimal(38,10) holds 28 integer digits, and a cast that does not fit would
-# fail under ANSI mode (e.g. a 30 % daily rate compounded over 252 days).
-_EXACT_LIMIT = 1e27
+@contextmanager
+def comparison_rounding() -> Iterator[None]:
+    """Columns built inside round as an SQL engine can repeat (see ``comparable``)."""
+    token = _comparing.set(True)
+    try:
+        yield
+    finally:
+        _comparing.reset(token)
 
 
-def round_exact(c: Column | str, digits: int) -> Column:
-    """Round half-up through a decimal, then back to double.
+def comparable(c: Column | str, digits: int) -> Column:
+    """Round half-up through ``decimal(38,10)``, for comparisons only.
 
-    Rounding a double directly can flip on values within one ulp of a tie
-    depending on the engine; going through ``decimal(38,10)`` first gives the
-    same answer as the SQL oracle's ``round(x::decimal(38,10), n)::double``.
-    Values that are not finite or not below ``1e27`` in magnitude are
-    returned unrounded instead of failing the cast.
+    Values within a few bits of a tie then round alike in both engines; a
+    value that does not fit (or is not finite) stays as it is.
     """
     x = _col(c)
-    exact = F.round(x.cast("decimal(38,10)"), digits).cast("double")
-    return F.when(F.abs(x) < F.lit(_EXACT_LIMIT), exact).otherwise(x)
+    return F.coalesce(F.round(x.try_cast("decimal(38,10)"), digits).cast("double"), x)
+
+
+def rounded(c: Column | str, digits: int) -> Column:
+    """The value rounded to ``digits``."""
+    return comparable(c, digits) if _comparing.get() else F.round(_col(c), digits)
 
 
-def stable(c: Column | str) -> Column:
-    """Exact rounding to ``DIGITS_STABLE`` digits for unrounded aggregates."""
-    return round_exact(c, DIGITS_STABLE)
+def unrounded(c: Column | str) -> Column:
+    """An aggregate in full precision (cut to compared digits in a comparison)."""
+    return comparable(c, DIGITS_COMPARED) if _comparing.get() else _col(c)
 
 
 def annualize(rate: Column | str, periods: int = BUSINESS_DAYS_PER_YEAR,
               digits: int = DIGITS_FINE) -> Column:
     """Compound a per-period percentage rate: ``(1 + r/100)^periods - 1``."""
     r = _col(rate)
-    return round_exact(F.pow(F.lit(1.0) + r / F.lit(100.0), F.lit(float(periods))) - F.lit(1.0), digits)
+    return rounded(F.pow(F.lit(1.0) + r / F.lit(100.0), F.lit(float(periods))) - F.lit(1.0), digits)
 
 
 def fisher_real_rate(nominal_pct: Column | str, inflation_pct: Column | str,
@@ -71,7 +84,7 @@ def fisher_real_rate(nominal_pct: Column | str, inflation_pct: Column | str,
     a = _col(nominal_pct)
     b = _col(inflation_pct)
     ratio = F.try_divide(F.lit(1.0) + a / F.lit(100.0), F.lit(1.0) + b / F.lit(100.0))
-    return round_exact((ratio - F.lit(1.0)) * F.lit(100.0), digits)
+    return rounded((ratio - F.lit(1.0)) * F.lit(100.0), digits)
 
 
 def is_valid_number(c: Column | str) -> Column:

@@ -36,11 +36,24 @@ from pyspark.sql import functions as F
 _POSITION_BITS = 33  # monotonically_increasing_id = (partition id << 33) + position
 
 
+#: Bytes of input that one range partition holds.
+PARTITION_BYTES = 128 << 20
+
+
+def range_partitions(df: DataFrame) -> int:
+    """Range partitions by the size of the input, as the optimizer knows it;
+    at least the session's shuffle partitions. The checkpoint fixes the number,
+    so it cannot be left to run time."""
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(least, -(-known // PARTITION_BYTES)) if known < 1 << 60 else least
+
+
 def global_row_number(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
                       partitions: int | None = None) -> DataFrame:
     """Add ``_rn`` (0-based, per ``keys``) without a single-partition window."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or range_partitions(df)
     sort_cols = [*keys, *order]
     tagged = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
                 .withColumn("_mid", F.monotonically_increasing_id())
@@ -52,13 +65,17 @@ def global_row_number(df: DataFrame, order: Sequence[str], keys: Sequence[str] =
                                                F.min("_pos").alias("_first"))
     prior = (Window.partitionBy(*keys).orderBy("_pid")
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = stats.withColumn("_off", F.coalesce(F.sum("_n").over(prior), F.lit(0))).drop("_n")
+    offsets = stats.withColumn("_off", F.coalesce(F.sum("_n").over(prior), F.lit(0))).drop("_n") \
+        .select(F.col("_pid").alias("_o_pid"), *[F.col(k).alias(f"_o_{k}") for k in keys], "_first", "_off")
     # One row per (partition, series present in it). Without keys that is
     # one row per partition, a proven bound, so it is broadcast; with keys it
     # grows with the number of series and the join strategy is left to AQE.
-    out = tagged.join(F.broadcast(offsets) if not keys else offsets, ["_pid", *keys])
+    on = F.col("_pid") == F.col("_o_pid")
+    for k in keys:  # a NULL key is a series of its own
+        on = on & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+    out = tagged.join(F.broadcast(offsets) if not keys else offsets, on)
     return out.withColumn("_rn", F.col("_off") + F.col("_pos") - F.col("_first")).drop(
-        "_mid", "_pid", "_pos", "_off", "_first")
+        "_mid", "_pid", "_pos", "_off", "_first", "_o_pid", *[f"_o_{k}" for k in keys])
 
 
 def chunked_window(df: DataFrame, order: Sequence[str], compute: Callable[[WindowSpec], dict[str, Column]],

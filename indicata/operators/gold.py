@@ -7,10 +7,11 @@ NULLs.
 Join strategy: a side keyed by the month alone has at most one row per
 calendar month of the data (a few hundred rows for decades of history), a
 bound that does not grow with the input volume, so it is broadcast
-explicitly. Sides keyed by (series, month) grow with the number of
-series; they are grouped by exactly the join keys, so the join is
-co-partitioned (no extra exchange) and AQE may still switch it to a
-broadcast from the measured size at run time.
+explicitly. Sides keyed by (series, month) grow with the number of series:
+they are joined on shuffled keys, and a side whose windows are partitioned by
+the series alone is shuffled once more after its monthly aggregation (a few
+rows per series and month). AQE may still switch to a broadcast from the
+measured size at run time.
 """
 
 from __future__ import annotations
@@ -37,12 +38,13 @@ def left_join_all(base: DataFrame, others: Sequence[tuple[DataFrame, Sequence[st
 
 
 def gold_wide(rate_m: DataFrame, inflation_m: DataFrame, fx_m: DataFrame, level_m: DataFrame,
-              ratio_m: DataFrame, keys: Sequence[str] = (),
+              ratio_m: DataFrame | None = None, keys: Sequence[str] = (),
               plain_keys: Sequence[str] = ()) -> DataFrame:
     """Join the monthly views and add the Fisher real rate.
 
     ``keys`` are the series keys shared by rate / inflation / fx views;
-    ``plain_keys`` those of the level / ratio views (usually none).
+    ``plain_keys`` those of the level / ratio views (usually none). ``ratio_m``
+    None: ``level_m`` is one view with both (``monthly.monthly_plain``).
     """
     on = (*keys, "mes_ref")
     plain_on = (*plain_keys, "mes_ref")
@@ -50,7 +52,7 @@ def gold_wide(rate_m: DataFrame, inflation_m: DataFrame, fx_m: DataFrame, level_
         (inflation_m, on),
         (fx_m.drop("dollar_min_mes"), on),
         (level_m, plain_on),
-        (ratio_m, plain_on),
+        *([] if ratio_m is None else [(ratio_m, plain_on)]),
     ])
     joined = joined.withColumn(
         "juros_real_estimado", fisher_real_rate("selic_anualizada_mes", "ipca_12m"))

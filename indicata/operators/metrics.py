@@ -91,13 +91,15 @@ def newest_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
 
 def missing_by_column(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count of NULL values per column, only columns that have any.
+    """Count of missing values (NULL or NaN) per column, only columns that have any.
 
     One aggregation pass computes every count; the single result row is
     then unpivoted to ``(coluna, valores_ausentes)``.
     """
     cols = list(columns or df.columns)
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    floating = {name for name, kind in df.dtypes if kind in ("double", "float")}
+    counts = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(c) if c in floating else F.col(c).isNull())
+                      .alias(c) for c in cols])
     long = counts.unpivot([], cols, "coluna", "valores_ausentes")
     return long.filter(F.col("valores_ausentes") > 0)
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicata.functions.numeric import round_exact, stable
+from indicata.functions.numeric import rounded, unrounded
 
 
 def _base(df: DataFrame):
@@ -22,7 +22,7 @@ def _base(df: DataFrame):
 def profile_rate(silver: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return silver.groupBy(*keys).agg(
         *_base(silver),
-        round_exact(F.avg("valor"), 2).alias("selic_media"),
+        rounded(F.avg("valor"), 2).alias("selic_media"),
         F.count_distinct("nivel_taxa").alias("niveis_distintos"),
     )
 
@@ -30,15 +30,15 @@ def profile_rate(silver: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def profile_inflation(silver: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return silver.groupBy(*keys).agg(
         *_base(silver),
-        round_exact(F.avg("acumulado_12m"), 2).alias("inflacao_12m_media"),
+        rounded(F.avg("acumulado_12m"), 2).alias("inflacao_12m_media"),
     )
 
 
 def profile_fx(silver: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return silver.groupBy(*keys).agg(
         *_base(silver),
-        round_exact(F.avg("valor"), 2).alias("dolar_medio"),
-        round_exact(F.max("valor"), 2).alias("dolar_max"),
+        rounded(F.avg("valor"), 2).alias("dolar_medio"),
+        rounded(F.max("valor"), 2).alias("dolar_max"),
     )
 
 
@@ -57,7 +57,7 @@ def label_distribution(silver: DataFrame, label: str, count_name: str = "ocorren
     """Rows and mean value per label (sort by the mean at the edge)."""
     return silver.groupBy(label).agg(
         F.count(F.lit(1)).alias(count_name),
-        stable(F.avg("valor")).alias(mean_name),
+        unrounded(F.avg("valor")).alias(mean_name),
     )
 
 

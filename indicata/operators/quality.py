@@ -30,17 +30,23 @@ def unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
                        "duplicadas", (F.col("duplicadas") == 0).alias("aprovado"))
 
 
-def reconcile(counts: dict[str, tuple[DataFrame, DataFrame]], at_least: bool = False) -> DataFrame:
-    """``{check: (expected_df, actual_df)}`` -> expected and actual row counts.
+def reconcile(counts: dict[str, tuple[DataFrame | int, DataFrame | int]], at_least: bool = False) -> DataFrame:
+    """``{check: (expected, actual)}`` -> expected and actual row counts.
 
-    Both counts are aggregations; they are unioned and pivoted with
-    conditional sums, so no join of the two is needed.
+    A side is a table or a count that is known already (from the write).
+    Tables are counted by aggregations; all counts are unioned and pivoted
+    with conditional sums, so no join of the two is needed. Passes when the
+    counts are equal, with ``at_least`` also when there are more.
     """
     parts = []
-    for check, (expected, actual) in counts.items():
-        for side, df in (("esperado", expected), ("obtido", actual)):
-            parts.append(df.agg(F.count(F.lit(1)).alias("linhas"))
-                           .select(F.lit(check).alias("checagem"), F.lit(side).alias("lado"), "linhas"))
+    for check, sides in counts.items():
+        for side, table in zip(("esperado", "obtido"), sides, strict=True):
+            if isinstance(table, int):
+                known = next(t for pair in counts.values() for t in pair if not isinstance(t, int))
+                rows = known.sparkSession.range(1).select(F.lit(table).cast("long").alias("linhas"))
+            else:
+                rows = table.agg(F.count(F.lit(1)).alias("linhas"))
+            parts.append(rows.select(F.lit(check).alias("checagem"), F.lit(side).alias("lado"), "linhas"))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)

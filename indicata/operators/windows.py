@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from indicata.functions.numeric import DIGITS_VALUE, round_exact
+from indicata.functions.numeric import DIGITS_VALUE, rounded
 
 
 def series_window(keys: Sequence[str], order: Sequence[str] = ("data",)) -> WindowSpec:
@@ -41,19 +41,19 @@ def _c(c: Column | str) -> Column:
 def change(value: Column | str, w: WindowSpec, digits: int = DIGITS_VALUE) -> Column:
     """Difference to the previous observation; NULL on the first one."""
     v = _c(value)
-    return round_exact(v - F.lag(v, 1).over(w), digits)
+    return rounded(v - F.lag(v, 1).over(w), digits)
 
 
 def pct_change(value: Column | str, w: WindowSpec, digits: int = DIGITS_VALUE) -> Column:
     """Percent change to the previous observation; NULL on the first one and when it was 0."""
     v = _c(value)
     prev = F.lag(v, 1).over(w)
-    return round_exact(F.try_divide(v - prev, prev) * F.lit(100.0), digits)
+    return rounded(F.try_divide(v - prev, prev) * F.lit(100.0), digits)
 
 
 def moving(fn, value: Column | str, w: WindowSpec, rows: int, digits: int = DIGITS_VALUE) -> Column:
     """``fn`` (avg, max, min, stddev, sum) over the trailing ``rows`` observations."""
-    return round_exact(fn(_c(value)).over(trailing(w, rows)), digits)
+    return rounded(fn(_c(value)).over(trailing(w, rows)), digits)
 
 
 def moving_avg(value, w, rows=30, digits=DIGITS_VALUE) -> Column:
@@ -80,4 +80,4 @@ def rolling_sum(value, w, rows=12, digits=DIGITS_VALUE) -> Column:
 def ytd(fn, value: Column | str, keys: Sequence[str], digits: int = DIGITS_VALUE,
         year_col: str = "ano") -> Column:
     """Running ``fn`` from January 1st; restarts every year (lag does not)."""
-    return round_exact(fn(_c(value)).over(year_to_date_window(keys, year_col)), digits)
+    return rounded(fn(_c(value)).over(year_to_date_window(keys, year_col)), digits)

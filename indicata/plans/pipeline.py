@@ -1,10 +1,11 @@
 """Bronze -> silver -> gold as one batch job over landed payload files.
 
-``run_pipeline`` is the data work of the reference's orchestration:
-ingest every landed series (one Spark job per kind, not per series),
-append bronze, rebuild silver partitions per kind, rebuild gold, run the
-gold checks and append one run record per (table, layer). It returns the
-per-series status table and the quality report as DataFrames.
+``run_pipeline`` is the data work of the reference's orchestration: ingest
+every landed series (one Spark job per kind, not per series), append bronze,
+put what is no observation into quarantine, rebuild silver partitions per
+kind, check and rebuild gold, and append one run record per series and
+layer. It returns the per-series status table, the quality report and the run
+log as DataFrames.
 
 Landing layout: ``<landing>/<kind>/<serie>/<batch>.json`` where kind is
 one of ``rate``, ``fx``, ``inflation``, ``plain``; the plain kind holds the
@@ -15,19 +16,23 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from indicata.functions.calendar import ntz_literal
 from indicata.operators import gold as G
 from indicata.operators import monthly as M
 from indicata.operators import quality as Q
 from indicata.plans import silver as S
 from indicata.schemas import BRONZE_SEQ as BRONZE
-from indicata.schemas import SILVER_FX, SILVER_INFLATION, SILVER_PLAIN, SILVER_RATE
+from indicata.schemas import QUARANTINE, SILVER_FX, SILVER_INFLATION, SILVER_PLAIN, SILVER_RATE
+from indicata.session import scratch_path
 from indicata.sources import payload as P
-from indicata.sources.catalog import series_for_role
 from indicata.sources import store
+from indicata.sources.catalog import series_for_role
 
 KINDS = ("rate", "fx", "inflation", "plain")
 SILVER_SCHEMAS = {"rate": SILVER_RATE, "fx": SILVER_FX, "inflation": SILVER_INFLATION,
@@ -35,65 +40,104 @@ SILVER_SCHEMAS = {"rate": SILVER_RATE, "fx": SILVER_FX, "inflation": SILVER_INFL
 GOLD_REQUIRED = ("selic_media_mes", "ipca_acumulado_mes", "dollar_medio_mes", "pib_valor_mes",
                  "inadimplencia_media_mes", "juros_real_estimado")
 SOURCE = "landing"
+RECORD = ("table_name string, process_name string, source string, layer string, row_count long, "
+          "started_at timestamp_ntz, finished_at timestamp_ntz, status string, metadata map<string,string>")
 
 
 def _p(base: str, *parts: str) -> str:
     return base.rstrip("/") + "/" + "/".join(parts) if "://" in base else os.path.join(base, *parts)
 
 
-def ingest_kind(spark: SparkSession, landing: str, bronze_path: str, kind: str,
-                run_ts: dt.datetime, strict: bool = False, days: int | None = None) -> tuple[int, int]:
-    """Parse and append one kind; returns (rows written, rows quarantined).
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
 
-    ``days`` keeps only observations of the last ``days`` days before the
-    run date. An empty batch is not written (status ``no_data``). The
-    counts come from ``Observation`` metrics collected by the write itself,
-    so the plan is evaluated once.
+def ingest_kind(spark: SparkSession, landing: str, out: str, kind: str, run_ts: dt.datetime,
+                strict: bool = False, days: int | None = None,
+                series: Sequence[str] | None = None) -> DataFrame:
+    """Parse one kind, append bronze and quarantine; per series
+    ``(serie, linhas, quarentena, status, erro)``.
+
+    The landed files are read and parsed once, into a staged table. A row that
+    is no observation goes to ``<out>/quarantine`` with its texts, file and
+    reason. ``strict`` stops a series that has such rows: none of its rows of
+    this run reach bronze and its status is ``error``; other series go on.
+    ``days`` keeps observations of the last ``days`` days before the run date.
     """
-    parsed = P.parse_observations(P.read_landed(spark, _p(landing, kind)), strict=strict)
+    parsed = P.parse_observations(P.read_landed(spark, _p(landing, kind)), strict=False)
+    if series is not None:
+        parsed = parsed.filter(F.col("serie").isin(*series))
     if days is not None:
-        undated = F.col("data").isNull()  # kept so that they are counted as quarantined
-        window = P.lookback(parsed.filter(~undated), "data", days, end=run_ts.date())
-        parsed = window.unionByName(parsed.filter(undated))
-    if parsed.isEmpty():
-        return 0, 0
-    obs = Observation(f"bronze_{kind}")
-    counted = parsed.observe(obs, F.count(F.lit(1)).alias("rows"),
-                             F.count_if(F.col("data").isNull()).alias("quarantined"))
-    # position in the batch, fixed when the batch is written (file splits are
-    # deterministic, so a re-run task assigns the same numbers)
-    good = counted.withColumn("_seq", F.monotonically_increasing_id()).filter(F.col("data").isNotNull())
+        first = (run_ts - dt.timedelta(days=days)).date()
+        inside = F.col("data").between(F.lit(first), F.lit(run_ts.date()))
+        parsed = parsed.filter(F.col("motivo").isNotNull() | inside)
+    staged_path = scratch_path(spark, f"landed-{kind}")
+    parsed.write.parquet(staged_path)
+    staged = spark.read.schema(parsed.schema).parquet(staged_path)
+
+    counts = staged.groupBy("serie").agg(
+        F.count_if(F.col("motivo").isNull()).alias("linhas"),
+        F.count_if(F.col("motivo") != P.EMPTY).alias("quarentena"),
+        F.min(F.when(F.col("motivo") != P.EMPTY, F.concat_ws(": ", "motivo", "arquivo", "data_texto")))
+        .alias("exemplo"))
+    failed = (F.col("quarentena") > 0) & F.lit(strict)
+    report = counts.select(
+        "serie", F.when(failed, F.lit(0)).otherwise(F.col("linhas")).cast("long").alias("linhas"),
+        "quarentena",
+        F.when(failed, "error").when(F.col("linhas") > 0, "success").otherwise("no_data").alias("status"),
+        F.when(failed, F.col("exemplo")).alias("erro"))
+
+    good, bad = P.split_quarantine(staged)
+    if strict:
+        stopped = report.filter("status = 'error'").select("serie")
+        good = good.join(stopped, "serie", "left_anti")
     bronze = store.add_audit_columns(good, run_ts, SOURCE, kind)
-    store.append_bronze(bronze, bronze_path, BRONZE)
-    m = obs.get
-    return int(m["rows"]) - int(m["quarantined"]), int(m["quarantined"])
+    store.append_bronze(bronze, _p(out, "bronze"), BRONZE)
+    rejected = bad.withColumns({"kind": F.lit(kind), "_ingested_at": ntz_literal(run_ts)})
+    store.conform(rejected, QUARANTINE).write.mode("append").partitionBy("kind") \
+        .parquet(_p(out, "quarantine"))
+    return report
 
 
-def _isolated(fn, *args):
+def _isolated(fn, *args, **kwargs):
     """Run one kind's step; a failure becomes a status instead of aborting the run."""
     try:
-        return fn(*args), None
+        return fn(*args, **kwargs), None
     except Exception as exc:  # noqa: BLE001 - reported in the run log
-        return None, f"{type(exc).__name__}: {str(exc)[:300]}"
+        return None, f"{type(exc).__name__}: {exc}"
 
 
-def build_silver(spark: SparkSession, bronze_path: str, silver_root: str,
-                 kinds=KINDS, rebuild: bool = False) -> dict[str, tuple[int | None, str | None]]:
+def read_bronze(spark: SparkSession, out: str) -> DataFrame:
+    """The bronze table, empty before its first row was written."""
+    path = _p(out, "bronze")
+    return store.read_table(spark, path, BRONZE) if store.exists(spark, path) \
+        else spark.createDataFrame([], BRONZE)
+
+
+def read_quarantine(spark: SparkSession, out: str) -> DataFrame:
+    path = _p(out, "quarantine")
+    return store.read_table(spark, path, QUARANTINE) if store.exists(spark, path) \
+        else spark.createDataFrame([], QUARANTINE)
+
+
+def build_silver(spark: SparkSession, out: str, kinds=KINDS,
+                 rebuild: bool = False) -> dict[str, tuple[int | None, str | None, tuple]]:
     """Rebuild silver for each kind from all of bronze (newest ingestion wins).
 
     By default only the (year, month) partitions present in the new result
     are replaced; ``rebuild=True`` replaces the whole table, which also
-    clears partitions whose rows have all disappeared.
-    Returns ``{kind: (rows, error)}``; one failing kind does not stop the others.
+    clears partitions whose rows have all disappeared. Returns
+    ``{kind: (rows, error, (start, end))}``; one failing kind does not stop
+    the others.
     """
-    bronze = store.read_table(spark, bronze_path, BRONZE)
+    bronze = read_bronze(spark, out)
 
     def one(kind):
         src = bronze.filter(F.col("kind") == kind)  # partition pruning on `kind`
         silver = S.SILVER_BUILDERS[kind](src)
         obs = Observation(f"silver_{kind}")
         silver = silver.observe(obs, F.count(F.lit(1)).alias("rows"))
-        path = _p(silver_root, kind)
+        path = _p(out, "silver", kind)
         if kind == "plain":
             store.overwrite_all(silver, path, SILVER_SCHEMAS[kind])
         elif rebuild:
@@ -102,22 +146,47 @@ def build_silver(spark: SparkSession, bronze_path: str, silver_root: str,
             store.overwrite_partitions(silver, path, SILVER_SCHEMAS[kind])
         return int(obs.get["rows"])
 
-    return {kind: _isolated(one, kind) for kind in kinds}
+    done = {}
+    for kind in kinds:
+        start = _now()
+        rows, err = _isolated(one, kind)
+        done[kind] = (rows, err, (start, _now()))
+    return done
+
 
+def read_silver(spark: SparkSession, out: str, kind: str) -> DataFrame:
+    path = _p(out, "silver", kind)
+    return store.read_table(spark, path, SILVER_SCHEMAS[kind]) if store.exists(spark, path) \
+        else spark.createDataFrame([], SILVER_SCHEMAS[kind])
 
-def build_gold(spark: SparkSession, silver_root: str) -> DataFrame:
-    def read(kind):
-        return store.read_table(spark, _p(silver_root, kind), SILVER_SCHEMAS[kind])
-    plain = read("plain")
+
+def build_gold(spark: SparkSession, out: str) -> DataFrame:
+    """The wide table of the catalog's five series; each part reads only the
+    series that play its role, so other series of a kind never mix in."""
+    def role(kind, name):
+        return read_silver(spark, out, kind).filter(F.col("serie").isin(*series_for_role(name)))
     return G.gold_wide(
-        M.monthly_rate(read("rate")), M.monthly_inflation(read("inflation")), M.monthly_fx(read("fx")),
-        M.monthly_level(plain.filter(F.col("serie").isin(*series_for_role("level")))),
-        M.monthly_ratio(plain.filter(F.col("serie").isin(*series_for_role("ratio")))))
+        M.monthly_rate(role("rate", "rate")), M.monthly_inflation(role("inflation", "inflation")),
+        M.monthly_fx(role("fx", "fx")), M.monthly_level(role("plain", "level")),
+        M.monthly_ratio(role("plain", "ratio")))
+
+
+def gold_gate(gold: DataFrame) -> DataFrame:
+    """Checks that gold must pass before it replaces the published table."""
+    nulls = Q.not_null(gold, ("mes_ref", "selic_media_mes", "selic_anualizada_mes")) \
+        .select(F.concat_ws(" ", F.lit("nulos"), "coluna").alias("checagem"),
+                F.col("nulos").cast("long").alias("valor"), "aprovado")
+    once = Q.unique(gold, ("mes_ref",), "gold") \
+        .select(F.lit("mes_ref repetido").alias("checagem"),
+                F.col("duplicadas").cast("long").alias("valor"), "aprovado")
+    return nulls.unionByName(once)
 
 
-def series_status(bronze: DataFrame, silver_by_kind: dict[str, DataFrame]) -> DataFrame:
+def series_status(bronze: DataFrame, silver_by_kind: dict[str, DataFrame],
+                  failed: DataFrame | None = None) -> DataFrame:
     """Per (kind, serie): bronze rows, bronze NULL values, silver rows and a
-    status (ok / no_data).
+    status: ``error`` (named in ``failed (kind, serie)``), ``ok``, ``orphan``
+    (silver rows without bronze rows) or ``no_data``.
 
     Built as one union of per-layer counts folded with conditional sums, not
     a join: a join would add an inferred NOT NULL filter to one side, making
@@ -125,77 +194,110 @@ def series_status(bronze: DataFrame, silver_by_kind: dict[str, DataFrame]) -> Da
     one shuffle for both. Join ``indicata.sources.catalog.with_catalog`` to
     add source codes.
     """
-    kinds = list(silver_by_kind)
-    b = (bronze.filter(F.col("kind").isin(*kinds))
-               .select("kind", "serie", F.lit(1).alias("_b"),
-                       F.col("valor").isNull().cast("int").alias("_bn"), F.lit(0).alias("_s")))
-    parts = [b]
+    zero = F.lit(0)
+    parts = [bronze.select("kind", "serie", F.lit(1).alias("_b"),
+                           F.col("valor").isNull().cast("int").alias("_bn"), zero.alias("_s"),
+                           zero.alias("_f"))]
     for kind, silver in silver_by_kind.items():
-        parts.append(silver.select(F.lit(kind).alias("kind"), "serie", F.lit(0).alias("_b"),
-                                   F.lit(0).alias("_bn"), F.lit(1).alias("_s")))
+        parts.append(silver.select(F.lit(kind).alias("kind"), "serie", zero.alias("_b"),
+                                   zero.alias("_bn"), F.lit(1).alias("_s"), zero.alias("_f")))
+    if failed is not None:
+        parts.append(failed.select("kind", "serie", zero.alias("_b"), zero.alias("_bn"),
+                                   zero.alias("_s"), F.lit(1).alias("_f")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     out = u.groupBy("kind", "serie").agg(
         F.sum("_b").cast("long").alias("bronze_linhas"),
         F.sum("_bn").cast("long").alias("bronze_nulos"),
-        F.sum("_s").cast("long").alias("silver_linhas"))
-    out = out.filter(F.col("bronze_linhas") > 0)
-    return out.withColumn("status", F.when(F.col("silver_linhas") > 0, "ok").otherwise("no_data"))
+        F.sum("_s").cast("long").alias("silver_linhas"), F.max("_f").alias("_f"))
+    b, s = F.col("bronze_linhas") > 0, F.col("silver_linhas") > 0
+    return out.withColumn("status", F.when(F.col("_f") > 0, "error").when(b & s, "ok")
+                          .when(s, "orphan").otherwise("no_data")).drop("_f")
 
 
 def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetime,
-                 check_month: str | None = None, strict: bool = False,
-                 rebuild: bool = False, days: int | None = None) -> dict[str, DataFrame]:
-    """Full run; returns ``status``, ``quality``, ``report``, ``gold`` and ``control``.
-
-    Each kind is ingested and rebuilt on its own: a failure (for example a
-    bad date in strict mode) is written to the run log with status
-    ``error`` and the other kinds go on. Gold is rebuilt only when every
-    kind has a silver table.
+                 check_month: str | None = None, strict: bool = False, rebuild: bool = False,
+                 days: int | None = None, series: Sequence[str] | None = None) -> dict:
+    """Full run; returns ``status``, ``quality``, ``report``, ``gold``,
+    ``control`` (all runs), ``run`` (this run's records), ``run_id``.
+
+    Series are reported on their own, with the time their step took: a bad
+    row in strict mode stops its series only, a failing step its kind only.
+    Gold is rebuilt from every series that plays a role and replaces the
+    published table only when it passes ``gold_gate``; a refused or failed
+    gold is an ``error`` record and the old table stays.
     """
-    bronze_path, silver_root, gold_path = _p(out, "bronze"), _p(out, "silver"), _p(out, "gold")
-    if "://" not in landing and not os.path.isdir(landing):
+    if not store.exists(spark, landing):
         raise FileNotFoundError(f"landing path does not exist: {landing}")
-    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    present = [k for k in KINDS if "://" in landing or os.path.isdir(_p(landing, k))]
-    ingested = {k: _isolated(ingest_kind, spark, landing, bronze_path, k, run_ts, strict, days)
-                for k in present}
-    # a kind with nothing landed this run is recorded as "no data"
-    ingested.update({k: ((0, 0), None) for k in KINDS if k not in present})
-    silver_rows = build_silver(spark, bronze_path, silver_root, rebuild=rebuild)
-    gold_ready = all(err is None for _, err in silver_rows.values())
-    if gold_ready:
-        store.overwrite_all(build_gold(spark, silver_root), gold_path)
-    finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-
-    def status(rows, err):
-        return "error" if err else ("success" if rows else "no_data")
-
-    records = []
-    for k, (res, err) in ingested.items():
-        rows, bad = res if res else (0, 0)
-        meta = {"quarantined": str(bad)} | ({"error": err} if err else {})
-        records.append((f"bronze.{k}", "ingest", SOURCE, "bronze", rows, started, finished,
-                        status(rows, err), meta))
-    for k, (rows, err) in silver_rows.items():
-        records.append((f"silver.{k}", "silver", "bronze", "silver", rows or 0, started, finished,
-                        status(rows, err), {"error": err} if err else {}))
-    runs = spark.createDataFrame(records, "table_name string, process_name string, source string, "
-                                 "layer string, row_count long, started_at timestamp_ntz, "
-                                 "finished_at timestamp_ntz, status string, metadata map<string,string>")
-    store.append_control(store.control_records(runs), _p(out, "control"))
-
-    bronze = store.read_table(spark, bronze_path, BRONZE)
-    ok_kinds = [k for k, (_, err) in silver_rows.items() if err is None]
-    silver = {k: store.read_table(spark, _p(silver_root, k), SILVER_SCHEMAS[k]) for k in ok_kinds}
-    result = {"status": series_status(bronze, silver) if silver else None,
-              "control": store.read_control(spark, _p(out, "control")),
-              "gold": None, "quality": None, "report": None}
-    if gold_ready:
-        gold = store.read_table(spark, gold_path)
-        result["gold"] = gold
-        result["quality"] = Q.not_null(gold, ("mes_ref", "selic_media_mes", "selic_anualizada_mes"))
-        if check_month:
-            result["report"] = Q.gold_report(gold, check_month, GOLD_REQUIRED)
-    return result
+    run_id = uuid.uuid4().hex
+    logs = []
+
+    def note(table, process, source, layer, rows, span, status, **meta):
+        meta = {"run_id": run_id} | {k: v for k, v in meta.items() if v is not None}
+        logs.append(spark.createDataFrame(
+            [(table, process, source, layer, rows, *span, status, meta)], RECORD))
+
+    failed = spark.createDataFrame([], "kind string, serie string")
+    for kind in KINDS:
+        start = _now()
+        if not store.exists(spark, _p(landing, kind)):
+            note(f"bronze.{kind}", "ingest", SOURCE, "bronze", 0, (start, start), "no_data")
+            continue
+        report, err = _isolated(ingest_kind, spark, landing, out, kind, run_ts, strict, days, series)
+        span = (start, _now())
+        if err is not None:
+            note(f"bronze.{kind}", "ingest", SOURCE, "bronze", 0, span, "error", error=err)
+            continue
+        failed = failed.unionByName(report.filter("status = 'error'").select(
+            F.lit(kind).alias("kind"), "serie"))
+        logs.append(report.select(
+            F.lit(f"bronze.{kind}").alias("table_name"), F.lit("ingest").alias("process_name"),
+            F.lit(SOURCE).alias("source"), F.lit("bronze").alias("layer"),
+            F.col("linhas").alias("row_count"), ntz_literal(span[0]).alias("started_at"),
+            ntz_literal(span[1]).alias("finished_at"), "status",
+            F.map_filter(F.create_map(
+                F.lit("run_id"), F.lit(run_id), F.lit("serie"), F.col("serie"),
+                F.lit("quarantined"), F.col("quarentena").cast("string"),
+                F.lit("error"), F.col("erro")), lambda _, v: v.isNotNull()).alias("metadata")))
+
+    silver = build_silver(spark, out, rebuild=rebuild)
+    for kind, (rows, err, span) in silver.items():
+        note(f"silver.{kind}", "silver", "bronze", "silver", rows or 0, span,
+             "error" if err else "success" if rows else "no_data", error=err)
+
+    start, gold_path, quality = _now(), _p(out, "gold"), None
+
+    def publish():
+        nonlocal quality
+        staged = scratch_path(spark, "gold-staged")
+        store.overwrite_all(build_gold(spark, out), staged)
+        gold = store.read_table(spark, staged)
+        quality = gold_gate(gold)
+        refused = quality.filter("NOT aprovado").orderBy("checagem").collect()  # a row per check
+        if refused:
+            raise ValueError("gold refused: " + "; ".join(f"{r.checagem} = {r.valor}" for r in refused))
+        rows = gold.count()
+        if rows:
+            store.overwrite_all(gold, gold_path)
+        return rows
+
+    rows, err = _isolated(publish)
+    note("gold", "gold", "silver", "gold", rows or 0, (start, _now()),
+         "error" if err else "success" if rows else "no_data", error=err)
+
+    records = logs[0]
+    for log in logs[1:]:
+        records = records.unionByName(log)
+    store.append_control(store.control_records(records), _p(out, "control"))
+    control = store.read_control(spark, _p(out, "control"))
+    gold = store.read_table(spark, gold_path) if store.exists(spark, gold_path) else None
+    return {
+        "run_id": run_id, "control": control,
+        "run": control.filter(F.col("metadata")["run_id"] == run_id),
+        "status": series_status(read_bronze(spark, out),
+                                {k: read_silver(spark, out, k) for k in KINDS}, failed),
+        "gold": gold, "quality": quality,
+        "report": Q.gold_report(gold, check_month, GOLD_REQUIRED)
+        if gold is not None and check_month else None,
+    }

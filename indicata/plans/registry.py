@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,7 @@ from indicata.functions import calendar as C
 from indicata.functions.formatting import format_reference
 from indicata.functions.labels import (RATE_LEVEL_BANDS, fx_trend, inflation_pressure, rate_level,
                                        scaled_bands)
-from indicata.functions.numeric import annualize, round_exact
+from indicata.functions.numeric import annualize, comparison_rounding, rounded
 from indicata.operators import dashboard as D
 from indicata.operators import gold as G
 from indicata.operators import metrics as MT
@@ -25,8 +25,9 @@ from indicata.operators import monthly as M
 from indicata.operators import profiles as PR
 from indicata.operators import quality as Q
 from indicata.operators import windows as W
-from indicata.operators.chunked import chunked_window
+from indicata.operators.chunked import chunked_window, global_row_number
 from indicata.operators.dedup import latest_per_key
+from indicata.plans import landed as LD
 from indicata.plans import pipeline as PL
 from indicata.plans import silver as S
 from indicata.schemas import BRONZE, GOLD_COLUMNS, SILVER_INFLATION, SILVER_PLAIN, with_key_type
@@ -43,28 +44,28 @@ RATE_BANDS = scaled_bands(RATE_LEVEL_BANDS, td.RATE_SCALE)
 
 
 # ---------------------------------------------------------------- silver
-def silver_rate(spark, sf):
-    return S.silver_rate(td.rate_bronze(spark, sf), bands=RATE_BANDS)
+def silver_rate(spark, sf, days=None):
+    return S.silver_rate(td.rate_bronze(spark, sf, days), tie_break=(), bands=RATE_BANDS)
 
 
-def silver_fx(spark, sf):
-    return S.silver_fx(td.fx_bronze(spark, sf))
+def silver_fx(spark, sf, days=None):
+    return S.silver_fx(td.fx_bronze(spark, sf, days), tie_break=())
 
 
-def silver_inflation(spark, sf):
-    return S.silver_inflation(td.inflation_bronze(spark, sf))
+def silver_inflation(spark, sf, days=None):
+    return S.silver_inflation(td.inflation_bronze(spark, sf, days), tie_break=())
 
 
-def silver_level(spark, sf):
-    return S.silver_plain(td.level_bronze(spark, sf))
+def silver_level(spark, sf, months=None):
+    return S.silver_plain(td.level_bronze(spark, sf, months), tie_break=())
 
 
-def silver_ratio(spark, sf):
-    return S.silver_plain(td.ratio_bronze(spark, sf))
+def silver_ratio(spark, sf, months=None):
+    return S.silver_plain(td.ratio_bronze(spark, sf, months), tie_break=())
 
 
 def silver_plain_monthly(spark, sf):
-    return silver_level(spark, sf).unionByName(silver_ratio(spark, sf))
+    return S.silver_plain(td.plain_series(spark, sf), tie_break=())
 
 
 # ---------------------------------------------------------------- monthly / gold
@@ -88,18 +89,38 @@ def monthly_ratio(spark, sf):
     return M.monthly_ratio(silver_ratio(spark, sf))
 
 
+def _days(spark, sf):
+    """The (supplier, day) sums as a written table: line items are read once
+    and three silver tables read the sums."""
+    path = scratch_path(spark, "supplier-days")
+    days = td.supplier_days(spark, sf)
+    days.write.parquet(path)
+    return spark.read.schema(days.schema).parquet(path)
+
+
+def _gold(spark, sf, keys=()):
+    days = _days(spark, sf)
+    return G.gold_wide(
+        M.monthly_rate(silver_rate(spark, sf, days), keys),
+        M.monthly_inflation(silver_inflation(spark, sf, days), keys),
+        M.monthly_fx(silver_fx(spark, sf, days), keys),
+        M.monthly_plain(S.silver_plain(td.plain_series(spark, sf), tie_break=()),
+                        {"level": "pib_valor_mes", "ratio": "inadimplencia_media_mes"}), keys=keys)
+
+
 def gold_wide_monthly(spark, sf):
-    return G.gold_wide(monthly_rate(spark, sf), monthly_inflation(spark, sf), monthly_fx(spark, sf),
-                       monthly_level(spark, sf), monthly_ratio(spark, sf))
+    return _gold(spark, sf)
 
 
 def gold_by_series(spark, sf):
-    keys = ("serie",)
-    return G.gold_wide(
-        M.monthly_rate(silver_rate(spark, sf), keys),
-        M.monthly_inflation(silver_inflation(spark, sf), keys),
-        M.monthly_fx(silver_fx(spark, sf), keys),
-        monthly_level(spark, sf), monthly_ratio(spark, sf), keys=keys)
+    return _gold(spark, sf, ("serie",))
+
+
+def _published(spark, sf, gold=gold_wide_monthly):
+    """Gold as a reader finds it: written once, then read."""
+    path = scratch_path(spark, "gold-published")
+    store.overwrite_all(gold(spark, sf), path)
+    return store.read_table(spark, path)
 
 
 def dedup_latest(spark, sf):
@@ -179,12 +200,19 @@ def calendar_parts(spark, sf):
 
 
 def real_rate_fisher(spark, sf):
-    return gold_by_series(spark, sf).select(
+    return _published(spark, sf, gold_by_series).select(
         "serie", "mes_ref", "selic_anualizada_mes", "ipca_12m", "juros_real_estimado")
 
 
+LAST_INFLATION = "1999-01-01"
+
+
 def gold_left_join_two(spark, sf):
-    return G.gold_left_join_two(monthly_rate(spark, sf), monthly_inflation(spark, sf))
+    """Inflation ends before the rate does, so the last months stay unmatched."""
+    days = _days(spark, sf)
+    known = M.monthly_inflation(silver_inflation(spark, sf, days)).filter(
+        F.col("mes_ref") < F.lit(LAST_INFLATION).cast("date"))
+    return G.gold_left_join_two(M.monthly_rate(silver_rate(spark, sf, days)), known)
 
 
 GOLD_LOOKUP_MONTH = "1996-01-01"
@@ -198,9 +226,7 @@ def gold_point_lookup(spark, sf):
 
 def gold_table_lookup(spark, sf):
     """Lookup on the materialized table: the month reaches the Parquet reader."""
-    path = scratch_path(spark, "gold-lookup")
-    store.overwrite_all(gold_wide_monthly(spark, sf), path)
-    return G.point_lookup(store.read_table(spark, path), GOLD_LOOKUP_MONTH)
+    return G.point_lookup(_published(spark, sf), GOLD_LOOKUP_MONTH)
 
 
 # ---------------------------------------------------------------- metrics
@@ -209,8 +235,8 @@ METRICS = GOLD_COLUMNS[1:]
 
 def _gold_long(spark, sf, by_series: bool = True):
     if by_series:
-        return MT.to_long(gold_by_series(spark, sf), ("serie",), METRICS), ("serie",)
-    return MT.to_long(gold_wide_monthly(spark, sf), (), METRICS), ()
+        return MT.to_long(_published(spark, sf, gold_by_series), ("serie",), METRICS), ("serie",)
+    return MT.to_long(_published(spark, sf), (), METRICS), ()
 
 
 def metric_valid_rows(spark, sf):
@@ -233,7 +259,7 @@ LAST_MONTHS = 12
 
 
 def last_n_months(spark, sf):
-    return MT.last_n(gold_by_series(spark, sf), LAST_MONTHS, ("serie",))
+    return MT.last_n(_published(spark, sf, gold_by_series), LAST_MONTHS, ("serie",))
 
 
 NEWEST_ROWS = 20
@@ -244,7 +270,7 @@ def newest_n(spark, sf):
     return MT.newest_rows(o, NEWEST_ROWS, ("o_orderdate", "o_orderkey"))
 
 
-UNION_SPLIT = "1995-01-01"
+UNION_SPLIT = "1998-01-01"
 
 
 def union_batches(spark, sf):
@@ -255,17 +281,23 @@ def union_batches(spark, sf):
     return first.unionByName(second)
 
 
+SAMPLE = 5
+
+
 def sample_rows(spark, sf):
-    """Unordered sample of a few rows (not deterministic: rows-only check)."""
-    return td.table(spark, sf, "orders").limit(5)
+    """A few rows, whichever come first: how many of them the table holds as
+    they are (all)."""
+    orders = td.table(spark, sf, "orders")
+    few = orders.limit(SAMPLE)
+    return few.join(orders, orders.columns, "left_semi").agg(F.count("*").alias("da_tabela"))
 
 
 def missing_by_column(spark, sf):
-    return MT.missing_by_column(gold_wide_monthly(spark, sf))
+    return MT.missing_by_column(_published(spark, sf))
 
 
 def latest_reference(spark, sf):
-    return MT.latest_reference(gold_wide_monthly(spark, sf))
+    return MT.latest_reference(_published(spark, sf))
 
 
 def format_reference_query(spark, sf):
@@ -363,7 +395,7 @@ def ingest_json_payload(spark, sf):
     li, value_text = _payload_lines(spark, sf)
     item = F.struct(F.date_format("l_shipdate", PAY.DATE_PATTERN).alias("data"), value_text.alias("valor"))
     texts = li.select("l_orderkey", "l_linenumber", F.to_json(F.array(item)).alias("payload"))
-    return PAY.parse_observations(PAY.explode_payload(texts), strict=True)
+    return PAY.parse_observations(PAY.explode_payload(texts), strict=True).drop("posicao")
 
 
 def ingest_parse_coerce(spark, sf):
@@ -374,7 +406,7 @@ def ingest_parse_coerce(spark, sf):
     texts = li.select("l_orderkey", "l_linenumber", date_text.alias("data_texto"),
                       value_text.alias("valor_texto"))
     parsed = PAY.parse_observations(texts, strict=False)
-    return parsed.withColumn("valido", F.col("data").isNotNull())
+    return parsed.select("l_orderkey", "l_linenumber", "data", "valor", F.col("motivo").isNull().alias("valido"))
 
 
 def ingest_lookback_window(spark, sf):
@@ -387,12 +419,15 @@ def _rate_bronze_rows(spark, sf):
 
 
 def bronze_append_audit(spark, sf):
-    """Two appends (first batch, then the revision batch), read back."""
+    """Two appends (first batch, then the revision batch), read back. The rows
+    are staged once; each append stamps its own audit columns."""
+    staged = scratch_path(spark, "bronze-batches")
+    td.rate_bronze(spark, sf).withColumnRenamed("_ingested_at", "lote").drop("_source").write.parquet(staged)
+    rows = spark.read.parquet(staged)
     path = scratch_path(spark, "bronze")
-    rows = _rate_bronze_rows(spark, sf)
     for batch in (td.FIRST_BATCH, td.REVISION_BATCH):
-        at = C.ntz_literal(batch)
-        store.append_bronze(rows.filter(F.col("_ingested_at") == at), path, BRONZE_T)
+        part = rows.filter(F.col("lote") == C.ntz_literal(batch)).drop("lote")
+        store.append_bronze(store.add_audit_columns(part, batch, td.SOURCE, "rate"), path, BRONZE_T)
     return store.read_table(spark, path, BRONZE_T)
 
 
@@ -414,7 +449,7 @@ def silver_partition_overwrite(spark, sf):
     store.overwrite_partitions(silver, path, SILVER_INFLATION_T)
     revised = (store.read_table(spark, path, SILVER_INFLATION_T)
                .filter(F.col("ano") == REWRITE_YEAR)
-               .withColumn("valor", round_exact(F.col("valor") * F.lit(2.0), 4)))
+               .withColumn("valor", rounded(F.col("valor") * F.lit(2.0), 4)))
     staged = scratch_path(spark, "silver-inflation-staged")
     store.overwrite_all(revised, staged, SILVER_INFLATION_T)
     store.overwrite_partitions(store.read_table(spark, staged, SILVER_INFLATION_T), path,
@@ -431,9 +466,7 @@ def silver_full_overwrite(spark, sf):
 
 
 def gold_materialize(spark, sf):
-    path = scratch_path(spark, "gold")
-    store.overwrite_all(gold_wide_monthly(spark, sf), path)
-    return store.read_table(spark, path)
+    return _published(spark, sf)
 
 
 def control_log_summary(spark, sf):
@@ -458,37 +491,45 @@ QUALITY_MONTH = "1996-01-01"
 
 
 def quality_not_null(spark, sf):
-    return Q.not_null(gold_wide_monthly(spark, sf), ("mes_ref", "selic_media_mes", "selic_anualizada_mes"))
+    """On raw bronze, whose values have NULLs, so that the check can fail."""
+    return Q.not_null(_rate_bronze_rows(spark, sf), ("serie", "data", "valor"))
 
 
 def quality_unique(spark, sf):
-    checks = [
-        Q.unique(gold_wide_monthly(spark, sf), ("mes_ref",), "gold.wide"),
-        Q.unique(silver_rate(spark, sf), ("serie", "data"), "silver.rate"),
-        Q.unique(silver_fx(spark, sf), ("serie", "data"), "silver.fx"),
-        Q.unique(silver_inflation(spark, sf), ("serie", "data"), "silver.inflation"),
-    ]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out
+    """Raw bronze repeats (serie, data) for every revised day; with the
+    ingestion time the key is unique; de-duplicated silver is unique."""
+    raw = td.rate_bronze(spark, sf)
+    return Q.unique(raw, ("serie", "data"), "bronze.rate") \
+        .unionByName(Q.unique(raw, ("serie", "data", "_ingested_at"), "bronze.rate")) \
+        .unionByName(Q.unique(silver_rate(spark, sf), ("serie", "data"), "silver.rate"))
+
+
+def _written(df, write):
+    """Write ``df`` and return how many rows went in, counted by the write."""
+    obs = Observation()
+    write(df.observe(obs, F.count(F.lit(1)).alias("linhas")))
+    return int(obs.get["linhas"])
 
 
 def quality_reconcile_counts(spark, sf):
+    """Rows written against rows read back; a first part only of one table."""
     bronze_path = scratch_path(spark, "bronze-reconcile")
-    rows = _rate_bronze_rows(spark, sf)
-    store.append_bronze(rows, bronze_path, BRONZE_T)
-    silver_path = scratch_path(spark, "silver-reconcile")
-    silver = silver_inflation(spark, sf)
-    store.overwrite_partitions(silver, silver_path, SILVER_INFLATION_T)
-    return Q.reconcile({
-        "bronze.rate": (rows, store.read_table(spark, bronze_path, BRONZE_T)),
-        "silver.inflation": (silver, store.read_table(spark, silver_path, SILVER_INFLATION_T)),
-    })
+    rows = _written(_rate_bronze_rows(spark, sf), lambda df: store.append_bronze(df, bronze_path, BRONZE_T))
+    bronze = store.read_table(spark, bronze_path, BRONZE_T)
+    first = bronze.filter(F.col("_ingested_at") == C.ntz_literal(td.FIRST_BATCH))
+    return Q.reconcile({"bronze.rate": (rows, bronze), "bronze.rate.first": (rows, first)})
+
+
+def quality_reconcile_at_least(spark, sf):
+    """The rule for tables that only grow: no fewer rows than expected."""
+    bronze = td.rate_bronze(spark, sf)
+    silver = silver_rate(spark, sf)
+    return Q.reconcile({"bronze covers silver": (silver, bronze), "silver covers bronze": (bronze, silver)},
+                       at_least=True)
 
 
 def quality_report(spark, sf):
-    return Q.gold_report(gold_wide_monthly(spark, sf), QUALITY_MONTH, PL.GOLD_REQUIRED)
+    return Q.gold_report(_published(spark, sf), QUALITY_MONTH, PL.GOLD_REQUIRED)
 
 
 def pipeline_run_status(spark, sf):
@@ -520,7 +561,38 @@ def chunked_window_single_series(spark, sf):
     return chunked_window(ev, ("ts", "event_id"), compute, halo=HALO, chunk_rows=CHUNK_ROWS)
 
 
-QUERIES: dict[str, Query] = {
+def chunked_window_by_series(spark, sf):
+    """Every user of the events is a series; some rows have no user."""
+    ev = td.table(spark, sf, "events").select(
+        F.when(F.col("event_id") % 10 != 0, F.col("user_id")).alias("serie"), "event_id", "ts", "value")
+
+    def compute(w):
+        return {"variacao": W.change("value", w), "soma_12": W.rolling_sum("value", w, 12)}
+
+    return chunked_window(ev, ("ts", "event_id"), compute, halo=11, chunk_rows=64, keys=("serie",))
+
+
+def silver_rate_sorted(spark, sf):
+    """Silver in the order of series and day, each row with its place."""
+    return global_row_number(silver_rate(spark, sf), ("serie", "data")).select(
+        "serie", "data", "valor", F.col("_rn").alias("ordem"))
+
+
+def gold_sorted(spark, sf):
+    """Gold in the order of months, each row with its place."""
+    return global_row_number(_published(spark, sf), ("mes_ref",)).select(
+        "mes_ref", "selic_media_mes", F.col("_rn").alias("ordem"))
+
+
+def comparing(query: Query) -> Query:
+    """The query with values rounded so that an SQL engine can repeat them."""
+    def run(spark, sf):
+        with comparison_rounding():
+            return query(spark, sf)
+    return run
+
+
+_REGISTERED: dict[str, Query] = {
     "dedup_latest": dedup_latest,
     "silver_rate": silver_rate,
     "silver_fx": silver_fx,
@@ -587,7 +659,16 @@ QUERIES: dict[str, Query] = {
     "quality_not_null": quality_not_null,
     "quality_unique": quality_unique,
     "quality_reconcile_counts": quality_reconcile_counts,
+    "quality_reconcile_at_least": quality_reconcile_at_least,
     "quality_report": quality_report,
     "pipeline_run_status": pipeline_run_status,
     "chunked_window_single_series": chunked_window_single_series,
+    "chunked_window_by_series": chunked_window_by_series,
+    "silver_rate_sorted": silver_rate_sorted,
+    "gold_sorted": gold_sorted,
+    "ingest_landed_files": LD.ingest_landed_files,
+    "ingest_fixed_winner": LD.ingest_fixed_winner,
+    "pipeline_landed_run": LD.pipeline_landed_run,
 }
+
+QUERIES: dict[str, Query] = {name: comparing(q) for name, q in _REGISTERED.items()}

@@ -34,11 +34,13 @@ INFLATION_COLUMNS = ("data", "valor", "variacao_pp", "acumulado_12m", "acumulado
 
 def deduplicate(bronze: DataFrame, keys: Sequence[str] = ("serie",),
                 tie_break: Sequence[str] = ()) -> DataFrame:
-    """Newest ingestion per (keys, data); a no-op when there is no ``_ingested_at``."""
-    if "_ingested_at" not in bronze.columns:
-        return bronze
-    tie = tuple(t for t in tie_break if t in bronze.columns)
-    return latest_per_key(bronze, (*keys, "data"), ("_ingested_at",), tie)
+    """Newest ingestion per (keys, data). A bronze table without the columns
+    that decide the winner is an error: pass ``dedup=False`` or another
+    ``tie_break`` where none is needed."""
+    missing = [c for c in ("_ingested_at", *tie_break) if c not in bronze.columns]
+    if missing:
+        raise ValueError(f"de-duplication needs {missing}")
+    return latest_per_key(bronze, (*keys, "data"), ("_ingested_at",), tie_break)
 
 
 def _prepare(bronze: DataFrame, keys: Sequence[str], dedup: bool, tie_break: Sequence[str]) -> DataFrame:

@@ -45,9 +45,21 @@ _CAL = [
     T.StructField("trimestre", T.IntegerType()),
 ]
 
-# Bronze as written by the pipeline: plus ``_seq``, the row's position in its
-# batch, so duplicates of one date inside one batch have a fixed winner.
-BRONZE_SEQ = T.StructType(BRONZE.fields + [T.StructField("_seq", T.LongType())])
+# Bronze as written by the pipeline: plus ``_seq``, the batch file and the row's
+# place in it, so duplicates of one date inside one run have a fixed winner.
+BRONZE_SEQ = T.StructType(BRONZE.fields + [T.StructField("_seq", T.StringType())])
+
+# Rows that could not become observations, with their texts and the reason.
+QUARANTINE = T.StructType([
+    T.StructField("kind", T.StringType()),
+    T.StructField("serie", T.StringType()),
+    T.StructField("arquivo", T.StringType()),
+    T.StructField("data_texto", T.StringType()),
+    T.StructField("valor_texto", T.StringType()),
+    T.StructField("motivo", T.StringType()),
+    T.StructField("_ingested_at", T.TimestampNTZType()),
+    T.StructField("_seq", T.StringType()),
+])
 
 SILVER_RATE = T.StructType(_SILVER_BASE + [
     T.StructField("variacao_pp", T.DoubleType()),

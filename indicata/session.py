@@ -50,8 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting a local one only when unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value
-    always wins. Local runs and tests get a fresh folder under the system
-    temp directory. Works with a classic session (SparkContext) and with a
+    always wins, and a cluster session without it is an error, as every
+    machine would write to its own disk. Local runs and tests get a fresh
+    folder under the system temp directory. Works with a classic session (SparkContext) and with a
     Spark Connect session (conf only).
     """
     try:
@@ -62,6 +63,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master!r} share")
         configured = tempfile.mkdtemp(prefix="indicata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is None:

@@ -2,9 +2,12 @@
 
 The reference fetches these over HTTP; here they are landed files (or a
 text column) read by Spark. Parsing is column expressions only:
-``from_json`` + ``explode`` for the array, ``to_date`` / ``try_to_date``
-for the date, ``try_cast`` for the number (an unparseable number such as
-``N/D`` becomes NULL, never NaN).
+``from_json`` + ``posexplode_outer`` for the array, ``to_date`` / ``try_to_date``
+for the date, a pattern and ``try_cast`` for the number (anything else, such
+as ``N/D`` or ``NaN``, becomes NULL).
+
+No input disappears: a payload that is not readable becomes one row with a
+reason in ``motivo``, and so does every item without a valid date.
 """
 
 from __future__ import annotations
@@ -15,10 +18,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.functions.calendar import ntz_literal
-from indicata.schemas import PAYLOAD, PAYLOAD_ITEM
+from indicata.schemas import PAYLOAD
 
 # Fixed values (must equal the reference for right results).
 DATE_PATTERN = "dd/MM/yyyy"
+# What counts as a number: a plain decimal, with an exponent at most.
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,3})?\s*$"
+
+# Reasons for quarantine.
+UNREADABLE = "payload ilegível"
+BAD_DATE = "data inválida"
+# No reason for quarantine, but the series did land something.
+EMPTY = "lote vazio"
 
 
 def parse_date(c: Column | str, strict: bool = True) -> Column:
@@ -28,45 +39,77 @@ def parse_date(c: Column | str, strict: bool = True) -> Column:
 
 
 def parse_number(c: Column | str) -> Column:
-    """Text to DOUBLE; anything unparseable becomes NULL."""
+    """Text to DOUBLE; anything but a finite plain decimal becomes NULL."""
     x = F.col(c) if isinstance(c, str) else c
-    return x.try_cast("double")
+    number = F.when(x.rlike(NUMBER_PATTERN), x.try_cast("double"))
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
-def explode_payload(df: DataFrame, text_col: str = "payload") -> DataFrame:
-    """One row per array item of a JSON payload column: ``item.data``, ``item.valor`` as text."""
-    items = F.explode(F.from_json(F.col(text_col), PAYLOAD)).alias("item")
+def explode_payload(df: DataFrame, text_col: str = "payload", keep_empty: bool = False) -> DataFrame:
+    """One row per array item of a JSON payload column: ``posicao``,
+    ``data_texto``, ``valor_texto``; a payload that is NULL or not JSON is
+    one row with ``motivo`` instead of none. ``keep_empty``: so is ``[]``."""
     keep = [c for c in df.columns if c != text_col]
-    return df.select(*keep, items).select(
-        *keep, F.col("item.data").alias("data_texto"), F.col("item.valor").alias("valor_texto"))
+    why = F.when(F.col("items").isNull(), F.lit(UNREADABLE)).when(F.size("items") == 0, F.lit(EMPTY))
+    rows = df.select(*keep, F.from_json(F.col(text_col), PAYLOAD).alias("items")).select(
+        *keep, why.alias("motivo"), F.posexplode_outer("items").alias("posicao", "item"))
+    if not keep_empty:
+        rows = rows.filter(~F.col("motivo").eqNullSafe(EMPTY))
+    return rows.select(*keep, F.coalesce("posicao", F.lit(0)).alias("posicao"),
+                       F.col("item.data").alias("data_texto"), F.col("item.valor").alias("valor_texto"),
+                       "motivo")
 
 
 def parse_observations(df: DataFrame, strict: bool = True, date_col: str = "data_texto",
                        value_col: str = "valor_texto") -> DataFrame:
-    """Text columns -> ``data DATE``, ``valor DOUBLE``; other columns kept."""
-    keep = [c for c in df.columns if c not in (date_col, value_col)]
-    return df.select(*keep, parse_date(date_col, strict).alias("data"),
-                     parse_number(value_col).alias("valor"))
+    """Text columns -> ``data DATE``, ``valor DOUBLE``; other columns kept.
+
+    Strict: an unreadable payload or a bad date raises. Permissive: the row
+    keeps its texts and gets its reason in ``motivo`` (see ``split_quarantine``).
+    """
+    reason = F.col("motivo") if "motivo" in df.columns else F.lit(None).cast("string")
+    keep = [c for c in df.columns if c not in (date_col, value_col, "motivo")]
+    data = parse_date(date_col, strict)
+    if strict:
+        df = df.filter(~reason.eqNullSafe(EMPTY))
+        raised = F.raise_error(reason).cast("date")
+        return df.select(*keep, F.when(reason.isNotNull(), raised).otherwise(data).alias("data"),
+                         parse_number(value_col).alias("valor"))
+    return df.select(*keep, data.alias("data"), parse_number(value_col).alias("valor"),
+                     date_col, value_col,
+                     F.coalesce(reason, F.when(data.isNull(), F.lit(BAD_DATE))).alias("motivo"))
 
 
 def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Permissive mode: rows with a date go on, rows without one go to quarantine."""
-    ok = F.col("data").isNotNull()
-    return parsed.filter(ok), parsed.filter(~ok)
+    """Permissive mode: rows without a reason go on, the others to quarantine."""
+    ok = F.col("motivo").isNull()
+    return (parsed.filter(ok).drop("motivo", "data_texto", "valor_texto"),
+            parsed.filter(~ok & (F.col("motivo") != EMPTY)))
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Read landed payload files (each a JSON array) under ``path``.
 
     The series name is the parent folder of each file
-    (``<path>/<serie>/<batch>.json``).
+    (``<path>/<serie>/<batch>.json``, or ``serie=<serie>``). A file is one text value, so one that
+    holds no JSON is one unreadable payload and one with ``[]`` a row with
+    the reason ``EMPTY``, so that its series is seen. ``_seq`` (batch file, place in
+    its array) orders the rows of a run in the same way for any file sizes
+    and task layout.
     """
-    df = (spark.read.schema(PAYLOAD_ITEM).option("multiLine", True)
-               .option("recursiveFileLookup", True).json(path)
-               .withColumn("_file", F.col("_metadata.file_path")))
-    serie = F.element_at(F.split(F.col("_file"), "/"), -2)
-    return df.select(serie.alias("serie"), F.col("data").alias("data_texto"),
-                     F.col("valor").alias("valor_texto"))
+    files = (spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+                  .select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("_file")))
+    return landed_items(files)
+
+
+def landed_items(files: DataFrame) -> DataFrame:
+    """Items of landed files ``(payload, _file)`` with ``serie``, ``arquivo``, ``_seq``."""
+    parts = F.split(F.col("_file"), "/")
+    folder = F.regexp_replace(F.element_at(parts, -2), "^serie=", "")
+    named = files.select("payload", folder.alias("serie"), F.element_at(parts, -1).alias("arquivo"))
+    items = explode_payload(named, keep_empty=True)
+    place = F.lpad(F.col("posicao").cast("string"), 10, "0")
+    return items.withColumn("_seq", F.concat_ws("#", "arquivo", place)).drop("posicao")
 
 
 def lookback(df: DataFrame, date_col: str, days: int, end: dt.date | None = None,

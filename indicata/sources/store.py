@@ -46,10 +46,23 @@ def add_audit_columns(df: DataFrame, run_ts: dt.datetime, source: str, kind: str
     return df.withColumns(cols)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of the file system that holds it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one output partition together before a partitioned write, so
+    files number about as many as partitions, not tasks times partitions. A
+    rebalance, not a plain repartition: a large partition is split over tasks."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append_bronze(df: DataFrame, path: str, schema: T.StructType,
                   partition_by: Sequence[str] = ("kind", "ano")) -> None:
     """Append-only bronze write, Hive-style partitions, Snappy Parquet."""
-    (conform(df, schema).write.mode("append").partitionBy(*partition_by)
+    (clustered(conform(df, schema), partition_by).write.mode("append").partitionBy(*partition_by)
         .option("compression", "snappy").parquet(path))
 
 
@@ -62,7 +75,8 @@ def overwrite_partitions(df: DataFrame, path: str, schema: T.StructType,
     ``overwrite_all`` for a full rebuild. Never point this at a path that
     the same job is reading.
     """
-    (conform(df, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (clustered(conform(df, schema), partition_by).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by).parquet(path))
 
 
@@ -70,7 +84,7 @@ def overwrite_all(df: DataFrame, path: str, schema: T.StructType | None = None,
                   partition_by: Sequence[str] = ()) -> None:
     """Full replace of a table (unpartitioned monthly series, gold)."""
     out = conform(df, schema) if schema is not None else df
-    w = out.write.mode("overwrite")
+    w = clustered(out, partition_by).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -86,39 +86,61 @@ def to_bronze(obs: DataFrame, kind: str, revise: bool = True) -> DataFrame:
                        F.lit(SOURCE).alias("_source"))
 
 
-def rate_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return (li.groupBy(F.col("l_suppkey").alias("serie"), F.to_date("l_shipdate").alias("data"))
-              .agg((F.sum("l_quantity") / F.count(F.lit(1)) / F.lit(RATE_SCALE)).alias("raw")))
+def supplier_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of the line items per (supplier, ship day); the three supplier
+    analogs are projections or roll-ups of it."""
+    return (table(spark, sf_dir, "lineitem")
+            .groupBy(F.col("l_suppkey").alias("serie"), F.to_date("l_shipdate").alias("data"))
+            .agg(F.sum("l_quantity").alias("quantity"), F.sum(_cents("l_extendedprice")).alias("price"),
+                 F.sum(_cents("l_discount") - _cents("l_tax")).alias("net"), F.count(F.lit(1)).alias("n")))
 
 
-def fx_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return (li.groupBy(F.col("l_suppkey").alias("serie"), F.to_date("l_shipdate").alias("data"))
-              .agg((F.sum(_cents("l_extendedprice")).cast("double") / F.count(F.lit(1))
-                    / F.lit(FX_SCALE)).alias("raw")))
+def rate_observations(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
+    days = supplier_days(spark, sf_dir) if days is None else days
+    return days.select("serie", "data", (F.col("quantity") / F.col("n") / F.lit(RATE_SCALE)).alias("raw"))
 
 
-def inflation_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return (li.groupBy(F.col("l_suppkey").alias("serie"), month_start("l_shipdate").alias("data"))
-              .agg((F.sum(_cents("l_discount") - _cents("l_tax")).cast("double") / F.count(F.lit(1))
-                    / F.lit(INFLATION_SCALE)).alias("raw")))
+def fx_observations(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
+    days = supplier_days(spark, sf_dir) if days is None else days
+    return days.select("serie", "data",
+                       (F.col("price").cast("double") / F.col("n") / F.lit(FX_SCALE)).alias("raw"))
 
 
-def level_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    return (o.groupBy(month_start("o_orderdate").alias("data"))
-             .agg((F.sum(_cents("o_totalprice")).cast("double") / F.lit(100.0)).alias("valor"))
-             .select(F.lit("level").alias("serie"), "data", "valor"))
+def inflation_observations(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
+    """Integer sums, so a roll-up of days gives the month exactly."""
+    if days is None:
+        days = table(spark, sf_dir, "lineitem").select(
+            F.col("l_suppkey").alias("serie"), F.col("l_shipdate").alias("data"),
+            (_cents("l_discount") - _cents("l_tax")).alias("net"), F.lit(1).alias("n"))
+    return (days.groupBy("serie", month_start("data").alias("data"))
+                .agg((F.sum("net").cast("double") / F.sum("n") / F.lit(INFLATION_SCALE)).alias("raw")))
 
 
-def ratio_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    share = F.lit(100.0) * F.count_if(F.col("o_orderstatus") == F.lit("P")) / F.count(F.lit(1))
-    return (o.groupBy(month_start("o_orderdate").alias("data"))
-             .agg(share.alias("valor"))
-             .select(F.lit("ratio").alias("serie"), "data", "valor"))
+def order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of the orders per month."""
+    return (table(spark, sf_dir, "orders").groupBy(month_start("o_orderdate").alias("data"))
+            .agg(F.sum(_cents("o_totalprice")).alias("price"),
+                 F.count_if(F.col("o_orderstatus") == F.lit("P")).alias("open"), F.count(F.lit(1)).alias("n")))
+
+
+def level_observations(spark: SparkSession, sf_dir: str, months: DataFrame | None = None) -> DataFrame:
+    months = order_months(spark, sf_dir) if months is None else months
+    return months.select(F.lit("level").alias("serie"), "data",
+                         (F.col("price").cast("double") / F.lit(100.0)).alias("valor"))
+
+
+def ratio_observations(spark: SparkSession, sf_dir: str, months: DataFrame | None = None) -> DataFrame:
+    months = order_months(spark, sf_dir) if months is None else months
+    return months.select(F.lit("ratio").alias("serie"), "data",
+                         (F.lit(100.0) * F.col("open") / F.col("n")).alias("valor"))
+
+
+def plain_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both plain analogs as one bronze table, from one pass over the orders."""
+    both = order_months(spark, sf_dir).select("data", F.explode(F.create_map(
+        F.lit("level"), F.col("price").cast("double") / F.lit(100.0),
+        F.lit("ratio"), F.lit(100.0) * F.col("open") / F.col("n"))).alias("serie", "valor"))
+    return plain_bronze(both.select("serie", "data", "valor"))
 
 
 def plain_bronze(obs: DataFrame) -> DataFrame:
@@ -128,24 +150,24 @@ def plain_bronze(obs: DataFrame) -> DataFrame:
     })
 
 
-def rate_bronze(spark, sf_dir):
-    return to_bronze(rate_observations(spark, sf_dir), "rate")
+def rate_bronze(spark, sf_dir, days=None):
+    return to_bronze(rate_observations(spark, sf_dir, days), "rate")
 
 
-def fx_bronze(spark, sf_dir):
-    return to_bronze(fx_observations(spark, sf_dir), "fx")
+def fx_bronze(spark, sf_dir, days=None):
+    return to_bronze(fx_observations(spark, sf_dir, days), "fx")
 
 
-def inflation_bronze(spark, sf_dir):
-    return to_bronze(inflation_observations(spark, sf_dir), "inflation")
+def inflation_bronze(spark, sf_dir, days=None):
+    return to_bronze(inflation_observations(spark, sf_dir, days), "inflation")
 
 
-def level_bronze(spark, sf_dir):
-    return plain_bronze(level_observations(spark, sf_dir))
+def level_bronze(spark, sf_dir, months=None):
+    return plain_bronze(level_observations(spark, sf_dir, months))
 
 
-def ratio_bronze(spark, sf_dir):
-    return plain_bronze(ratio_observations(spark, sf_dir))
+def ratio_bronze(spark, sf_dir, months=None):
+    return plain_bronze(ratio_observations(spark, sf_dir, months))
 
 
 def event_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,13 +54,13 @@ def test_silver_matches_brute_force(spark, series, start):
     base = dt.date(2023, 1, 1) + dt.timedelta(days=start)
     rows = [(f"s{k}", base + dt.timedelta(days=3 * i), v) for k, vals in enumerate(series) for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "serie string, data date, valor double")
-    fx = S.silver_fx(df).select("serie", "data", "valor", "variacao_abs", "variacao_pct", "media_movel_30d",
+    fx = S.silver_fx(df, dedup=False).select("serie", "data", "valor", "variacao_abs", "variacao_pct", "media_movel_30d",
                                 "max_30d", "min_30d", "tendencia").collect()
     got = sorted(tuple(x) for x in fx)
     want = sorted((f"s{k}",) + e for k, vals in enumerate(series)
                   for e in expected_fx([(base + dt.timedelta(days=3 * i), v) for i, v in enumerate(vals)]))
     assert got == want
-    rate = S.silver_rate(df).select("serie", "data", "volatilidade_30d", "acumulado_ano").collect()
+    rate = S.silver_rate(df, dedup=False).select("serie", "data", "volatilidade_30d", "acumulado_ano").collect()
     got = sorted(tuple(x) for x in rate)
     want = sorted((f"s{k}",) + e for k, vals in enumerate(series)
                   for e in expected_rate_vol([(base + dt.timedelta(days=3 * i), v) for i, v in enumerate(vals)]))

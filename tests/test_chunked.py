@@ -59,3 +59,10 @@ def test_chunked_property(spark, n, chunk, halo_frac, parts, series):
     ref = df.withColumns(comp(Window.partitionBy("k").orderBy("t")))
     assert got.count() == n
     assert got.exceptAll(ref.select(*got.columns)).count() == 0
+
+
+def test_null_keys_are_a_series_of_their_own(spark):
+    df = spark.createDataFrame([(None, 1, 1.0), (None, 2, 2.0), ("a", 1, 5.0)], "k string, t int, value double")
+    got = chunked_window(df, ("t",), lambda w: {"chg": W.change("value", w)}, halo=1, chunk_rows=4, keys=("k",))
+    assert sorted((r.k or "", r.t, r.chg) for r in got.collect() if r.chg is not None) == [("", 2, 1.0)]
+    assert got.count() == 3

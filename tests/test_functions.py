@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from indicata.functions import (annualize, fisher_real_rate, format_delta, format_metric,
                                 format_reference, fx_trend, inflation_pressure, rate_level,
-                                round_exact, with_calendar_parts)
+                                rounded, with_calendar_parts)
+from indicata.functions.numeric import comparable, comparison_rounding, unrounded
 
 
 def one(spark, expr, value, typ="double"):
@@ -14,10 +15,19 @@ def one(spark, expr, value, typ="double"):
     return df.select(expr(F.col("x")).alias("y")).first().y
 
 
-def test_round_exact_half_up(spark):
-    assert one(spark, lambda c: round_exact(c, 2), 0.125) == 0.13
-    assert one(spark, lambda c: round_exact(c, 2), -0.125) == -0.13
-    assert one(spark, lambda c: round_exact(c, 4), None) is None
+def test_rounding_is_half_up_and_rounds_once(spark):
+    assert one(spark, lambda c: rounded(c, 2), 0.125) == 0.13
+    assert one(spark, lambda c: rounded(c, 2), -0.125) == -0.13
+    assert one(spark, lambda c: rounded(c, 4), 1.00004999999999) == 1.0
+    assert one(spark, lambda c: rounded(c, 4), None) is None
+    assert one(spark, unrounded, 1 / 3) == 1 / 3
+
+
+def test_comparison_rounding_is_opt_in(spark):
+    with comparison_rounding():
+        inside = rounded(F.col("x"), 4)
+    assert spark.createDataFrame([(1.00004999999999,)], "x double").select(inside.alias("y")).first().y == 1.0001
+    assert one(spark, lambda c: rounded(c, 4), 1.00004999999999) == 1.0
 
 
 def test_annualize_252_business_days(spark):
@@ -62,7 +72,11 @@ def test_formatting(spark):
     assert (out[2].t, out[2].d) == ("R$ 0.13 mi", "+0.00 p.p.")
 
 
-def test_round_exact_passes_through_huge_and_non_finite(spark):
+def test_huge_and_non_finite_values_pass_through(spark):
     assert one(spark, annualize, 30.0) > 1e28  # (1.3)^252, no cast failure under ANSI
-    assert math.isnan(one(spark, lambda c: round_exact(c, 4), float("nan")))
-    assert one(spark, lambda c: round_exact(c, 4), float("inf")) == float("inf")
+    for f in (lambda c: rounded(c, 4), lambda c: comparable(c, 4)):
+        assert math.isnan(one(spark, f, float("nan")))
+        assert one(spark, f, float("inf")) == float("inf")
+        assert one(spark, f, 1e30) == 1e30
+    assert one(spark, format_metric, 1e17) == "100000000000000000.00"
+    assert one(spark, format_metric, 1e300) == "1.0E300"

@@ -1,4 +1,4 @@
-"""Payload parsing (X1, X2), strict/permissive dates, lookback, sinks."""
+"""Payload parsing, strict/permissive dates, lookback, sinks."""
 
 import datetime as dt
 import json
@@ -18,19 +18,32 @@ def texts(spark, payloads):
     return spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(payloads)], "id int, payload string")
 
 
-def test_x1_payload_parses_to_date_and_double(spark):
-    df = texts(spark, [[{"data": "01/01/2024", "valor": "12.25"}, {"data": "02/01/2024", "valor": "12.25"}]])
+def test_payload_parses_to_date_and_double(spark):
+    df = texts(spark, [[{"data": "03/09/2021", "valor": "7.75"}, {"data": "04/09/2021", "valor": " -8e-1 "}]])
     out = P.parse_observations(P.explode_payload(df))
     assert dict(out.dtypes)["valor"] == "double" and dict(out.dtypes)["data"] == "date"
-    assert [(r.data, r.valor) for r in out.orderBy("data").collect()] == [
-        (D(2024, 1, 1), 12.25), (D(2024, 1, 2), 12.25)]
+    assert [(r.posicao, r.data, r.valor) for r in out.orderBy("posicao").collect()] == [
+        (0, D(2021, 9, 3), 7.75), (1, D(2021, 9, 4), -0.8)]
 
 
-def test_x2_unparseable_value_is_null_not_nan(spark):
-    df = texts(spark, [[{"data": "01/01/2024", "valor": "N/D"}]])
+@pytest.mark.parametrize("text", ["N/D", "NaN", "Infinity", "inf", "1.5d", "2f", "", "1,5", "1e999", "0x10"])
+def test_anything_but_a_plain_decimal_is_null(spark, text):
+    df = texts(spark, [[{"data": "03/09/2021", "valor": text}]])
     assert P.parse_observations(P.explode_payload(df)).first().valor is None
 
 
+def test_unreadable_payloads_are_rows_or_raise(spark):
+    payloads = [None, "<html>", '[{"data": "03/09/2021", "valor": "1"}', '[{"data": "03/09/2021", "valor": "1"}]', "[]"]
+    df = spark.createDataFrame(list(enumerate(payloads)), "id int, payload string")
+    parsed = P.parse_observations(P.explode_payload(df), strict=False)
+    good, bad = P.split_quarantine(parsed)
+    assert [r.id for r in good.collect()] == [3]
+    assert sorted((r.id, r.motivo) for r in bad.collect()) == [(i, P.UNREADABLE) for i in (0, 1, 2)]
+    for i in (0, 1, 2):
+        with pytest.raises(PySparkException):
+            P.parse_observations(P.explode_payload(df.filter(f"id = {i}")), strict=True).collect()
+
+
 def test_bad_date_strict_raises_permissive_quarantines(spark):
     df = texts(spark, [[{"data": "31/02/2024", "valor": "1"}, {"data": "01/03/2024", "valor": "2"}]])
     with pytest.raises(PySparkException):
@@ -77,7 +90,7 @@ def test_dynamic_overwrite_keeps_other_partitions(spark, tmp_path):
     path = str(tmp_path / "silver")
     src = spark.createDataFrame([("s", D(2024, m, 1), float(m)) for m in (1, 2, 3)],
                                 "serie string, data date, valor double")
-    silver = S.silver_inflation(src)
+    silver = S.silver_inflation(src, dedup=False)
     store.overwrite_partitions(silver, path, SILVER_INFLATION)
     store.overwrite_partitions(silver.filter(F.col("mes") == 2).withColumn("valor", F.lit(20.0)), path,
                                SILVER_INFLATION)
@@ -111,3 +124,34 @@ def test_lookback_adds_year_bounds_for_partition_pruning(spark, tmp_path):
     assert sorted(r.data for r in out.collect()) == [D(2024, 12, 31), D(2025, 1, 1)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ano" in plan
+
+
+def test_partitioned_writes_leave_few_files(spark, tmp_path):
+    from indicata.schemas import SILVER_FX
+    from indicata.plans import silver as S
+    days = spark.range(2000).select(
+        (F.col("id") % 5).cast("string").alias("serie"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 700).cast("int")).alias("data"),
+        (F.col("id") + 1.0).alias("valor")).repartition(8)
+    path = tmp_path / "fx"
+    silver = S.silver_fx(days.dropDuplicates(["serie", "data"]), dedup=False).repartition(8)
+    rows = silver.count()
+    store.overwrite_partitions(silver, str(path), SILVER_FX)
+    folders = [d for d in path.glob("ano=*/mes=*")]
+    assert len(list(path.rglob("*.parquet"))) <= 2 * len(folders)
+    assert store.read_table(spark, str(path), SILVER_FX).count() == rows
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from indicata.session import ensure_checkpoint_dir
+
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+        sparkContext = property(lambda self: (_ for _ in ()).throw(RuntimeError()))
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

@@ -51,7 +51,7 @@ def test_x12_last_n_months(spark):
 
 
 def test_missing_by_column_only_columns_with_gaps(spark):
-    df = spark.createDataFrame([(1.0, None), (None, None), (3.0, 1.0)], "a double, b double")
+    df = spark.createDataFrame([(1.0, None), (None, float("nan")), (3.0, 1.0)], "a double, b double")
     got = {r.coluna: r.valores_ausentes for r in MT.missing_by_column(df).collect()}
     assert got == {"a": 1, "b": 2}
 
@@ -69,3 +69,16 @@ def test_cards_and_insights(spark):
     assert texts["ipca_12m"] == "O IPCA em 12 meses desacelerou 0.30 p.p. na última observação."
     assert texts["juros_real_estimado"] == "O juro real anual estimado está negativo, em -1.00%."
     assert texts["dollar_medio_mes"] == "O dólar médio subiu R$ 0.50 frente ao mês anterior."
+
+
+def test_quality_checks_fail_when_they_should(spark):
+    from indicata.operators import quality as Q
+    df = spark.createDataFrame([(1, None), (1, 2.0), (2, 3.0)], "k int, v double")
+    assert [(r.coluna, r.nulos, r.aprovado) for r in Q.not_null(df, ("k", "v")).orderBy("coluna").collect()] == [
+        ("k", 0, True), ("v", 1, False)]
+    r = Q.unique(df, ("k",), "t").first()
+    assert (r.duplicadas, r.aprovado) == (1, False)
+    got = {r.checagem: (r.esperado, r.obtido, r.aprovado)
+           for r in Q.reconcile({"a": (3, df), "b": (4, df), "c": (2, df)}).collect()}
+    assert got == {"a": (3, 3, True), "b": (4, 3, False), "c": (2, 3, False)}
+    assert {r.checagem: r.aprovado for r in Q.reconcile({"c": (2, df)}, at_least=True).collect()} == {"c": True}

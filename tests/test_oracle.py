@@ -3,12 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from indicata.plans.oracle import ORACLE
+from indicata.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 from tools.oracle_check import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -21,8 +20,8 @@ def test_query_matches_oracle(spark, con, key):
     assert r["status"] in ("ok", "rows-only"), r
 
 
-def test_every_query_but_sampling_has_an_oracle():
-    assert set(QUERIES) - set(ORACLE) == {"sample_rows"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_runs(spark):

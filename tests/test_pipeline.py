@@ -6,13 +6,15 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from indicata.plans import pipeline as PL
 from indicata.plans.pipeline import run_pipeline
 from indicata.schemas import BRONZE_SEQ as BRONZE
 from indicata.sources import store
-from indicata.streaming.ingest import start_ingest
+from indicata.streaming.ingest import observations, quarantine, start_ingest
 from tests.e2e_fixture import FIXTURE, GOLD
 
 KIND_DIR = {"rate": "rate", "fx": "fx", "inflation": "inflation", "level": "plain", "ratio": "plain"}
+RUN = dt.datetime(2024, 5, 1)
 
 
 def land(root, fixture=FIXTURE, batch="b1"):
@@ -23,10 +25,18 @@ def land(root, fixture=FIXTURE, batch="b1"):
         (d / f"{batch}.json").write_text(json.dumps(items))
 
 
+def month(gold, iso):
+    return gold.filter(F.col("mes_ref") == F.lit(iso).cast("date")).first()
+
+
+def log(records):
+    return {(r.table_name, r.metadata.get("serie")): r for r in records.collect()}
+
+
 def test_pipeline_builds_gold_and_checks(spark, tmp_path):
     landing, out = tmp_path / "landing", tmp_path / "out"
     land(landing)
-    res = run_pipeline(spark, str(landing), str(out), dt.datetime(2025, 3, 1), check_month="2025-01-01")
+    res = run_pipeline(spark, str(landing), str(out), RUN, check_month="2024-03-01")
     gold = res["gold"]
     assert gold.count() == 2
     for row in gold.collect():
@@ -35,110 +45,169 @@ def test_pipeline_builds_gold_and_checks(spark, tmp_path):
     assert all(r.aprovado for r in res["quality"].collect())
     assert all(r.aprovado for r in res["report"].collect())
     status = {(r.kind, r.serie): r.status for r in res["status"].collect()}
-    assert status[("rate", "selic")] == "ok" and len(status) == 5
-    assert res["control"].count() == 8
+    assert status[("rate", "selic")] == "ok" and set(status.values()) == {"ok"} and len(status) == 5
+    records = log(res["run"])
+    assert len(records) == 5 + 4 + 1  # series, silver tables, gold
+    spans = {(r.started_at, r.finished_at) for r in records.values()}
+    assert len(spans) >= 8 and all(a <= b for a, b in spans)
 
 
 def test_rerun_with_revision_keeps_newest(spark, tmp_path):
     landing, out = tmp_path / "landing", tmp_path / "out"
     land(landing)
-    run_pipeline(spark, str(landing), str(out), dt.datetime(2025, 3, 1))
-    revised = {"rate": ("selic", [("2025-02-03", 0.05)])}
+    run_pipeline(spark, str(landing), str(out), RUN)
     landing2 = tmp_path / "landing2"
-    land(landing2, revised)
-    res = run_pipeline(spark, str(landing2), str(out), dt.datetime(2025, 3, 2))
-    feb = res["gold"].filter(F.col("mes_ref") == F.lit("2025-02-01").cast("date")).first()
-    assert feb.selic_media_mes == pytest.approx(0.05)
-    jan = res["gold"].filter(F.col("mes_ref") == F.lit("2025-01-01").cast("date")).first()
-    assert jan.selic_media_mes == pytest.approx(0.0405)
+    land(landing2, {"rate": ("selic", [("2024-04-02", 0.07)])})
+    res = run_pipeline(spark, str(landing2), str(out), RUN + dt.timedelta(days=1))
+    assert month(res["gold"], "2024-04-01").selic_media_mes == pytest.approx(0.07)
+    assert month(res["gold"], "2024-03-01").selic_media_mes == pytest.approx(0.04)
 
 
-def test_streaming_ingest_processes_each_file_once(spark, tmp_path):
-    landing = tmp_path / "landing"
+def test_no_row_is_lost_on_the_way_in(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
     land(landing)
-    bronze, quarantine, ckpt = (str(tmp_path / n) for n in ("bronze", "quarantine", "ckpt"))
-    q = start_ingest(spark, str(landing / "rate"), "rate", bronze, quarantine, ckpt)
-    q.awaitTermination(120)
-    assert store.read_table(spark, bronze, BRONZE).count() == 3
-    bad = landing / "rate" / "selic" / "b2.json"
-    bad.write_text(json.dumps([{"data": "31/02/2025", "valor": "1"}, {"data": "04/02/2025", "valor": "0.043"}]))
-    q = start_ingest(spark, str(landing / "rate"), "rate", bronze, quarantine, ckpt)
-    q.awaitTermination(120)
-    assert store.read_table(spark, bronze, BRONZE).count() == 4
-    assert spark.read.json(quarantine).count() == 1
+    selic = landing / "rate" / "selic"
+    (selic / "b2.json").write_text(json.dumps([{"data": "31/02/2024", "valor": "1"},
+                                               {"data": "08/03/2024", "valor": "NaN"}]))
+    (selic / "b3.json").write_text("<html>gateway error</html>")
+    res = run_pipeline(spark, str(landing), str(out), RUN)
+    bad = sorted((r.arquivo, r.motivo, r.data_texto) for r in PL.read_quarantine(spark, str(out)).collect())
+    assert bad == [("b2.json", "data inválida", "31/02/2024"), ("b3.json", "payload ilegível", None)]
+    kept = PL.read_bronze(spark, str(out)).filter("serie = 'selic'")
+    assert kept.count() == 4 and kept.filter("valor IS NULL").count() == 1
+    record = log(res["run"])[("bronze.rate", "selic")]
+    assert (record.row_count, record.metadata["quarantined"], record.status) == (4, "2", "success")
+
+
+def test_strict_stops_the_series_not_the_kind(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing)
+    other = landing / "fx" / "euro"
+    other.mkdir()
+    (other / "b1.json").write_text("not json")
+    res = run_pipeline(spark, str(landing), str(out), RUN, strict=True)
+    records = log(res["run"])
+    assert records[("bronze.fx", "euro")].status == "error"
+    assert "payload" in records[("bronze.fx", "euro")].metadata["error"]
+    assert records[("bronze.fx", "dollar")].status == "success"
+    status = {r.serie: r.status for r in res["status"].collect()}
+    assert status["euro"] == "error" and status["dollar"] == "ok"
+    # the next run is judged by its own records
+    landing2 = tmp_path / "landing2"
+    land(landing2)
+    again = run_pipeline(spark, str(landing2), str(out), RUN + dt.timedelta(days=1), strict=True)
+    assert again["run"].filter("status = 'error'").count() == 0
+    assert again["control"].filter("status = 'error'").count() == 1
 
 
-def test_failures_are_isolated_and_empty_batches_are_no_data(spark, tmp_path):
+def test_gold_reads_only_series_with_a_role(spark, tmp_path):
     landing, out = tmp_path / "landing", tmp_path / "out"
     land(landing)
-    bad = landing / "fx" / "dollar" / "b2.json"
-    bad.write_text(json.dumps([{"data": "31/02/2025", "valor": "6.0"}]))
-    res = run_pipeline(spark, str(landing), str(out), dt.datetime(2025, 3, 1), strict=True)
-    log = {r.table_name: r.status for r in res["control"].collect()}
-    assert log["bronze.fx"] == "error"
-    assert log["bronze.rate"] == "success" and log["bronze.inflation"] == "success"
-    # a second run where one kind only has an empty batch
-    landing2 = tmp_path / "landing2"
-    (landing2 / "rate" / "selic").mkdir(parents=True)
-    (landing2 / "rate" / "selic" / "empty.json").write_text("[]")
-    res2 = run_pipeline(spark, str(landing2), str(out), dt.datetime(2025, 3, 2))
-    runs = res2["control"].filter(F.col("process_name") == "ingest").collect()
-    assert any(r.table_name == "bronze.rate" and r.status == "no_data" for r in runs)
+    land(landing, {"rate": ("outra", [("2024-03-04", 9.0)]), "inflation": ("outro", [("2024-03-01", 7.0)])})
+    gold = run_pipeline(spark, str(landing), str(out), RUN)["gold"]
+    march = month(gold, "2024-03-01")
+    assert march.selic_media_mes == pytest.approx(0.04) and march.ipca_acumulado_mes == pytest.approx(0.4)
 
 
-def test_full_rebuild_clears_vanished_partitions(spark, tmp_path):
-    from indicata.plans.pipeline import build_silver
-    from indicata.schemas import SILVER_RATE
-    out = tmp_path / "out"
+def test_first_run_with_nothing_but_an_empty_batch(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    (landing / "rate" / "selic").mkdir(parents=True)
+    (landing / "rate" / "selic" / "empty.json").write_text("[]")
+    res = run_pipeline(spark, str(landing), str(out), RUN)
+    assert {r.status for r in res["run"].collect()} == {"no_data"}
+    assert ("bronze.rate", "selic") in log(res["run"])
+    assert res["gold"] is None
+
+
+def test_gold_that_fails_its_checks_is_not_published(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing)
+    before = run_pipeline(spark, str(landing), str(out), RUN)["gold"].collect()
+    gate = PL.gold_gate
+    try:
+        PL.gold_gate = lambda gold: gate(gold.unionByName(gold))  # every month twice
+        res = run_pipeline(spark, str(landing), str(out), RUN + dt.timedelta(days=1))
+    finally:
+        PL.gold_gate = gate
+    record = log(res["run"])[("gold", None)]
+    assert record.status == "error" and "mes_ref repetido = 2" in record.metadata["error"]
+    assert sorted(res["gold"].collect()) == sorted(before)
+
+
+def test_winner_inside_a_run_does_not_depend_on_file_sizes(spark, tmp_path):
+    for turn, padding in enumerate(([400, 1], [1, 400])):
+        landing, out = tmp_path / f"landing{turn}", tmp_path / f"out{turn}"
+        land(landing)
+        for name, value, n in zip(("2024-03-a.json", "2024-03-b.json"), ("0.11", "0.12"), padding, strict=True):
+            filler = [{"data": f"{1 + i % 28:02d}/0{1 + i % 2}/2020", "valor": "0.5"} for i in range(n)]
+            (landing / "rate" / "selic" / name).write_text(
+                json.dumps([*filler, {"data": "20/03/2024", "valor": value}]))
+        run_pipeline(spark, str(landing), str(out), RUN)
+        silver = PL.read_silver(spark, str(out), "rate")
+        assert silver.filter("data = DATE '2024-03-20'").first().valor == 0.12
+
+
+def test_duplicate_date_in_one_file_and_missing_landing(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing, dict(FIXTURE) | {"rate": ("selic", [("2024-03-04", 0.04), ("2024-03-04", 0.045)])})
+    res = run_pipeline(spark, str(landing), str(out), RUN)
+    assert month(res["gold"], "2024-03-01").selic_max_mes == pytest.approx(0.045)  # the later item
+    with pytest.raises(FileNotFoundError):
+        run_pipeline(spark, str(tmp_path / "missing"), str(out), RUN)
+
+
+def test_streaming_ingest_processes_each_file_once(spark, tmp_path):
     landing = tmp_path / "landing"
+    land(landing)
+    table, ckpt = str(tmp_path / "streamed"), str(tmp_path / "ckpt")
+    start_ingest(spark, str(landing / "rate"), "rate", table, ckpt).awaitTermination(120)
+    assert observations(spark, table).count() == 3
+    bad = landing / "rate" / "selic" / "b2.json"
+    bad.write_text(json.dumps([{"data": "31/02/2024", "valor": "1"}, {"data": "03/04/2024", "valor": "0.06"}]))
+    start_ingest(spark, str(landing / "rate"), "rate", table, ckpt).awaitTermination(120)
+    assert observations(spark, table).count() == 4
+    assert [r.motivo for r in quarantine(spark, table).collect()] == ["data inválida"]
+    # a fresh checkpoint replays batch 0: it replaces what batch 0 wrote
+    start_ingest(spark, str(landing / "rate"), "rate", table, str(tmp_path / "ckpt2")).awaitTermination(120)
+    assert observations(spark, table).count() == 4 + 1  # batch 0 holds all four, batch 1 its one
+
+
+def test_full_rebuild_clears_vanished_partitions(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
     land(landing, {"rate": FIXTURE["rate"]})
-    run_pipeline(spark, str(landing), str(out), dt.datetime(2025, 3, 1))
-    # February's only value is revised to an invalid one: silver has no February row
+    run_pipeline(spark, str(landing), str(out), RUN)
     landing2 = tmp_path / "landing2"
-    land(landing2, {"rate": ("selic", [("2025-02-03", -1.0)])})
-    run_pipeline(spark, str(landing2), str(out), dt.datetime(2025, 3, 2))
-    silver = lambda: store.read_table(spark, str(out / "silver" / "rate"), SILVER_RATE)
-    assert silver().filter(F.col("mes") == 2).count() == 1  # dynamic overwrite keeps it
-    build_silver(spark, str(out / "bronze"), str(out / "silver"), kinds=("rate",), rebuild=True)
-    assert silver().filter(F.col("mes") == 2).count() == 0
+    land(landing2, {"rate": ("selic", [("2024-04-02", -1.0)])})
+    run_pipeline(spark, str(landing2), str(out), RUN + dt.timedelta(days=1))
+    april = lambda: PL.read_silver(spark, str(out), "rate").filter(F.col("mes") == 4).count()
+    assert april() == 1  # dynamic overwrite keeps it
+    PL.build_silver(spark, str(out), kinds=("rate",), rebuild=True)
+    assert april() == 0
 
 
 def test_identical_rerun_leaves_silver_and_gold_unchanged(spark, tmp_path):
-    from indicata.schemas import SILVER_FX
     landing, out = tmp_path / "landing", tmp_path / "out"
     land(landing)
-    first = run_pipeline(spark, str(landing), str(out), dt.datetime(2025, 3, 1))["gold"].collect()
-    fx1 = store.read_table(spark, str(out / "silver" / "fx"), SILVER_FX).collect()
-    second = run_pipeline(spark, str(landing), str(out), dt.datetime(2025, 3, 2))["gold"].collect()
-    fx2 = store.read_table(spark, str(out / "silver" / "fx"), SILVER_FX).collect()
+    first = run_pipeline(spark, str(landing), str(out), RUN)["gold"].collect()
+    fx1 = PL.read_silver(spark, str(out), "fx").collect()
+    second = run_pipeline(spark, str(landing), str(out), RUN + dt.timedelta(days=1))["gold"].collect()
     assert sorted(first) == sorted(second)
-    assert sorted(fx1) == sorted(fx2)
+    assert sorted(fx1) == sorted(PL.read_silver(spark, str(out), "fx").collect())
     assert store.read_table(spark, str(out / "bronze"), BRONZE).count() == 2 * 12  # both batches kept
 
 
-def test_duplicate_date_in_one_batch_has_a_fixed_winner(spark, tmp_path):
-    landing, out = tmp_path / "landing", tmp_path / "out"
-    dup = dict(FIXTURE)
-    dup["rate"] = ("selic", [("2025-01-02", 0.0400), ("2025-01-02", 0.0450), ("2025-01-03", 0.0410),
-                             ("2025-02-03", 0.0420)])
-    land(landing, dup)
-    res = run_pipeline(spark, str(landing), str(out), dt.datetime(2025, 3, 1))
-    jan = res["gold"].filter(F.col("mes_ref") == F.lit("2025-01-01").cast("date")).first()
-    assert jan.selic_max_mes == pytest.approx(0.045)  # the later row of the batch wins
-    with pytest.raises(FileNotFoundError):
-        run_pipeline(spark, str(tmp_path / "missing"), str(out), dt.datetime(2025, 3, 1))
-
-
 def test_cli_steps_and_lookback_days(spark, tmp_path, capsys):
     from indicata import cli
     landing, out = tmp_path / "landing", tmp_path / "out"
     land(landing)
-    assert cli.main(["ingest", "--landing", str(landing), "--out", str(out), "--kind", "rate",
-                     "--days", "36500"]) == 0
-    assert cli.main(["ingest", "--landing", str(landing), "--out", str(out), "--kind", "fx",
-                     "--days", "1"]) == 0  # everything older than yesterday is left out
+    base = ["ingest", "--landing", str(landing), "--out", str(out)]
+    assert cli.main([*base, "--kind", "rate", "--days", "36500"]) == 0
+    assert cli.main([*base, "--kind", "fx"]) == 0  # the default window holds nothing so old
     printed = capsys.readouterr().out
-    assert "bronze.rate: 3 rows" in printed and "bronze.fx: 0 rows" in printed
+    assert "bronze.rate.selic: 3 rows" in printed and "bronze.fx" not in printed
+    assert cli.main([*base, "--serie", "nowhere"]) == 1
+    assert cli.main([*base, "--serie", "dollar", "--days", "0"]) == 0
+    assert "bronze.fx.dollar: 3 rows" in capsys.readouterr().out
     assert cli.main(["silver", "--out", str(out), "--kind", "rate"]) == 0
     assert "silver.rate: 3 rows" in capsys.readouterr().out
 
@@ -158,8 +227,12 @@ def test_cli_run_as_a_module(tmp_path):
     landing, out = tmp_path / "landing", tmp_path / "out"
     land(landing)
     repo = Path(__file__).resolve().parents[1]
-    proc = subprocess.run([sys.executable, "-m", "indicata.cli", "run", "--landing", str(landing),
-                           "--out", str(out), "--check-month", "2025-01-01"],
-                          cwd=repo, capture_output=True, text=True, timeout=600)
-    assert proc.returncode == 0, proc.stderr[-2000:]
+    run = lambda *more: subprocess.run(
+        [sys.executable, "-m", "indicata.cli", "run", "--landing", str(landing), "--out", str(out),
+         "--days", "0", *more], cwd=repo, capture_output=True, text=True, timeout=600)
+    (landing / "fx" / "dollar" / "b2.json").write_text("broken")
+    assert run("--strict").returncode == 1
+    (landing / "fx" / "dollar" / "b2.json").write_text("[]")
+    done = run("--check-month", "2024-03-01")  # a clean run after a failed one
+    assert done.returncode == 0, done.stdout[-500:] + done.stderr[-2000:]
     assert (out / "gold").is_dir() and (out / "control").is_dir()
