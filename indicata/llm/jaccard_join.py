@@ -1,20 +1,24 @@
 """N-gram Jaccard join with set-relation skipping.
 
-A document's set is its distinct word shingles. Two sets whose Jaccard
-similarity reaches the threshold share one of their first few shingles in any
-common order, here: shingles that many documents hold last. Lists of the sets
-that hold such a shingle are the index. Work is skipped by relations between
-sets, never by sampling:
+A document's set is its distinct word shingles. Work is skipped by relations
+between sets, never by leaving rows out:
 
 * documents with the same set are one set;
-* a shingle that no other set holds in its prefix makes no list;
+* a set whose lowest-hashed shingles other sets hardly hold has no partner:
+  for every size there is a number of shared ones that a partner implies
+  (see ``needed``), and most documents have fewer; only the others go on;
+* of those, only the shingles that another one of them holds count from then
+  on; a set with too few of them has no partner;
+* the index lists hold the sets by their first few shingles in an order that
+  puts common ones last, fewer in the part of the smaller set of a pair than
+  in that of the larger; a pair that links meets in a list;
 * every set first meets one hub, the set it shares most lists with, and the
-  overlap is counted exactly; hubs with the sets linked to them become
-  components, and a list whose sets are in one component is done;
+  overlap is counted exactly; sets whose links lead to the same hub are
+  connected, and a list whose sets all do is done;
 * lists are cut into blocks by set size, and blocks that cannot hold a partner
-  are not visited; position in the prefix bounds the overlap of the rest;
+  are not visited; position in the list order bounds the overlap of the rest;
 * two sets measured against the same hub get their answer from it where the
-  bounds that follow leave no doubt, either way;
+  bound that follows leaves no doubt;
 * only the pairs left are counted.
 
 Shingles and sets are told apart by 64-bit hashes.
@@ -29,21 +33,51 @@ gives an empty result; columns other than id and text are not read.
 
 from __future__ import annotations
 
+import math
+import zlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from indicata.llm.common import (K1, K3, attach, components, materialize, mix, repeated, shingle_hashes,
-                                 ship, slices, text_buffers, word_hashes)
+from indicata.llm.common import (K1, K3, attach, components, discard, materialize, mix, repeated,
+                                 shingle_hashes, ship, slices, text_buffers, word_hashes)
 
 #: Words of a shingle, threshold in percent.
 WORDS, PERCENT = 5, 75
 #: Text that a worker takes at a time; shingles counted together at a time.
 BYTES, TOGETHER = 8 << 20, 4_000_000
+#: Percent of a set's shingles that are compared beyond the first few that any
+#: two linked sets must share.
+BEYOND = 15
 #: The order puts at most so many common shingles last. Any order gives the
 #: same links; this one makes short lists.
 COMMON, SEEN = 1 << 18, 3
+#: Input bytes to a bucket of shingles.
+BUCKET = 8 << 20
+
+
+def first_few(n: int, percent: int) -> int:
+    """Of sets that reach the threshold, the first this many shingles of both,
+    in any common order, have one in common."""
+    return n - -(-percent * n // 100) + 1
+
+
+def beyond(n: int) -> int:
+    return BEYOND * n // 100
+
+
+def needed(n: int, percent: int) -> int:
+    """How many of its first ``first_few + beyond`` shingles a set shares with
+    any partner, at least, where the partner looks at its own first ones too.
+
+    The j-th shingle that both hold has at most j plus those the other lacks
+    before it, so it is among the first ones of both for every j up to 1 +
+    beyond(size) of the smaller, which has at least ``percent`` of n.
+    """
+    return 1 + beyond(-(-percent * n // 100))
 
 
 def sets_of(raw: np.ndarray, off: np.ndarray, k: int):
@@ -64,8 +98,130 @@ def set_id(u: np.ndarray) -> int:
     return int(mix(np.array([s], np.uint64)).view(np.int64)[0])
 
 
-def common_shingles(docs: DataFrame, text: str, k: int, most: int) -> np.ndarray:
-    """Common shingles, rarest first; at most ``most``.
+def settled(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> DataFrame:
+    """What every few megabytes of text know of their sets, materialized.
+
+    Each chunk sends its sets' first shingles, packed by hash range, to the
+    buckets; a shingle that several of its sets hold goes once. Buckets answer
+    which came from elsewhere too. Rows: one per chunk with its documents, sets
+    and own counts, and answers (chunk, answer: set numbers).
+    """
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    n = min(max(1, size // BUCKET), 1 << 16) if size < 1 << 60 \
+        else 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # bytes of a hash that keep chance meetings rare; a meeting costs only time
+    width = min(8, math.ceil((math.log2(max(size, 2)) + 8) / 8))
+    none = 0xFFFF
+
+    def send(batches):
+        part, n_chunk = TaskContext.get().partitionId(), 0
+        for b in batches:
+            raw, off = text_buffers(b.column(2))
+            for lo, hi in slices(off, BYTES):
+                for lo, hi in ((i, min(hi, i + none)) for i in range(lo, hi, none)):  # noqa: B020
+                    name = f"{part}-{n_chunk}"
+                    n_chunk += 1
+                    of, size, first = [], [], {}
+                    for u in sets_of(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k):
+                        s = set_id(u)
+                        of.append(s)
+                        size.append(len(u))
+                        if len(u) and s not in first:
+                            first[s] = u[:first_few(len(u), percent) + beyond(len(u))]
+                    keys = np.concatenate([*first.values(), np.zeros(0, np.uint64)])
+                    idx = np.repeat(np.arange(len(first)), [len(u) for u in first.values()])
+                    order = np.argsort(keys)
+                    keys, idx = keys[order], idx[order]
+                    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else []
+                    count = np.diff(np.append(at, len(keys))).astype(np.int64)
+                    local = np.bincount(idx[np.repeat(count > 1, count)], minlength=len(first))
+                    sent, whose = keys[at], np.where(count > 1, none, idx[at]).astype(np.uint16)
+                    bucket = (sent >> np.uint64(40)) * np.uint64(n) >> np.uint64(24)
+                    cut = np.searchsorted(bucket, np.arange(n + 1, dtype=np.uint64))
+                    short = (sent >> np.uint64(64 - 8 * width)).view(np.uint8).reshape(-1, 8)[:, :width]
+                    some = [i for i in range(n) if cut[i] < cut[i + 1]]
+                    rows = [(i, name, short[cut[i]:cut[i + 1]].tobytes(), whose[cut[i]:cut[i + 1]].tobytes())
+                            for i in some]
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array([r[j] for r in rows], t) for j, t in enumerate(
+                            (pa.int32(), pa.string(), pa.binary(), pa.binary()))),
+                         *(pa.nulls(len(rows), t) for t in META)], NAMES)
+                    sizes = dict(zip(of, size, strict=True))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([zlib.crc32(name.encode()) % n], pa.int32()), pa.array([name]),
+                        pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
+                        pa.array([b.column(0).slice(lo, hi - lo).to_pylist()], META[0]),
+                        pa.array([b.column(1).slice(lo, hi - lo).to_pylist()], META[0]),
+                        pa.array([of], META[0]), pa.array([size], META[0]), pa.array([list(first)], META[0]),
+                        pa.array([[needed(sizes[s], percent) for s in first]], META[0]),
+                        pa.array([local.tolist()], META[0])], NAMES)
+
+    def settle(batches):
+        by: dict[int, list] = {}
+        for b in batches:
+            meta = b.filter(pc.is_valid(b.column(4)))
+            if len(meta):
+                yield pa.RecordBatch.from_arrays([*meta.columns[1:2], *meta.columns[4:],
+                                                  pa.nulls(len(meta), pa.binary())], ANSWER)
+            for bucket, chunk, keys, whose in zip(*(c.to_pylist() for c in b.columns[:4]), strict=True):
+                if keys is not None:
+                    by.setdefault(bucket, []).append((chunk, keys, whose))
+        for parts in by.values():
+            keys = []
+            for _, short, _ in parts:
+                wide = np.zeros((len(short) // width, 8), np.uint8)
+                wide[:, :width] = np.frombuffer(short, np.uint8).reshape(-1, width)
+                keys.append(wide.view(np.uint64).ravel())
+            every = np.sort(np.concatenate(keys))
+            more = np.unique(every[1:][every[1:] == every[:-1]])
+            out = []
+            for key, (chunk, _, whose) in zip(keys, parts, strict=True):
+                whose = np.frombuffer(whose, np.uint16)
+                if len(more):
+                    again = more[np.minimum(np.searchsorted(more, key), len(more) - 1)] == key
+                    mine = whose[again & (whose != none)]
+                    if len(mine):
+                        out.append((chunk, mine.tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c for c, _ in out], pa.string()), *(pa.nulls(len(out), t) for t in META),
+                 pa.array([w for _, w in out], pa.binary())], ANSWER)
+
+    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"),
+                       F.col(text).alias("text"))
+    listed = ", ".join(f"{c} array<long>" for c in COLUMNS)
+    sent = slim.mapInArrow(send, f"bucket int, chunk string, keys binary, whose binary, {listed}")
+    return materialize(sent.repartition(n, "bucket").mapInArrow(
+        settle, f"chunk string, {listed}, answer binary"), "jaccard-settled")
+
+
+COLUMNS = ("ids", "hashes", "of", "size", "sets", "need", "local")
+META = [pa.list_(pa.int64())] * len(COLUMNS)
+NAMES = ["bucket", "chunk", "keys", "whose", *COLUMNS]
+ANSWER = ["chunk", *COLUMNS, "answer"]
+
+
+def candidates(known: DataFrame) -> DataFrame:
+    """(s): sets that share enough of their first shingles to have a partner."""
+    def run(batches):
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                if r["sets"]:
+                    got = np.array(r["local"], np.int64)
+                    for a in r["answers"]:
+                        got += np.bincount(np.frombuffer(a, np.uint16), minlength=len(got))
+                    out += [s for s, g, n in zip(r["sets"], got, r["need"], strict=True) if g >= n]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["s"])
+
+    answers = known.filter("answer is not null").groupBy("chunk").agg(F.collect_list("answer").alias("answers"))
+    return known.filter("sets is not null").select("chunk", "sets", "need", "local") \
+        .join(answers, "chunk", "left") \
+        .withColumn("answers", F.coalesce("answers", F.expr("cast(array() as array<binary>)"))) \
+        .select("sets", "need", "local", "answers").mapInArrow(run, "s long").distinct()
+
+
+def common_shingles(items: DataFrame, most: int) -> np.ndarray:
+    """Common shingles of the sets, rarest first; at most ``most``.
 
     A task reports what it sees SEEN times among a few million shingles.
     """
@@ -77,97 +233,98 @@ def common_shingles(docs: DataFrame, text: str, k: int, most: int) -> np.ndarray
             at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             n = np.diff(np.append(at, len(h)))
             often = n >= SEEN
-            return pa.RecordBatch.from_arrays(
-                [pa.array(h[at][often].view(np.int64)), pa.array(n[often])], ["h", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(h[at][often]), pa.array(n[often])], ["h", "n"])
 
         for b in batches:
-            raw, off = text_buffers(b.column(0))
-            for lo, hi in slices(off, BYTES):
-                for u in sets_of(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k):
-                    kept.append(u)
-                    size += len(u)
-                if size > TOGETHER:
-                    yield flush()
-                    kept, size = [], 0
+            kept.append(b.column(0).flatten().to_numpy())
+            size += len(kept[-1])
+            if size > TOGETHER:
+                yield flush()
+                kept, size = [], 0
         if size:
             yield flush()
 
-    top = docs.select(text).mapInArrow(count, "h long, n long") \
+    top = items.select("items").mapInArrow(count, "h long, n long") \
         .groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "h").limit(most)
     rows = materialize(top, "common-shingles").orderBy("n", "h").toArrow()
     return rows.column("h").to_numpy().view(np.uint64) if len(rows) else np.zeros(0, np.uint64)
 
 
-def chunked(docs: DataFrame, id_col: str, text: str, k: int, percent: int, common: np.ndarray) -> DataFrame:
-    """Rows of packed arrays, one per few megabytes of text: the documents
-    (id, text hash, set, size) and the distinct sets with their prefixes."""
-    order = np.argsort(common)
-    by_hash = common[order]
-
-    def prefix(u: np.ndarray) -> np.ndarray:
-        p = len(u) - -(-percent * len(u) // 100) + 1
-        if not len(by_hash):
-            return u[:p]
-        at = np.minimum(np.searchsorted(by_hash, u), len(by_hash) - 1)
-        often = by_hash[at] == u
-        rare = u[~often][:p]
-        if len(rare) == p:
-            return rare
-        return np.concatenate([rare, common[np.sort(order[at[often]])]])[:p]
-
-    def run(batches):
+def cores(items: DataFrame, percent: int) -> DataFrame:
+    """(s, n, t, items): of each set the ``t`` shingles that another one holds;
+    without the sets that have too few of them for any partner."""
+    def pack(batches):
         part, n_chunk = TaskContext.get().partitionId(), 0
         for b in batches:
-            raw, off = text_buffers(b.column(2))
-            for lo, hi in slices(off, BYTES):
-                ids, hashes = b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo)
-                of, size, first = [], [], {}
-                for u in sets_of(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k):
-                    s = set_id(u)
-                    of.append(s)
-                    size.append(len(u))
-                    if len(u) and s not in first:
-                        first[s] = (len(u), prefix(u))
-                keys = [p for _, p in first.values()]
-                blob = lambda x, t: pa.array([np.array(x, t).tobytes()], pa.binary())
-                listed = lambda x: pa.array([x.to_pylist()], pa.list_(pa.int64()))
+            ends = np.cumsum([len(x) for x in b.column(2)])
+            for lo, hi in slices(np.concatenate([[0], ends]), 200_000):
+                c = b.slice(lo, hi - lo)
+                keys = c.column(2).flatten().to_numpy()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([f"{part}-{n_chunk}"]), listed(ids), listed(hashes),
-                    pa.array([of], pa.list_(pa.int64())), pa.array([size], pa.list_(pa.int32())),
-                    blob(list(first), np.int64), blob([n for n, _ in first.values()], np.int32),
-                    blob([len(p) for p in keys], np.int32),
-                    pa.array([np.concatenate(keys).tobytes() if keys else b""], pa.binary()),
-                    pa.array([sum(map(len, keys))], pa.int64())],
-                    ["chunk", "ids", "hashes", "of", "size", "sets", "ns", "lengths", "keys", "n_keys"])
+                    pa.array([f"{part}-{n_chunk}"]), *(pa.array([x.tobytes()], pa.binary()) for x in (
+                        c.column(0).to_numpy(), c.column(1).to_numpy(), keys)),
+                    pa.array([len(keys)], pa.int64())], ["chunk", "sets", "ns", "keys", "n_keys"])
                 n_chunk += 1
 
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"),
-                       F.col(text).alias("text"))
-    return slim.mapInArrow(run, "chunk string, ids array<long>, hashes array<long>, of array<long>, "
-                                "size array<int>, sets binary, ns binary, lengths binary, keys binary, "
-                                "n_keys long")
-
-
-def lists(chunks: DataFrame) -> DataFrame:
-    """Entries (sig, s, n, pos) of prefix shingles that occur more than once."""
-    def run(batches):
+    def keep(batches):
         for b in batches:
             for r in b.to_pylist():
                 hits = np.sort(np.concatenate([np.frombuffer(h, np.uint64) for h in r["hits"]]))
                 keys = np.frombuffer(r["keys"], np.uint64)
-                length = np.frombuffer(r["lengths"], np.int32)
-                row = np.repeat(np.arange(len(length)), length)
-                pos = np.arange(len(keys)) - np.repeat(np.cumsum(length) - length, length)
-                ok = np.flatnonzero(hits[np.minimum(np.searchsorted(hits, keys), len(hits) - 1)] == keys)
                 sets, ns = np.frombuffer(r["sets"], np.int64), np.frombuffer(r["ns"], np.int32)
-                for a in range(0, len(ok), 50_000):
-                    i = ok[a:a + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[i].view(np.int64)), pa.array(sets[row[i]]),
-                         pa.array(ns[row[i]]), pa.array(pos[i].astype(np.int32))], ["sig", "s", "n", "pos"])
+                row = np.repeat(np.arange(len(ns)), ns)
+                ok = hits[np.minimum(np.searchsorted(hits, keys), len(hits) - 1)] == keys
+                t = np.bincount(row[ok], minlength=len(ns))
+                fit = 100 * t >= percent * ns
+                ok &= fit[row]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(sets[fit]), pa.array(ns[fit]), pa.array(t[fit].astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(t[fit])]), pa.int32()),
+                                             pa.array(keys[ok].view(np.int64)))], ["s", "n", "t", "items"])
+
+    packed = materialize(items.mapInArrow(
+        pack, "chunk string, sets binary, ns binary, keys binary, n_keys long"), "jaccard-packed")
+    return packed.drop("n_keys").join(repeated(packed.select("chunk", "n_keys", "keys")), "chunk") \
+        .mapInArrow(keep, "s long, n int, t int, items array<long>")
+
+
+def lists(sets: DataFrame, percent: int, common: np.ndarray) -> DataFrame:
+    """Entries (sig, s, n, t, pos, small) of each set's first shingles, rare
+    first; ``small``: the set may be the smaller one of a pair that meets here.
+
+    A pair needs an overlap of percent * (both sizes) / (100 + percent): at
+    least ``percent`` of the larger size, and twice that share of the smaller.
+    """
+    order = np.argsort(common)
+    by_hash = common[order]
+
+    def ranked(u: np.ndarray) -> np.ndarray:
+        if not len(by_hash):
+            return u
+        at = np.minimum(np.searchsorted(by_hash, u), len(by_hash) - 1)
+        often = by_hash[at] == u
+        return np.concatenate([u[~often], common[np.sort(order[at[often]])]])
+
+    def run(batches):
+        for b in batches:
+            s, n, t = (b.column(i).to_numpy().astype(np.int64) for i in range(3))
+            most = t - -(-percent * n // 100) + 1
+            least = t - -(-2 * percent * n // (100 + percent)) + 1
+            first = [ranked(i.values.to_numpy().view(np.uint64))[:m]
+                     for i, m in zip(b.column(3), most.tolist(), strict=True)]
+            length = [len(p) for p in first]
+            row = np.repeat(np.arange(len(first)), length)
+            pos = np.concatenate([np.arange(i, dtype=np.int32) for i in length])
+            keys = np.concatenate(first).view(np.int64)
+            for a in range(0, len(row), 50_000):
+                r, p = row[a:a + 50_000], pos[a:a + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[a:a + 50_000]), pa.array(s[r]), pa.array(n[r].astype(np.int32)),
+                     pa.array(t[r].astype(np.int32)), pa.array(p), pa.array(p < least[r])],
+                    ["sig", "s", "n", "t", "pos", "small"])
 
-    return chunks.select("chunk", "sets", "ns", "lengths", "keys").join(repeated(chunks), "chunk") \
-        .mapInArrow(run, "sig long, s long, n int, pos int").distinct()
+    return sets.select("s", "n", "t", "items").mapInArrow(
+        run, "sig long, s long, n int, t int, pos int, small boolean")
 
 
 def contents(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
@@ -187,8 +344,8 @@ def contents(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, k: int)
     found = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_th"),
                         F.col(text).alias("_text")) \
         .join(wanted, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_th") == F.col("th"))) \
-        .select("s", "_text")
-    return found.mapInArrow(run, "s long, n int, items array<long>").dropDuplicates(["s"])
+        .dropDuplicates(["_id", "_th"]).select("s", "_text")
+    return found.mapInArrow(run, "s long, n int, items array<long>")
 
 
 def counted(pairs: DataFrame, items: DataFrame) -> DataFrame:
@@ -202,54 +359,57 @@ def counted(pairs: DataFrame, items: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = WORDS,
             percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id."""
-    common = common_shingles(docs, text, k, COMMON)
-    chunks = materialize(chunked(docs, id_col, text, k, percent, common), "jaccard-sets")
-    rows = chunks.select(F.explode(F.arrays_zip("ids", "hashes", "of", "size")).alias("r")) \
+    known_sets = settled(docs, id_col, text, k, percent)
+    rows = known_sets.filter("sets is not null") \
+        .select(F.explode(F.arrays_zip("ids", "hashes", "of", "size")).alias("r")) \
         .select(F.col("r.ids").alias("id"), F.col("r.hashes").alias("th"), F.col("r.of").alias("s"),
                 F.col("r.size").alias("n"))
     held = materialize(rows.filter("n > 0").groupBy("s").agg(
         F.min("id").alias("low"), F.count("*").alias("rows"),
         F.min(F.struct("id", "th")).alias("one")), "jaccard-held")
+    wanted = candidates(known_sets).join(held, "s").select("s", "one.id", "one.th")
+    items = materialize(cores(contents(docs, wanted, id_col, text, k), percent), "jaccard-cores")
 
     # lists of shingles that at least two sets hold, each with a hub
-    entries = materialize(lists(chunks), "jaccard-entries")
-    shared = materialize(entries.groupBy("sig").agg(
+    raw = materialize(lists(items, percent, common_shingles(items, COMMON)), "jaccard-entries")
+    shared = materialize(raw.groupBy("sig").agg(
         F.min("s").alias("hub"), F.max("s").alias("_last")).filter("hub <> _last").drop("_last"),
         "jaccard-shared")
-    entries = materialize(entries.join(shared, "sig"), "jaccard-lists")
+    entries = materialize(raw.join(shared, "sig"), "jaccard-lists")
+    discard(raw)
     best = entries.filter("s <> hub").groupBy("s", "hub").agg(F.count("*").alias("c")) \
         .groupBy("s").agg(F.max(F.struct("c", "hub")).alias("m")) \
         .select(F.col("s").alias("a"), F.col("m.hub").alias("b"))
-    wanted = entries.select("s").distinct().join(held, "s").select("s", "one.id", "one.th")
-    items = materialize(contents(docs, wanted, id_col, text, k), "jaccard-items")
 
     enough = f"100 * o >= {percent} * (na + nb - o)"
     met = materialize(counted(best, items), "jaccard-hubs")
     near = met.filter(enough).select("a", "b")
-    star = materialize(components(near), "jaccard-stars")
-    # what is known of each set: component so far, its hub and the overlap
+    # what is known of each set: its hub and the overlap, and whom its links
+    # lead to in a few steps (sets that lead to the same one are connected)
+    up = near.select(F.col("a").alias("c"), F.col("b").alias("_up"))
+    leads = items.select("s", F.col("s").alias("c"))
+    for _ in range(3):
+        leads = leads.join(up, "c", "left").select("s", F.coalesce("_up", "c").alias("c"))
     known = materialize(
-        items.select("s").join(star.select(F.col("node").alias("s"), "component"), "s", "left")
-        .join(met.select(F.col("a").alias("s"), F.col("b").alias("h"), "o"), "s", "left")
-        .select("s", F.coalesce("component", "s").alias("c"), F.coalesce("h", "s").alias("h"), "o"),
-        "jaccard-known")
-    told = entries.drop("hub").join(known, "s").withColumn("o", F.coalesce("o", "n"))
+        leads.join(met.select(F.col("a").alias("s"), F.col("b").alias("h"), "o"), "s", "left")
+        .select("s", "c", F.coalesce("h", "s").alias("h"), "o"), "jaccard-known")
+    told = entries.drop("hub").join(known, "s").withColumn("o", F.coalesce("o", "t"))
     open_ = told.groupBy("sig").agg(F.min("c").alias("_a"), F.max("c").alias("_b")) \
         .filter("_a <> _b").select("sig")
     told = materialize(told.join(open_, "sig").withColumn(
         "size_class", F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)))), "jaccard-open")
-    left = told.select("sig", "size_class", *[F.col(c).alias(f"{c}a") for c in ("s", "n", "pos", "c", "h", "o")])
+    names = ("s", "n", "t", "pos", "c", "h", "o")
+    left = told.filter("small").select("sig", "size_class", *[F.col(c).alias(f"{c}a") for c in names])
     right = told.select("sig", F.explode(F.array(F.col("size_class"), F.col("size_class") - 1))
-                        .alias("size_class"),
-                        *[F.col(c).alias(f"{c}b") for c in ("s", "n", "pos", "c", "h", "o")])
+                        .alias("size_class"), *[F.col(c).alias(f"{c}b") for c in names])
     reach = f"{percent} * (na + nb)"
     whole = 100 + percent
     pairs = left.join(right, ["sig", "size_class"]).filter(
         "ca <> cb and (na < nb or (na = nb and sa < sb))"
-        f" and 100 * na >= {percent} * nb"
-        f" and {whole} * (least(posa, posb) + 1 + least(na - 1 - posa, nb - 1 - posb)) >= {reach}"
+        f" and 100 * na >= {percent} * nb and {whole} * least(ta, tb) >= {reach}"
+        f" and {whole} * (least(posa, posb) + 1 + least(ta - 1 - posa, tb - 1 - posb)) >= {reach}"
         " and ha <> sb and hb <> sa"
-        f" and (ha <> hb or {whole} * (least(oa, ob) + least(na - oa, nb - ob)) >= {reach})") \
+        f" and (ha <> hb or {whole} * (least(oa, ob) + least(ta - oa, tb - ob)) >= {reach})") \
         .select(F.col("sa").alias("a"), F.col("sb").alias("b")).distinct()
     late = counted(materialize(pairs, "jaccard-pairs"), items).filter(enough).select("a", "b")
     joined = materialize(components(near.union(late)), "jaccard-components")
