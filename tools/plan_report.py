@@ -53,7 +53,7 @@ def final_plan(df) -> str:
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as entry
+    from indicata.plans.registry import QUERIES
     from indicata.session import get_spark
     spark = get_spark("plan-report", master="local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
@@ -66,7 +66,7 @@ def main(argv):
           "windows | top-k | scans | max cols read |")
     print("|---|---|---|---|---|---|---|---|---|---|---|---|")
     pushed_rows = []
-    for key, q in entry.queries().items():
+    for key, q in QUERIES.items():
         s = summarize(final_plan(q(spark, sf_dir)))
         bad = " **(!)**" if s["nested_loop_or_cartesian"] else ""
         print(f"| `{key}`{bad} | {s['hash_shuffles']} | {s['range_shuffles']} | {s['single_partition']} | "
