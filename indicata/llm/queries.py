@@ -39,7 +39,7 @@ def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.clean(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.clean(table(spark, sf_dir, "documents"), keep=False)
 
 
 def op8_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from indicata.llm.common import (HEAVY_PARTS, attach, discard, materialize, mix, repeated, ship, slices,
+from indicata.llm.common import (HEAVY_PARTS, K2, attach, discard, materialize, repeated, ship, slices,
                                  text_buffers)
 
 LENGTH, GRAM = 200, 40
@@ -60,8 +60,14 @@ def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     up, down = _powers(len(raw))
     total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up, out=total[1:])
-    return mix((total[gram:] - total[:n]) * down[:n])
+    np.multiply(raw, up, out=total[1:])
+    np.cumsum(total, out=total)
+    h = total[gram:] - total[:n]
+    h *= down[:n]
+    h ^= h >> np.uint64(32)
+    h *= K2
+    h ^= h >> np.uint64(29)
+    return h
 
 
 def window_min(h: np.ndarray, w: int) -> np.ndarray:
@@ -84,20 +90,29 @@ def stretches(raw: np.ndarray, off: np.ndarray, length: int, gram: int):
     h = gram_hashes(raw, gram)
     least = window_min(h, length - gram + 1)
     n = np.maximum(np.diff(off) - length + 1, 0)
-    doc = np.repeat(np.arange(len(n)), n)
-    at = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
-    where = at + off[:-1][doc]
-    key = least[where]
-    if not len(doc):
-        return key, doc, at, at, key
+    if not len(least):
+        none = np.zeros(0, np.int64)
+        return least, none, none, none, least
+    change = np.empty(len(least), bool)
+    change[0] = True
+    np.not_equal(least[1:], least[:-1], out=change[1:])
+    some = n > 0
+    change[off[:-1][some]] = True
+    past = (off[:-1] + n)[some]  # from here to the next text strings would cross the border
+    change[past[past < len(least)]] = True
+    new = np.flatnonzero(change)
+    count = np.diff(np.append(new, len(least)))
+    doc = np.searchsorted(off, new, "right") - 1
+    inside = new - off[doc] < n[doc]
+    new, count, doc = new[inside], count[inside], doc[inside]
     # the gram leaves the window, yet the smallest stays: it is there again
-    again = key[1:][(key[1:] == key[:-1]) & (doc[1:] == doc[:-1]) & (h[where[:-1]] == key[:-1])]
-    new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]))
-    count = np.diff(np.append(new, len(doc)))
+    gone = np.flatnonzero(h[:len(least) - 1] == least[:-1])
+    again = np.unique(least[gone[~change[gone + 1]]])
     parts = -(-count // RUN)
     first = np.repeat(new, parts) + RUN * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
     count = np.minimum(np.repeat(new + count, parts) - first, RUN)
-    return key[first], doc[first], at[first], count, np.unique(again)
+    doc = np.repeat(doc, parts)
+    return least[first], doc, first - off[doc], count, again
 
 
 def chunked(docs: DataFrame, id_col: str, text: str, length: int, gram: int) -> DataFrame:
@@ -154,34 +169,39 @@ def found(chunks: DataFrame) -> DataFrame:
 def contexts(texts: DataFrame, length: int, gram: int, crowded: np.ndarray) -> DataFrame:
     """(id, th, h, at, bytes) of all stretches of ``texts``; those of crowded
     buckets in finer ones."""
-    crowded = np.sort(crowded)
-
     def run(batches):
         for b in batches:
+            rows: list[list] = [[], [], [], [], []]
+            size = 0
             for rid, th, text, keys, at, count in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 data = text.encode()
-                keys = np.frombuffer(keys, np.uint64)
-                at, count = np.frombuffer(at, np.int32), np.frombuffer(count, np.int16)
-                h, first, size = [], [], []
-                for key, a, n in zip(keys.tolist(), at.tolist(), count.tolist(), strict=True):
-                    i = np.searchsorted(crowded, np.uint64(key))
-                    if i < len(crowded) and int(crowded[i]) == key:
-                        for k, f, m in finer(data[a:a + n + length - 1], key, n, length, gram):
-                            h.append(k)
-                            first.append(a + f)
-                            size.append(m)
-                    else:
-                        h.append(key)
-                        first.append(a)
-                        size.append(n)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([rid] * len(h), pa.int64()), pa.array([th] * len(h), pa.int64()),
-                    pa.array(np.array(h, np.uint64).view(np.int64)), pa.array(first, pa.int32()),
-                    pa.array([data[f:f + m + length - 1] for f, m in zip(first, size, strict=True)],
-                             pa.binary())], ["id", "th", "h", "at", "bytes"])
+                key = np.frombuffer(keys, np.uint64)
+                spots = list(zip(key.view(np.int64).tolist(), np.frombuffer(at, np.int32).tolist(),
+                                 np.frombuffer(count, np.int16).tolist(), strict=True))
+                for i in np.flatnonzero(np.isin(key, crowded))[::-1].tolist() if len(crowded) else ():
+                    _, a, n = spots[i]
+                    spots[i:i + 1] = [(k, a + f, m) for k, f, m in finer(
+                        data[a:a + n + length - 1], int(key[i]), n, length, gram)]
+                rows[0] += [rid] * len(spots)
+                rows[1] += [th] * len(spots)
+                rows[2] += [k for k, _, _ in spots]
+                rows[3] += [a for _, a, _ in spots]
+                rows[4] += [data[a:a + n + length - 1] for _, a, n in spots]
+                size += sum(n + length for _, _, n in spots)
+                if size > BLOCK:
+                    yield _stretch_rows(rows)
+                    rows, size = [[], [], [], [], []], 0
+            yield _stretch_rows(rows)
 
     return texts.select("id", "th", "text", "keys", "at", "count") \
-        .mapInArrow(run, "id long, th long, h long, at int, bytes binary")
+        .mapInArrow(run, "id long, th long, h long, at int, bytes binary") \
+        .withColumn("c", F.xxhash64("bytes"))
+
+
+def _stretch_rows(rows: list[list]) -> pa.RecordBatch:
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, types, strict=True)],
+                                      ["id", "th", "h", "at", "bytes"])
 
 
 def finer(data: bytes, key: int, n: int, length: int, gram: int):
@@ -198,37 +218,44 @@ def finer(data: bytes, key: int, n: int, length: int, gram: int):
         low = gram_at - int(group[a]) * FINE
         core = data[low:low + length - FINE + 1]
         name = hashlib.blake2b(core, digest_size=8, salt=int(group[a]).to_bytes(8, "big"))
-        yield int.from_bytes(name.digest(), "big"), int(a), int(z - a)
+        yield int.from_bytes(name.digest(), "big", signed=True), int(a), int(z - a)
 
 
-def sort_suffixes(data: bytes, end: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray:
-    """The ``wanted`` positions in the order of their suffixes, to ``depth``.
+def sort_suffixes(data: bytes, end: np.ndarray, group: np.ndarray, wanted: np.ndarray,
+                  depth: int) -> np.ndarray:
+    """The ``wanted`` positions by group, in the order of their suffixes, to
+    ``depth``.
 
-    ``end``: of every position the end of its own stretch. Stage one sorts the
-    wanted suffixes that are smaller than their successors; stage two scans
-    the buckets of first bytes in order and appends, for every suffix it
-    passes, the one that starts a byte earlier if that is a larger one.
+    ``end``, ``group``: of every position the end of its own stretch and its
+    bucket. Stage one sorts the wanted suffixes that are smaller than their
+    successors; stage two scans the buckets of first bytes in order and
+    appends, for every suffix it passes, the one that starts a byte earlier
+    if that is a larger one. Both keep the order inside every group, which is
+    all that is asked for, so the direct sort runs group by group.
     """
     raw = np.frombuffer(data, np.uint8)
     n = len(raw)
-    last = np.arange(n) + 1 == end
     step = np.zeros(n, np.int8)
     step[:-1] = np.sign(raw[1:].astype(np.int16) - raw[:-1])
-    step[last] = 1
+    step[end - 1] = 1
     # a run of one byte goes the way that its end goes
-    turn = np.where(step != 0, np.arange(n), n)
-    turn = np.minimum.accumulate(turn[::-1])[::-1]
+    place = np.arange(n)
+    turn = np.minimum.accumulate(np.where(step != 0, place, n)[::-1])[::-1]
     small = step[np.minimum(turn, n - 1)] > 0
     # the larger ones need their successors up to the next smaller one
-    stop = np.minimum.accumulate(np.where(small, np.arange(n), n)[::-1])[::-1]
-    need = np.zeros(n + 1, np.int32)
-    np.add.at(need, wanted, 1)
-    np.add.at(need, stop[wanted] + 1, -1)
-    need = np.cumsum(need)[:n] > 0
+    stop = np.minimum.accumulate(np.where(small, place, n)[::-1])[::-1]
+    need = np.cumsum(np.bincount(wanted, minlength=n + 1)
+                     - np.bincount(stop[wanted] + 1, minlength=n + 1)[:n + 1])[:n] > 0
     direct = np.flatnonzero(need & small)
     keys = [data[i:min(i + depth, e)] for i, e in zip(direct.tolist(), end[direct].tolist(), strict=True)]
-    direct = direct[np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)] if keys else direct
-    del keys
+    of = group[direct]
+    edge = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]])).tolist() if len(of) else [0]
+    get, order = keys.__getitem__, []
+    for a, z in zip(edge[:-1], edge[1:], strict=True):
+        order += sorted(range(a, z), key=get)
+    direct = direct[np.array(order, np.int64)]
+    del keys, get, order
+    direct = direct[np.argsort(raw[direct], kind="stable")]
     heads = np.searchsorted(raw[direct], np.arange(257))
     larger = need & ~small
     queue: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -258,18 +285,24 @@ def sort_suffixes(data: bytes, end: np.ndarray, wanted: np.ndarray, depth: int)
     every = np.concatenate(out) if out else np.zeros(0, np.int64)
     real = np.zeros(n, bool)
     real[wanted] = True
-    return every[real[every]]
+    every = every[real[every]]
+    return every[np.argsort(group[every], kind="stable")]
 
 
-def repeats(parts: list[bytes], counts: np.ndarray, length: int) -> list[np.ndarray]:
-    """Of each stretch the starts of strings that occur at least twice."""
+def repeats(parts: list[bytes], counts: np.ndarray, length: int,
+            buckets: np.ndarray | None = None) -> list[np.ndarray]:
+    """Of each stretch the starts of strings that occur at least twice.
+
+    ``buckets``: numbers, not falling, of stretches whose strings can be equal.
+    """
     data = b"".join(parts)
     size = np.array([len(p) for p in parts])
     edge = np.concatenate([[0], np.cumsum(size)])
     starts = size - length + 1
     which = np.repeat(np.arange(len(parts)), starts)
     wanted = np.arange(len(which)) - np.repeat(np.cumsum(starts) - starts, starts) + edge[which]
-    order = sort_suffixes(data, np.repeat(edge[1:], size), wanted, length)
+    buckets = np.zeros(len(parts), np.int32) if buckets is None else buckets.astype(np.int32)
+    order = sort_suffixes(data, np.repeat(edge[1:], size), np.repeat(buckets, size), wanted, length)
     same = np.zeros(len(order), bool)
     before = b""
     for j, i in enumerate(order.tolist()):
@@ -279,9 +312,8 @@ def repeats(parts: list[bytes], counts: np.ndarray, length: int) -> list[np.ndar
     group = np.cumsum(~same) - 1
     of = np.searchsorted(edge, order, "right") - 1
     twice = np.bincount(group, weights=counts[of])[group] >= 2
-    order, of = order[twice], of[twice]
-    by = np.lexsort((order, of))
-    order, of = order[by], of[by]
+    order = np.sort(order[twice])
+    of = np.searchsorted(edge, order, "right") - 1
     cut = np.searchsorted(of, np.arange(len(parts) + 1))
     return [order[cut[i]:cut[i + 1]] - edge[i] for i in range(len(parts))]
 
@@ -302,7 +334,9 @@ def judged(distinct: DataFrame, length: int) -> DataFrame:
         held, size, last = [], 0, None
 
         def settle(rows):
-            got = repeats([r[1] for r in rows], np.array([r[3] for r in rows]), length)
+            h = np.array([r[0] for r in rows], np.int64)
+            got = repeats([r[1] for r in rows], np.array([r[3] for r in rows]), length,
+                          np.cumsum(np.concatenate([[0], h[1:] != h[:-1]])))
             some = [(r, runs(s, length)) for r, s in zip(rows, got, strict=True) if len(s)]
             return pa.RecordBatch.from_arrays([
                 pa.array([r[0] for r, _ in some], pa.int64()), pa.array([r[2] for r, _ in some], pa.int64()),
@@ -321,15 +355,14 @@ def judged(distinct: DataFrame, length: int) -> DataFrame:
         if held:
             yield settle(held)
 
-    return distinct.repartition("h").sortWithinPartitions("h") \
-        .select("h", "bytes", F.xxhash64("bytes").alias("c"), "n") \
+    return distinct.repartition("h").sortWithinPartitions("h").select("h", "bytes", "c", "n") \
         .mapInArrow(run, "h long, c long, n long, cover binary")
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH,
-          gram: int = GRAM) -> DataFrame:
+          gram: int = GRAM, keep: bool = True) -> DataFrame:
     """One row per row of ``docs``: id, n_bytes, n_removed, n_spans,
-    kept_sha256 and kept (the remaining bytes)."""
+    kept_sha256 and, with ``keep``, kept (the remaining bytes)."""
     chunks = materialize(chunked(docs, id_col, text, length, gram), "suffix-chunks")
     slim = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_th"),
                        F.coalesce(text, F.lit("")).alias("text"))
@@ -340,10 +373,10 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: i
     discard(chunks)
     touched = parted.filter("keys is not null")
     crowded = crowded_keys(touched)
-    pieces = contexts(touched, length, gram, crowded)
-    distinct = pieces.groupBy("h", "bytes").agg(F.count("*").alias("n"))
+    pieces = materialize(contexts(touched, length, gram, crowded), "suffix-stretches")
+    distinct = pieces.groupBy("h", "bytes", "c").agg(F.count("*").alias("n"))
     covers = materialize(judged(distinct, length), "suffix-covers")
-    spots = attach(pieces.select("id", "th", "h", "at", F.xxhash64("bytes").alias("c")), covers,
+    spots = attach(pieces.select("id", "th", "h", "at", "c"), covers,
                    ["h", "c"], "n", F.xxhash64("id", "th", "at")).filter("cover is not null")
     by_doc = spots.groupBy("id", "th").agg(F.collect_list(F.struct("at", "cover")).alias("covers")) \
         .select(F.col("id").alias("_id"), F.col("th").alias("_th"), "covers")
@@ -353,27 +386,28 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: i
 
     def run(batches):
         for b in batches:
-            out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
+            rows = []
             for text, covers in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                data = text.encode()
-                gone = np.zeros(len(data) + 1, np.int32)
-                for c in covers or []:
-                    ranges = np.frombuffer(c["cover"], np.int32).reshape(-1, 2) + c["at"]
-                    np.add.at(gone, ranges[:, 0], 1)
-                    np.add.at(gone, ranges[:, 1], -1)
-                mask = np.cumsum(gone)[:-1] > 0
-                left = np.frombuffer(data, np.uint8)[~mask].tobytes() if covers else data
-                for k, v in zip(out, (len(data), int(mask.sum()),
-                                      int((mask & ~np.concatenate([[False], mask[:-1]])).sum()),
-                                      hashlib.sha256(left).hexdigest(), left), strict=True):
-                    out[k].append(v)
+                data = left = text.encode()
+                removed = spans = 0
+                if covers:
+                    ranges = np.concatenate([np.frombuffer(c["cover"], np.int32).reshape(-1, 2) + c["at"]
+                                             for c in covers])
+                    ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
+                    reach = np.maximum.accumulate(ranges[:, 1])
+                    new = np.flatnonzero(np.concatenate([[True], ranges[1:, 0] > reach[:-1]]))
+                    begin, stop = ranges[new, 0].tolist(), reach[np.append(new[1:] - 1, len(reach) - 1)].tolist()
+                    removed, spans = sum(stop) - sum(begin), len(begin)
+                    left = b"".join(data[a:z] for a, z in zip([0, *stop], [*begin, len(data)], strict=True))
+                rows.append((len(data), removed, spans, hashlib.sha256(left).hexdigest(), left if keep else None))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *[pa.array(out[k], pa.int64()) for k in ("n_bytes", "n_removed", "n_spans")],
-                 pa.array(out["kept_sha256"], pa.string()), pa.array(out["kept"], pa.binary())],
-                ["id", *out])
+                [b.column(0), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))],
+                ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return cut.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, "
-                               "kept_sha256 string, kept binary").withColumnRenamed("id", id_col)
+    out = cut.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+                              "kept binary").withColumnRenamed("id", id_col)
+    return out if keep else out.drop("kept")
 
 
 def crowded_keys(touched: DataFrame) -> np.ndarray:
