@@ -48,7 +48,7 @@ from indicata.llm.common import (K1, K3, attach, components, discard, materializ
 #: Words of a shingle, threshold in percent.
 WORDS, PERCENT = 5, 75
 #: Text that a worker takes at a time; shingles counted together at a time.
-BYTES, TOGETHER = 8 << 20, 4_000_000
+BYTES, TOGETHER = 4 << 20, 4_000_000
 #: Percent of a set's shingles that are compared beyond the first few that any
 #: two linked sets must share.
 BEYOND = 15
@@ -257,7 +257,7 @@ def cores(items: DataFrame, percent: int) -> DataFrame:
         part, n_chunk = TaskContext.get().partitionId(), 0
         for b in batches:
             ends = np.cumsum([len(x) for x in b.column(2)])
-            for lo, hi in slices(np.concatenate([[0], ends]), 200_000):
+            for lo, hi in slices(np.concatenate([[0], ends]), 50_000):
                 c = b.slice(lo, hi - lo)
                 keys = c.column(2).flatten().to_numpy()
                 yield pa.RecordBatch.from_arrays([
