@@ -62,9 +62,9 @@ def rounded(c: Column | str, digits: int) -> Column:
     return comparable(c, digits) if _comparing.get() else F.round(_col(c), digits)
 
 
-def unrounded(c: Column | str) -> Column:
-    """An aggregate in full precision (cut to compared digits in a comparison)."""
-    return comparable(c, DIGITS_COMPARED) if _comparing.get() else _col(c)
+def unrounded(c: Column | str, compared: int = DIGITS_COMPARED) -> Column:
+    """An aggregate in full precision (cut to ``compared`` digits in a comparison)."""
+    return comparable(c, compared) if _comparing.get() else _col(c)
 
 
 def annualize(rate: Column | str, periods: int = BUSINESS_DAYS_PER_YEAR,

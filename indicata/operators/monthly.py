@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicata.functions.calendar import month_start
-from indicata.functions.numeric import unrounded
+from indicata.functions.numeric import DIGITS_COMPARED, unrounded
+
+
+# Digits of money amounts that a comparison looks at (they are large).
+COMPARED_MONEY = {"pib_valor_mes": 2}
 
 
 def _by_month(df: DataFrame, keys: Sequence[str]):
@@ -47,7 +51,7 @@ def monthly_fx(silver: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def monthly_average(silver: DataFrame, name: str, keys: Sequence[str] = ()) -> DataFrame:
     """Plain monthly series (level, ratio): the mean of the month, NULLs ignored."""
-    return _by_month(silver, keys).agg(unrounded(F.avg("valor")).alias(name))
+    return _by_month(silver, keys).agg(unrounded(F.avg("valor"), COMPARED_MONEY.get(name, DIGITS_COMPARED)).alias(name))
 
 
 def monthly_level(silver: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -63,5 +67,6 @@ def monthly_plain(silver: DataFrame, names: dict[str, str]) -> DataFrame:
     months in which none of them has a row are absent."""
     known = silver.filter(F.col("serie").isin(*names))
     return _by_month(known, ()).agg(*[
-        unrounded(F.avg(F.when(F.col("serie") == serie, F.col("valor")))).alias(name)
+        unrounded(F.avg(F.when(F.col("serie") == serie, F.col("valor"))),
+                  COMPARED_MONEY.get(name, DIGITS_COMPARED)).alias(name)
         for serie, name in names.items()])
