@@ -356,16 +356,17 @@ def counted(pairs: DataFrame, items: DataFrame) -> DataFrame:
         "a", "b", "na", "nb", F.size(F.array_intersect("ia", "ib")).alias("o"))
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = WORDS,
-            percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id."""
+def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> DataFrame:
+    """One row per row of ``docs``: id, th (hash of the text), n (shingles)
+    and, in a component of several rows, ``rows`` (those of its set) and
+    ``first``: the smallest id, and text hash of that id, of the component."""
     known_sets = settled(docs, id_col, text, k, percent)
     rows = known_sets.filter("sets is not null") \
         .select(F.explode(F.arrays_zip("ids", "hashes", "of", "size")).alias("r")) \
         .select(F.col("r.ids").alias("id"), F.col("r.hashes").alias("th"), F.col("r.of").alias("s"),
                 F.col("r.size").alias("n"))
     held = materialize(rows.filter("n > 0").groupBy("s").agg(
-        F.min("id").alias("low"), F.count("*").alias("rows"),
+        F.min(F.struct(F.isnull("id").alias("none"), "id", "th")).alias("low"), F.count("*").alias("rows"),
         F.min(F.struct("id", "th")).alias("one")), "jaccard-held")
     wanted = candidates(known_sets).join(held, "s").select("s", "one.id", "one.th")
     items = materialize(cores(contents(docs, wanted, id_col, text, k), percent), "jaccard-cores")
@@ -414,27 +415,43 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
     late = counted(materialize(pairs, "jaccard-pairs"), items).filter(enough).select("a", "b")
     joined = materialize(components(near.union(late)), "jaccard-components")
 
-    # the smallest id of a component, and the rows of its sets
+    # the first row of a component (null ids last), and the rows of its sets
     member = held.join(joined.select(F.col("node").alias("s"), "component"), "s", "left") \
         .withColumn("component", F.coalesce("component", "s"))
-    lowest = member.groupBy("component").agg(F.min("low").alias("lowest"), F.sum("rows").alias("all")) \
+    lowest = member.groupBy("component").agg(F.min("low").alias("first"), F.sum("rows").alias("all")) \
         .filter("all > 1")
-    groups = materialize(member.join(lowest, "component").select("s", "rows", "lowest"), "jaccard-groups")
-    out = attach(rows.withColumn("s", F.when(F.col("n") > 0, F.col("s"))), groups, ["s"], "rows",
-                 F.xxhash64("id", "th"))
+    groups = materialize(member.join(lowest, "component").select("s", "rows", "first"), "jaccard-groups")
+    return attach(rows.withColumn("s", F.when(F.col("n") > 0, F.col("s"))), groups, ["s"], "rows",
+                  F.xxhash64("id", "th"))
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = WORDS,
+            percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, component_id."""
     alone = F.col("rows").isNull()
-    return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-                      F.when(alone, F.col("id")).otherwise(F.col("lowest")).alias("component_id"))
-
-
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component (all rows
-    of a component of null ids); repeated rows of one id and text are one."""
-    found = classes(docs, id_col, text, **how)
-    gone = found.filter(F.col(id_col).isNull() & F.col("component_id").isNotNull()
-                        | (F.col(id_col) != F.col("component_id"))).select(F.col(id_col).alias("_id"))
-    gone = materialize(gone.distinct(), "jaccard-gone")
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+    return grouped(docs, id_col, text, k, percent).select(
+        F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
+        F.when(alone, F.col("id")).otherwise(F.col("first.id")).alias("component_id"))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = WORDS,
+               percent: int = PERCENT) -> DataFrame:
+    """One row of ``docs`` for each component: the smallest id's (of a
+    component of null ids only, one of those; of several texts under that id,
+    one of those; any of its rows, where it is repeated). Rows are told apart
+    by id and text; those without shingles all stay."""
+    found = grouped(docs, id_col, text, k, percent).filter("rows is not null") \
+        .select(F.col("id").alias("_id"), F.col("th").alias("_th"),
+                (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("th") == F.col("first.th"))).alias("kept"))
+    judged = materialize(found.groupBy("_id", "_th", "kept").agg(F.count("*").alias("n")), "jaccard-judged")
+    of = lambda some: F.col("_i").eqNullSafe(some["_id"]) & (F.col("_t") == some["_th"])
+    gone, again = judged.filter("not kept"), judged.filter("kept and n > 1")
+    left = docs.withColumns({"_i": F.col(id_col).cast("long"), "_t": F.xxhash64(text)})
+    left = left.join(gone, of(gone), "left_anti")
+    if not again.isEmpty():
+        left = left.join(again, of(again), "left_anti").unionByName(
+            left.join(again, of(again), "left_semi").dropDuplicates(["_i", "_t"]))
+    return left.drop("_i", "_t")
 
 
 ship(__name__)

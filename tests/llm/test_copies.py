@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from indicata.llm import chaining, chunk_recipes, jaccard_join, suffix_dedup
 from indicata.llm.common import attach, components, materialize
-from tests.llm.cases import documents, empty, values
+from tests.llm.cases import documents, empty, prose, values
 
 SPACE = re.compile("[\x20\x09-\x0d]+")
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -100,6 +100,25 @@ def test_jaccard_keeps_one_of_each_class(docs):
     assert {r.doc_id for r in left.filter("doc_id is not null").collect()} == classes
 
 
+def test_jaccard_keeps_rows_by_id_and_text(spark):
+    """Null and repeated ids: one row of each class, and every row in none."""
+    import random
+    rnd = random.Random(5)
+    a, b, c, d, e, f, g = (prose(rnd, 60) for _ in range(7))
+    rows = [(1, a), (None, f"{a} more"), (None, b), (None, c),  # a null id near a row with an id
+            (2, f"{a} again"), (2, d),                          # one text of a repeated id is near
+            (None, e), (None, f"{e} more"), (None, e),          # null ids only
+            (7, f), (7, f"{f} more"), (8, f"{f} again"),        # two texts of the smallest id
+            (9, g), (9, g), (9, f"{g} more"), (None, ""), (None, ""), (3, None), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in jaccard_join.keep_first(df).collect()]
+    lone = [(1, a), (None, b), (None, c), (2, d), (None, ""), (None, ""), (3, None), (3, None)]
+    groups = [[(None, e), (None, f"{e} more")], [(7, f), (7, f"{f} more")], [(9, g), (9, f"{g} more")]]
+    assert sorted((x for x in got if x in lone), key=repr) == sorted(lone, key=repr)
+    assert [sum(x in group for x in got) for group in groups] == [1, 1, 1]
+    assert len(got) == len(lone) + 3
+
+
 def test_first_shingles_of_linked_sets_meet(spark):
     """``needed`` is a true lower bound, on random pairs at the threshold."""
     import random
