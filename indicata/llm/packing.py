@@ -62,16 +62,19 @@ def byte_ranks(vocabulary: str) -> dict[bytes, int] | None:
 
 class Encoder:
     """Ids of a text, as the vocabulary's tokenizer gives them, as
-    little-endian unsigned 32-bit integers; special strings are plain text.
+    little-endian unsigned 32-bit integers; an added token's string in a text
+    is that token.
 
     Byte-level vocabularies are merged by rank, which gives the same ids in a
-    fraction of the time; everything else goes to the tokenizer itself.
+    fraction of the time; everything else, and every text that holds an added
+    token's string, goes to the tokenizer itself.
     """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(vocabulary)
-        self.model.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.model.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)")
         ranks = byte_ranks(vocabulary)
         self.fast = ranks and tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks,
                                                 special_tokens={})
@@ -79,7 +82,7 @@ class Encoder:
     def ids(self, text: str | None) -> bytes:
         if not text:
             out = []
-        elif self.fast and SETTLED.fullmatch(text):
+        elif self.fast and SETTLED.fullmatch(text) and not self.added.search(text):
             out = self.fast.encode_ordinary(text)
         else:
             out = self.model.encode(text, add_special_tokens=False).ids

@@ -178,6 +178,13 @@ def test_pieces_hold_every_id_once(docs):
     packed_right(packing.pack(docs[0], VOCABULARY).collect(), [r[1] for r in docs[1]])
 
 
+def test_added_tokens_in_a_text_are_one_id(spark):
+    texts = ["<|endoftext|>", "one<|endoftext|> two", "<|endoftext|><|endoftext|> \n", "<|endoftext",
+             "日本 😀 <|endoftext|> é", "ten words " * 3000 + "<|endoftext|>" + " ten words" * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    packed_right(packing.pack(df, VOCABULARY).collect(), texts)
+
+
 def test_driver_tables_are_packed_with_little_padding(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     texts = [r.text for r in df.collect()]
