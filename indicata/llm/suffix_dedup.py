@@ -11,9 +11,10 @@ than their successors directly, the rest induced by scanning the buckets of
 first bytes in order. Adjacent common prefixes then tell which strings occur
 twice or more.
 
-A bucket with more than a thousandth of all stretches is dealt again by where
-in the string its gram lies and by the bytes that all strings from there
-share; both are the same in equal strings.
+A bucket with more than a thousandth of all stretches is not gathered: each
+of its strings is asked for by a hash of its whole bytes, packed by hash range
+(see ``repeated``), so neither copies nor unlike strings around a common gram
+meet in one task.
 
 Defined results: null and empty texts have no bytes; texts shorter than a
 string lose nothing; repeated rows are texts of their own, so their strings
@@ -34,8 +35,8 @@ from indicata.llm.common import (HEAVY_PARTS, K2, attach, discard, materialize,
                                  text_buffers)
 
 LENGTH, GRAM = 200, 40
-#: Starts in a stretch; of a crowded bucket, starts in a stretch.
-RUN, FINE = 1024, 20
+#: Starts in a stretch; strings of crowded buckets that a worker asks for at a time.
+RUN, ASKED = 1024, 200_000
 #: Text that a worker hashes at a time, and sorts at a time.
 BYTES, BLOCK = 2 << 20, 4 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -166,9 +167,9 @@ def found(chunks: DataFrame) -> DataFrame:
         .dropDuplicates(["id", "th"])
 
 
-def contexts(texts: DataFrame, length: int, gram: int, crowded: np.ndarray) -> DataFrame:
-    """(id, th, h, at, bytes) of all stretches of ``texts``; those of crowded
-    buckets in finer ones."""
+def contexts(texts: DataFrame, length: int, crowded: np.ndarray) -> DataFrame:
+    """(id, th, h, at, bytes) of the stretches of ``texts`` outside crowded
+    buckets."""
     def run(batches):
         for b in batches:
             rows: list[list] = [[], [], [], [], []]
@@ -176,12 +177,9 @@ def contexts(texts: DataFrame, length: int, gram: int, crowded: np.ndarray) -> D
             for rid, th, text, keys, at, count in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 data = text.encode()
                 key = np.frombuffer(keys, np.uint64)
-                spots = list(zip(key.view(np.int64).tolist(), np.frombuffer(at, np.int32).tolist(),
-                                 np.frombuffer(count, np.int16).tolist(), strict=True))
-                for i in np.flatnonzero(np.isin(key, crowded))[::-1].tolist() if len(crowded) else ():
-                    _, a, n = spots[i]
-                    spots[i:i + 1] = [(k, a + f, m) for k, f, m in finer(
-                        data[a:a + n + length - 1], int(key[i]), n, length, gram)]
+                ok = ~np.isin(key, crowded)
+                spots = list(zip(key[ok].view(np.int64).tolist(), np.frombuffer(at, np.int32)[ok].tolist(),
+                                 np.frombuffer(count, np.int16)[ok].tolist(), strict=True))
                 rows[0] += [rid] * len(spots)
                 rows[1] += [th] * len(spots)
                 rows[2] += [k for k, _, _ in spots]
@@ -204,21 +202,62 @@ def _stretch_rows(rows: list[list]) -> pa.RecordBatch:
                                       ["id", "th", "h", "at", "bytes"])
 
 
-def finer(data: bytes, key: int, n: int, length: int, gram: int):
-    """Stretches of a crowded bucket: (bucket, first start, starts), by the
-    place of the first smallest gram and the bytes all strings of it share."""
-    h = gram_hashes(np.frombuffer(data, np.uint8), gram)
-    places = np.flatnonzero(h == np.uint64(key))
-    start = np.arange(n)
-    lead = (places[np.searchsorted(places, start)] - start)
-    group = lead // FINE
-    edge = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (lead[1:] != lead[:-1] - 1)]))
-    for a, z in zip(edge, np.append(edge[1:], n), strict=True):
-        gram_at = a + lead[a]
-        low = gram_at - int(group[a]) * FINE
-        core = data[low:low + length - FINE + 1]
-        name = hashlib.blake2b(core, digest_size=8, salt=int(group[a]).to_bytes(8, "big"))
-        yield int.from_bytes(name.digest(), "big", signed=True), int(a), int(z - a)
+def crowded_covers(texts: DataFrame, length: int, crowded: np.ndarray) -> DataFrame:
+    """(id, th, at, cover): covered ranges by the strings of crowded buckets
+    whose 64-bit hash occurs again."""
+    def ask(batches):
+        part, n_chunk, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def packed():
+            blob = lambda x: pa.array([np.concatenate(x).tobytes()], pa.binary())
+            return pa.RecordBatch.from_arrays([
+                pa.array([f"{part}-{n_chunk}"]),
+                *[pa.array([[h[i] for h in held]], pa.list_(pa.int64())) for i in (0, 1)],
+                blob([np.full(len(h[2]), i, np.int32) for i, h in enumerate(held)]),
+                blob([h[2].astype(np.int32) for h in held]), blob([h[3] for h in held]),
+                pa.array([size], pa.int64())], ["chunk", "ids", "hashes", "doc", "at", "keys", "n_keys"])
+
+        for b in batches:
+            for rid, th, text, keys, at, count in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                some = np.flatnonzero(np.isin(np.frombuffer(keys, np.uint64), crowded))
+                if not len(some):
+                    continue
+                data = text.encode()
+                at, count = (np.frombuffer(x, t)[some].tolist() for x, t in ((at, np.int32), (count, np.int16)))
+                starts = np.concatenate([np.arange(a, a + n) for a, n in zip(at, count, strict=True)])
+                for i in range(0, len(starts), ASKED):
+                    now = starts[i:i + ASKED]
+                    names = b"".join(hashlib.blake2b(data[a:a + length], digest_size=8).digest()
+                                     for a in now.tolist())
+                    held.append((rid, th, now, np.frombuffer(names, np.uint64)))
+                    size += len(now)
+                    if size >= ASKED:
+                        yield packed()
+                        n_chunk, held, size = n_chunk + 1, [], 0
+        if held:
+            yield packed()
+
+    def cover(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                hits = np.sort(np.concatenate([np.frombuffer(h, np.uint64) for h in r["hits"]]))
+                keys = np.frombuffer(r["keys"], np.uint64)
+                ok = hits[np.minimum(np.searchsorted(hits, keys), len(hits) - 1)] == keys
+                doc, at = (np.frombuffer(r[c], np.int32)[ok] for c in ("doc", "at"))
+                edge = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1], [True]]))
+                which = doc[edge[:-1]].tolist()
+                yield pa.RecordBatch.from_arrays([
+                    *[pa.array([r[c][i] for i in which], pa.int64()) for c in ("ids", "hashes")],
+                    pa.array([0] * len(which), pa.int32()),
+                    pa.array([runs(np.sort(at[a:z]), length).astype(np.int32).tobytes()
+                              for a, z in zip(edge[:-1], edge[1:], strict=True)], pa.binary())],
+                    ["id", "th", "at", "cover"])
+
+    asked = materialize(texts.select("id", "th", "text", "keys", "at", "count").mapInArrow(
+        ask, "chunk string, ids array<long>, hashes array<long>, doc binary, at binary, keys binary, "
+             "n_keys long"), "suffix-asked")
+    return asked.drop("n_keys").join(repeated(asked.select("chunk", "n_keys", "keys")), "chunk") \
+        .mapInArrow(cover, "id long, th long, at int, cover binary").distinct()
 
 
 def sort_suffixes(data: bytes, end: np.ndarray, group: np.ndarray, wanted: np.ndarray,
@@ -373,11 +412,13 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: i
     discard(chunks)
     touched = parted.filter("keys is not null")
     crowded = crowded_keys(touched)
-    pieces = materialize(contexts(touched, length, gram, crowded), "suffix-stretches")
+    pieces = materialize(contexts(touched, length, crowded), "suffix-stretches")
     distinct = pieces.groupBy("h", "bytes", "c").agg(F.count("*").alias("n"))
     covers = materialize(judged(distinct, length), "suffix-covers")
     spots = attach(pieces.select("id", "th", "h", "at", "c"), covers,
-                   ["h", "c"], "n", F.xxhash64("id", "th", "at")).filter("cover is not null")
+                   ["h", "c"], "n", F.xxhash64("id", "th", "at")).filter("cover is not null").select("id", "th", "at", "cover")
+    if len(crowded):
+        spots = spots.union(crowded_covers(touched, length, crowded))
     by_doc = spots.groupBy("id", "th").agg(F.collect_list(F.struct("at", "cover")).alias("covers")) \
         .select(F.col("id").alias("_id"), F.col("th").alias("_th"), "covers")
     cut = parted.select("id", "th", "text").join(

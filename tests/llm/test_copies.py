@@ -171,6 +171,26 @@ def test_suffix_dedup_of_many_near_copies(spark):
     assert values(suffix_dedup.clean(df, keep=False), *DIGEST) == suffix(rows, 200)
 
 
+def test_suffix_dedup_of_a_hot_passage_in_unlike_texts(spark, monkeypatch):
+    """The unlike edges of a common passage do not gather in one bucket."""
+    import random
+    rnd = random.Random(6)
+    own = lambda: "".join(rnd.choice("abcdefghij ") for _ in range(150))
+    passage = "".join(rnd.choice("abcdefghij ") for _ in range(230))
+    rows = [(i, own() + passage + own()) for i in range(300)]
+    rows += [(1000 + i, t) for i, t in rows[:60]] + [(None, rows[0][1]), (None, passage), (5, passage + passage)]
+    most, judged = [], suffix_dedup.judged
+
+    def watched(distinct, length):
+        most.append(distinct.groupBy("h").count().agg(F.max("count")).first()[0] or 0)
+        return judged(distinct, length)
+
+    monkeypatch.setattr(suffix_dedup, "judged", watched)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert values(suffix_dedup.clean(df, keep=False), *DIGEST) == suffix(rows, 200)
+    assert most[0] <= 30
+
+
 def test_two_stage_sorting_orders_suffixes():
     import random
 
