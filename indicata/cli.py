@@ -7,7 +7,8 @@
 
 Without ``--days``, ``ingest`` looks back 30 days and ``run`` 365 (0: no
 window). Exit code 1 when a series, kind or check of this run fails (its error
-is printed and logged), or a series is not in the catalog.
+is printed and logged), or a series is not in the catalog. ``gold`` and ``run``
+replace the published table only when the new one passes its checks.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ import sys
 
 from indicata.plans import pipeline as PL
 from indicata.session import get_spark
-from indicata.sources import store
 from indicata.sources.catalog import SERIES
 
 # Fixed values (must equal the reference for right results).
@@ -71,12 +71,15 @@ def main(argv: list[str] | None = None) -> int:
                       f"{r.linhas} rows, {r.quarentena} quarantined"))
     elif args.cmd == "silver":
         done = PL.build_silver(spark, args.out, kinds=tuple(args.kind or PL.KINDS), rebuild=args.rebuild)
-        for kind, (rows, err, _) in done.items():
-            failed |= err is not None
+        for kind, (rows, err, _, apart) in done.items():
+            failed |= err is not None or bool(apart)
             print(f"silver.{kind}: " + (f"error {err}" if err else f"{rows} rows"))
+            for serie, why in apart.items():
+                print(f"silver.{kind}.{serie}: error {why}")
     elif args.cmd == "gold":
-        store.overwrite_all(PL.build_gold(spark, args.out), PL._p(args.out, "gold"))
-        print(f"gold: {store.read_table(spark, PL._p(args.out, 'gold')).count()} rows")
+        rows, _, err = PL.publish_gold(spark, args.out)
+        failed = err is not None
+        print(f"gold: error {err}" if failed else f"gold: {rows} rows")
     else:
         res = PL.run_pipeline(spark, args.landing, args.out, _now(), check_month=args.check_month,
                               strict=args.strict, rebuild=args.rebuild, days=args.days or None,

@@ -23,6 +23,7 @@ BAD_VALUE_EVERY = 50   # order keys that are a multiple: value text 'N/D'
 BAD_DATE_EVERY = 97    # order keys that are a multiple: impossible date 31/02
 BROKEN_MONTH = "1996-03"  # files of this month are cut off in the middle
 RUN_TS = dt.datetime(2024, 1, 1)
+WINDOW_DAYS = 12_000  # back to 1991: all orders are inside
 
 
 def _items(date_text: Column, value_text: Column, *order: str) -> Column:
@@ -74,9 +75,10 @@ def ingest_fixed_winner(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pipeline_landed_run(spark: SparkSession, sf: str) -> DataFrame:
-    """``run_pipeline`` on files landed for the catalog's series and three
+    """``run_pipeline`` on files landed for the catalog's series and four
     more: one of the rate kind that gold must not mix in, one that fails in
-    strict mode, one that landed an empty array. Returns the run records."""
+    strict mode, one that landed an empty array, one whose only row lies before
+    the window. Returns the run records."""
     o = td.table(spark, sf, "orders")
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "pipeline")
 
@@ -97,6 +99,9 @@ def pipeline_landed_run(spark: SparkSession, sf: str) -> DataFrame:
         F.lit('[{"data": "31/02/2000", "valor": "'), F.count("*").cast("string"), F.lit('"}]')).alias("payload"))
     _land(broken, PL._p(landing, "fx"))
     _land(o.groupBy(F.lit("vazia").alias("serie")).agg(F.lit("[]").alias("payload")), PL._p(landing, "plain"))
-    run = PL.run_pipeline(spark, landing, out, RUN_TS, strict=True)["run"]
+    old = o.groupBy(F.lit("antiga").alias("serie")).agg(F.concat(
+        F.lit('[{"data": "01/02/1980", "valor": "'), F.count("*").cast("string"), F.lit('"}]')).alias("payload"))
+    _land(old, PL._p(landing, "rate"))
+    run = PL.run_pipeline(spark, landing, out, RUN_TS, strict=True, days=WINDOW_DAYS)["run"]
     return run.select("table_name", F.col("metadata")["serie"].alias("serie"), "layer", "row_count", "status",
                       F.col("metadata")["quarantined"].cast("long").alias("quarentena"))

@@ -548,6 +548,7 @@ SELECT * FROM (
   SELECT 'bronze.rate' AS table_name, 'selic' AS serie, 'bronze' AS layer, f_days AS row_count,
     'success' AS status, 0::BIGINT AS quarentena FROM n
   UNION ALL SELECT 'bronze.rate', 'outra', 'bronze', o_days, 'success', 0 FROM n
+  UNION ALL SELECT 'bronze.rate', 'antiga', 'bronze', 0, 'no_data', 0 FROM n
   UNION ALL SELECT 'bronze.fx', 'dollar', 'bronze', all_days, 'success', 0 FROM n
   UNION ALL SELECT 'bronze.fx', 'ruim', 'bronze', 0, 'error', 1 FROM n
   UNION ALL SELECT 'bronze.inflation', 'ipca', 'bronze', months, 'success', 0 FROM n

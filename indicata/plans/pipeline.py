@@ -17,7 +17,9 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import partial
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,12 +28,13 @@ from indicata.functions.calendar import ntz_literal
 from indicata.operators import gold as G
 from indicata.operators import monthly as M
 from indicata.operators import quality as Q
+from indicata.plans import current as CS
 from indicata.plans import silver as S
 from indicata.schemas import BRONZE_SEQ as BRONZE
 from indicata.schemas import QUARANTINE, SILVER_FX, SILVER_INFLATION, SILVER_PLAIN, SILVER_RATE
 from indicata.session import scratch_path
 from indicata.sources import payload as P
-from indicata.sources import store
+from indicata.sources import published, store
 from indicata.sources.catalog import series_for_role
 
 KINDS = ("rate", "fx", "inflation", "plain")
@@ -44,6 +47,27 @@ RECORD = ("table_name string, process_name string, source string, layer string,
           "started_at timestamp_ntz, finished_at timestamp_ntz, status string, metadata map<string,string>")
 
 
+class SilverResult(NamedTuple):
+    """Rows written, the error of the kind, its time, and errors by series."""
+
+    rows: int | None
+    error: str | None
+    span: tuple
+    apart: dict[str, str]
+
+
+class GoldResult(NamedTuple):
+    """Rows published, the results of the gate, what went wrong."""
+
+    rows: int
+    quality: DataFrame | None
+    error: str | None
+
+
+class NothingToPublish(Exception):
+    """Gold has no rows."""
+
+
 def _p(base: str, *parts: str) -> str:
     return base.rstrip("/") + "/" + "/".join(parts) if "://" in base else os.path.join(base, *parts)
 
@@ -55,14 +79,16 @@ def _now() -> dt.datetime:
 def ingest_kind(spark: SparkSession, landing: str, out: str, kind: str, run_ts: dt.datetime,
                 strict: bool = False, days: int | None = None,
                 series: Sequence[str] | None = None) -> DataFrame:
-    """Parse one kind, append bronze and quarantine; per series
-    ``(serie, linhas, quarentena, status, erro)``.
+    """Parse one kind, append bronze and quarantine, merge the current state;
+    per series ``(serie, linhas, quarentena, status, erro)``.
 
     The landed files are read and parsed once, into a staged table. A row that
     is no observation goes to ``<out>/quarantine`` with its texts, file and
-    reason. ``strict`` stops a series that has such rows: none of its rows of
-    this run reach bronze and its status is ``error``; other series go on.
-    ``days`` keeps observations of the last ``days`` days before the run date.
+    reason, once, however often its file is read. ``strict`` stops a series
+    that has such rows: none of its rows of this run reach bronze and its
+    status is ``error``; other series go on. ``days`` keeps observations of the
+    last ``days`` days before the run date; a series whose files hold nothing
+    in that window is reported as ``no_data``, like one that landed ``[]``.
     """
     parsed = P.parse_observations(P.read_landed(spark, _p(landing, kind)), strict=False)
     if series is not None:
@@ -70,7 +96,10 @@ def ingest_kind(spark: SparkSession, landing: str, out: str, kind: str, run_ts:
     if days is not None:
         first = (run_ts - dt.timedelta(days=days)).date()
         inside = F.col("data").between(F.lit(first), F.lit(run_ts.date()))
-        parsed = parsed.filter(F.col("motivo").isNotNull() | inside)
+        # A file's first row stays as a sign that its series landed something.
+        kept = F.col("motivo").isNotNull() | inside
+        parsed = parsed.filter(kept | P.first_of_file("_seq")).withColumn(
+            "motivo", F.when(kept, F.col("motivo")).otherwise(P.EMPTY))
     staged_path = scratch_path(spark, f"landed-{kind}")
     parsed.write.parquet(staged_path)
     staged = spark.read.schema(parsed.schema).parquet(staged_path)
@@ -92,9 +121,23 @@ def ingest_kind(spark: SparkSession, landing: str, out: str, kind: str, run_ts:
         stopped = report.filter("status = 'error'").select("serie")
         good = good.join(stopped, "serie", "left_anti")
     bronze = store.add_audit_columns(good, run_ts, SOURCE, kind)
+    state = _p(out, "current", kind)
+    known = CS.is_current(spark, state) or not store.exists(spark, _p(out, "bronze", f"kind={kind}"))
+    CS.begin(spark, state)
     store.append_bronze(bronze, _p(out, "bronze"), BRONZE)
-    rejected = bad.withColumns({"kind": F.lit(kind), "_ingested_at": ntz_literal(run_ts)})
-    store.conform(rejected, QUARANTINE).write.mode("append").partitionBy("kind") \
+    if known:
+        CS.merge(bronze, state)
+    else:
+        CS.rebuild(read_bronze(spark, out).filter(F.col("kind") == kind), state)
+    CS.finish(spark, state)
+    rejected = store.conform(bad.withColumns({"kind": F.lit(kind), "_ingested_at": ntz_literal(run_ts)}), QUARANTINE)
+    place = ("serie", "arquivo", "_seq", "motivo", "data_texto", "valor_texto")
+    seen = read_quarantine(spark, out).filter(F.col("kind") == kind).select(
+        *[F.col(c).alias(f"_{c}") for c in place])
+    again = F.lit(True)
+    for c in place:
+        again = again & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    rejected.join(seen, again, "left_anti").write.mode("append").partitionBy("kind") \
         .parquet(_p(out, "quarantine"))
     return report
 
@@ -120,46 +163,113 @@ def read_quarantine(spark: SparkSession, out: str) -> DataFrame:
         else spark.createDataFrame([], QUARANTINE)
 
 
-def build_silver(spark: SparkSession, out: str, kinds=KINDS,
-                 rebuild: bool = False) -> dict[str, tuple[int | None, str | None, tuple]]:
-    """Rebuild silver for each kind from all of bronze (newest ingestion wins).
-
-    By default only the (year, month) partitions present in the new result
-    are replaced; ``rebuild=True`` replaces the whole table, which also
-    clears partitions whose rows have all disappeared. Returns
-    ``{kind: (rows, error, (start, end))}``; one failing kind does not stop
-    the others.
+def failing_series(rows: DataFrame, build: Callable[[DataFrame], DataFrame], most: int = 16) -> list[str]:
+    """Series on whose rows alone ``build`` raises.
+
+    Halves of the series, by a hash of their names, are tried until those that
+    fail hold one series each: about log2(series) trials for each failing one.
+    More than ``most`` failing parts are no fault of single series: it raises.
     """
-    bronze = read_bronze(spark, out)
+    def part(depth: int, n: int) -> DataFrame:
+        return rows.filter(F.pmod(F.xxhash64("serie"), F.lit(1 << depth)) == n)
+
+    found, todo = [], [(0, 0)]
+    while todo:
+        depth, n = todo.pop()
+        some = part(depth, n)
+        error = _isolated(lambda df: build(df).write.format("noop").mode("overwrite").save(), some)[1]
+        if error is None:
+            continue
+        names = [r.serie for r in some.select("serie").distinct().limit(2).collect()]
+        if len(names) < 2:
+            found += names
+        else:
+            todo += [(depth + 1, n), (depth + 1, n + (1 << depth))]
+        if len(found) + len(todo) > most:
+            raise RuntimeError(f"too many series fail: {error}")
+    return sorted(found)
+
 
+def build_silver(spark: SparkSession, out: str, kinds=KINDS,
+                 rebuild: bool = False) -> dict[str, SilverResult]:
+    """Build silver for each kind from the newest version of its observations.
+
+    The current state is read, not bronze; it is rebuilt from bronze with
+    ``rebuild``, where it does not exist yet and where a run died before its
+    merge. The result replaces the table in one step: a month that has no rows
+    any more is gone, and a step that fails leaves the old table. A series
+    whose rows make the step fail keeps its old rows while the others go on.
+    """
     def one(kind):
-        src = bronze.filter(F.col("kind") == kind)  # partition pruning on `kind`
-        silver = S.SILVER_BUILDERS[kind](src)
-        obs = Observation(f"silver_{kind}")
-        silver = silver.observe(obs, F.count(F.lit(1)).alias("rows"))
-        path = _p(out, "silver", kind)
-        if kind == "plain":
-            store.overwrite_all(silver, path, SILVER_SCHEMAS[kind])
-        elif rebuild:
-            store.overwrite_all(silver, path, SILVER_SCHEMAS[kind], partition_by=("ano", "mes"))
-        else:
-            store.overwrite_partitions(silver, path, SILVER_SCHEMAS[kind])
-        return int(obs.get["rows"])
+        state, path = _p(out, "current", kind), _p(out, "silver", kind)
+        bronze = _p(out, "bronze", f"kind={kind}")
+        if store.exists(spark, bronze) and (rebuild or not CS.is_current(spark, state)):
+            CS.rebuild(read_bronze(spark, out).filter(F.col("kind") == kind), state)
+            CS.finish(spark, state)
+        rows = CS.read(spark, state) if CS.is_current(spark, state) else spark.createDataFrame([], BRONZE)
+        schema, by = SILVER_SCHEMAS[kind], () if kind == "plain" else ("ano", "mes")
+        build = partial(S.SILVER_BUILDERS[kind], dedup=False)
+
+        def write(silver):
+            obs = Observation(f"silver_{kind}")
+            store.overwrite_all(silver.observe(obs, F.count(F.lit(1)).alias("rows")), path, schema, by)
+            return int(obs.get["rows"])
+
+        done, error = _isolated(lambda: write(build(rows)))
+        if error is None:
+            return done, {}
+        apart = failing_series(rows, build)
+        if not apart:
+            raise RuntimeError(error)
+        inside = F.col("serie").isin(*apart)
+        old = read_silver(spark, out, kind).filter(inside)
+        return write(store.conform(build(rows.filter(~inside)), schema).unionByName(old)), dict.fromkeys(apart, error)
 
     done = {}
     for kind in kinds:
         start = _now()
-        rows, err = _isolated(one, kind)
-        done[kind] = (rows, err, (start, _now()))
+        result, err = _isolated(one, kind)
+        rows, apart = result or (None, {})
+        published.vacuum(spark, _p(out, "silver", kind))
+        done[kind] = SilverResult(rows, err, (start, _now()), apart)
     return done
 
 
 def read_silver(spark: SparkSession, out: str, kind: str) -> DataFrame:
     path = _p(out, "silver", kind)
-    return store.read_table(spark, path, SILVER_SCHEMAS[kind]) if store.exists(spark, path) \
+    return store.read_table(spark, path, SILVER_SCHEMAS[kind]) if store.has_table(spark, path) \
         else spark.createDataFrame([], SILVER_SCHEMAS[kind])
 
 
+def publish_gold(spark: SparkSession, out: str) -> GoldResult:
+    """Builds gold and replaces the published table if it passes ``gold_gate``.
+
+    A refused or failed gold is reported in ``error`` and the old table stays;
+    a gold without rows replaces nothing.
+    """
+    path, quality, rows = _p(out, "gold"), None, 0
+
+    def gate(gold: DataFrame) -> None:
+        nonlocal quality, rows
+        checks = gold_gate(gold)
+        told = checks.orderBy("checagem").collect()  # a row per check
+        quality, rows = spark.createDataFrame(told, checks.schema), gold.count()
+        refused = [f"{r.checagem} = {r.valor}" for r in told if not r.aprovado]
+        if refused:
+            raise ValueError("gold refused: " + "; ".join(refused))
+        if not rows:
+            raise NothingToPublish
+
+    try:
+        store.overwrite_all(build_gold(spark, out), path, check=gate)
+    except NothingToPublish:
+        return GoldResult(0, quality, None)
+    except Exception as exc:  # noqa: BLE001 - reported
+        return GoldResult(0, quality, f"{type(exc).__name__}: {exc}")
+    published.vacuum(spark, path)
+    return GoldResult(rows, quality, None)
+
+
 def build_gold(spark: SparkSession, out: str) -> DataFrame:
     """The wide table of the catalog's five series; each part reads only the
     series that play its role, so other series of a kind never mix in."""
@@ -183,10 +293,11 @@ def gold_gate(gold: DataFrame) -> DataFrame:
 
 
 def series_status(bronze: DataFrame, silver_by_kind: dict[str, DataFrame],
-                  failed: DataFrame | None = None) -> DataFrame:
+                  landed: DataFrame | None = None) -> DataFrame:
     """Per (kind, serie): bronze rows, bronze NULL values, silver rows and a
-    status: ``error`` (named in ``failed (kind, serie)``), ``ok``, ``orphan``
-    (silver rows without bronze rows) or ``no_data``.
+    status: ``error`` (marked in ``landed (kind, serie, falhou)``), ``ok``,
+    ``orphan`` (silver rows without bronze rows) or ``no_data``. A series that
+    is in ``landed`` only is listed too.
 
     Built as one union of per-layer counts folded with conditional sums, not
     a join: a join would add an inferred NOT NULL filter to one side, making
@@ -201,9 +312,9 @@ def series_status(bronze: DataFrame, silver_by_kind: dict[str, DataFrame],
     for kind, silver in silver_by_kind.items():
         parts.append(silver.select(F.lit(kind).alias("kind"), "serie", zero.alias("_b"),
                                    zero.alias("_bn"), F.lit(1).alias("_s"), zero.alias("_f")))
-    if failed is not None:
-        parts.append(failed.select("kind", "serie", zero.alias("_b"), zero.alias("_bn"),
-                                   zero.alias("_s"), F.lit(1).alias("_f")))
+    if landed is not None:
+        parts.append(landed.select("kind", "serie", zero.alias("_b"), zero.alias("_bn"),
+                                   zero.alias("_s"), F.col("falhou").alias("_f")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -223,7 +334,7 @@ def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetim
     ``control`` (all runs), ``run`` (this run's records), ``run_id``.
 
     Series are reported on their own, with the time their step took: a bad
-    row in strict mode stops its series only, a failing step its kind only.
+    row in strict mode and rows that make silver fail stop their series only.
     Gold is rebuilt from every series that plays a role and replaces the
     published table only when it passes ``gold_gate``; a refused or failed
     gold is an ``error`` record and the old table stays.
@@ -238,7 +349,7 @@ def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetim
         logs.append(spark.createDataFrame(
             [(table, process, source, layer, rows, *span, status, meta)], RECORD))
 
-    failed = spark.createDataFrame([], "kind string, serie string")
+    landed = spark.createDataFrame([], "kind string, serie string, falhou int")
     for kind in KINDS:
         start = _now()
         if not store.exists(spark, _p(landing, kind)):
@@ -249,8 +360,8 @@ def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetim
         if err is not None:
             note(f"bronze.{kind}", "ingest", SOURCE, "bronze", 0, span, "error", error=err)
             continue
-        failed = failed.unionByName(report.filter("status = 'error'").select(
-            F.lit(kind).alias("kind"), "serie"))
+        landed = landed.unionByName(report.select(
+            F.lit(kind).alias("kind"), "serie", (F.col("status") == "error").cast("int").alias("falhou")))
         logs.append(report.select(
             F.lit(f"bronze.{kind}").alias("table_name"), F.lit("ingest").alias("process_name"),
             F.lit(SOURCE).alias("source"), F.lit("bronze").alias("layer"),
@@ -262,28 +373,17 @@ def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetim
                 F.lit("error"), F.col("erro")), lambda _, v: v.isNotNull()).alias("metadata")))
 
     silver = build_silver(spark, out, rebuild=rebuild)
-    for kind, (rows, err, span) in silver.items():
+    for kind, (rows, err, span, apart) in silver.items():
         note(f"silver.{kind}", "silver", "bronze", "silver", rows or 0, span,
              "error" if err else "success" if rows else "no_data", error=err)
-
-    start, gold_path, quality = _now(), _p(out, "gold"), None
-
-    def publish():
-        nonlocal quality
-        staged = scratch_path(spark, "gold-staged")
-        store.overwrite_all(build_gold(spark, out), staged)
-        gold = store.read_table(spark, staged)
-        quality = gold_gate(gold)
-        refused = quality.filter("NOT aprovado").orderBy("checagem").collect()  # a row per check
-        if refused:
-            raise ValueError("gold refused: " + "; ".join(f"{r.checagem} = {r.valor}" for r in refused))
-        rows = gold.count()
-        if rows:
-            store.overwrite_all(gold, gold_path)
-        return rows
-
-    rows, err = _isolated(publish)
-    note("gold", "gold", "silver", "gold", rows or 0, (start, _now()),
+        for serie, why in apart.items():
+            note(f"silver.{kind}", "silver", "bronze", "silver", 0, span, "error", serie=serie, error=why)
+        if apart:
+            landed = landed.unionByName(spark.createDataFrame([(kind, s, 1) for s in apart], landed.schema))
+
+    start, gold_path = _now(), _p(out, "gold")
+    rows, quality, err = publish_gold(spark, out)
+    note("gold", "gold", "silver", "gold", rows, (start, _now()),
          "error" if err else "success" if rows else "no_data", error=err)
 
     records = logs[0]
@@ -291,12 +391,12 @@ def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetim
         records = records.unionByName(log)
     store.append_control(store.control_records(records), _p(out, "control"))
     control = store.read_control(spark, _p(out, "control"))
-    gold = store.read_table(spark, gold_path) if store.exists(spark, gold_path) else None
+    gold = store.read_table(spark, gold_path) if store.has_table(spark, gold_path) else None
     return {
         "run_id": run_id, "control": control,
         "run": control.filter(F.col("metadata")["run_id"] == run_id),
         "status": series_status(read_bronze(spark, out),
-                                {k: read_silver(spark, out, k) for k in KINDS}, failed),
+                                {k: read_silver(spark, out, k) for k in KINDS}, landed),
         "gold": gold, "quality": quality,
         "report": Q.gold_report(gold, check_month, GOLD_REQUIRED)
         if gold is not None and check_month else None,

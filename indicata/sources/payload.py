@@ -22,6 +22,7 @@ from indicata.schemas import PAYLOAD
 
 # Fixed values (must equal the reference for right results).
 DATE_PATTERN = "dd/MM/yyyy"
+PLACE_DIGITS = 10
 # What counts as a number: a plain decimal, with an exponent at most.
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,3})?\s*$"
 
@@ -108,10 +109,15 @@ def landed_items(files: DataFrame) -> DataFrame:
     folder = F.regexp_replace(F.element_at(parts, -2), "^serie=", "")
     named = files.select("payload", folder.alias("serie"), F.element_at(parts, -1).alias("arquivo"))
     items = explode_payload(named, keep_empty=True)
-    place = F.lpad(F.col("posicao").cast("string"), 10, "0")
+    place = F.lpad(F.col("posicao").cast("string"), PLACE_DIGITS, "0")
     return items.withColumn("_seq", F.concat_ws("#", "arquivo", place)).drop("posicao")
 
 
+def first_of_file(seq_col: str) -> Column:
+    """Whether a row of ``landed_items`` is the first of its file."""
+    return F.col(seq_col).endswith("#" + "0" * PLACE_DIGITS)
+
+
 def lookback(df: DataFrame, date_col: str, days: int, end: dt.date | None = None,
              year_col: str | None = "ano") -> DataFrame:
     """Rows whose day is within ``days`` before ``end`` (inclusive).

@@ -1,14 +1,16 @@
 """Sinks: bronze append, silver partition overwrite, full overwrite, run log.
 
-Path-based Parquet / JSON only (no table catalog is assumed). Every write
+Parquet / JSON by path (``sources.tables`` has tables by name). Every write
 resolves columns by name through ``DataFrame.to(schema)`` first, so a
-column order or type drift fails before any file is written.
+column order or type drift fails before any file is written. Tables that are
+replaced go through ``sources.published``: a write that fails leaves the old
+table as it was.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from pyspark.sql import types as T
 
 from indicata.functions.calendar import ntz_literal
 from indicata.schemas import CONTROL_RECORD
+from indicata.sources import published
+from indicata.sources.published import exists  # noqa: F401 - part of this module's interface
 
 
 class SchemaMismatch(ValueError):
@@ -46,12 +50,6 @@ def add_audit_columns(df: DataFrame, run_ts: dt.datetime, source: str, kind: str
     return df.withColumns(cols)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists, asked of the file system that holds it."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of one output partition together before a partitioned write, so
     files number about as many as partitions, not tasks times partitions. A
@@ -68,29 +66,47 @@ def append_bronze(df: DataFrame, path: str, schema: T.StructType,
 
 def overwrite_partitions(df: DataFrame, path: str, schema: T.StructType,
                          partition_by: Sequence[str] = ("ano", "mes")) -> None:
-    """Replace only the partitions present in ``df`` (dynamic overwrite).
+    """Replace only the partitions present in ``df``, in place (dynamic
+    overwrite), for tables that a stream extends batch by batch.
 
     Set per write: the session default (static) would erase every other
-    partition. A partition whose rows all vanished is not cleared; use
-    ``overwrite_all`` for a full rebuild. Never point this at a path that
-    the same job is reading.
+    partition. A partition whose rows all vanished is not cleared, and never
+    point this at a path that the same job is reading: ``replace_partitions``
+    has neither limit.
     """
     (clustered(conform(df, schema), partition_by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by).parquet(path))
 
 
+def replace_partitions(df: DataFrame, path: str, schema: T.StructType, replace: Iterable[str],
+                       partition_by: Sequence[str] = ("ano", "mes")) -> None:
+    """Replace the named partitions of a published table by the rows of ``df``
+    in one step; a named partition without rows is gone. ``df`` may read it."""
+    published.publish(conform(df, schema), path, partition_by, replace=replace)
+
+
 def overwrite_all(df: DataFrame, path: str, schema: T.StructType | None = None,
-                  partition_by: Sequence[str] = ()) -> None:
-    """Full replace of a table (unpartitioned monthly series, gold)."""
+                  partition_by: Sequence[str] = (), check: Callable[[DataFrame], None] | None = None) -> None:
+    """Full replace of a table in one step (see ``sources.published``); the
+    old table stays when the write fails or ``check`` refuses the new one."""
     out = conform(df, schema) if schema is not None else df
-    w = clustered(out, partition_by).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    published.publish(out, path, partition_by, check=check)
+
+
+def has_table(spark: SparkSession, path: str) -> bool:
+    """Whether a table was published at ``path``, or plain files lie there."""
+    return published.current(spark, path) is not None \
+        or (exists(spark, path) and not exists(spark, f"{path}/{published.DATA}"))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
+               only: Iterable[str] | None = None) -> DataFrame:
+    """A table by path, published or plain; ``only`` names the partitions to
+    read of a published one."""
+    state = published.current(spark, path)
+    if state is not None:
+        return published.read(spark, path, schema, only, state)
     r = spark.read
     if schema is not None:
         r = r.schema(schema)

@@ -6,10 +6,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from indicata.plans import current as CS
 from indicata.plans import pipeline as PL
 from indicata.plans.pipeline import run_pipeline
 from indicata.schemas import BRONZE_SEQ as BRONZE
-from indicata.sources import store
+from indicata.sources import published, store
 from indicata.streaming.ingest import observations, quarantine, start_ingest
 from tests.e2e_fixture import FIXTURE, GOLD
 
@@ -172,17 +173,124 @@ def test_streaming_ingest_processes_each_file_once(spark, tmp_path):
     assert observations(spark, table).count() == 4 + 1  # batch 0 holds all four, batch 1 its one
 
 
-def test_full_rebuild_clears_vanished_partitions(spark, tmp_path):
+def test_a_month_that_loses_its_rows_is_gone(spark, tmp_path):
     landing, out = tmp_path / "landing", tmp_path / "out"
     land(landing, {"rate": FIXTURE["rate"]})
     run_pipeline(spark, str(landing), str(out), RUN)
+    months = lambda: sorted(r.mes for r in PL.read_silver(spark, str(out), "rate").select("mes").distinct().collect())
+    assert months() == [3, 4]
     landing2 = tmp_path / "landing2"
-    land(landing2, {"rate": ("selic", [("2024-04-02", -1.0)])})
+    land(landing2, {"rate": ("selic", [("2024-04-02", -1.0)])})  # April's only row becomes invalid
     run_pipeline(spark, str(landing2), str(out), RUN + dt.timedelta(days=1))
-    april = lambda: PL.read_silver(spark, str(out), "rate").filter(F.col("mes") == 4).count()
-    assert april() == 1  # dynamic overwrite keeps it
-    PL.build_silver(spark, str(out), kinds=("rate",), rebuild=True)
-    assert april() == 0
+    assert months() == [3]
+    assert published.partitions(spark, str(out / "silver" / "rate")) == ["ano=2024/mes=3"]
+
+
+def test_ingest_merges_only_the_years_it_touches(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing, {"rate": ("selic", [(f"{y}-03-04", 0.01 * (y - 2000)) for y in range(2018, 2025)])})
+    PL.ingest_kind(spark, str(landing), str(out), "rate", RUN)
+    state = str(out / "current" / "rate")
+    before = published.current(spark, state)["dirs"]
+    landing2 = tmp_path / "landing2"
+    land(landing2, {"rate": ("selic", [("2020-03-04", 9.0), ("2020-03-05", 8.0)])})
+    read = []
+    plain = store.read_table
+    store.read_table = lambda *a, **k: read.append(plain(*a, **k)) or read[-1]
+    try:
+        PL.ingest_kind(spark, str(landing2), str(out), "rate", RUN + dt.timedelta(days=1))
+    finally:
+        store.read_table = plain
+    merged = [f for df in read for f in df.inputFiles() if "/current/" in f]
+    assert merged and all("ano=2020" in f for f in merged)
+    after = published.current(spark, state)["dirs"]
+    assert [y for y in after if after[y] != before[y]] == ["ano=2020"]
+    columns = ["serie", "data", "valor", "_seq"]
+    full = CS.newest(PL.read_bronze(spark, str(out))).select(columns).collect()
+    assert sorted(full) == sorted(CS.read(spark, state).select(columns).collect()) and len(full) == 8
+
+
+def test_a_run_that_died_before_its_merge_is_made_good(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing, {"rate": FIXTURE["rate"]})
+    run_pipeline(spark, str(landing), str(out), RUN)
+    landing2 = tmp_path / "landing2"
+    land(landing2, {"rate": ("selic", [("2024-03-04", 0.5)])})
+    merge = CS.merge
+    def die(*_):
+        raise OSError("driver lost")
+    try:
+        CS.merge = die
+        res = run_pipeline(spark, str(landing2), str(out), RUN + dt.timedelta(days=1))
+    finally:
+        CS.merge = merge
+    assert log(res["run"])[("bronze.rate", None)].status == "error"
+    # silver of the same run is built from bronze again, and so are later ones
+    silver = PL.read_silver(spark, str(out), "rate")
+    assert silver.filter("data = DATE '2024-03-04'").first().valor == 0.5
+
+
+def test_a_failing_series_keeps_its_old_silver(spark, tmp_path, monkeypatch):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing)
+    land(landing, {"fx": ("euro", [("2024-03-04", 5.5)])})
+    run_pipeline(spark, str(landing), str(out), RUN)
+    landing2 = tmp_path / "landing2"
+    land(landing2, {"fx": ("euro", [("2024-03-05", 6.6)])})
+    land(landing2, {"fx": ("dollar", [("2024-03-05", 7.7)])})
+    build = PL.S.SILVER_BUILDERS["fx"]
+    def fragile(bronze, **kw):
+        value = F.when(F.col("serie") == "euro", F.raise_error(F.lit("no euro today")).cast("double"))
+        return build(bronze.withColumn("valor", value.otherwise(F.col("valor"))), **kw)
+    monkeypatch.setitem(PL.S.SILVER_BUILDERS, "fx", fragile)
+    res = run_pipeline(spark, str(landing2), str(out), RUN + dt.timedelta(days=1))
+    silver = PL.read_silver(spark, str(out), "fx")
+    assert [r.valor for r in silver.filter("serie = 'euro'").collect()] == [5.5]
+    assert silver.filter("serie = 'dollar' AND valor = 7.7").count() == 1
+    records = [r for r in res["run"].collect() if r.table_name == "silver.fx"]
+    assert sorted((r.metadata.get("serie"), r.status) for r in records if r.metadata.get("serie")) == [("euro", "error")]
+    assert [r.status for r in records if not r.metadata.get("serie")] == ["success"]
+    assert {r.serie: r.status for r in res["status"].collect()}["euro"] == "error"
+
+
+def test_a_series_outside_the_window_has_a_record(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing)
+    land(landing, {"rate": ("antiga", [("2010-01-04", 9.0), ("2010-01-05", 9.0)])})
+    res = run_pipeline(spark, str(landing), str(out), RUN, days=365)
+    record = log(res["run"])[("bronze.rate", "antiga")]
+    assert (record.row_count, record.status, record.metadata["quarantined"]) == (0, "no_data", "0")
+    status = {r.serie: r.status for r in res["status"].collect()}
+    assert status["antiga"] == "no_data" and status["selic"] == "ok"
+    assert PL.read_bronze(spark, str(out)).filter("serie = 'antiga'").count() == 0
+
+
+def test_a_bad_row_is_quarantined_once(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing)
+    bad = landing / "rate" / "selic" / "b2.json"
+    bad.write_text(json.dumps([{"data": "31/02/2024", "valor": "1"}] * 2))
+    ingest = lambda day: PL.ingest_kind(spark, str(landing), str(out), "rate", RUN + dt.timedelta(days=day))
+    for day in range(3):
+        ingest(day)
+    assert PL.read_quarantine(spark, str(out)).count() == 2
+    bad.write_text(json.dumps([{"data": "31/02/2024", "valor": "1"}, {"data": "32/02/2024", "valor": "1"}]))
+    ingest(3)
+    assert PL.read_quarantine(spark, str(out)).count() == 3
+
+
+def test_cli_gold_asks_the_gate(spark, tmp_path, capsys, monkeypatch):
+    from indicata import cli
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    land(landing)
+    before = run_pipeline(spark, str(landing), str(out), RUN)["gold"].collect()
+    assert cli.main(["gold", "--out", str(out)]) == 0
+    assert "gold: 2 rows" in capsys.readouterr().out
+    gate = PL.gold_gate
+    monkeypatch.setattr(PL, "gold_gate", lambda gold: gate(gold.unionByName(gold)))
+    assert cli.main(["gold", "--out", str(out)]) == 1
+    assert "gold refused" in capsys.readouterr().out
+    assert sorted(store.read_table(spark, str(out / "gold")).collect()) == sorted(before)
 
 
 def test_identical_rerun_leaves_silver_and_gold_unchanged(spark, tmp_path):
@@ -204,7 +312,7 @@ def test_cli_steps_and_lookback_days(spark, tmp_path, capsys):
     assert cli.main([*base, "--kind", "rate", "--days", "36500"]) == 0
     assert cli.main([*base, "--kind", "fx"]) == 0  # the default window holds nothing so old
     printed = capsys.readouterr().out
-    assert "bronze.rate.selic: 3 rows" in printed and "bronze.fx" not in printed
+    assert "bronze.rate.selic: 3 rows" in printed and "bronze.fx.dollar: 0 rows" in printed
     assert cli.main([*base, "--serie", "nowhere"]) == 1
     assert cli.main([*base, "--serie", "dollar", "--days", "0"]) == 0
     assert "bronze.fx.dollar: 3 rows" in capsys.readouterr().out
