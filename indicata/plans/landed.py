@@ -38,7 +38,13 @@ def _land(files: DataFrame, path: str) -> None:
     files.write.option("maxRecordsPerFile", 1).partitionBy("serie").mode("append").text(path)
 
 
-def ingest_landed_files(spark: SparkSession, sf: str) -> DataFrame:
+def ingest_split_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files, each read in byte ranges; those cut off in the middle
+    are found out and read whole."""
+    return ingest_landed_files(spark, sf, split_above=0)
+
+
+def ingest_landed_files(spark: SparkSession, sf: str, split_above: int = PAY.SPLIT_ABOVE) -> DataFrame:
     """A file per (order status, month), many items each; some values are no
     numbers, some dates impossible, the files of one month cut off."""
     month = F.date_format("o_orderdate", "yyyy-MM")
@@ -54,7 +60,7 @@ def ingest_landed_files(spark: SparkSession, sf: str) -> DataFrame:
         F.col("mes") == BROKEN_MONTH, F.expr("substr(payload, 1, length(payload) - 5)")).otherwise(F.col("payload")))
     path = scratch_path(spark, "landed-orders")
     _land(files.select("serie", "payload"), path)
-    parsed = PAY.parse_observations(PAY.read_landed(spark, path), strict=False)
+    parsed = PAY.parse_observations(PAY.read_landed(spark, path, split_above), strict=False)
     return parsed.select("serie", "data", "valor", "data_texto", "motivo")
 
 

@@ -363,7 +363,10 @@ FROM long GROUP BY serie, metric""",
                      "QUALIFY row_number() OVER (PARTITION BY serie ORDER BY mes_ref DESC) <= 12",
     "newest_n": "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders "
                 "ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 20",
-    "sample_rows": "SELECT least(count(*), 5) AS da_tabela FROM orders",
+    "sample_rows": "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders "
+                   "ORDER BY md5(o_orderkey::VARCHAR), o_orderkey LIMIT 20",
+    "sample_by_group": """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders QUALIFY row_number() OVER (
+  PARTITION BY o_orderstatus ORDER BY md5(o_orderkey::VARCHAR), o_orderkey) <= 20""",
     "union_batches": """SELECT o_orderkey, o_orderdate, o_totalprice, 1 AS lote FROM orders
 WHERE o_orderdate < TIMESTAMP '1998-01-01'
 UNION ALL
@@ -482,19 +485,29 @@ FROM infl_silver""",
   (epoch_us(max(ts)) - epoch_us(min(ts)))::DOUBLE / 1000000.0::DOUBLE AS duration_seconds,
   'success' AS status, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS dia
 FROM events GROUP BY event_type, CAST(ts AS DATE)""",
-    "quality_not_null": f"""WITH {RATE_BRONZE}, c AS (
+    "quality_not_null": f"""WITH {GOLD}, c AS (
   SELECT count(*) - count(serie) AS serie, count(*) - count(data) AS data, count(*) - count(valor) AS valor
-  FROM rate_bronze)
+  FROM rate_bronze),
+g AS (
+  SELECT count(*) - count(mes_ref) AS mes_ref, count(*) - count(selic_media_mes) AS selic_media_mes,
+    count(*) - count(selic_anualizada_mes) AS selic_anualizada_mes FROM gold)
 SELECT coluna, nulos, nulos = 0 AS aprovado
-FROM (UNPIVOT c ON serie, data, valor INTO NAME coluna VALUE nulos)""",
-    "quality_unique": f"""WITH {RATE_SILVER}
+FROM (UNPIVOT c ON serie, data, valor INTO NAME coluna VALUE nulos)
+UNION ALL SELECT coluna, nulos, nulos = 0
+FROM (UNPIVOT g ON mes_ref, selic_media_mes, selic_anualizada_mes INTO NAME coluna VALUE nulos)""",
+    "quality_unique": f"""WITH {GOLD}
 {_unique('bronze.rate', 'serie,data', 'rate_bronze')}
 UNION ALL {_unique('bronze.rate', 'serie,data,_ingested_at', 'rate_bronze')}
-UNION ALL {_unique('silver.rate', 'serie,data', 'rate_silver')}""",
-    "quality_reconcile_counts": f"""WITH {RATE_BRONZE}, c AS (
-  SELECT count(*) AS everything, count_if(_ingested_at = {_TS1}) AS first FROM rate_bronze)
+UNION ALL {_unique('gold.wide', 'mes_ref', 'gold')}
+UNION ALL {_unique('silver.rate', 'serie,data', 'rate_silver')}
+UNION ALL {_unique('silver.fx', 'serie,data', 'fx_silver')}
+UNION ALL {_unique('silver.inflation', 'serie,data', 'infl_silver')}""",
+    "quality_reconcile_counts": f"""WITH {RATE_BRONZE}, {INFLATION_SILVER}, c AS (
+  SELECT count(*) AS everything, count_if(_ingested_at = {_TS1}) AS first,
+    (SELECT count(*) FROM infl_silver) AS silver FROM rate_bronze)
 SELECT 'bronze.rate' AS checagem, everything AS esperado, everything AS obtido, everything = everything AS aprovado
-FROM c UNION ALL SELECT 'bronze.rate.first', everything, first, everything = first FROM c""",
+FROM c UNION ALL SELECT 'bronze.rate.first', everything, first, everything = first FROM c
+UNION ALL SELECT 'silver.inflation', silver, silver, silver = silver FROM c""",
     "quality_reconcile_at_least": f"""WITH {RATE_SILVER}, c AS (
   SELECT (SELECT count(*) FROM rate_bronze) AS b, (SELECT count(*) FROM rate_silver) AS s)
 SELECT 'bronze covers silver' AS checagem, s AS esperado, b AS obtido, b >= s AS aprovado FROM c
@@ -571,3 +584,34 @@ SELECT serie, data, valor, row_number() OVER (ORDER BY serie, data) - 1 AS ordem
     "gold_sorted": f"""WITH {GOLD}
 SELECT mes_ref, selic_media_mes, row_number() OVER (ORDER BY mes_ref) - 1 AS ordem FROM gold""",
 })
+
+
+# ---------------------------------------------------------------- published tables, long series, layouts
+_EV_RUN = "(ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_EV_YEAR = "(PARTITION BY year(ts) ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_EV_LONG = "(ORDER BY ts, event_id ROWS BETWEEN 9999 PRECEDING AND CURRENT ROW)"
+_LINES = "(PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)"
+
+ORACLE.update({
+    "ingest_split_files": ORACLE["ingest_landed_files"],
+    "silver_vanished_partitions": f"""WITH {INFLATION_SILVER}
+SELECT {_SILVER_INFL_COLS} FROM infl_silver WHERE NOT (ano = 1996 AND mes = 7)""",
+    "incremental_current_state": f"WITH {RATE_BRONZE} SELECT serie, data, valor, _ingested_at FROM rate_dedup",
+    "bronze_table_by_name": f"WITH {RATE_BRONZE} {_BRONZE_FULL}",
+    "silver_rate_range": f"""WITH {RATE_SILVER}
+SELECT serie, data, valor, media_movel_30d FROM rate_silver WHERE serie BETWEEN 3 AND 5""",
+    "running_single_series": f"""SELECT event_id, ts, value, {R("sum(value) OVER " + _EV_RUN, 4)} AS soma,
+  {R("avg(value) OVER " + _EV_RUN, 4)} AS media, count(value) OVER {_EV_RUN} AS n,
+  min(value) OVER {_EV_RUN} AS menor, max(value) OVER {_EV_RUN} AS maior
+FROM events""",
+    "running_year_to_date": f"""SELECT event_id, ts, value, CAST(year(ts) AS INTEGER) AS ano,
+  {R("sum(value) OVER " + _EV_YEAR, 4)} AS acumulado_ano, {R("avg(value) OVER " + _EV_YEAR, 4)} AS media_ano
+FROM events""",
+    "moving_extremes_long": f"""SELECT event_id, ts, value, max(value) OVER {_EV_LONG} AS maximo,
+  min(value) OVER {_EV_LONG} AS minimo FROM events""",
+    "product_rounding": f"""SELECT l_orderkey, l_linenumber, l_quantity,
+  round(avg(l_quantity) OVER {_LINES.format(n=3)}, 1) AS media,
+  round(l_quantity - lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity), 4) AS variacao,
+  round(sum(l_quantity) OVER {_LINES.format(n=11)}, 4) AS soma, round(l_quantity / 4.0::DOUBLE, -1) AS dezena
+FROM lineitem""",
+})

@@ -389,7 +389,7 @@ def run_pipeline(spark: SparkSession, landing: str, out: str, run_ts: dt.datetim
     records = logs[0]
     for log in logs[1:]:
         records = records.unionByName(log)
-    store.append_control(store.control_records(records), _p(out, "control"))
+    store.append_control(store.control_records(records), _p(out, "control"), run_id)
     control = store.read_control(spark, _p(out, "control"))
     gold = store.read_table(spark, gold_path) if store.has_table(spark, gold_path) else None
     return {

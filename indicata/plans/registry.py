@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,20 +20,23 @@ from indicata.functions.labels import (RATE_LEVEL_BANDS, fx_trend, inflation_pre
 from indicata.functions.numeric import annualize, comparison_rounding, rounded
 from indicata.operators import dashboard as D
 from indicata.operators import gold as G
+from indicata.operators import layout
 from indicata.operators import metrics as MT
 from indicata.operators import monthly as M
 from indicata.operators import profiles as PR
 from indicata.operators import quality as Q
 from indicata.operators import windows as W
-from indicata.operators.chunked import chunked_window, global_row_number
+from indicata.operators.chunked import chunked_window, global_row_number, long_extremes, running
 from indicata.operators.dedup import latest_per_key
+from indicata.operators.sampling import bottom_k
+from indicata.plans import current as CS
 from indicata.plans import landed as LD
 from indicata.plans import pipeline as PL
 from indicata.plans import silver as S
 from indicata.schemas import BRONZE, GOLD_COLUMNS, SILVER_INFLATION, SILVER_PLAIN, with_key_type
 from indicata.session import scratch_path
 from indicata.sources import payload as PAY
-from indicata.sources import store
+from indicata.sources import published, store, tables
 from indicata.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,15 +284,19 @@ def union_batches(spark, sf):
     return first.unionByName(second)
 
 
-SAMPLE = 5
+SAMPLE = 20
 
 
 def sample_rows(spark, sf):
-    """A few rows, whichever come first: how many of them the table holds as
-    they are (all)."""
-    orders = td.table(spark, sf, "orders")
-    few = orders.limit(SAMPLE)
-    return few.join(orders, orders.columns, "left_semi").agg(F.count("*").alias("da_tabela"))
+    """A sample of the orders, the same for any files and tasks."""
+    o = td.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return bottom_k(o, SAMPLE, ("o_orderkey",))
+
+
+def sample_by_group(spark, sf):
+    """The same of each order status; a status may hold nearly all rows."""
+    o = td.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return bottom_k(o, SAMPLE, ("o_orderkey",), by=("o_orderstatus",))
 
 
 def missing_by_column(spark, sf):
@@ -363,16 +370,26 @@ def distinct_years(spark, sf):
 
 
 def row_counts_by_layer(spark, sf):
-    return PR.row_counts({
-        "bronze.rate": ("bronze", td.rate_bronze(spark, sf)),
-        "bronze.fx": ("bronze", td.fx_bronze(spark, sf)),
-        "bronze.inflation": ("bronze", td.inflation_bronze(spark, sf)),
-        "silver.rate": ("silver", silver_rate(spark, sf)),
-        "silver.fx": ("silver", silver_fx(spark, sf)),
-        "silver.inflation": ("silver", silver_inflation(spark, sf)),
-        "silver.plain": ("silver", silver_plain_monthly(spark, sf)),
-        "gold.wide": ("gold", gold_wide_monthly(spark, sf)),
-    })
+    """Rows of each written table, from the footers of its files."""
+    def written(name, df):
+        path = scratch_path(spark, name.replace(".", "-"))
+        store.overwrite_all(df, path)
+        return store.read_table(spark, path)
+
+    days = _days(spark, sf)
+    bronze = {"rate": td.rate_bronze(spark, sf, days), "fx": td.fx_bronze(spark, sf, days),
+              "inflation": td.inflation_bronze(spark, sf, days)}
+    bronze = {k: written(f"bronze.{k}", df) for k, df in bronze.items()}
+    silver = {"rate": written("silver.rate", S.silver_rate(bronze["rate"], tie_break=(), bands=RATE_BANDS)),
+              "fx": written("silver.fx", S.silver_fx(bronze["fx"], tie_break=())),
+              "inflation": written("silver.inflation", S.silver_inflation(bronze["inflation"], tie_break=())),
+              "plain": written("silver.plain", silver_plain_monthly(spark, sf))}
+    gold = written("gold.wide", G.gold_wide(
+        M.monthly_rate(silver["rate"]), M.monthly_inflation(silver["inflation"]), M.monthly_fx(silver["fx"]),
+        M.monthly_plain(silver["plain"], {"level": "pib_valor_mes", "ratio": "inadimplencia_media_mes"})))
+    tables = {f"bronze.{k}": ("bronze", df) for k, df in bronze.items()}
+    tables |= {f"silver.{k}": ("silver", df) for k, df in silver.items()}
+    return PR.row_counts(tables | {"gold.wide": ("gold", gold)})
 
 
 # ---------------------------------------------------------------- ingestion and sinks
@@ -443,20 +460,69 @@ REWRITE_YEAR = 1996
 
 
 def silver_partition_overwrite(spark, sf):
-    """Write silver inflation, then rewrite only the partitions of one year."""
+    """Write silver inflation, then replace the partitions of one year by rows
+    that come from the table itself."""
     path = scratch_path(spark, "silver-inflation")
-    silver = silver_inflation(spark, sf)
-    store.overwrite_partitions(silver, path, SILVER_INFLATION_T)
-    revised = (store.read_table(spark, path, SILVER_INFLATION_T)
-               .filter(F.col("ano") == REWRITE_YEAR)
-               .withColumn("valor", rounded(F.col("valor") * F.lit(2.0), 4)))
-    staged = scratch_path(spark, "silver-inflation-staged")
-    store.overwrite_all(revised, staged, SILVER_INFLATION_T)
-    store.overwrite_partitions(store.read_table(spark, staged, SILVER_INFLATION_T), path,
-                               SILVER_INFLATION_T)
+    by = ("ano", "mes")
+    store.overwrite_all(silver_inflation(spark, sf), path, SILVER_INFLATION_T, by)
+    year = [p for p in published.partitions(spark, path) if p.startswith(f"ano={REWRITE_YEAR}/")]
+    revised = store.read_table(spark, path, SILVER_INFLATION_T, only=year) \
+        .withColumn("valor", rounded(F.col("valor") * F.lit(2.0), 4))
+    store.replace_partitions(revised, path, SILVER_INFLATION_T, year, by)
+    return store.read_table(spark, path, SILVER_INFLATION_T)
+
+
+VANISHING_MONTH = 7
+
+
+def silver_vanished_partitions(spark, sf):
+    """Silver inflation of one year written anew without one month: that
+    month's partition is gone, the other years' files are left as they are."""
+    path, by = scratch_path(spark, "silver-inflation"), ("ano", "mes")
+    store.overwrite_all(silver_inflation(spark, sf), path, SILVER_INFLATION_T, by)
+    year = [p for p in published.partitions(spark, path) if p.startswith(f"ano={REWRITE_YEAR}/")]
+    rest = store.read_table(spark, path, SILVER_INFLATION_T, only=year).filter(F.col("mes") != VANISHING_MONTH)
+    store.replace_partitions(rest, path, SILVER_INFLATION_T, year, by)
     return store.read_table(spark, path, SILVER_INFLATION_T)
 
 
+def incremental_current_state(spark, sf):
+    """The first batch and then its revisions, each appended and merged into
+    the years it touches; equal to de-duplicating everything."""
+    rows = td.rate_bronze(spark, sf).withColumns({
+        "serie": F.col("serie").cast("string"), "kind": F.lit("rate"), "ano": F.year("data"), "_seq": F.lit("0")})
+    staged, path = scratch_path(spark, "bronze-batches"), scratch_path(spark, "current")
+    rows.write.parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
+    for batch in (td.FIRST_BATCH, td.REVISION_BATCH):
+        CS.merge(rows.filter(F.col("_ingested_at") == C.ntz_literal(batch)), path)
+    return CS.read(spark, path).select(F.col("serie").cast("long").alias("serie"), "data", "valor", "_ingested_at")
+
+
+def bronze_table_by_name(spark, sf):
+    """A table created if absent, appended twice (the second batch with its
+    columns in another order) and read by its name."""
+    path = scratch_path(spark, "bronze-named")
+    name = "bronze_" + path[-12:]
+    rows = _rate_bronze_rows(spark, sf)
+    for batch in (td.FIRST_BATCH, td.REVISION_BATCH):
+        tables.ensure_table(spark, name, BRONZE_T, ("kind", "ano"), {"camada": "bronze"}, location=path)
+        part = rows.filter(F.col("_ingested_at") == C.ntz_literal(batch))
+        tables.append_table(part.select(*reversed(part.columns)), name, BRONZE_T, ("kind", "ano"))
+    return tables.read_by_name(spark, name)
+
+
+RANGE_OF_SERIES = (3, 5)
+
+
+def silver_rate_range(spark, sf):
+    """Silver rate written in the order of series and day; one range of series
+    is read, from the files that hold it."""
+    path = scratch_path(spark, "silver-rate-sorted")
+    layout.write_sorted(silver_rate(spark, sf), path, ("serie", "data"))
+    return layout.read_range(spark, path, "serie", *RANGE_OF_SERIES).select("serie", "data", "valor", "media_movel_30d")
+
+
 def silver_full_overwrite(spark, sf):
     """Two full overwrites of the plain monthly table; the second one wins."""
     path = scratch_path(spark, "silver-plain")
@@ -470,7 +536,8 @@ def gold_materialize(spark, sf):
 
 
 def control_log_summary(spark, sf):
-    """One run record per (event type, day) of the events table, appended as JSON."""
+    """One run record per (event type, day) of the events table; a run for each
+    event type, the first one logged twice, and the log compacted on the way."""
     ev = td.table(spark, sf, "events")
     runs = (ev.groupBy(F.col("event_type").alias("table_name"), F.to_date("ts").alias("dia"))
               .agg(F.count(F.lit(1)).alias("row_count"), F.min("ts").alias("started_at"),
@@ -480,8 +547,14 @@ def control_log_summary(spark, sf):
                   "status": F.when(F.col("row_count") > 0, "success").otherwise("no_data"),
                   "metadata": F.create_map(F.lit("dia"), F.date_format("dia", "yyyy-MM-dd")),
               }))
-    path = scratch_path(spark, "control")
-    store.append_control(store.control_records(runs), path)
+    path, staged = scratch_path(spark, "control"), scratch_path(spark, "control-records")
+    records = store.control_records(runs)
+    records.write.parquet(staged)
+    records = spark.read.schema(records.schema).parquet(staged)
+    first = F.col("table_name") == records.agg(F.min("table_name")).first()[0]
+    store.append_control(records.filter(first), path, "run-1")
+    store.append_control(records.filter(~first), path, "run-2", compact_at=2)
+    store.append_control(records.filter(first), path, "run-1")
     log = store.read_control(spark, path)
     return log.withColumn("dia", F.col("metadata")["dia"]).drop("metadata")
 
@@ -491,17 +564,27 @@ QUALITY_MONTH = "1996-01-01"
 
 
 def quality_not_null(spark, sf):
-    """On raw bronze, whose values have NULLs, so that the check can fail."""
-    return Q.not_null(_rate_bronze_rows(spark, sf), ("serie", "data", "valor"))
+    """On gold, and on raw bronze, whose values have NULLs, so that it can fail."""
+    return Q.not_null(_rate_bronze_rows(spark, sf), ("serie", "data", "valor")).unionByName(
+        Q.not_null(gold_wide_monthly(spark, sf), ("mes_ref", "selic_media_mes", "selic_anualizada_mes")))
 
 
 def quality_unique(spark, sf):
     """Raw bronze repeats (serie, data) for every revised day; with the
-    ingestion time the key is unique; de-duplicated silver is unique."""
-    raw = td.rate_bronze(spark, sf)
-    return Q.unique(raw, ("serie", "data"), "bronze.rate") \
+    ingestion time the key is unique; de-duplicated silver and gold are."""
+    days = _days(spark, sf)
+    raw = td.rate_bronze(spark, sf, days)
+    silver = {"rate": silver_rate(spark, sf, days), "fx": silver_fx(spark, sf, days),
+              "inflation": silver_inflation(spark, sf, days)}
+    gold = G.gold_wide(
+        M.monthly_rate(silver["rate"]), M.monthly_inflation(silver["inflation"]), M.monthly_fx(silver["fx"]),
+        M.monthly_plain(silver_plain_monthly(spark, sf), {"level": "pib_valor_mes", "ratio": "inadimplencia_media_mes"}))
+    out = Q.unique(raw, ("serie", "data"), "bronze.rate") \
         .unionByName(Q.unique(raw, ("serie", "data", "_ingested_at"), "bronze.rate")) \
-        .unionByName(Q.unique(silver_rate(spark, sf), ("serie", "data"), "silver.rate"))
+        .unionByName(Q.unique(gold, ("mes_ref",), "gold.wide"))
+    for kind, df in silver.items():
+        out = out.unionByName(Q.unique(df, ("serie", "data"), f"silver.{kind}"))
+    return out
 
 
 def _written(df, write):
@@ -513,11 +596,14 @@ def _written(df, write):
 
 def quality_reconcile_counts(spark, sf):
     """Rows written against rows read back; a first part only of one table."""
-    bronze_path = scratch_path(spark, "bronze-reconcile")
+    bronze_path, silver_path = scratch_path(spark, "bronze-reconcile"), scratch_path(spark, "silver-reconcile")
     rows = _written(_rate_bronze_rows(spark, sf), lambda df: store.append_bronze(df, bronze_path, BRONZE_T))
     bronze = store.read_table(spark, bronze_path, BRONZE_T)
     first = bronze.filter(F.col("_ingested_at") == C.ntz_literal(td.FIRST_BATCH))
-    return Q.reconcile({"bronze.rate": (rows, bronze), "bronze.rate.first": (rows, first)})
+    put = _written(silver_inflation(spark, sf), lambda df: store.overwrite_all(
+        df, silver_path, SILVER_INFLATION_T, ("ano", "mes")))
+    return Q.reconcile({"bronze.rate": (rows, bronze), "bronze.rate.first": (rows, first),
+                        "silver.inflation": (put, store.read_table(spark, silver_path, SILVER_INFLATION_T))})
 
 
 def quality_reconcile_at_least(spark, sf):
@@ -572,6 +658,42 @@ def chunked_window_by_series(spark, sf):
     return chunked_window(ev, ("ts", "event_id"), compute, halo=11, chunk_rows=64, keys=("serie",))
 
 
+def running_single_series(spark, sf):
+    """Running sum, average, count and extremes over the events as one series."""
+    ev = td.table(spark, sf, "events").select("event_id", "ts", "value")
+    out = running(ev, ("ts", "event_id"), {
+        "soma": ("sum", "value"), "media": ("avg", "value"), "n": ("count", "value"), "menor": ("min", "value"),
+        "maior": ("max", "value")}, chunk_rows=CHUNK_ROWS)
+    return out.withColumns({"soma": rounded("soma", W.DIGITS_VALUE), "media": rounded("media", W.DIGITS_VALUE)})
+
+
+def running_year_to_date(spark, sf):
+    """Year-to-date sum and average of the same series: every year starts anew."""
+    ev = td.table(spark, sf, "events").select("event_id", "ts", "value", F.year("ts").alias("ano"))
+    out = running(ev, ("ts", "event_id"), {"acumulado_ano": ("sum", "value"), "media_ano": ("avg", "value")},
+                  keys=("ano",), chunk_rows=CHUNK_ROWS)
+    return out.withColumns({c: rounded(c, W.DIGITS_VALUE) for c in ("acumulado_ano", "media_ano")})
+
+
+LONG_FRAME = 10_000
+
+
+def moving_extremes_long(spark, sf):
+    """Extremes of the last 10,000 events of the one series."""
+    ev = td.table(spark, sf, "events").select("event_id", "ts", "value")
+    return long_extremes(ev, ("ts", "event_id"), "value", LONG_FRAME, names=("maximo", "minimo"))
+
+
+def product_rounding(spark, sf):
+    """The product's own rounding (no comparison): averages of up to four whole
+    quantities are halves, thirds and quarters, so ties at a digit are exact."""
+    li = td.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_quantity")
+    return li.withColumns({
+        "media": W.moving_avg("l_quantity", w, 4, digits=1), "variacao": W.change("l_quantity", w),
+        "soma": W.rolling_sum("l_quantity", w, 12), "dezena": rounded(F.col("l_quantity") / 4, -1)})
+
+
 def silver_rate_sorted(spark, sf):
     """Silver in the order of series and day, each row with its place."""
     return global_row_number(silver_rate(spark, sf), ("serie", "data")).select(
@@ -666,9 +788,21 @@ _REGISTERED: dict[str, Query] = {
     "chunked_window_by_series": chunked_window_by_series,
     "silver_rate_sorted": silver_rate_sorted,
     "gold_sorted": gold_sorted,
+    "sample_by_group": sample_by_group,
+    "silver_vanished_partitions": silver_vanished_partitions,
+    "incremental_current_state": incremental_current_state,
+    "bronze_table_by_name": bronze_table_by_name,
+    "silver_rate_range": silver_rate_range,
+    "running_single_series": running_single_series,
+    "running_year_to_date": running_year_to_date,
+    "moving_extremes_long": moving_extremes_long,
+    "ingest_split_files": LD.ingest_split_files,
     "ingest_landed_files": LD.ingest_landed_files,
     "ingest_fixed_winner": LD.ingest_fixed_winner,
     "pipeline_landed_run": LD.pipeline_landed_run,
 }
 
-QUERIES: dict[str, Query] = {name: comparing(q) for name, q in _REGISTERED.items()}
+# These round as the product does.
+_AS_IS: dict[str, Query] = {"product_rounding": product_rounding}
+
+QUERIES: dict[str, Query] = {name: comparing(q) for name, q in _REGISTERED.items()} | _AS_IS

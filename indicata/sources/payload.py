@@ -14,11 +14,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from indicata.functions.calendar import ntz_literal
-from indicata.schemas import PAYLOAD
+from indicata.schemas import PAYLOAD, PAYLOAD_ITEM
+from indicata.session import scratch_path
 
 # Fixed values (must equal the reference for right results).
 DATE_PATTERN = "dd/MM/yyyy"
@@ -26,6 +27,16 @@ PLACE_DIGITS = 10
 # What counts as a number: a plain decimal, with an exponent at most.
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,3})?\s*$"
 
+# Landed files of more bytes are read in ranges.
+SPLIT_ABOVE = 32 << 20
+# A flat JSON object up to its closing brace: what from_json reads in an array
+# it reads alone (RFC 8259; only texts, numbers and literals as values).
+_S = r"[ \t\r\n]*+"
+_TEXT = r'"[^"\\\x00-\x1f]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1f]*+)*+"'
+_VALUE = rf"(?:{_TEXT}|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null)"
+_MEMBER = rf"{_TEXT}{_S}:{_S}{_VALUE}{_S}"
+_BODY = rf"\{{{_S}(?:{_MEMBER}(?:,{_S}{_MEMBER})*+)?"
+
 # Reasons for quarantine.
 UNREADABLE = "payload ilegível"
 BAD_DATE = "data inválida"
@@ -88,7 +99,7 @@ def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
             parsed.filter(~ok & (F.col("motivo") != EMPTY)))
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
+def read_landed(spark: SparkSession, path: str, split_above: int = SPLIT_ABOVE) -> DataFrame:
     """Read landed payload files (each a JSON array) under ``path``.
 
     The series name is the parent folder of each file
@@ -96,21 +107,92 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     holds no JSON is one unreadable payload and one with ``[]`` a row with
     the reason ``EMPTY``, so that its series is seen. ``_seq`` (batch file, place in
     its array) orders the rows of a run in the same way for any file sizes
-    and task layout.
+    and task layout. Files over ``split_above`` bytes are read in byte ranges
+    by many tasks (``read_split``), with the same rows.
+    """
+    size = F.col("_metadata.file_size")
+    items = landed_items(_whole(spark, path, size <= split_above))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    if listed.select("path", "length").filter(F.col("length") > split_above).isEmpty():
+        return items
+    return items.unionByName(read_split(spark, path, size > split_above))
+
+
+def _whole(spark: SparkSession, path: str, which: Column) -> DataFrame:
+    """Files as one text each; ``which`` picks files by ``_metadata``, which
+    Spark applies to the listing."""
+    return (spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).filter(which)
+                 .select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("_file")))
+
+
+def read_split(spark: SparkSession, path: str, which: Column) -> DataFrame:
+    """Items of landed arrays, each file read in byte ranges by several tasks.
+
+    Spark's text reader cuts a file into ranges and these at every ``}``, which
+    ends an item when items are flat objects. Each piece must have the exact
+    form of an item at its place (``[{...``, then ``,{...``, at last ``]``), so
+    a file whose pieces all pass is the array that they make up. The place of
+    an item is that in its range plus what the ranges before it hold. A file
+    with any other piece (a brace inside a text, a nested value, a broken end)
+    goes through the whole-file reader, which decides what it is.
     """
-    files = (spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-                  .select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("_file")))
-    return landed_items(files)
+    tagged = (spark.read.option("recursiveFileLookup", True).option("lineSep", "}").text(path).filter(which)
+                   .select(F.col("value").alias("piece"), F.col("_metadata.file_path").alias("_file"),
+                           F.col("_metadata.file_block_start").alias("_start"),
+                           F.monotonically_increasing_id().alias("_mid")))
+    p = F.col("piece")
+    tagged = tagged.withColumn("form", F.when(p.rlike(rf"^{_S},{_S}{_BODY}\z"), "next")
+                               .when(p.rlike(rf"^{_S}\[{_S}{_BODY}\z"), "first")
+                               .when(p.rlike(rf"^{_S}\]{_S}\z"), "end").otherwise("odd"))
+    staged = scratch_path(spark, "landed-pieces")
+    tagged.write.parquet(staged)  # the tags are fixed from here on
+    pieces = spark.read.schema(tagged.schema).parquet(staged)
+
+    def at(form: str) -> Column:
+        return F.when(F.col("form") == form, F.col("_mid"))
+
+    ranges = pieces.groupBy("_file", "_start").agg(
+        F.count("*").alias("n"), F.min("_mid").alias("low"), F.count_if(F.col("form") == "odd").alias("odd"),
+        F.count(at("first")).alias("firsts"), F.min(at("first")).alias("first"),
+        F.count(at("end")).alias("ends"), F.max(at("end")).alias("end"))
+    of_file = Window.partitionBy("_file")  # a row for each range of a file
+    earlier = of_file.orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    place = F.col("before") - F.col("low")
+    plain = (F.sum("odd").over(of_file) == 0) & (F.sum("firsts").over(of_file) == 1) \
+        & (F.sum("ends").over(of_file) == 1) & (F.min(place + F.col("first")).over(of_file) == 0) \
+        & (F.max(place + F.col("end")).over(of_file) == F.sum("n").over(of_file) - 1)
+    ranges = ranges.select(F.col("_file").alias("_f"), F.col("_start").alias("_s"), place.alias("shift"),
+                           F.coalesce(plain, F.lit(False)).alias("plain"))
+    odd = [r._f for r in ranges.filter("NOT plain").select("_f").distinct().collect()]  # large files, so few
+    item = F.from_json(F.concat(F.regexp_replace(p, rf"^{_S}[\[,]", ""), F.lit("}")), PAYLOAD_ITEM)
+    rows = pieces.filter("form IN ('first', 'next')") \
+        .join(ranges.filter("plain"), (F.col("_file") == F.col("_f")) & (F.col("_start") == F.col("_s"))) \
+        .withColumn("item", item)
+    place = (F.col("_mid") + F.col("shift")).cast("int")
+    split = _named(rows).select(
+        "serie", "arquivo", F.col("item.data").alias("data_texto"), F.col("item.valor").alias("valor_texto"),
+        F.lit(None).cast("string").alias("motivo"), _seq(place).alias("_seq"))
+    if not odd:
+        return split
+    return split.unionByName(landed_items(_whole(spark, path, F.col("_metadata.file_path").isin(*odd))))
+
+
+def _named(files: DataFrame) -> DataFrame:
+    """Series and file name from the path in ``_file``."""
+    parts = F.split(F.col("_file"), "/")
+    return files.withColumns({"serie": F.regexp_replace(F.element_at(parts, -2), "^serie=", ""),
+                              "arquivo": F.element_at(parts, -1)})
+
+
+def _seq(place: Column) -> Column:
+    return F.concat_ws("#", "arquivo", F.lpad(place.cast("string"), PLACE_DIGITS, "0"))
 
 
 def landed_items(files: DataFrame) -> DataFrame:
     """Items of landed files ``(payload, _file)`` with ``serie``, ``arquivo``, ``_seq``."""
-    parts = F.split(F.col("_file"), "/")
-    folder = F.regexp_replace(F.element_at(parts, -2), "^serie=", "")
-    named = files.select("payload", folder.alias("serie"), F.element_at(parts, -1).alias("arquivo"))
-    items = explode_payload(named, keep_empty=True)
-    place = F.lpad(F.col("posicao").cast("string"), PLACE_DIGITS, "0")
-    return items.withColumn("_seq", F.concat_ws("#", "arquivo", place)).drop("posicao")
+    items = explode_payload(_named(files).select("payload", "serie", "arquivo"), keep_empty=True)
+    return items.withColumn("_seq", _seq(F.col("posicao"))).drop("posicao")
 
 
 def first_of_file(seq_col: str) -> Column:

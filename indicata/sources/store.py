@@ -10,6 +10,8 @@ table as it was.
 from __future__ import annotations
 
 import datetime as dt
+import re
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -120,15 +122,58 @@ def control_records(runs: DataFrame) -> DataFrame:
     return conform(runs.withColumn("duration_seconds", micros / F.lit(1_000_000.0)), CONTROL_RECORD)
 
 
+# Runs that keep a folder of their own before the log is compacted.
+COMPACT_AT = 50
 # Microsecond timestamps in the JSON log (the default keeps milliseconds).
 _TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def append_control(records: DataFrame, path: str) -> None:
-    """Append run records as JSON lines."""
-    (conform(records, CONTROL_RECORD).write.mode("append")
-        .option("timestampNTZFormat", _TS_FORMAT).json(path))
+def _runs(path: str) -> str:
+    return f"{path}/runs"
+
+
+def append_control(records: DataFrame, path: str, run_id: str | None = None, compact_at: int = COMPACT_AT) -> None:
+    """Append the records of one run, as JSON lines in a folder of the run.
+
+    A run id that comes again replaces its records, so a retried step does not
+    double them, and runs that end together do not touch each other's files.
+    With ``compact_at`` runs on their own they are moved into one table.
+    """
+    run_id = run_id or uuid.uuid4().hex
+    if not re.fullmatch(r"[\w-]+", run_id):
+        raise ValueError(f"no run id: {run_id!r}")
+    (conform(records, CONTROL_RECORD).hint("rebalance").write.mode("overwrite")
+        .option("timestampNTZFormat", _TS_FORMAT).json(f"{_runs(path)}/{run_id}"))
+    spark = records.sparkSession
+    if len(published.folders(spark, _runs(path))) >= compact_at:
+        compact_control(spark, path)
+
+
+def _control(spark: SparkSession, path: str, runs: Sequence[str]) -> DataFrame:
+    """All records with their run; a run's own folder goes before the table."""
+    schema = T.StructType([*CONTROL_RECORD.fields, T.StructField("_run", T.StringType())])
+    out = spark.createDataFrame([], schema)
+    if published.current(spark, f"{path}/base") is not None:
+        out = read_table(spark, f"{path}/base", schema)
+        if runs:
+            out = out.filter(~F.col("_run").isin(*runs))
+    if runs:
+        own = spark.read.schema(CONTROL_RECORD).option("timestampNTZFormat", _TS_FORMAT) \
+            .json([f"{_runs(path)}/{r}" for r in runs])
+        out = out.unionByName(own.withColumn("_run", F.element_at(F.split("_metadata.file_path", "/"), -2)))
+    return out
+
+
+def compact_control(spark: SparkSession, path: str) -> None:
+    """Move the runs' folders into the table. A crash in between doubles
+    nothing: a run's folder counts instead of its rows in the table."""
+    runs = published.folders(spark, _runs(path))
+    published.publish(_control(spark, path, runs).hint("rebalance"), f"{path}/base")
+    published.vacuum(spark, f"{path}/base")
+    for r in runs:
+        published.delete(spark, f"{_runs(path)}/{r}")
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CONTROL_RECORD).option("timestampNTZFormat", _TS_FORMAT).json(path)
+    """Every run's records."""
+    return _control(spark, path, published.folders(spark, _runs(path))).drop("_run")
