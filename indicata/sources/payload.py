@@ -53,8 +53,11 @@ def parse_date(c: Column | str, strict: bool = True) -> Column:
 def parse_number(c: Column | str) -> Column:
     """Text to DOUBLE; anything but a finite plain decimal becomes NULL."""
     x = F.col(c) if isinstance(c, str) else c
-    number = F.when(x.rlike(NUMBER_PATTERN), x.try_cast("double"))
-    return F.when(F.abs(number) < F.lit(float("inf")), number)
+    number = x.try_cast("double")
+    # The cast also takes names and suffixes (NaN, 1.5d); texts without letters
+    # and blanks that it takes are plain decimals, only others need the pattern.
+    plain = ~x.rlike("[^0-9.+-]") | x.rlike(NUMBER_PATTERN)
+    return F.when((F.abs(number) < F.lit(float("inf"))) & plain, number)
 
 
 def explode_payload(df: DataFrame, text_col: str = "payload", keep_empty: bool = False) -> DataFrame:

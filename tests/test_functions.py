@@ -31,15 +31,15 @@ def test_comparison_rounding_is_opt_in(spark):
 
 
 def test_annualize_252_business_days(spark):
-    assert one(spark, annualize, 0.04) == pytest.approx(0.106033, abs=1e-9)
-    assert one(spark, annualize, 0.042) == pytest.approx(0.111619, abs=1e-9)
+    for daily in (0.0275, 0.0533, 0.0):
+        assert one(spark, annualize, daily) == pytest.approx(round((1 + daily / 100) ** 252 - 1, 6), abs=1e-12)
 
 
 def test_fisher_real_rate(spark):
-    df = spark.createDataFrame([(10.7428, 0.16), (11.1619, 1.47), (None, 1.0), (5.0, -100.0)], "a double, b double")
+    df = spark.createDataFrame([(13.25, 4.75), (2.0, 7.9), (None, 1.0), (5.0, -100.0)], "a double, b double")
     got = [r.y for r in df.select(fisher_real_rate("a", "b").alias("y")).collect()]
-    assert got[0] == pytest.approx(10.5659, abs=1e-9)
-    assert got[1] == pytest.approx(9.5515, abs=1e-9)
+    assert got[0] == pytest.approx(round((1.1325 / 1.0475 - 1) * 100, 4), abs=1e-9)
+    assert got[1] == pytest.approx(round((1.02 / 1.079 - 1) * 100, 4), abs=1e-9)
     assert got[2] is None
     assert got[3] is None  # division by zero gives NULL, not an error
 
