@@ -13,10 +13,16 @@ between sets, never by leaving rows out:
   puts common ones last, fewer in the part of the smaller set of a pair than
   in that of the larger; a pair that links meets in a list;
 * every set first meets one hub, the set it shares most lists with, and the
-  overlap is counted exactly; sets whose links lead to the same hub are
-  connected, and a list whose sets all do is done;
-* lists are cut into blocks by set size, and blocks that cannot hold a partner
-  are not visited; position in the list order bounds the overlap of the rest;
+  overlap is counted exactly; sets that links connect have one label, and a
+  list whose sets all have the same one is done;
+* in a list with several labels most sets have one of them as a rule; the
+  others then meet a few sets of that label, chosen anew in each round, so a
+  family of thousands that are near one another is connected by some of its
+  links and never paired;
+* what is left are sets outside the label that most of a list has: only they
+  are held against the list's other sets, each pair in the first list that both
+  are in. Lists are cut into blocks by set size, and blocks that cannot hold a
+  partner are not visited; position in the list order bounds the overlap;
 * two sets measured against the same hub get their answer from it where the
   bound that follows leaves no doubt;
 * only the pairs left are counted.
@@ -40,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from indicata.llm.common import (K1, K3, attach, components, discard, materialize, mix, repeated,
                                  shingle_hashes, ship, slices, text_buffers, word_hashes)
@@ -48,13 +54,19 @@ from indicata.llm.common import (K1, K3, attach, components, discard, materializ
 #: Words of a shingle, threshold in percent.
 WORDS, PERCENT = 5, 75
 #: Text that a worker takes at a time; shingles counted together at a time.
-BYTES, TOGETHER = 4 << 20, 4_000_000
+BYTES, TOGETHER = 4 << 20, 1_000_000
 #: Percent of a set's shingles that are compared beyond the first few that any
 #: two linked sets must share.
 BEYOND = 15
 #: The order puts at most so many common shingles last. Any order gives the
 #: same links; this one makes short lists.
 COMMON, SEEN = 1 << 18, 3
+#: Rounds in which sets meet others of a list's main label: how many each, and
+#: how many are drawn from a list. What is left by then links to few or none.
+ROUNDS = ((32, 3),)
+#: Longest index of a set that is carried along to find a pair's first list;
+#: pairs of longer ones may come up in several lists and are made distinct.
+CARRIED = 256
 #: Input bytes to a bucket of shingles.
 BUCKET = 8 << 20
 
@@ -356,6 +368,44 @@ def counted(pairs: DataFrame, items: DataFrame) -> DataFrame:
         "a", "b", "na", "nb", F.size(F.array_intersect("ia", "ib")).alias("o"))
 
 
+def relabel(labels: DataFrame, links: DataFrame, same: bool = False) -> DataFrame:
+    """``labels (s, c)`` after ``links (a, b)`` of sets: sets of one label are
+    connected, and what links to one label mostly gets one (two steps of the
+    smallest label around). ``same``: every set is its own label so far."""
+    if same:
+        ends = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    else:
+        a, b = (labels.select(F.col("s").alias(x), F.col("c").alias(y)) for x, y in (("a", "u"), ("b", "v")))
+        ends = links.join(a, "a").join(b, "b").filter("u <> v").select("u", "v")
+    ends = materialize(ends.union(ends.select("v", "u")).distinct(), "jaccard-ends")
+    low = ends.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+    lower = ends.join(low.select(F.col("u").alias("v"), "m"), "v").groupBy("u").agg(F.min("m").alias("m"))
+    return materialize(labels.join(lower, F.col("c") == F.col("u"), "left").select(
+        "s", F.coalesce("m", "c").alias("c")), "jaccard-labels")
+
+
+def open_lists(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries of the lists whose sets have several labels, with their label
+    ``c`` and the one that most sets of the list have, ``bulk``."""
+    told = entries.drop("hub").join(labels, "s")
+    bulk = told.groupBy("sig", "c").agg(F.count("*").alias("k")).groupBy("sig").agg(
+        F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("labels")) \
+        .filter("labels > 1").select("sig", F.col("m.c").alias("bulk"))
+    return materialize(told.join(bulk, "sig"), "jaccard-told")
+
+
+def meetings(told: DataFrame, most: int, draws: int) -> DataFrame:
+    """Pairs (a, b): each set outside its lists' main label and up to ``most``
+    sets of that label, those drawn in most of its lists first."""
+    drawn = told.filter("c = bulk").groupBy("sig").agg(F.array(*[
+        F.min(F.struct(F.xxhash64("s", "sig", F.lit(i)).alias("draw"), "s")) for i in range(draws)]).alias("m")) \
+        .select("sig", F.explode(F.array_distinct(F.col("m.s"))).alias("b"))
+    asked = told.filter("c <> bulk").select("sig", F.col("s").alias("a")).join(drawn, "sig") \
+        .groupBy("a", "b").agg(F.count("*").alias("k"))
+    best = Window.partitionBy("a").orderBy(F.desc("k"), "b")
+    return asked.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= most).select("a", "b")
+
+
 def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> DataFrame:
     """One row per row of ``docs``: id, th (hash of the text), n (shingles)
     and, in a component of several rows, ``rows`` (those of its set) and
@@ -385,33 +435,40 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
     enough = f"100 * o >= {percent} * (na + nb - o)"
     met = materialize(counted(best, items), "jaccard-hubs")
     near = met.filter(enough).select("a", "b")
-    # what is known of each set: its hub and the overlap, and whom its links
-    # lead to in a few steps (sets that lead to the same one are connected)
-    up = near.select(F.col("a").alias("c"), F.col("b").alias("_up"))
-    leads = items.select("s", F.col("s").alias("c"))
-    for _ in range(3):
-        leads = leads.join(up, "c", "left").select("s", F.coalesce("_up", "c").alias("c"))
-    known = materialize(
-        leads.join(met.select(F.col("a").alias("s"), F.col("b").alias("h"), "o"), "s", "left")
-        .select("s", "c", F.coalesce("h", "s").alias("h"), "o"), "jaccard-known")
-    told = entries.drop("hub").join(known, "s").withColumn("o", F.coalesce("o", "t"))
-    open_ = told.groupBy("sig").agg(F.min("c").alias("_a"), F.max("c").alias("_b")) \
-        .filter("_a <> _b").select("sig")
-    told = materialize(told.join(open_, "sig").withColumn(
-        "size_class", F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)))), "jaccard-open")
-    names = ("s", "n", "t", "pos", "c", "h", "o")
-    left = told.filter("small").select("sig", "size_class", *[F.col(c).alias(f"{c}a") for c in names])
+    labels = relabel(items.select("s", F.col("s").alias("c")), near, same=True)
+    for most, draws in ROUNDS:
+        some = meetings(open_lists(entries, labels), most, draws)
+        found = materialize(counted(some, items).filter(enough).select("a", "b"), "jaccard-met")
+        near, labels = near.union(found), relabel(labels, found)
+    # what is known of each set: its hub and the overlap
+    known = items.select("s").join(met.select(F.col("a").alias("s"), F.col("b").alias("h"), "o"), "s", "left") \
+        .select("s", F.coalesce("h", "s").alias("h"), "o")
+    told = open_lists(entries, labels)
+    index = told.groupBy("s").agg(F.collect_set("sig").alias("all"),
+                                  F.collect_set(F.when(F.col("small"), F.col("sig"))).alias("few"))
+    index = index.select("s", *[F.when(F.size("all") <= CARRIED, F.col(c)).alias(c) for c in ("all", "few")])
+    told = materialize(told.join(known, "s").join(index, "s").withColumns({
+        "o": F.coalesce("o", "t"), "rest": F.col("c") != F.col("bulk"),
+        "size_class": F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)))}), "jaccard-open")
+    names = ("s", "n", "t", "pos", "c", "h", "o", "rest")
+    left = told.filter("small").select("sig", "size_class", "few", *[F.col(c).alias(f"{c}a") for c in names])
     right = told.select("sig", F.explode(F.array(F.col("size_class"), F.col("size_class") - 1))
-                        .alias("size_class"), *[F.col(c).alias(f"{c}b") for c in names])
+                        .alias("size_class"), "all", *[F.col(c).alias(f"{c}b") for c in names])
     reach = f"{percent} * (na + nb)"
     whole = 100 + percent
-    pairs = left.join(right, ["sig", "size_class"]).filter(
+    fits = (
         "ca <> cb and (na < nb or (na = nb and sa < sb))"
         f" and 100 * na >= {percent} * nb and {whole} * least(ta, tb) >= {reach}"
         f" and {whole} * (least(posa, posb) + 1 + least(ta - 1 - posa, tb - 1 - posb)) >= {reach}"
         " and ha <> sb and hb <> sa"
-        f" and (ha <> hb or {whole} * (least(oa, ob) + least(ta - oa, tb - ob)) >= {reach})") \
-        .select(F.col("sa").alias("a"), F.col("sb").alias("b")).distinct()
+        f" and (ha <> hb or {whole} * (least(oa, ob) + least(ta - oa, tb - ob)) >= {reach})"
+        " and coalesce(array_min(array_intersect(few, all)) = sig, true)")
+
+    def meet(some: DataFrame, others: DataFrame) -> DataFrame:
+        return some.join(others, ["sig", "size_class"]).filter(fits) \
+            .select(F.col("sa").alias("a"), F.col("sb").alias("b"))
+
+    pairs = meet(left.filter("resta"), right).union(meet(left.filter("not resta"), right.filter("restb"))).distinct()
     late = counted(materialize(pairs, "jaccard-pairs"), items).filter(enough).select("a", "b")
     joined = materialize(components(near.union(late)), "jaccard-components")
 
