@@ -98,7 +98,7 @@ def _days(spark, sf):
     three silver tables find the rows of a supplier together, without a shuffle."""
     path = scratch_path(spark, "supplier-days")
     name = "supplier_days_" + path[-12:]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 10_000)  # Spark allows 100,000 buckets
     td.supplier_days(spark, sf).repartition(n, "serie").write.bucketBy(n, "serie").sortBy("serie", "data") \
         .option("path", path).saveAsTable(name)
     return spark.table(name)
