@@ -11,7 +11,9 @@ valid vector is indexed, none is sampled.
 
 For inner products of vectors of any length, a shard adds one coordinate that
 gives all of its vectors the same length; there the nearest point is the one
-of the largest inner product.
+of the largest inner product. A shard holds vectors of one layer of lengths
+(a factor of two) and scales them by its power of two, so a few very long
+vectors, or very large or small components, take no precision from others.
 
 Defined results: vectors that are null, zero, empty, or hold null or
 non-finite components, and rows without an id, take no part; vectors meet
@@ -44,6 +46,11 @@ def lifted(x: np.ndarray) -> np.ndarray:
     return np.column_stack([x, np.sqrt(np.maximum(square.max(initial=0.0) - square, 0.0))]).astype(np.float32)
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Each row by the power of two that brings its largest component to about 1."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0.0))[1][:, None])
+
+
 def beam(x: np.ndarray, edges: np.ndarray, entry: np.ndarray, q: np.ndarray, pool: int,
          width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Greedy beam search of all queries at once: (ids, squared distances),
@@ -122,7 +129,8 @@ def build(vectors: np.ndarray, degree: int = DEGREE, pool: int = POOL,
     order = np.random.default_rng(7).permutation(n)
     centre = vectors.mean(axis=0)
     middle = int(((vectors - centre) ** 2).sum(axis=1).argmin())
-    entry = np.unique(np.append(order[:7], middle))
+    # a shard no larger than a pool is searched whole
+    entry = np.arange(n) if n <= pool else np.unique(np.append(order[:7], middle))
     edges = np.full((n + 1, degree), n)
     first = min(n, 256)
     a, b = 0, first
@@ -173,42 +181,54 @@ def inner(q: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def valid(vectors: DataFrame, id_col: str, vec: str) -> DataFrame:
-    """Distinct (id, v, dim) of the rows that take part; v as doubles."""
+    """Distinct (id, v, dim, layer) of the rows that take part; v as doubles.
+
+    ``layer``: the whole number nearest to the binary logarithm of the length,
+    so that vectors of length one, give or take rounding, share one.
+    """
     v = F.transform(vec, lambda c: c.cast("double"))
     bad = F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    part = F.aggregate("v", F.lit(0.0), lambda s, c: s + F.pow(c / F.col("top"), F.lit(2.0)))
     return vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")) \
         .filter(F.col("id").isNotNull() & F.col("v").isNotNull()) \
         .filter(~bad & F.exists("v", lambda c: c != 0)) \
-        .withColumn("dim", F.size("v")).distinct()
+        .withColumn("dim", F.size("v")).distinct() \
+        .withColumn("top", F.array_max(F.transform("v", lambda c: F.abs(c)))) \
+        .withColumn("layer", F.round(F.log2("top") + F.log2(part) / 2).cast("int")).drop("top")
 
 
 def index(rows: DataFrame, k: int, shard: int = SHARD) -> DataFrame:
-    """Graphs of all shards: (dim, shard, blobs); ``rows`` as from ``valid``."""
+    """Graphs of all shards: (dim, layer, shard, blobs); ``rows`` as from ``valid``."""
     salted = Window.partitionBy("v", "salt").orderBy("id")
     whole = Window.partitionBy("v").orderBy("id")
     nodes = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT))) \
         .withColumn("r", F.row_number().over(salted)).filter(F.col("r") <= k + 1).drop("r") \
         .withColumn("r", F.row_number().over(whole)).filter(F.col("r") <= k + 1) \
-        .groupBy("dim", "v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+        .groupBy("dim", "layer", "v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     nodes = materialize(nodes, "ann-nodes")
-    sizes = materialize(nodes.groupBy("dim").agg(
+    sizes = materialize(nodes.groupBy("dim", "layer").agg(
         F.ceil(F.count("*") / shard).cast("int").alias("shards")), "ann-shards")
-    dealt = nodes.join(sizes, "dim").withColumn(
-        "shard", F.pmod(F.xxhash64("v"), F.col("shards")).cast("int")).drop("shards")
+    every = int(sizes.agg(F.sum("shards")).first()[0] or 1)
+    # a number of partitions of its own keeps graphs from being built in one task
+    dealt = nodes.join(sizes, ["dim", "layer"]).withColumn(
+        "shard", F.pmod(F.xxhash64("v"), F.col("shards")).cast("int")).drop("shards") \
+        .repartition(every, "dim", "layer", "shard")
 
     def graph(part: pd.DataFrame) -> pd.DataFrame:
         part = part.iloc[part["ids"].map(lambda i: i[0]).argsort(kind="stable")]
         v = np.array(part["v"].tolist(), np.float64)
-        edges, entry = build(lifted(v))
+        layer = int(part["layer"].iloc[0])
+        edges, entry = build(lifted(np.ldexp(v, -layer)))
         ids = part["ids"].tolist()
         return pd.DataFrame({
-            "dim": [part["dim"].iloc[0]], "shard": [part["shard"].iloc[0]], "vectors": [v.tobytes()],
+            "dim": [part["dim"].iloc[0]], "layer": [layer], "shard": [part["shard"].iloc[0]],
+            "vectors": [v.tobytes()],
             "edges": [edges.astype(np.int32).tobytes()], "entry": [entry.astype(np.int32).tobytes()],
             "ids": [np.concatenate(ids).astype(np.int64).tobytes()],
             "counts": [np.array([len(i) for i in ids], np.int32).tobytes()]})
 
-    return materialize(dealt.groupBy("dim", "shard").applyInPandas(
-        graph, "dim int, shard int, vectors binary, edges binary, entry binary, ids binary, "
+    return materialize(dealt.groupBy("dim", "layer", "shard").applyInPandas(
+        graph, "dim int, layer int, shard int, vectors binary, edges binary, entry binary, ids binary, "
                "counts binary"), "ann-graphs")
 
 
@@ -233,12 +253,12 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec
                 edges = np.frombuffer(r["edges"], np.int32).reshape(len(v) + 1, -1)
                 counts = np.frombuffer(r["counts"], np.int32)
                 ids, begin = np.frombuffer(r["ids"], np.int64), np.concatenate([[0], np.cumsum(counts)])
-                x, entry = lifted(v), np.frombuffer(r["entry"], np.int32)
+                x, entry = lifted(np.ldexp(v, -r["layer"])), np.frombuffer(r["entry"], np.int32)
                 for a in range(0, len(r["queries"]), 512):
                     part = r["queries"][a:a + 512]
                     own = np.array([p["id"] for p in part])
                     q = np.array([p["v"] for p in part], np.float64)
-                    point = np.column_stack([q, np.zeros(len(q))]).astype(np.float32)
+                    point = np.column_stack([unit(q), np.zeros(len(q))]).astype(np.float32)
                     found, _ = beam(x, edges, entry, point, max(POOL, 2 * k))
                     who, col = np.nonzero(found >= 0)
                     node = found[who, col]
@@ -258,7 +278,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec
                          pa.array(vec_id[top], pa.int64()), pa.array(score[top], pa.float64())],
                         ["query_id", "v", "vec_id", "score"])
 
-    hits = met.repartition(F.col("dim"), F.col("shard"), F.col("block")).mapInArrow(
+    hits = met.repartition("dim", "layer", "shard", "block").mapInArrow(
         search, "query_id long, v binary, vec_id long, score double")
     best = Window.partitionBy("query_id", "v").orderBy(F.col("score").desc(), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k) \
