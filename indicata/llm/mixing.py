@@ -8,7 +8,9 @@ total and its document total, so that both stay what they are while units
 reach 0 or 1 one by one. It runs in groups of at most a few hundred units;
 each leaves at most two fractional units, which meet in the groups of the
 next level, until one group of a source is left with at most two units: the
-landing problem, settled so that the token total ends nearest to its goal.
+landing problem. It is settled over all documents of the source, counted by
+size: units change sides until the token total is at its target or no unit
+that is left is small enough.
 
 Defined results: null and empty texts have size 0 and are taken as 0 words; a
 null source is a source of its own, last in order; ties are settled by hashed
@@ -31,6 +33,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
 #: Units of a flight group; each leaves at most two to the next level.
 GROUP = 400
+#: Equal rows that one row numbers; groups that the units of a kind are dealt to.
+NUMBERED, SALT = 1000, 256
 EPS = 1e-9
 
 
@@ -96,13 +100,9 @@ def flight(size: np.ndarray, p: np.ndarray, draw: np.ndarray) -> np.ndarray:
     return p
 
 
-def landing(size: np.ndarray, p: np.ndarray, goal: float, flips: int = 6) -> np.ndarray:
-    """Settle the last (at most two) fractional units.
-
-    Takes the choice that leaves the token total nearest to ``goal``, then
-    lets up to ``flips`` single units change sides, each the one that brings
-    the total nearest; the document total moves by no more than that.
-    """
+def landing(size: np.ndarray, p: np.ndarray, goal: float) -> np.ndarray:
+    """Settle the last (at most two) fractional units: the choice that leaves
+    the token total nearest to ``goal``."""
     p = p.copy()
     free = [i for i in range(len(p)) if EPS < p[i] < 1 - EPS]
     fixed = sum(float(size[i]) * p[i] for i in range(len(p)) if i not in free)
@@ -111,16 +111,75 @@ def landing(size: np.ndarray, p: np.ndarray, goal: float, flips: int = 6) -> np.
         fixed + sum(x * float(size[i]) for i, x in zip(free, o, strict=True)) - goal), o))
     for i, x in zip(free, best, strict=True):
         p[i] = float(x)
-    for _ in range(flips):
-        off = float(size @ p) - goal
-        after = np.abs(off + np.where(p > 0.5, -size, size))
-        if not len(after) or after.min() >= abs(off) - 0.5:
-            break
-        i = int(after.argmin())
-        p[i] = 1.0 - p[i]
     return p
 
 
+def evened(size: np.ndarray, up: np.ndarray, count: np.ndarray, off: float) -> np.ndarray:
+    """How many units of each kind (size, taken once more or not) change sides
+    so that a total that is ``off`` too large comes near its goal.
+
+    ``size`` falls. Largest sizes go first, as many as fit. What is then left
+    is less than any unit that could still change; one such unit may overshoot,
+    which small ones on the other side make good.
+    """
+    def fit(off: float, flips: np.ndarray) -> float:
+        side = np.flatnonzero((up == (off > 0)) & (size > 0) & (count > flips) & (size <= abs(off)))
+        for i in side:
+            k = min(count[i] - flips[i], int(abs(off) // size[i]))
+            flips[i] += k
+            off -= np.sign(off) * k * size[i]
+        return off
+
+    flips = np.zeros(len(size), np.int64)
+    off = fit(off, flips)
+    more = np.flatnonzero((up == (off > 0)) & (size > abs(off)) & (count > flips))
+    if abs(off) >= 0.5 and len(more):
+        other, i = flips.copy(), more[-1]
+        other[i] += 1
+        if abs(fit(off - np.sign(off) * size[i], other)) < abs(off):
+            return other
+    return flips
+
+
+def _evened(most: float):
+    def run(kinds: pd.DataFrame) -> pd.DataFrame:
+        kinds = kinds.sort_values(["size", "up"], ascending=[False, True], kind="stable")
+        size, up, sure = kinds["size"].to_numpy().astype(float), kinds["up"].to_numpy(), kinds["sure"].to_numpy()
+        off = float(((sure + up) * size * kinds["n"]).sum() - kinds["target"].iloc[0])
+        may = np.where((up == 1) | (sure + 1 <= most), kinds["n"], 0)
+        kinds = kinds.assign(flips=evened(size, up == 1, may, off))
+        return kinds[kinds["flips"] > 0][["_key", "size", "up", "n", "flips"]]
+    return run
+
+
+def settled(done: DataFrame, most: float) -> DataFrame:
+    """``done`` with ``up`` (0 or 1): units of all of a source, not only those
+    of its last group, change sides until its token total is at its target.
+
+    A source is looked at as its counts by size and side; its distinct sizes
+    are no more than the root of twice its words. The units of a kind that
+    change are those of the smallest ``h``.
+    """
+    done = done.select("_id", "_no_id", "source", "_key", "text_hash", "size", "h", "source_size", "target",
+                       "sure", F.round("p").cast("int").alias("up"))
+    flips = materialize(
+        done.groupBy("_key", "size", "up").agg(
+            F.count("*").alias("n"), F.max("sure").alias("sure"), F.max("target").alias("target"))
+        .groupBy("_key").applyInPandas(_evened(most), "_key string, size long, up int, n long, flips long"),
+        "mix-flips")
+    kind = ["_key", "size", "up"]
+    some = attach(done.select(*kind, "h"), flips, kind, "n", F.col("h")).filter("flips is not null")
+    # a kind may hold most of a source: its salts first send what each can add
+    place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("h"))
+    cuts = materialize(
+        some.withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(SALT)))
+        .withColumn("r", place(*kind, "salt")).filter("r <= flips")
+        .withColumn("r", place(*kind)).filter("r = flips").select(*kind, "n", F.col("h").alias("cut")), "mix-cuts")
+    turned = F.col("h") <= F.col("cut")
+    return attach(done, cuts, kind, "n", F.col("h")).withColumn(
+        "up", F.when(turned, 1 - F.col("up")).otherwise(F.col("up")))
+
+
 def _level(last: bool):
     def run(units: pd.DataFrame) -> pd.DataFrame:
         units = units.sort_values(["h", "size"], kind="stable")
@@ -140,20 +199,28 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
     ``copies`` is how often the document is taken; ``taken`` = copies * size.
     """
     id_type = docs.schema[id_col].dataType
-    units = materialize(docs.select(
+    # equal rows are numbered, in blocks that many tasks count on from
+    units = docs.select(
         F.coalesce(F.col(id_col), F.lit("0").cast(id_type)).alias("_id"),
         F.col(id_col).isNull().alias("_no_id"), F.col(source).alias("source"),
         F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("_key"),
-        F.xxhash64(text).alias("text_hash"), word_count(F.col(text)).alias("size")), "mix-sizes")
+        F.xxhash64(text).alias("text_hash"), word_count(F.col(text)).alias("size")) \
+        .groupBy("_id", "_no_id", "source", "_key", "text_hash", "size").agg(F.count("*").alias("_n")) \
+        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / NUMBERED)))) \
+        .repartition("_id", "text_hash", "_block") \
+        .withColumn("_nth", F.explode(F.sequence(
+            F.lit(1).cast("long"), F.least(F.lit(NUMBERED), F.col("_n") - NUMBERED * F.col("_block")))))
+    units = materialize(units.withColumn(
+        "h", F.xxhash64("_id", "_no_id", "_key", "text_hash", "_block", "_nth", F.lit("mix")))
+        .drop("_n", "_block", "_nth"), "mix-sizes")
     sums = targets(units.groupBy("source", "_key").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("n")), weights, share, most)
     sums = materialize(sums.withColumn("ratio", F.when(
         F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
         .drop("source"), "mix-targets")
-    rows = attach(units, sums, ["_key"], "n", F.xxhash64("_id", "size")) \
+    rows = attach(units, sums, ["_key"], "n", F.col("h")) \
         .withColumn("sure", F.floor(F.col("ratio") + EPS).cast("double")) \
         .withColumn("p", F.greatest(F.col("ratio") - F.col("sure"), F.lit(0.0))) \
-        .withColumn("h", F.xxhash64("_id", "_no_id", "_key", F.lit("mix"))) \
         .withColumn("groups", F.ceil(F.col("n") / group).cast("long"))
     schema = rows.schema
     largest = sums.agg(F.max("n")).first()[0] or 0
@@ -173,8 +240,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
         rows = moved.filter(f"not ({whole})").withColumn(
             "groups", F.ceil(F.col("groups") * 2 / group).cast("long"))
         groups, level = -(-groups * 2 // group), level + 1
-    copies = (F.col("sure") + F.round("p")).cast("long")
-    return done.select(F.when(~F.col("_no_id"), F.col("_id")).alias(id_col), "source", "text_hash", "size", "source_size", "target",
+    copies = (F.col("sure") + F.col("up")).cast("long")
+    return settled(done, most).select(F.when(~F.col("_no_id"), F.col("_id")).alias(id_col), "source", "text_hash", "size", "source_size", "target",
                        copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
@@ -190,14 +257,15 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text:
         F.col(id_col).alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"))
         .agg(F.sum("copies").cast("long").alias("_copies"), F.count("*").alias("_n"))
         .filter("_copies > 0"), "mix-copies")
-    rows = docs.withColumn("_of", F.xxhash64(text)).join(
-        total, F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source"))
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_i"), F.col(source).alias("_s"),
+                       F.xxhash64(text).alias("_of")).join(
+        total, F.col("_i").eqNullSafe(F.col("_id")) & F.col("_s").eqNullSafe(F.col("_source"))
         & (F.col("_of") == F.col("_hash")))
     turn = F.row_number().over(Window.partitionBy("_id", "_source", "_hash").orderBy(F.lit(0)))
     times = F.floor(F.col("_copies") / F.col("_n")) + (F.col("_turn") <= F.col("_copies") % F.col("_n")).cast("long")
     return rows.withColumn("_turn", turn).withColumn("_times", times).filter("_times > 0") \
         .withColumn("_each", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))) \
-        .select(*docs.columns)
+        .select("_row.*")
 
 
 ship(__name__)
