@@ -101,8 +101,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     gone = materialize(judged.filter("not kept").select(
         F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct(), "recipes-gone")
     again = judged.filter("kept").groupBy(id_col, "text_sha256").count().filter("count > 1")
-    left = docs.withColumn("_of", F.sha2(normalised(F.col(text)).cast("binary"), 256)).join(
-        gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_sha")), "left_anti")
+    left = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_i"),
+                       F.sha2(normalised(F.col(text)).cast("binary"), 256).alias("_of")).join(
+        gone, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_sha")), "left_anti")
     if not again.isEmpty():
-        left = left.dropDuplicates([id_col, "_of"])
-    return left.drop("_of")
+        left = left.dropDuplicates(["_i", "_of"])
+    return left.select("_row.*")

@@ -204,7 +204,9 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
              **how) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns."""
     score, _ = weigh(docs, labels, id_col, text, **how)
-    return score(docs).filter("kept").select(*docs.columns)
+    apart = {c: f"_own_{c}" for c in docs.columns if c.lower() in ("_make", "_bad", "log_weight", "key", "kept")}
+    return score(docs.withColumnsRenamed(apart)).filter("kept").select(
+        *[F.col(apart.get(c, c)).alias(c) for c in docs.columns])
 
 
 ship(__name__)

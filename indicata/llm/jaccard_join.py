@@ -503,12 +503,13 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: i
     judged = materialize(found.groupBy("_id", "_th", "kept").agg(F.count("*").alias("n")), "jaccard-judged")
     of = lambda some: F.col("_i").eqNullSafe(some["_id"]) & (F.col("_t") == some["_th"])
     gone, again = judged.filter("not kept"), judged.filter("kept and n > 1")
-    left = docs.withColumns({"_i": F.col(id_col).cast("long"), "_t": F.xxhash64(text)})
+    left = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_i"),
+                       F.xxhash64(text).alias("_t"))
     left = left.join(gone, of(gone), "left_anti")
     if not again.isEmpty():
         left = left.join(again, of(again), "left_anti").unionByName(
             left.join(again, of(again), "left_semi").dropDuplicates(["_i", "_t"]))
-    return left.drop("_i", "_t")
+    return left.select("_row.*")
 
 
 ship(__name__)

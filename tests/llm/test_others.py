@@ -14,7 +14,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from indicata.llm import ann_graph, importance, mixing, packing, pii, queries, url_filters
+from indicata.llm import (ann_graph, chunk_recipes, importance, jaccard_join, mixing, packing, pii, queries,
+                           url_filters)
 from tests.conftest import SF_SMALL
 from tests.llm.cases import documents, empty, values
 from tools.oracle_check import compare, duck
@@ -136,6 +137,53 @@ def test_mix_meets_targets(spark):
     assert values(again, "doc_id", "source", "copies") == sorted(((r.doc_id, r.source, r.copies) for r in got), key=repr)
 
 
+@pytest.mark.parametrize("first", [True, False])
+def test_mix_lands_over_all_documents_of_a_source(spark, first):
+    name = "a" if first else "c"
+    rows = [(i, "w " * 10, name) for i in range(300)] + [(900, "w " * 1500, name)]
+    rows += [(1000 + i, "w " * 7, "b") for i in range(2000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    for r in got.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect():
+        assert abs(r.taken - r.target) <= 10
+    assert got.filter("taken > 2 * size").isEmpty()
+
+
+def test_equal_rows_of_a_mix_spread_over_groups(spark):
+    df = spark.range(5000).selectExpr("cast(null as long) doc_id", "'one two' text", "'s' source") \
+        .union(spark.range(5000).selectExpr("id", "'one two three' text", "'t' source"))
+    got = mixing.mix(df)
+    assert got.count() == 10000
+    for r in got.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect():
+        assert abs(r.taken - r.target) <= 3
+
+
+def test_units_change_sides_up_to_the_goal():
+    for seed in range(200):
+        rnd = np.random.default_rng(seed)
+        size = np.repeat(np.sort(rnd.choice(np.arange(1, 60), 8, replace=False))[::-1], 2).astype(float)
+        up, count = np.tile([False, True], 8), rnd.integers(0, 5, 16)
+        off = float(rnd.integers(-150, 150)) + rnd.random()
+        flips = mixing.evened(size, up, count, off)
+        assert (flips >= 0).all() and (flips <= count).all()
+        after = off + (np.where(up, -size, size) * flips).sum()
+        assert abs(after) <= abs(off)
+        spare = size[(count > flips) & (up == (after > 0))]
+        assert not (spare <= abs(after)).any()
+
+
+def test_stages_stand_columns_of_any_name(spark, docs):
+    names = ["_id", "_i", "_t", "_th", "_of", "_sha", "_row", "_hash", "_source", "_turn", "log_weight", "_make"]
+    df = docs[0].withColumns({c: F.lit(i) for i, c in enumerate(names)})
+    labels = spark.createDataFrame([(4, 1, 0), (5, 0, 0)], "doc_id long, quality int, toxic int")
+    for stage, plain in ((chunk_recipes.keep_first, True), (jaccard_join.keep_first, True), (mixing.mixed, False),
+                         (lambda d: importance.resample(d, labels), True)):
+        out = stage(df)
+        assert out.columns == df.columns
+        assert out.select(*names).distinct().collect() == [tuple(range(len(names)))]
+        if plain:
+            assert out.count() == stage(docs[0]).count()
+
+
 def test_mix_of_awkward_documents(docs):
     got = mixing.mix(docs[0]).collect()
     assert len(got) == len(docs[1])
@@ -268,6 +316,25 @@ def test_neighbours_of_driver_vectors(spark):
     assert hits / (20 * len(queries_)) >= 0.9
 
 
+@pytest.mark.parametrize("odd", [[1e3], [1e4, 1e-4], [1e22, 1e150, 1e-30]])
+def test_neighbours_beside_vectors_of_odd_lengths(spark, odd):
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=(1500, 16))
+    for i, f in enumerate(odd):
+        x[7 + i] *= f
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    for r in ann_graph.nearest(df, shard=256).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = 0
+    for i in range(0, 1500, 20):
+        score = x @ x[i]
+        order = [j for j in np.argsort(-score, kind="stable") if j != i][:20]
+        assert len(got[i]) == 20
+        hits += len(set(order) & got[i])
+    assert hits / (20 * 75) >= 0.95
+
+
 def test_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [nan, 1.0]),
