@@ -11,7 +11,8 @@ Defined results: a null url, or one without ``://``, has empty host and path,
 fits no rule and is allowed; the empty table gives an empty result; repeated
 rows and ties (rules of the same length: the longer host, then the smaller
 rule) are judged alike; very long urls are read whole; other columns are not
-read.
+read and stay, whatever their names, but for host, path, rule and verdict,
+which are replaced.
 """
 
 from __future__ import annotations
@@ -121,17 +122,17 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url") -> DataFram
             .alias("rarest")) \
         .join(listed, "rule_no").select(F.col("rarest.token").alias("token"), "rule_no", "name",
                                         "verdict", "pattern", "site", "length", "host_length")
-    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "_row")]
-    rows = pages.select(*own, host.alias("host"), path.alias("path"),
-                        F.monotonically_increasing_id().alias("_row"))
-    fetched = rows.select("host", "path", "_row",
+    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    rows = pages.select(F.struct(*own).alias("page"), host.alias("host"), path.alias("path"),
+                        F.monotonically_increasing_id().alias("row_no"))
+    fetched = rows.select("host", "path", "row_no",
                           F.explode(_tokens(F.col("host"), F.col("path"))).alias("token")) \
         .join(index, "token") \
         .filter(F.expr("rlike(concat(host, path), pattern)"))
-    best = fetched.groupBy("_row").agg(
+    best = fetched.groupBy("row_no").agg(
         F.max(F.when(F.col("site"), F.struct(
             "length", "host_length", (-F.col("rule_no")).alias("order"), "name", "verdict"))).alias("s"),
         F.max(F.when(~F.col("site"), F.col("verdict"))).alias("w"))
-    return rows.join(best, "_row", "left").select(
-        *own, "host", "path", F.col("s.name").alias("rule"),
+    return rows.join(best, "row_no", "left").select(
+        "page.*", "host", "path", F.col("s.name").alias("rule"),
         F.coalesce("s.verdict", "w", F.lit("allow")).alias("verdict"))

@@ -108,6 +108,11 @@ def test_url_rules(spark):
     for r in got:
         assert (r.host, r.path, r.rule, r.verdict) == judged(urls[r.page_id]), urls[r.page_id]
     assert url_filters.judge(df.limit(0), rules).count() == 0
+    names = ["_row", "page", "row_no", "token", "rule_no", "pattern", "site", "s", "w"]
+    wide = url_filters.judge(df.withColumns({c: F.lit(c) for c in names}), rules)
+    assert wide.columns == ["page_id", "url", *names, "host", "path", "rule", "verdict"]
+    assert wide.select(*names).distinct().collect() == [tuple(names)]
+    assert sorted(map(repr, wide.drop(*names).collect())) == sorted(map(repr, got))
 
 
 # -- mixing ---------------------------------------------------------------------
