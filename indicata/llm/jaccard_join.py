@@ -27,7 +27,9 @@ between sets, never by leaving rows out:
   bound that follows leaves no doubt;
 * only the pairs left are counted.
 
-Shingles and sets are told apart by 64-bit hashes.
+Of hubs or main labels with equal counts any one serves: they decide what work
+is skipped, never which links are found. Shingles and sets are told apart by
+64-bit hashes.
 
 Defined results: A-Z are folded, other letters are not; with fewer words than
 a shingle the whole sequence is the one shingle; null and empty texts and
@@ -389,8 +391,7 @@ def open_lists(entries: DataFrame, labels: DataFrame) -> DataFrame:
     ``c`` and the one that most sets of the list have, ``bulk``."""
     told = entries.drop("hub").join(labels, "s")
     bulk = told.groupBy("sig", "c").agg(F.count("*").alias("k")).groupBy("sig").agg(
-        F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("labels")) \
-        .filter("labels > 1").select("sig", F.col("m.c").alias("bulk"))
+        F.max_by("c", "k").alias("bulk"), F.count("*").alias("labels")).filter("labels > 1").drop("labels")
     return materialize(told.join(bulk, "sig"), "jaccard-told")
 
 
@@ -398,8 +399,8 @@ def meetings(told: DataFrame, most: int, draws: int) -> DataFrame:
     """Pairs (a, b): each set outside its lists' main label and up to ``most``
     sets of that label, those drawn in most of its lists first."""
     drawn = told.filter("c = bulk").groupBy("sig").agg(F.array(*[
-        F.min(F.struct(F.xxhash64("s", "sig", F.lit(i)).alias("draw"), "s")) for i in range(draws)]).alias("m")) \
-        .select("sig", F.explode(F.array_distinct(F.col("m.s"))).alias("b"))
+        F.min_by("s", F.xxhash64("s", "sig", F.lit(i))) for i in range(draws)]).alias("m")) \
+        .select("sig", F.explode(F.array_distinct("m")).alias("b"))
     asked = told.filter("c <> bulk").select("sig", F.col("s").alias("a")).join(drawn, "sig") \
         .groupBy("a", "b").agg(F.count("*").alias("k"))
     best = Window.partitionBy("a").orderBy(F.desc("k"), "b")
@@ -429,8 +430,7 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
     entries = materialize(raw.join(shared, "sig"), "jaccard-lists")
     discard(raw)
     best = entries.filter("s <> hub").groupBy("s", "hub").agg(F.count("*").alias("c")) \
-        .groupBy("s").agg(F.max(F.struct("c", "hub")).alias("m")) \
-        .select(F.col("s").alias("a"), F.col("m.hub").alias("b"))
+        .groupBy(F.col("s").alias("a")).agg(F.max_by("hub", "c").alias("b"))
 
     enough = f"100 * o >= {percent} * (na + nb - o)"
     met = materialize(counted(best, items), "jaccard-hubs")
