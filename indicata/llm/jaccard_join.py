@@ -416,10 +416,10 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
         .select(F.explode(F.arrays_zip("ids", "hashes", "of", "size")).alias("r")) \
         .select(F.col("r.ids").alias("id"), F.col("r.hashes").alias("th"), F.col("r.of").alias("s"),
                 F.col("r.size").alias("n"))
-    held = materialize(rows.filter("n > 0").groupBy("s").agg(
-        F.min(F.struct(F.isnull("id").alias("none"), "id", "th")).alias("low"), F.count("*").alias("rows"),
-        F.min(F.struct("id", "th")).alias("one")), "jaccard-held")
-    wanted = candidates(known_sets).join(held, "s").select("s", "one.id", "one.th")
+    # the smallest id with a text of it; of null ids only, the smallest text hash
+    smallest = (F.min("id").alias("id"), F.coalesce(F.min_by("th", "id"), F.min("th")).alias("th"))
+    held = materialize(rows.filter("n > 0").groupBy("s").agg(*smallest, F.count("*").alias("rows")), "jaccard-held")
+    wanted = candidates(known_sets).join(held, "s").select("s", "id", "th")
     items = materialize(cores(contents(docs, wanted, id_col, text, k), percent), "jaccard-cores")
 
     # lists of shingles that at least two sets hold, each with a hub
@@ -475,8 +475,8 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
     # the first row of a component (null ids last), and the rows of its sets
     member = held.join(joined.select(F.col("node").alias("s"), "component"), "s", "left") \
         .withColumn("component", F.coalesce("component", "s"))
-    lowest = member.groupBy("component").agg(F.min("low").alias("first"), F.sum("rows").alias("all")) \
-        .filter("all > 1")
+    lowest = member.groupBy("component").agg(*smallest, F.sum("rows").alias("all")) \
+        .filter("all > 1").select("component", F.struct("id", "th").alias("first"))
     groups = materialize(member.join(lowest, "component").select("s", "rows", "first"), "jaccard-groups")
     return attach(rows.withColumn("s", F.when(F.col("n") > 0, F.col("s"))), groups, ["s"], "rows",
                   F.xxhash64("id", "th"))
