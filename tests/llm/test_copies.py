@@ -247,6 +247,74 @@ def test_fuzzy_passage_is_aligned(spark):
     assert r.matched == 80 - 3
 
 
+def test_passage_is_found_behind_nearer_holders_of_its_seeds(spark):
+    """Texts 1 and 99 share 60 words; the texts between quote 35 of them, too
+    few for a passage, so nobody links with its neighbours."""
+    import random
+    rnd = random.Random(5)
+    some = lambda n: [f"w{rnd.randint(0, 99999)}" for _ in range(n)]
+    run = some(60)
+    rows = [(1, some(50) + run + some(50)), (99, some(70) + run + some(20))]
+    for i in range(2, 99):
+        at = i % 26
+        rows.append((i, some(40) + run[at:at + 35] + some(40)))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = [(r.doc_id, r.other_id, r.start, r.stop, r.matched) for r in chaining.passages(df).collect()]
+    assert got == [(99, 1, 70, 130, 60)]
+
+
+def test_classes_are_those_of_all_pairs(spark, monkeypatch):
+    """Against every pair of texts chained and aligned by itself, with long lists in blocks."""
+    import random
+    monkeypatch.setattr(chaining, "BLOCK", 3)
+    rnd = random.Random(6)
+    some = lambda n: [f"w{rnd.randint(0, 99999)}" for _ in range(n)]
+    runs = [some(70) for _ in range(4)]
+    rows = []
+    for i in range(48):
+        words = some(rnd.randint(5, 30))
+        for run in rnd.sample(runs, rnd.randint(1, 2)):
+            n = rnd.choice([24, 30, 36, 36, 48])
+            at = rnd.randint(0, 70 - n)
+            words += run[at:at + n] + some(rnd.randint(5, 30))
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame([*rows, *((i + 100, t) for i, t in rows[:6])], "doc_id long, text string")
+    got = chaining.passages(df).collect()
+    cls = {r.doc_id: r.class_id for r in got} | {r.other_id: r.class_id for r in got}
+    linked = []
+    every = [(r.doc_id, r.text) for r in df.collect()]
+    for a, ta in every:
+        for b, tb in every:
+            if a < b:
+                pair = spark_free_passages(ta, tb)
+                linked += [(a, b)] if pair else []
+    top = {i: i for i, _ in every}
+    for _ in every:
+        for a, b in linked:
+            top[a] = top[b] = min(top[a], top[b])
+    assert cls == {i: top[i] for i in {x for p in linked for x in p}}
+
+
+def spark_free_passages(ta, tb):
+    import numpy as np
+
+    from indicata.llm.common import word_hashes
+    sides = []
+    for t in (ta, tb):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        words, at = word_hashes(raw, np.array([0, len(raw)], np.int64))
+        sides.append((words, dict(zip(*(x.tolist() for x in next(chaining.seeds(
+            words, at, chaining.SEED, chaining.WINDOW_))), strict=True))))
+    (wa, sa), (wb, sb) = sides
+    both = sorted(set(sa) & set(sb))
+    pa_, pb = np.array([sa[h] for h in both], np.int64), np.array([sb[h] for h in both], np.int64)
+    for path in chaining.chains(pa_, pb, chaining.SEED, chaining.GAP, chaining.LEAST // 2):
+        a0, a1, b0, b1, good = chaining.aligned(wa, wb, pa_[path], pb[path], chaining.SEED)
+        if good >= chaining.LEAST and good >= chaining.SAME * max(a1 - a0, b1 - b0):
+            return True
+    return False
+
+
 @pytest.mark.parametrize("run", [chunk_recipes.dedup, jaccard_join.classes, suffix_dedup.clean,
                                  chaining.passages, chunk_recipes.keep_first, jaccard_join.keep_first])
 def test_empty_tables(spark, run):
