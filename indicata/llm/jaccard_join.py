@@ -25,6 +25,9 @@ between sets, never by leaving rows out:
   partner are not visited; position in the list order bounds the overlap;
 * two sets measured against the same hub get their answer from it where the
   bound that follows leaves no doubt;
+* a set's shingles are also marked in a few hundred bits: a bit that only one
+  set of a pair has stands for a shingle that the other lacks, so the bits bound
+  the overlap from above, and pairs that cannot link are not put together;
 * only the pairs left are counted.
 
 Of hubs or main labels with equal counts any one serves: they decide what work
@@ -69,6 +72,10 @@ ROUNDS = ((32, 3),)
 #: Longest index of a set that is carried along to find a pair's first list;
 #: pairs of longer ones may come up in several lists and are made distinct.
 CARRIED = 256
+#: Longs of the marks of a set's shingles; any number gives the same links.
+MARKS = [f"w{i}" for i in range(8)]
+#: Text of which a worker makes sets at a time.
+PIECE = 512 << 10
 #: Input bytes to a bucket of shingles.
 BUCKET = 8 << 20
 
@@ -105,6 +112,20 @@ def sets_of(raw: np.ndarray, off: np.ndarray, k: int):
         yield h[np.concatenate([[True], h[1:] != h[:-1]])] if len(h) else h
 
 
+def sets_by_piece(raw: np.ndarray, off: np.ndarray, k: int):
+    """``sets_of`` a long stretch of texts, with the working memory of a piece."""
+    for a, b in slices(off, PIECE):
+        yield from sets_of(raw[off[a]:off[b]], off[a:b + 1] - off[a], k)
+
+
+def marks(keys: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """Bits of each of ``n`` sets, from its shingles."""
+    out = np.zeros((n, len(MARKS)), np.uint64)
+    bit = mix(keys) % np.uint64(64 * len(MARKS))
+    np.bitwise_or.at(out, (row, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+    return out.view(np.int64)
+
+
 def set_id(u: np.ndarray) -> int:
     """64-bit name of a set."""
     with np.errstate(over="ignore"):
@@ -136,7 +157,7 @@ def settled(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
                     name = f"{part}-{n_chunk}"
                     n_chunk += 1
                     of, size, first = [], [], {}
-                    for u in sets_of(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k):
+                    for u in sets_by_piece(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k):
                         s = set_id(u)
                         of.append(s)
                         size.append(len(u))
@@ -265,8 +286,8 @@ def common_shingles(items: DataFrame, most: int) -> np.ndarray:
 
 
 def cores(items: DataFrame, percent: int) -> DataFrame:
-    """(s, n, t, items): of each set the ``t`` shingles that another one holds;
-    without the sets that have too few of them for any partner."""
+    """(s, n, t, items, marks): of each set the ``t`` shingles that another one
+    holds; without the sets that have too few of them for any partner."""
     def pack(batches):
         part, n_chunk = TaskContext.get().partitionId(), 0
         for b in batches:
@@ -291,15 +312,18 @@ def cores(items: DataFrame, percent: int) -> DataFrame:
                 t = np.bincount(row[ok], minlength=len(ns))
                 fit = 100 * t >= percent * ns
                 ok &= fit[row]
+                bits = marks(keys[ok], (np.cumsum(fit) - 1)[row[ok]], int(fit.sum()))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(sets[fit]), pa.array(ns[fit]), pa.array(t[fit].astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(t[fit])]), pa.int32()),
-                                             pa.array(keys[ok].view(np.int64)))], ["s", "n", "t", "items"])
+                                             pa.array(keys[ok].view(np.int64))),
+                    *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(MARKS)))],
+                    ["s", "n", "t", "items", *MARKS])
 
     packed = materialize(items.mapInArrow(
         pack, "chunk string, sets binary, ns binary, keys binary, n_keys long"), "jaccard-packed")
     return packed.drop("n_keys").join(repeated(packed.select("chunk", "n_keys", "keys")), "chunk") \
-        .mapInArrow(keep, "s long, n int, t int, items array<long>")
+        .mapInArrow(keep, "s long, n int, t int, items array<long>, " + ", ".join(f"{w} long" for w in MARKS))
 
 
 def lists(sets: DataFrame, percent: int, common: np.ndarray) -> DataFrame:
@@ -348,7 +372,7 @@ def contents(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, k: int)
         for b in batches:
             raw, off = text_buffers(b.column(1))
             for lo, hi in slices(off, BYTES):
-                got = list(sets_of(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k))
+                got = list(sets_by_piece(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k))
                 flat = np.concatenate([*got, np.zeros(0, np.uint64)]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), pa.array([len(u) for u in got], pa.int32()),
@@ -441,8 +465,8 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
         found = materialize(counted(some, items).filter(enough).select("a", "b"), "jaccard-met")
         near, labels = near.union(found), relabel(labels, found)
     # what is known of each set: its hub and the overlap
-    known = items.select("s").join(met.select(F.col("a").alias("s"), F.col("b").alias("h"), "o"), "s", "left") \
-        .select("s", F.coalesce("h", "s").alias("h"), "o")
+    known = items.select("s", *MARKS).join(met.select(F.col("a").alias("s"), F.col("b").alias("h"), "o"), "s", "left") \
+        .select("s", F.coalesce("h", "s").alias("h"), "o", *MARKS)
     told = open_lists(entries, labels)
     index = told.groupBy("s").agg(F.collect_set("sig").alias("all"),
                                   F.collect_set(F.when(F.col("small"), F.col("sig"))).alias("few"))
@@ -450,18 +474,20 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
     told = materialize(told.join(known, "s").join(index, "s").withColumns({
         "o": F.coalesce("o", "t"), "rest": F.col("c") != F.col("bulk"),
         "size_class": F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)))}), "jaccard-open")
-    names = ("s", "n", "t", "pos", "c", "h", "o", "rest")
+    names = ("s", "n", "t", "pos", "c", "h", "o", "rest", *MARKS)
     left = told.filter("small").select("sig", "size_class", "few", *[F.col(c).alias(f"{c}a") for c in names])
     right = told.select("sig", F.explode(F.array(F.col("size_class"), F.col("size_class") - 1))
                         .alias("size_class"), "all", *[F.col(c).alias(f"{c}b") for c in names])
     reach = f"{percent} * (na + nb)"
     whole = 100 + percent
+    lack = lambda x, y: " + ".join(f"bit_count({w}{x} & ~{w}{y})" for w in MARKS)
     fits = (
         "ca <> cb and (na < nb or (na = nb and sa < sb))"
         f" and 100 * na >= {percent} * nb and {whole} * least(ta, tb) >= {reach}"
         f" and {whole} * (least(posa, posb) + 1 + least(ta - 1 - posa, tb - 1 - posb)) >= {reach}"
         " and ha <> sb and hb <> sa"
         f" and (ha <> hb or {whole} * (least(oa, ob) + least(ta - oa, tb - ob)) >= {reach})"
+        f" and {whole} * least(ta - ({lack('a', 'b')}), tb - ({lack('b', 'a')})) >= {reach}"
         " and coalesce(array_min(array_intersect(few, all)) = sig, true)")
 
     def meet(some: DataFrame, others: DataFrame) -> DataFrame:

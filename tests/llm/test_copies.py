@@ -247,6 +247,46 @@ def test_fuzzy_passage_is_aligned(spark):
     assert r.matched == 80 - 3
 
 
+def test_sets_of_an_unlinked_family_are_not_counted_pair_by_pair(spark, monkeypatch):
+    """150 sets that share two thirds with each other, and two linked pairs among them."""
+    import random
+    rnd = random.Random(9)
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for at in rnd.sample(range(5, 95), 3):
+            words[at] = f"x{i}-{at}"
+        rows.append((i, words))
+    rows += [(200, [*rows[7][1], "end"]), (201, [*rows[30][1][1:], "end", "here"])]
+    sets = {i: {tuple(w[j:j + 5]) for j in range(len(w) - 4)} for i, w in rows}
+    top = {i: i for i in sets}
+    for _ in range(4):
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    top[a] = top[b] = min(top[a], top[b])
+    made = []
+    counted = jaccard_join.counted
+    monkeypatch.setattr(jaccard_join, "ROUNDS", ())
+    monkeypatch.setattr(jaccard_join, "counted", lambda p, i: made.append(p.count()) or counted(p, i))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.classes(df).collect()}
+    assert got == {i: (len(sets[i]), top[i]) for i in sets}
+    assert made[-1] < 1_000 < 150 * 149 // 2
+
+
+def test_marks_never_hide_a_link():
+    import numpy as np
+    rnd = np.random.default_rng(4)
+    for n in (3, 40, 300, 3000):
+        a = rnd.integers(0, 2 ** 63, n, dtype=np.uint64)
+        b = np.concatenate([a[:n - n // 5], rnd.integers(0, 2 ** 63, n // 8, dtype=np.uint64)])
+        bits = jaccard_join.marks(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2).view(np.uint64)
+        only = int(np.bitwise_count(bits[0] & ~bits[1]).sum()), int(np.bitwise_count(bits[1] & ~bits[0]).sum())
+        assert len(np.intersect1d(a, b)) <= min(len(a) - only[0], len(b) - only[1])
+
+
 def test_passage_is_found_behind_nearer_holders_of_its_seeds(spark):
     """Texts 1 and 99 share 60 words; the texts between quote 35 of them, too
     few for a passage, so nobody links with its neighbours."""
