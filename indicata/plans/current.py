@@ -22,10 +22,17 @@ from indicata.sources import published, store
 
 KEYS, VERSION = ("serie", "data"), ("_ingested_at", "_seq")
 PARTITION = ("ano",)
+#: Rows that a task sorts, as long as the shuffle needs no sort of its own:
+#: beyond so many partitions (Spark's default) a map task gathers its rows.
+TASK_ROWS, MOST_TASKS = 500_000, 200
 
 
 def newest(rows: DataFrame) -> DataFrame:
-    return latest_per_key(rows, KEYS, VERSION[:1], VERSION[1:])
+    """The winners. Rows are dealt out by key before they are sorted: a task
+    that reads 128 MB of a well compressed table would sort tens of millions of
+    rows in memory. ``rows`` is counted first, so it should be a written table."""
+    n = min(max(1, -(-rows.count() // TASK_ROWS)), MOST_TASKS)
+    return latest_per_key(rows.repartition(n, *KEYS), KEYS, VERSION[:1], VERSION[1:])
 
 
 def _mark(path: str) -> str:

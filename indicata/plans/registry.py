@@ -515,6 +515,14 @@ def bronze_table_by_name(spark, sf):
     return tables.read_by_name(spark, name)
 
 
+def _silver_written(spark, sf):
+    """Silver rate as a written table: dealing rows out by ranges reads its
+    input twice, once to find the ranges, and would compute all of silver twice."""
+    path = scratch_path(spark, "silver-rate")
+    store.overwrite_all(silver_rate(spark, sf), path)
+    return store.read_table(spark, path)
+
+
 RANGE_OF_SERIES = (3, 5)
 
 
@@ -522,7 +530,7 @@ def silver_rate_range(spark, sf):
     """Silver rate written in the order of series and day; one range of series
     is read, from the files that hold it."""
     path = scratch_path(spark, "silver-rate-sorted")
-    layout.write_sorted(silver_rate(spark, sf), path, ("serie", "data"))
+    layout.write_sorted(_silver_written(spark, sf), path, ("serie", "data"))
     return layout.read_range(spark, path, "serie", *RANGE_OF_SERIES).select("serie", "data", "valor", "media_movel_30d")
 
 
@@ -699,8 +707,8 @@ def product_rounding(spark, sf):
 
 def silver_rate_sorted(spark, sf):
     """Silver in the order of series and day, each row with its place."""
-    return global_row_number(silver_rate(spark, sf), ("serie", "data")).select(
-        "serie", "data", "valor", F.col("_rn").alias("ordem"))
+    rows = _silver_written(spark, sf).select("serie", "data", "valor")
+    return global_row_number(rows, ("serie", "data")).select("serie", "data", "valor", F.col("_rn").alias("ordem"))
 
 
 def gold_sorted(spark, sf):

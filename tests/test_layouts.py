@@ -197,3 +197,17 @@ def test_counts_read_no_column(spark, tmp_path):
     assert sorted(tuple(r) for r in got.collect()) == [("a", "bronze", 1000), ("b", "silver", 0)]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert set(re.findall(r"ReadSchema: struct<([^>]*)>", plan)) == {""}
+
+
+def test_sorted_silver_is_computed_once(spark, monkeypatch):
+    """Dealing rows out by ranges reads its input twice; silver is a written table by then."""
+    from indicata.plans import registry
+    from tests.conftest import SF_SMALL
+    made = []
+    number = registry.global_row_number
+    monkeypatch.setattr(registry, "global_row_number",
+                        lambda df, *a: made.append(df._jdf.queryExecution().optimizedPlan().toString()) or number(df, *a))
+    got = registry.silver_rate_sorted(spark, SF_SMALL).orderBy("ordem").collect()
+    assert "Window" not in made[0] and "Aggregate" not in made[0]
+    keys = [(r.serie, r.data) for r in got]
+    assert keys == sorted(keys) and [r.ordem for r in got] == list(range(len(got)))
