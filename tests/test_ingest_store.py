@@ -155,3 +155,17 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_newest_rows_are_dealt_out_before_they_are_sorted(spark, monkeypatch):
+    """No task sorts all that it reads of a file: tasks are as many as the rows ask for."""
+    import datetime as dt
+
+    from indicata.plans import current
+    monkeypatch.setattr(current, "TASK_ROWS", 10)
+    day = dt.date(2024, 1, 1)
+    rows = [(str(i % 40), day, float(i), dt.datetime(2024, 1, 1 + i // 40), "0") for i in range(100)]
+    df = spark.createDataFrame(rows, "serie string, data date, valor double, _ingested_at timestamp_ntz, _seq string")
+    out = current.newest(df)
+    assert out.rdd.getNumPartitions() == 10
+    assert sorted(r.valor for r in out.collect()) == sorted([*map(float, range(80, 100)), *map(float, range(60, 80))])
