@@ -62,8 +62,9 @@ def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 def append_bronze(df: DataFrame, path: str, schema: T.StructType,
                   partition_by: Sequence[str] = ("kind", "ano")) -> None:
     """Append-only bronze write, Hive-style partitions, Snappy Parquet."""
-    (clustered(conform(df, schema), partition_by).write.mode("append").partitionBy(*partition_by)
-        .option("compression", "snappy").parquet(path))
+    with published.unsorted_writes(df.sparkSession):
+        (clustered(conform(df, schema), partition_by).write.mode("append").partitionBy(*partition_by)
+            .option("compression", "snappy").parquet(path))
 
 
 def overwrite_partitions(df: DataFrame, path: str, schema: T.StructType,
@@ -76,9 +77,10 @@ def overwrite_partitions(df: DataFrame, path: str, schema: T.StructType,
     point this at a path that the same job is reading: ``replace_partitions``
     has neither limit.
     """
-    (clustered(conform(df, schema), partition_by).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by).parquet(path))
+    with published.unsorted_writes(df.sparkSession):
+        (clustered(conform(df, schema), partition_by).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by).parquet(path))
 
 
 def replace_partitions(df: DataFrame, path: str, schema: T.StructType, replace: Iterable[str],

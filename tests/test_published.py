@@ -135,3 +135,20 @@ def test_an_empty_table_keeps_its_schema(spark, tmp_path):
         store.overwrite_all(frame(spark), path, partition_by=by)
         got = store.read_table(spark, path)
         assert got.count() == 0 and got.columns == ["serie", "valor", "ano", "mes"]
+
+
+def test_a_partitioned_write_sorts_no_rows(spark, tmp_path):
+    """A task keeps the files of its partitions open instead of sorting all its rows;
+    beyond so many files the rows are right as well."""
+    from indicata.sources import published
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    df = spark.range(1000).selectExpr("id", "cast(id % 30 as int) as ano")
+    published.publish(df, str(tmp_path / "t"), ("ano",))
+    assert spark.conf.get(key) == before
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+    plan = [p for p in plans if str(tmp_path) in p and "InsertIntoHadoopFsRelationCommand" in p][-1]
+    assert "Sort" not in plan
+    got = published.read(spark, str(tmp_path / "t")).collect()
+    assert sorted((r.id, r.ano) for r in got) == [(i, i % 30) for i in range(1000)]
