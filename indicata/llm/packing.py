@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from indicata.llm.common import materialize, ship
 
 LENGTH, GRID = 2048, 4
+#: Texts that a worker holds as Python strings at a time.
+ROWS = 64
 #: Id that ends every document.
 END = 1
 #: Fixed value: how a byte-level vocabulary splits text before its merges.
@@ -67,18 +70,24 @@ class Encoder:
 
     Byte-level vocabularies are merged by rank, which gives the same ids in a
     fraction of the time; everything else, and every text that holds an added
-    token's string, goes to the tokenizer itself.
+    token's string, goes to the tokenizer itself, which is loaded for the first
+    such text.
     """
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(vocabulary)
-        added = [re.escape(t.content) for t in self.model.get_added_tokens_decoder().values()]
+        self.vocabulary = vocabulary
+        with open(vocabulary, encoding="utf-8") as f:
+            added = [re.escape(t["content"]) for t in json.load(f).get("added_tokens") or ()]
         self.added = re.compile("|".join(added) or "(?!)")
         ranks = byte_ranks(vocabulary)
         self.fast = ranks and tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks,
                                                 special_tokens={})
 
+    @cached_property
+    def model(self):
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.vocabulary)
+
     def ids(self, text: str | None) -> bytes:
         if not text:
             out = []
@@ -89,6 +98,12 @@ class Encoder:
         return np.array([*out, END], "<u4").tobytes()
 
 
+def strings(column: pa.Array):
+    """The values of a column, a few at a time as Python's own."""
+    for a in range(0, len(column), ROWS):
+        yield from column.slice(a, ROWS).to_pylist()
+
+
 def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text",
            length: int = LENGTH, grid: int = GRID) -> DataFrame:
     """Pieces of every document with their class, task and rank in both."""
@@ -98,7 +113,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str =
         part, encoder, seen = TaskContext.get().partitionId(), Encoder(vocabulary), {}
         for b in batches:
             rows = {k: [] for k in ("i", "start", "length", "crc", "total", "class", "rank")}
-            for i, ids in enumerate(map(encoder.ids, b.column(1).to_pylist())):
+            for i, ids in enumerate(map(encoder.ids, strings(b.column(1)))):
                 total, view = len(ids) // 4, memoryview(ids)
                 for start in range(0, total, length):
                     n = min(length, total - start)

@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -388,3 +389,14 @@ def test_pipeline_stages_take_effect(spark):
     assert mixed == plan
     assert packed_right(out["pack"].collect(), [r.text for r in out["mix"].collect()]) < 0.02
     assert {n for n, _ in corpus_pipeline.STAGES} == set(out)
+
+
+def test_plain_texts_are_packed_without_the_tokenizers_library():
+    """It is loaded for the first text that needs it; a batch's texts become
+    Python strings a few at a time."""
+    encoder = packing.Encoder(VOCABULARY)
+    assert encoder.ids("plain text") and "model" not in vars(encoder)
+    token = next(iter(encoder.model.get_added_tokens_decoder().values())).content
+    assert encoder.added.search(f"a {token} b")
+    texts = [None, *map(str, range(200)), ""]
+    assert list(packing.strings(pa.array(texts))) == texts
