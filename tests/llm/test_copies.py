@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from indicata.llm import chaining, chunk_recipes, jaccard_join, suffix_dedup
+from indicata.llm import chaining, chunk_recipes, common, jaccard_join, suffix_dedup
 from indicata.llm.common import attach, components, materialize
 from tests.llm.cases import documents, empty, prose, values
 
@@ -375,3 +375,34 @@ def test_attach_deals_a_heavy_key_over_tasks(spark):
     assert got.count() == 3000
     assert got.filter("k = 7 and (n <> 1500 or m <> 0)").count() == 0
     assert got.filter("k is null and n is null").count() == 10 and got.filter("n is null").count() == 10
+
+
+def test_edges_of_a_group_of_copies_are_few(spark, monkeypatch):
+    """Every text of a group with many neighbours keeps about one edge, and the
+    groups stay linked as they were."""
+    monkeypatch.setattr(chaining, "SALT", 4)
+    edges = {(i, j) for g in (0, 1000) for i in range(g + 1, g + 200) for j in range(max(g, i - 9), i)}
+    found = spark.createDataFrame(sorted(edges), "id long, other_id long").repartition(16)
+    few = chaining.forest(found)
+    got = [tuple(r) for r in few.collect()]
+    assert len(edges) > 3000 and len(got) < 4 * 400
+    classes = {r.node: r.component for r in common.components(few).collect()}
+    assert classes == {i: g for g in (0, 1000) for i in range(g, g + 200)}
+
+
+def test_texts_in_buckets_are_joined_without_a_shuffle_of_their_rows(spark):
+    """Both rounds of alignment read the texts by id; they are dealt out once."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(i, f"text {i}") for i in range(100)] + [(3, None)], "id long, text string")
+        texts = common.materialize_bucketed(df, "id", "test-texts")
+        asked = spark.createDataFrame([(i, i) for i in range(0, 100, 3)], "id long, n long")
+        joined = texts.join(asked.groupBy("id").agg(F.max("n").alias("n")), "id")
+        assert joined.count() == 35
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(id") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    common.drop_bucketed(texts)
+    assert not spark.catalog.tableExists(texts._scratch_table)
