@@ -39,6 +39,8 @@ BUCKETS, LABELLED, BEYOND = 1 << 19, 50_000, 0.005
 SHARP, BINS = 20.0, 4096
 #: Counts below what the raw model expects by so many deviations are a lack.
 LACK = 2.5
+#: Text that a worker takes at a time.
+BYTES = 2 << 20
 
 
 def features(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +73,7 @@ def counts(rows: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         for b in batches:
             fit = np.array(b.column("_fit").to_pylist(), bool)
             raw, off = text_buffers(b.column("text"))
-            for lo, hi in slices(off, 4 << 20):
+            for lo, hi in slices(off, BYTES):
                 words, at = word_hashes(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
                 if not len(words):
                     continue
@@ -119,7 +121,7 @@ def _readings(batches, text: str, mean: np.ndarray, lack: np.ndarray, buckets: i
     for b in batches:
         raw, off = text_buffers(b.column(text))
         make, bad = np.zeros(len(off) - 1), np.zeros(len(off) - 1)
-        for lo, hi in slices(off, 4 << 20):
+        for lo, hi in slices(off, BYTES):
             words, at = word_hashes(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
             for i in range(hi - lo):
                 w = words[at[i]:at[i + 1]]

@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -406,3 +407,31 @@ def test_texts_in_buckets_are_joined_without_a_shuffle_of_their_rows(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     common.drop_bucketed(texts)
     assert not spark.catalog.tableExists(texts._scratch_table)
+
+
+def test_batches_to_workers_are_bounded_in_bytes(spark):
+    """10,000 texts are no bound; a limit that the session names is kept."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def largest() -> int:
+        def size(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+        rows = spark.range(0, 9000, 1, 1).select(F.repeat(F.lit("x"), 2000).alias("text")).mapInArrow(size, "n long")
+        return max(r["n"] for r in common.materialize(rows, "sizes").collect())
+
+    before = spark.conf.getAll.get(key)
+    try:
+        spark.conf.unset(key)
+        assert largest() < 5 << 20
+        spark.conf.set(key, "1m")
+        assert largest() < 2 << 20
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+
+
+def test_few_keeps_every_row_in_order():
+    rows = pa.RecordBatch.from_pydict({"a": list(range(1300))})
+    got = list(common.few([rows, rows.slice(0, 0), rows.slice(7, 1)]))
+    assert [b.num_rows for b in got] == [512, 512, 276, 1]
+    assert [x for b in got for x in b.column(0).to_pylist()] == [*range(1300), 7]
