@@ -369,6 +369,40 @@ def test_components_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(n)} | {1000: 1000, 1001: 1000}
 
 
+def test_joins_of_components_read_settled_edges_once(spark, monkeypatch):
+    """Two groups, every node hung on one of a tenth of its id: joins were given all edges in every round."""
+    seen = []
+    real = common.attach
+    monkeypatch.setattr(common, "contract", lambda batches: batches)
+    monkeypatch.setattr(common, "attach", lambda rows, *a: seen.append(rows.count()) or real(rows, *a))
+    edges = [(g + i, g + i // 10) for g in (0, 10_000) for i in range(1, 1500)]
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r.node: r.component for r in got} == {g + i: g for g in (0, 10_000) for i in range(1500)}
+    assert len(got) == 3000 and sum(seen) < 2 * len(edges)
+
+
+def test_components_of_random_graphs(spark, monkeypatch):
+    """Without the first contraction, so that rounds do all; edges may come twice, either way round."""
+    import random
+    monkeypatch.setattr(common, "contract", lambda batches: batches)
+    rnd = random.Random(11)
+    edges, top = [], {}
+    for g in range(20):
+        nodes = rnd.sample(range(100 * g, 100 * g + 100), 30)
+        for _ in range(rnd.randint(5, 45)):
+            edges.append((rnd.choice(nodes), rnd.choice(nodes[:rnd.choice((2, 30))])))
+    edges += [(b, a) for a, b in edges[::7]] + edges[::5]
+    for a, b in edges:
+        if a != b:
+            top[a], top[b] = a, b
+    for _ in top:
+        for a, b in edges:
+            if a != b:
+                top[a] = top[b] = min(top[a], top[b])
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted((r.node, r.component) for r in got) == sorted(top.items())
+
+
 def test_attach_deals_a_heavy_key_over_tasks(spark):
     rows = spark.range(3000).select(F.when(F.col("id") < 1500, 7).when(F.col("id") < 2990, F.col("id")).alias("k"), "id")
     groups = materialize(rows.filter("k is not null").groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("m")), "t")
