@@ -403,6 +403,39 @@ def test_components_of_random_graphs(spark, monkeypatch):
     assert sorted((r.node, r.component) for r in got) == sorted(top.items())
 
 
+def test_texts_with_a_short_line_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Lines of 19 words hold seeds too near for a chain; a pair is tried only where it shares three of them."""
+    import random
+    rnd = random.Random(12)
+    some = lambda n: [f"w{rnd.randint(0, 999999)}" for _ in range(n)]
+    rows, pairs = [], []
+    for g in range(6):
+        line = some(19)
+        rows += [(100 * g + i, " ".join(some(60) + line + some(60))) for i in range(30)]
+    # a pair whose run of 60 words holds the last line must still be found
+    run = some(20) + line + some(21)
+    rows += [(i, " ".join(some(40) + run + some(40))) for i in (900, 901)]
+    real = chaining.apart
+    monkeypatch.setattr(chaining, "apart", lambda *a: [got := real(*a), pairs.append(got[0].count())][0])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.other_id, r.matched) for r in chaining.passages(df).collect()]
+    assert got == [(901, 900, 60)] and pairs[0] < 200
+
+
+def test_marks_of_seeds_share_a_bit_where_ranges_share_a_seed():
+    import numpy as np
+    rnd = np.random.default_rng(5)
+    h = rnd.integers(0, 2 ** 63, 40, dtype=np.uint64)
+    lo, hi = rnd.integers(0, 41, (2, 300))
+    got = chaining.marks(h, lo, hi)
+    for i in range(300):
+        assert (got[i] == 0) == (lo[i] >= hi[i])
+        for j in range(i):
+            if max(lo[i], lo[j]) < min(hi[i], hi[j]):
+                assert got[i] & got[j]
+    assert len(chaining.marks(h, lo[:0], hi[:0])) == 0
+
+
 def test_attach_deals_a_heavy_key_over_tasks(spark):
     rows = spark.range(3000).select(F.when(F.col("id") < 1500, 7).when(F.col("id") < 2990, F.col("id")).alias("k"), "id")
     groups = materialize(rows.filter("k is not null").groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("m")), "t")
